@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from tideframe.llm import op5_url_rules, op8_mixing
 from tideframe.llm.op2_quality import op2_quality_rules
+from tideframe.llm.op4_chat import op4_chat_formatting
 from tideframe.llm.op6_token_counts import op6_token_counts
 from tideframe.llm.op7_language import op7_language_id
 from tideframe.llm.op10_packing import op10_best_fit_packing
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_chat_formatting": op4_chat_formatting,
+    "op5_url_rules": op5_url_rules.op5_url_rules,
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
+    "op8_mixing": op8_mixing.op8_mixing,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_url_rules": op5_url_rules.ORACLE_SQL,
+    "op8_mixing": op8_mixing.ORACLE_SQL,
+}
