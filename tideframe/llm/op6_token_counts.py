@@ -2,8 +2,8 @@
 
 1. Every task counts its distinct chunks (see tokens.py); one shuffle sums them.
 2. The tokenizer runs once over each distinct chunk and gives its number of pieces.
-3. The HEAD most frequent chunks of at most HEAD_BYTES bytes are broadcast; the table's size is
-   bounded by these two numbers. They hold most of a text, and every hot chunk.
+3. The most frequent chunks of at most HEAD_BYTES bytes, HEAD at most, are broadcast; the table's
+   size is bounded by these two numbers. They hold most of a text, and every hot chunk.
 4. A document's frequencies of its other chunks are joined to the pieces by chunk, and summed.
 
 Nulls: a null text counts as empty: 0 bytes, 0 tokens. Rows are told apart by a number of their
@@ -24,8 +24,8 @@ from tideframe.llm.common import byte_values, sliced, stored
 from tideframe.llm.tokens import VOCABULARY, ChunkIds
 
 LIMIT = 2048
-HEAD, HEAD_BYTES = 262_144, 64
-_FOLD_AT = 400_000
+HEAD, HEAD_BYTES = 131_072, 64
+_FOLD_AT = 150_000
 
 
 def chunk_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -62,10 +62,25 @@ def piece_counts(chunks: DataFrame, vocabulary: str) -> DataFrame:
     return chunks.mapInArrow(run, "chunk binary, n long, pieces int")
 
 
+def head_chunks(pieces: DataFrame) -> DataFrame:
+    """chunk, pieces of the chunks above the smallest frequency that HEAD of them reach at most.
+
+    The frequency is found from a histogram in steps of 2**(1/8), which has a few hundred rows.
+    """
+    short = pieces.where(F.length("chunk") <= HEAD_BYTES).withColumn("step", F.floor(F.log2("n") * 8).cast("int"))
+    least, above = 0, 0
+    for step, n in sorted(short.groupBy("step").count().collect(), reverse=True):
+        above += n
+        if above > HEAD:
+            least = step + 1
+            break
+    return short.where(F.col("step") >= least).select("chunk", "pieces")
+
+
 def token_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = VOCABULARY, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit: one row for each row of docs."""
     pieces = stored(piece_counts(chunk_counts(docs, text), vocabulary))
-    head = pieces.where(F.length("chunk") <= HEAD_BYTES).orderBy(F.desc("n"), "chunk").limit(HEAD).select("chunk", "pieces").toArrow()
+    head = head_chunks(pieces).toArrow()
     shared = docs.sparkSession.sparkContext.broadcast(dict(zip(head.column(0).to_pylist(), head.column(1).to_pylist(), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
