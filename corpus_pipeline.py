@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import op2_quality, op7_language, op10_packing
+from tideframe.llm import op2_quality, op3_minhash, op7_language, op8_mixing, op10_packing
 from tideframe.llm.common import stored
 
 
@@ -25,6 +25,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.where((F.col(name) != "und") & (F.col(score) >= 0.5)).select(*docs.columns)
 
 
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return op3_minhash.deduplicated(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the target weights take, once for each epoch."""
+    return op8_mixing.mixed(docs)[0].select(*docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
     return op10_packing.pack(docs)
@@ -33,6 +43,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality_rules", quality_stage),
     ("language_id", language_stage),
+    ("minhash_dedup", dedup_stage),
+    ("mixing", mixing_stage),
     ("best_fit_packing", packing_stage),
 ]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tideframe.llm import op5_url_rules, op8_mixing
 from tideframe.llm.op2_quality import op2_quality_rules
+from tideframe.llm.op3_minhash import op3_minhash_dedup
 from tideframe.llm.op4_chat import op4_chat_formatting
 from tideframe.llm.op6_token_counts import op6_token_counts
 from tideframe.llm.op7_language import op7_language_id
@@ -11,6 +12,7 @@ from tideframe.llm.op10_packing import op10_best_fit_packing
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_url_rules": op5_url_rules.op5_url_rules,
     "op6_token_counts": op6_token_counts,
