@@ -7,15 +7,18 @@ them, so a text's ids are those of its chunks in turn.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import public_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
-_REMEMBER = 250_000
+_REMEMBER, _AT_ONCE = 150_000, 2048
 
 
 def tokenizer(vocabulary: str = VOCABULARY):
     """The library's tokenizer, with truncation and padding off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on each core already
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(public_tokenizers.path(vocabulary))
@@ -31,8 +34,11 @@ class ChunkIds:
         self.tokenizer, self.known = tokenizer(vocabulary), {}
 
     def encode(self, chunks: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        out = []
+        for start in range(0, len(chunks), _AT_ONCE):  # an encoding takes many times the room of its ids
+            found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks[start : start + _AT_ONCE]], add_special_tokens=False)
+            out.extend(np.array(e.ids, dtype="<u4").tobytes() for e in found)
+        return out
 
     def texts(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its chunks."""
