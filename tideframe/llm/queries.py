@@ -8,6 +8,7 @@ from tideframe.llm.op3_minhash import op3_minhash_dedup
 from tideframe.llm.op4_chat import op4_chat_formatting
 from tideframe.llm.op6_token_counts import op6_token_counts
 from tideframe.llm.op7_language import op7_language_id
+from tideframe.llm.op9_embeddings import op9_embedding_dedup
 from tideframe.llm.op10_packing import op10_best_fit_packing
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing.op8_mixing,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
