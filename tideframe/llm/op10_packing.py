@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tideframe.llm.common import byte_values, sliced, stored
-from tideframe.llm.tokens import VOCABULARY, ChunkIds
+from tideframe.llm.tokens import VOCABULARY, chunk_ids
 
 LENGTH = 2048
 END_ID = 0
@@ -41,7 +41,7 @@ def token_pieces(docs: DataFrame, text: str, doc_id: str, vocabulary: str, lengt
     names = ["row", "doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ChunkIds(vocabulary)
+        ids = chunk_ids(vocabulary)
         for batch in sliced(batches, 0):
             parents, piece, start, size, crc = [], [], [], [], []
             for i, found in enumerate(ids.texts([(v or b"").split() for v in byte_values(batch.column(0))])):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.llm.common import byte_values, sliced, stored
-from tideframe.llm.tokens import VOCABULARY, ChunkIds
+from tideframe.llm.tokens import VOCABULARY, chunk_ids
 
 LIMIT = 2048
 HEAD, HEAD_BYTES = 131_072, 64
@@ -54,7 +54,7 @@ def piece_counts(chunks: DataFrame, vocabulary: str) -> DataFrame:
     """chunk, n, pieces: the tokenizer's number of tokens in each distinct chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ChunkIds(vocabulary)
+        ids = chunk_ids(vocabulary)
         for batch in sliced(batches, 0, 1 << 20):
             pieces = [len(x) // 4 for x in ids.encode(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces, pa.int32())], names=["chunk", "n", "pieces"])

@@ -8,12 +8,14 @@ them, so a text's ids are those of its chunks in turn.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
+from functools import lru_cache
 
-import numpy as np
 import public_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
-_REMEMBER, _AT_ONCE = 150_000, 2048
+_REMEMBER, _AT_ONCE = 800_000, 2048
 
 
 def tokenizer(vocabulary: str = VOCABULARY):
@@ -31,22 +33,28 @@ class ChunkIds:
     """Ids of chunks as little-endian unsigned 32-bit bytes; so many distinct chunks are remembered."""
 
     def __init__(self, vocabulary: str = VOCABULARY):
+        assert sys.byteorder == "little" and array("I").itemsize == 4
         self.tokenizer, self.known = tokenizer(vocabulary), {}
 
     def encode(self, chunks: list[bytes]) -> list[bytes]:
         out = []
         for start in range(0, len(chunks), _AT_ONCE):  # an encoding takes many times the room of its ids
             found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks[start : start + _AT_ONCE]], add_special_tokens=False)
-            out.extend(np.array(e.ids, dtype="<u4").tobytes() for e in found)
+            out.extend(array("I", e.ids).tobytes() for e in found)
         return out
 
     def texts(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its chunks."""
         known = self.known
         new = list({c for chunks in texts for c in chunks if c not in known})
-        extra = dict(zip(new, self.encode(new), strict=True)) if new else {}
-        if len(known) < _REMEMBER:
-            known.update(extra)
-            return [b"".join(map(known.__getitem__, chunks)) for chunks in texts]
-        both = known | extra if extra else known
-        return [b"".join(map(both.__getitem__, chunks)) for chunks in texts]
+        known.update(zip(new, self.encode(new), strict=True))
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in texts]
+        for chunk in new[max(0, _REMEMBER - len(known) + len(new)) :]:
+            del known[chunk]
+        return out
+
+
+@lru_cache(maxsize=1)
+def chunk_ids(vocabulary: str = VOCABULARY) -> ChunkIds:
+    """One for each Python worker, whose tasks follow each other and share what it remembers."""
+    return ChunkIds(vocabulary)
