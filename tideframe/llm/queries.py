@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tideframe.llm import op5_url_rules, op8_mixing
+from tideframe.llm.op1_toxicity import op1_toxicity
 from tideframe.llm.op2_quality import op2_quality_rules
 from tideframe.llm.op3_minhash import op3_minhash_dedup
 from tideframe.llm.op4_chat import op4_chat_formatting
@@ -12,6 +13,7 @@ from tideframe.llm.op9_embeddings import op9_embedding_dedup
 from tideframe.llm.op10_packing import op10_best_fit_packing
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_chat_formatting": op4_chat_formatting,
