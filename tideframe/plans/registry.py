@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from tideframe.plans import analytics, core, market, streams, tables
+from tideframe.plans.register import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "analytics", "core", "market", "streams", "tables"]
