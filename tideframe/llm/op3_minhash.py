@@ -13,9 +13,10 @@ all registers of its text.
 
 Candidates. BANDS bands of ROWS registers: a pair at the threshold meets in none with a probability
 below 4e-5. A bucket's members are paired with one pivot, not with each other; verified pairs are
-contracted into components, and what is left are members of one bucket in different components.
-A second round takes another pivot; then the remaining pairs of different components are taken
-themselves. In a bucket of more than LARGE such members, pairs must meet in a second band as well.
+contracted into components, then a second pivot is tried where a bucket still has several. One
+minus the similarity is a metric, so members near the pivot cannot be linked with those beyond its
+ring (similarity below 2 * threshold - 1). What remains of different components is paired where it
+meets in two open buckets, which a pair at the threshold misses with a probability below 5e-4.
 
 Verification is exact: the overlap of both multisets of shingle occurrences over their union.
 
@@ -39,7 +40,6 @@ from tideframe.llm.components import connected
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
-LARGE = 64
 _REGISTERS = BANDS * ROWS
 _REMEMBER = 500_000
 _U = np.uint64
@@ -181,40 +181,48 @@ def class_bands(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, bands array<long>")
 
 
-def class_shingles(docs: DataFrame, text: str) -> DataFrame:
-    """class, shingles (occurrences): one row for each class and task."""
+def class_texts(docs: DataFrame, text: str) -> DataFrame:
+    """class, text: one row for each class and task, of texts that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, done = Shingler(), set()
+        done = set()
         for batch in sliced(batches, 0):
-            fresh_texts = {}
-            for words in _split(batch.column(0)):
-                if words and (d := _digest(words)) not in done:
-                    done.add(d)
-                    fresh_texts[d] = words
-            if fresh_texts:
-                keys, counts = shingler.shingles(list(fresh_texts.values()))
-                sets = [occurrences(x).tobytes() for x in np.split(keys, np.cumsum(counts)[:-1])]
-                yield pa.RecordBatch.from_arrays([pa.array(fresh_texts, pa.binary()), pa.array(sets, pa.binary())], names=["class", "shingles"])
+            digests = [_digest(words) if words else None for words in _split(batch.column(0))]
+            new = [i for i, d in enumerate(digests) if d is not None and d not in done and not done.add(d)]
+            yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in new], pa.binary()), batch.column(0).take(pa.array(new, pa.int64()))], names=["class", "text"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, text string")
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, shingles binary")
+
+def class_shingles(texts: DataFrame) -> DataFrame:
+    """class, shingles (occurrences) of class texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in sliced(batches, 1):
+            keys, counts = shingler.shingles(_split(batch.column(1)))
+            sets = [occurrences(x).tobytes() for x in np.split(keys, np.cumsum(counts)[:-1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["class", "shingles"])
+
+    return texts.select("class", "text").mapInArrow(run, "class binary, shingles binary")
 
 
 def verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough."""
+    """The pairs (a, b) whose multisets overlap enough, with their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, left, right = (c.to_pylist() for c in batch.columns)
-            good = [similarity(np.frombuffer(x, _U), np.frombuffer(y, _U)) >= threshold for x, y in zip(left, right, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            found = np.array([similarity(np.frombuffer(x, _U), np.frombuffer(y, _U)) for x, y in zip(left, right, strict=True)])
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["a", "b", "similarity"])
+            yield out.filter(pa.array(found >= threshold))
 
     left = shingles.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
     right = shingles.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     # what cannot reach the threshold by its sizes alone
     n, m = F.length("left"), F.length("right")
-    return full.where(F.least(n, m) >= threshold * F.greatest(n, m)).mapInArrow(run, "a binary, b binary")
+    return full.where(F.least(n, m) >= threshold * F.greatest(n, m)).mapInArrow(run, "a binary, b binary, similarity double")
 
 
 def _ordered(x: str, y: str) -> list:
@@ -228,35 +236,55 @@ def linked_classes(docs: DataFrame, text: str = "text", threshold: float = THRES
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     rows = stored(rows.join(shared, "key"))
     involved = rows.select("class").distinct()
-    shingles = stored(class_shingles(docs, text).join(involved, "class").dropDuplicates(["class"]))
-
-    edges, components = None, None
-    for turn in range(2):  # pivots: another one for each bucket and turn
-        members = rows
-        if components is not None:
-            members = rows.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
-            open_ = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-            members = members.join(open_, "key")
-        pivots = members.groupBy("key").agg(F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("pivot"), F.count("*").alias("n"))
-        if turn:
-            pivots = pivots.where("n > 2")
-        pairs = members.join(pivots, "key").where("class != pivot").select(*_ordered("class", "pivot")).distinct()
-        found = stored(verified(pairs, shingles, threshold))
-        edges = found if edges is None else edges.union(found)
-        components = connected(edges).withColumnRenamed("node", "class")
-
-    members = rows.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    open_ = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high and n > 3")
-    members = stored(members.join(open_.select("key", "n"), "key"))
-    small = members.where(F.col("n") <= LARGE).select("key", "class", "component")
-    other = members.where(F.col("n") > LARGE).join(rows.select("class", F.col("key").alias("other")), "class").where("other != key")
-    small = small.union(other.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "class", "component").distinct())
-    right = small.select("key", F.col("class").alias("class2"), F.col("component").alias("component2"))
-    pairs = small.join(right, "key").where("component < component2").select(*_ordered("class", "class2")).distinct()
-    rest = stored(verified(pairs, shingles, threshold))
+    shingles = stored(class_shingles(class_texts(docs, text).join(involved, "class").dropDuplicates(["class"])))
+
+    # a pivot for each bucket; how similar its members are to it tells which of them can be linked at all
+    ring = 2 * threshold - 1
+    stars = rows.join(pivots(rows, 0), "key").where("class != pivot")
+    near = stored(verified(stars.select(*_ordered("class", "pivot")).distinct(), shingles, ring))
+    edges = near.where(F.col("similarity") >= threshold).select("a", "b")
+    components = connected(edges).withColumnRenamed("node", "class")
+
+    # a second pivot for what a bucket's first has not connected
+    members = in_components(rows, components)
+    open_ = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high and n > 2")
+    members = members.join(open_.select("key"), "key")
+    second = members.join(pivots(members, 1), "key").where("class != pivot").select(*_ordered("class", "pivot")).distinct()
+    second = second.join(near, ["a", "b"], "left_anti")
+    edges = edges.union(stored(verified(second, shingles, threshold)).select("a", "b"))
+    components = connected(edges).withColumnRenamed("node", "class")
+
+    # distance is a metric: members near the pivot are linked with each other or with its ring, not with what is beyond
+    told = near.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "similarity").union(near.select("b", "a", "similarity"))
+    placed = rows.join(pivots(rows, 0), "key").join(told, ["class", "pivot"], "left")
+    placed = placed.withColumn("similarity", F.when(F.col("class") == F.col("pivot"), 1.0).otherwise(F.coalesce("similarity", F.lit(0.0))))
+    placed = stored(in_components(placed.select("key", "class", "similarity"), components))
+    ringed = placed.groupBy("key").agg(F.count_if((F.col("similarity") < threshold) & (F.col("similarity") >= ring)).alias("in_ring"))
+    active = placed.join(ringed, "key").where((F.col("similarity") < threshold) | (F.col("in_ring") > 0)).select("key", "class", "component")
+    open_ = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
+    active = active.join(open_, "key")
+    # what is left must meet in two of its open buckets
+    keys = active.groupBy("class", "component").agg(F.array_sort(F.collect_set("key")).alias("keys")).where(F.size("keys") > 1)
+    pairs_of = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))))
+    both = stored(keys.select("class", "component", F.explode(pairs_of).alias("key")))
+    open_ = both.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
+    both = both.join(open_, "key")
+    right = both.select("key", F.col("class").alias("class2"), F.col("component").alias("component2"))
+    pairs = both.join(right, "key").where("component < component2").select(*_ordered("class", "class2")).distinct()
+    rest = stored(verified(pairs, shingles, threshold)).select("a", "b")
     return components if rest.isEmpty() else connected(edges.union(rest)).withColumnRenamed("node", "class")
 
 
+def pivots(members: DataFrame, turn: int) -> DataFrame:
+    """key, pivot: one member of each bucket, the same in every bucket that holds it first in the turn's order."""
+    return members.groupBy("key").agg(F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("pivot"))
+
+
+def in_components(members: DataFrame, components: DataFrame) -> DataFrame:
+    """members with their component, a class of its own where none is known."""
+    return members.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id, component_id, kept: one row for each row of docs.
 
