@@ -1 +1,221 @@
-"""Queries."""
+"""Queries of strategies, positions, performance and risk."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tideframe.functions.timeframes import MS
+from tideframe.operators import portfolio as p
+from tideframe.operators import strategy
+from tideframe.operators.resample import KEY
+from tideframe.plans.core import K, r
+from tideframe.plans.register import long, query, rounded, ts_ms
+from tideframe.sources import mappings as m
+
+CAPITAL = 10_000.0
+_FAST, _SLOW = 2.0 / 10, 2.0 / 22
+EMA_SQL = f"""{m.BASE_SQL.replace('WITH', 'WITH RECURSIVE', 1)}, n AS (SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY ts_ms) AS i, count(*) OVER (PARTITION BY {K}) AS n FROM candles),
+e AS (SELECT {K}, ts_ms, i, n, close AS ema_fast, close AS ema_slow FROM n WHERE i = 1 UNION ALL
+  SELECT n.exchange, n.market_type, n.symbol, n.timeframe, n.ts_ms, n.i, n.n, e.ema_fast * (1 - {_FAST}) + n.close * {_FAST}, e.ema_slow * (1 - {_SLOW}) + n.close * {_SLOW} FROM e JOIN n ON n.exchange = e.exchange AND n.symbol = e.symbol AND n.i = e.i + 1),
+x AS (SELECT *, ema_fast > ema_slow AS above, lag(ema_fast > ema_slow) OVER (PARTITION BY {K} ORDER BY ts_ms) AS before FROM e),
+signals AS (SELECT *, CASE WHEN above AND NOT before THEN 'buy' WHEN NOT above AND before THEN 'sell' ELSE 'hold' END AS signal FROM x WHERE n >= 22)"""
+
+
+@query("win16_ema", f"{EMA_SQL} SELECT {K}, ts_ms, {r('ema_fast', 'ema_fast')}, {r('ema_slow', 'ema_slow')} FROM e")
+def win16_ema(spark, sf):
+    return rounded(ts_ms(strategy.ema(m.candles(spark, sf), {"ema_fast": 9, "ema_slow": 21})).select(*KEY, "ts_ms", "ema_fast", "ema_slow"), "ema_fast", "ema_slow")
+
+
+@query("win17_crossovers", f"{EMA_SQL} SELECT {K}, ts_ms, above, signal FROM signals")
+def win17_crossovers(spark, sf):
+    return ts_ms(strategy.run_strategy("ema_crossover", m.candles(spark, sf))).select(*KEY, "ts_ms", "above", "signal")
+
+
+@query("win17_last_signal", f"{EMA_SQL} SELECT {K}, ts_ms, signal FROM signals WHERE i = n")
+def win17_last(spark, sf):
+    return ts_ms(strategy.crossovers(m.candles(spark, sf), last_only=True)).select(*KEY, "ts_ms", "signal")
+
+
+@query("win18_breakout", f"{m.BASE_SQL} SELECT {K}, ts_ms, CASE WHEN close > max(high) OVER b THEN 'buy' WHEN close < min(low) OVER b THEN 'sell' ELSE 'hold' END AS signal FROM candles WINDOW b AS (PARTITION BY {K} ORDER BY ts_ms ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)")
+def win18_breakout(spark, sf):
+    return ts_ms(strategy.run_strategy("range_breakout", m.candles(spark, sf))).select(*KEY, "ts_ms", "signal")
+
+
+# ---- positions ------------------------------------------------------------------------------------
+
+FOLD_SQL = f"""WITH RECURSIVE {m.TRADES_SQL}, o AS (SELECT account, symbol, ts_ms, trade_id, side, price, amount, row_number() OVER (PARTITION BY account, symbol ORDER BY ts_us, trade_id) AS i FROM (SELECT t.*, epoch_us(e.ts) AS ts_us FROM trades t JOIN events e ON e.event_id = t.trade_id)),
+f AS (SELECT account, symbol, 0 AS i, 0.0::DOUBLE AS qty, 0.0::DOUBLE AS avg, NULL::BIGINT AS entry_ms, NULL::BIGINT AS trade_id, NULL::BIGINT AS exit_ms, 0.0::DOUBLE AS closed_qty, 0.0::DOUBLE AS avg_entry_price, 0.0::DOUBLE AS exit_price, NULL::BIGINT AS trade_entry_ms FROM (SELECT DISTINCT account, symbol FROM o)
+  UNION ALL SELECT o.account, o.symbol, o.i, CASE WHEN side = 'buy' THEN qty + amount ELSE qty - least(amount, qty) END, CASE WHEN side = 'buy' THEN (qty * avg + amount * price) / (qty + amount) WHEN qty - least(amount, qty) > 0 THEN avg ELSE 0 END,
+  CASE WHEN side = 'buy' AND qty = 0 THEN ts_ms WHEN side = 'sell' AND qty - least(amount, qty) <= 0 THEN NULL ELSE entry_ms END, o.trade_id, ts_ms, CASE WHEN side = 'sell' THEN least(amount, qty) ELSE 0 END, avg, price, entry_ms
+  FROM f JOIN o ON o.account = f.account AND o.symbol = f.symbol AND o.i = f.i + 1),
+held AS (SELECT account, symbol, qty AS quantity, avg AS avg_entry, entry_ms FROM f QUALIFY row_number() OVER (PARTITION BY account, symbol ORDER BY i DESC) = 1),
+positions AS (SELECT * FROM held WHERE quantity > 0),
+closed0 AS (SELECT account, symbol, trade_id, trade_entry_ms AS entry_ms, exit_ms, closed_qty, avg_entry_price, exit_price, closed_qty * (exit_price - avg_entry_price) AS gross, CASE WHEN trade_id % 5 <> 1 THEN closed_qty * exit_price * 0.001 END AS fee FROM f WHERE closed_qty > 0),
+closed AS (SELECT *, gross - fee AS net, coalesce(gross - fee, gross) AS pnl, gross / nullif(closed_qty * avg_entry_price, 0) AS pnl_pct FROM closed0)"""
+
+
+def _folded(spark, sf) -> DataFrame:
+    return p.fold_fills(m.trades(spark, sf))
+
+
+def _trades(spark, sf) -> DataFrame:
+    known = F.col("trade_id") % 5 != 1
+    return p.settled(p.closed_trades(_folded(spark, sf)), F.col("closed_qty") * F.col("exit_price") * 0.001, F.when(known, "known").otherwise("unknown"))
+
+
+@query("anl2_positions", f"{FOLD_SQL} SELECT account, symbol, {r('quantity', 'quantity')}, {r('avg_entry', 'avg_entry')}, entry_ms AS opened_ms FROM positions")
+def anl2_positions(spark, sf):
+    return rounded(p.positions(_folded(spark, sf)).withColumn("opened_ms", F.unix_millis("opened_at")).drop("opened_at"), "quantity", "avg_entry")
+
+
+@query("anl1_closed_trades", f"{FOLD_SQL} SELECT account, symbol, trade_id, entry_ms, exit_ms, {r('closed_qty', 'closed_qty')}, {r('avg_entry_price', 'avg_entry_price')}, exit_price FROM closed")
+def anl1_closed(spark, sf):
+    df = p.closed_trades(_folded(spark, sf)).withColumns({"entry_ms": F.unix_millis("entry_at"), "exit_ms": F.unix_millis("exit_at")})
+    return rounded(df.drop("entry_at", "exit_at"), "closed_qty", "avg_entry_price")
+
+
+@query("anl3_anl4_settlement", f"{FOLD_SQL} SELECT account, symbol, trade_id, {r('gross', 'gross_realized_usd')}, {r('net', 'net_realized_usd')}, {r('pnl_pct', 'pnl_pct')}, {r('net / nullif(closed_qty * avg_entry_price, 0)', 'net_pnl_pct')}, {r('fee / nullif(closed_qty * avg_entry_price, 0)', 'fees_pct')}, pnl > 0 AS is_winner, (exit_ms - entry_ms) / 1000 AS duration_s FROM closed")
+def anl3_settlement(spark, sf):
+    names = ["gross_realized_usd", "net_realized_usd", "pnl_pct", "net_pnl_pct", "fees_pct"]
+    return rounded(_trades(spark, sf).select("account", "symbol", "trade_id", *names, "is_winner", "duration_s"), *names)
+
+
+@query("anl5_anl6_performance", f"""{FOLD_SQL}, g AS (SELECT symbol, count(*) AS trades, count(*) FILTER (pnl > 0) AS winners, sum(pnl) AS total_usd, avg(pnl_pct) FILTER (pnl > 0) AS avg_win, avg(pnl_pct) FILTER (NOT pnl > 0) AS avg_loss, sum(pnl) FILTER (pnl > 0) AS won, sum(pnl) FILTER (NOT pnl > 0) AS lost,
+  avg((exit_ms - entry_ms) / 1000) AS avg_duration_s, avg(pnl_pct) AS mean_pct, stddev_samp(pnl_pct) AS std_pct FROM closed GROUP BY symbol) SELECT symbol, trades, winners, round(total_usd, 4) AS total_usd, {r(f'total_usd / {CAPITAL}', 'return_pct')}, {r('winners / trades', 'win_rate')}, {r('avg_win', 'avg_win')}, {r('avg_loss', 'avg_loss')},
+  {r('won / abs(nullif(lost, 0))', 'profit_factor')}, round(avg_duration_s, 3) AS avg_duration_s, {r('CASE WHEN trades >= 2 THEN mean_pct / nullif(std_pct, 0) * sqrt(252) END', 'sharpe')} FROM g""")
+def anl5_performance(spark, sf):
+    df = p.performance(_trades(spark, sf), CAPITAL, ["symbol"])
+    return rounded(rounded(rounded(df, "return_pct", "win_rate", "avg_win", "avg_loss", "profit_factor", "sharpe"), "total_usd", places=4), "avg_duration_s", places=3)
+
+
+CURVE_SQL = f"{FOLD_SQL}, curve AS (SELECT account, 0 AS step, {CAPITAL}::DOUBLE AS equity FROM (SELECT DISTINCT account FROM closed) UNION ALL SELECT account, row_number() OVER (PARTITION BY account ORDER BY exit_ms, trade_id), {CAPITAL} + sum(pnl) OVER (PARTITION BY account ORDER BY exit_ms, trade_id ROWS UNBOUNDED PRECEDING) FROM closed)"
+
+
+@query("win19_anl7_equity", f"{CURVE_SQL} SELECT account, step, round(equity, 8) AS equity FROM curve")
+def win19_equity(spark, sf):
+    return rounded(p.equity_curve(_trades(spark, sf), CAPITAL), "equity", places=8)
+
+
+@query("win20_drawdown", f"{CURVE_SQL}, k AS (SELECT *, max(equity) OVER (PARTITION BY account ORDER BY step ROWS UNBOUNDED PRECEDING) AS peak FROM curve) SELECT account, {r('max(CASE WHEN peak > 0 THEN (peak - equity) / peak ELSE 0 END)', 'max_drawdown')} FROM k GROUP BY account")
+def win20_drawdown(spark, sf):
+    return rounded(p.max_drawdown(p.equity_curve(_trades(spark, sf), CAPITAL)), "max_drawdown")
+
+
+@query("win20_compounded", f"{FOLD_SQL}, c AS (SELECT account, row_number() OVER (PARTITION BY account ORDER BY exit_ms, trade_id) AS step, list(1 + pnl_pct) OVER (PARTITION BY account ORDER BY exit_ms, trade_id ROWS UNBOUNDED PRECEDING) AS fs FROM closed) SELECT account, step, round(log10(list_product(fs) + 1), 6) AS log_equity FROM c")
+def win20_compounded(spark, sf):
+    return rounded(p.compounded(_trades(spark, sf)).where("step > 0").select("account", "step", F.log10(F.col("equity") + 1).alias("log_equity")), "log_equity")
+
+
+@query("anl14_daily", f"{FOLD_SQL}, d AS (SELECT account, exit_ms // 86400000 AS day, sum(net) AS daily_usd, count(*) FILTER (net IS NULL) AS unknown FROM closed GROUP BY ALL) SELECT account, day, round(daily_usd, 8) AS daily_usd, unknown, round(sum(coalesce(daily_usd, 0)) OVER (PARTITION BY account ORDER BY day ROWS UNBOUNDED PRECEDING), 8) AS total_usd FROM d")
+def anl14_daily(spark, sf):
+    return rounded(p.daily_pnl(_trades(spark, sf)).withColumn("day", long(F.unix_date("day"))), "daily_usd", "total_usd", places=8)
+
+
+PRICED_SQL = f"{FOLD_SQL}, {m.candles_sql()}, last AS (SELECT symbol, arg_max(close, (ts_ms, exchange)) AS last_price FROM candles GROUP BY symbol), priced AS (SELECT *, CASE WHEN account % 2 = 0 THEN 'long' ELSE 'short' END AS side FROM positions JOIN last USING (symbol))"
+
+
+def _priced(spark, sf) -> DataFrame:
+    held = p.positions(_folded(spark, sf)).withColumn("side", F.when(F.col("account") % 2 == 0, "long").otherwise("short"))
+    return p.with_last_price(held, m.candles(spark, sf))
+
+
+@query("anl8_unrealised", f"{PRICED_SQL} SELECT account, symbol, side, {r('quantity * avg_entry', 'cost_basis')}, {r('''CASE side WHEN 'long' THEN 1 ELSE -1 END * (last_price - avg_entry) / nullif(avg_entry, 0)''', 'unrealised_pct')}, {r('''CASE side WHEN 'long' THEN 1 ELSE -1 END * (last_price - avg_entry) * quantity''', 'unrealised_usd')} FROM priced")
+def anl8_unrealised(spark, sf):
+    names = ["cost_basis", "unrealised_pct", "unrealised_usd"]
+    return rounded(p.unrealised(_priced(spark, sf)).select("account", "symbol", "side", *names), *names)
+
+
+@query("anl10_anl11_stops", f"{PRICED_SQL} SELECT symbol, count(*) AS breached, {r('sum(quantity)', 'quantity')} FROM priced WHERE CASE side WHEN 'long' THEN last_price <= avg_entry * 0.98 ELSE last_price >= avg_entry * 1.02 END GROUP BY symbol")
+def anl10_stops(spark, sf):
+    hit = _priced(spark, sf).where(p.stop_loss_breached(F.col("side"), F.col("avg_entry"), F.col("last_price")))
+    return rounded(hit.groupBy("symbol").agg(F.count("*").alias("breached"), F.sum("quantity").alias("quantity")), "quantity")
+
+
+@query("agg12_agg13_exposure", f"{FOLD_SQL} SELECT account, {r('sum(quantity * avg_entry) FILTER (avg_entry > 0)', 'exposure_usd')}, count(*) FILTER (avg_entry IS NULL) AS unknown_price, count(*) AS open_positions FROM positions GROUP BY account")
+def agg12_exposure(spark, sf):
+    return rounded(p.exposure(p.positions(_folded(spark, sf))), "exposure_usd")
+
+
+RISK_SQL = f"""{FOLD_SQL}, ev AS (SELECT account, exit_ms AS at_ms, 0 AS kind, coalesce(pnl, 0) * 5 AS pnl_usd, NULL::BIGINT AS signal_id FROM closed UNION ALL SELECT account, ts_ms, 1, 0, trade_id FROM trades),
+run AS (SELECT *, sum(pnl_usd) OVER (PARTITION BY account, at_ms // 86400000 ORDER BY at_ms, kind, signal_id NULLS FIRST ROWS UNBOUNDED PRECEDING) / {CAPITAL} AS daily, sum(pnl_usd) OVER (PARTITION BY account ORDER BY at_ms, kind, signal_id NULLS FIRST ROWS UNBOUNDED PRECEDING) / {CAPITAL} AS total FROM ev),
+halt AS (SELECT *, max(CASE WHEN kind = 0 AND (daily <= -0.05 OR total <= -0.15) THEN 1 ELSE 0 END) OVER (PARTITION BY account ORDER BY at_ms, kind, signal_id NULLS FIRST ROWS UNBOUNDED PRECEDING) = 1 AS halted FROM run),
+told AS (SELECT h.account, signal_id, t.side, CASE WHEN halted THEN 'system_halted' WHEN signal_id % 13 = 0 THEN 'signal_not_actionable' WHEN 0.7 + (signal_id % 10) * 0.03 < 0.8 THEN 'confidence_too_low' WHEN t.side <> 'sell' AND signal_id % 5 >= 3 THEN 'max_positions_reached' ELSE 'ok' END AS reason FROM halt h JOIN trades t ON t.trade_id = h.signal_id WHERE kind = 1)"""
+
+
+def _risk(spark, sf) -> DataFrame:
+    t = m.trades(spark, sf).withColumn("timestamp", F.timestamp_millis(F.unix_millis("timestamp")))
+    signals = t.select("account", "timestamp", F.col("trade_id").alias("signal_id"), F.col("side").alias("direction"), (0.7 + (F.col("trade_id") % 10) * 0.03).alias("confidence"), (F.col("trade_id") % 13 != 0).alias("actionable"), (F.col("trade_id") % 5).alias("open_positions"))
+    closes = _trades(spark, sf).select("account", F.timestamp_millis(F.unix_millis("exit_at")).alias("exit_at"), (F.col("pnl_usd") * 5).alias("pnl_usd"))
+    return p.risk_decisions(signals, closes, CAPITAL)
+
+
+@query("anl9_str11_risk", f"{RISK_SQL} SELECT account, signal_id, reason = 'ok' AS approved, reason, CASE WHEN reason = 'ok' THEN 0.05 END AS size_pct FROM told")
+def anl9_risk(spark, sf):
+    return _risk(spark, sf)
+
+
+WEIGHTS_SQL = f"{FOLD_SQL}, total AS (SELECT sum(quantity * avg_entry) AS t FROM positions), weights AS (SELECT symbol, sum(quantity * avg_entry) / (SELECT t FROM total) AS current FROM positions GROUP BY symbol), targets(symbol, target) AS (VALUES ('click', 0.5), ('view', 0.1), ('gold', 0.2))"
+
+
+@query("anl12_jn8_rebalance", f"{WEIGHTS_SQL}, j AS (SELECT coalesce(w.symbol, t.symbol) AS symbol, coalesce(current, 0) AS current, coalesce(target, 0) AS target FROM weights w FULL JOIN targets t ON w.symbol = t.symbol) SELECT symbol, {r('current', 'current')}, target, {r('abs(target - current)', 'delta_pct')}, CASE WHEN target > current THEN 'buy' ELSE 'sell' END AS side FROM j WHERE abs(target - current) >= 0.05")
+def anl12_rebalance(spark, sf):
+    held = p.positions(_folded(spark, sf)).withColumn("usd", F.col("quantity") * F.col("avg_entry"))
+    total = held.agg(F.sum("usd").alias("total"))
+    weights = held.crossJoin(F.broadcast(total)).select("symbol", (F.col("usd") / F.col("total")).alias("size_pct"))  # total is one row
+    targets = spark.sql("SELECT * FROM VALUES ('click', 0.5D), ('view', 0.1D), ('gold', 0.2D) AS t(symbol, target)")
+    return rounded(p.rebalance(weights, targets), "current", "delta_pct")
+
+
+@query("anl13_targets", f"{WEIGHTS_SQL} SELECT false AS empty, count(*) FILTER (NOT current * 2 BETWEEN 0 AND 1) AS outside, sum(current * 2) > 1 + 1e-9 AS too_much FROM weights")
+def anl13_targets(spark, sf):
+    held = p.positions(_folded(spark, sf)).withColumn("usd", F.col("quantity") * F.col("avg_entry"))
+    total = held.agg(F.sum("usd").alias("total"))
+    weights = held.crossJoin(F.broadcast(total)).groupBy("symbol").agg(F.sum(F.col("usd") / F.col("total") * 2).alias("target"))
+    return p.target_problems(weights)
+
+
+_STATES = list(p.TRANSITIONS)
+_PAIRS = ", ".join(f"('{a}', '{b}')" for a, bs in p.TRANSITIONS.items() for b in bs)
+
+
+@query("anl15_transitions", f"WITH o AS (SELECT l_orderkey AS order_id, l_linenumber AS seq, [{', '.join(repr(s) for s in _STATES)}][1 + least(l_linenumber - 1 + l_orderkey % 2, 5)] AS status FROM lineitem), b AS (SELECT *, lag(status) OVER (PARTITION BY order_id ORDER BY seq) AS from_status FROM o) SELECT order_id, seq, from_status, status FROM b WHERE from_status IS NOT NULL AND (from_status, status) NOT IN (VALUES {_PAIRS})")
+def anl15_transitions(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    at = F.least(F.col("l_linenumber") - 1 + F.col("l_orderkey") % 2, F.lit(5)).cast("int")
+    orders = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("seq"), F.get(F.array(*map(F.lit, _STATES)), at).alias("status"))
+    return p.illegal_transitions(orders)
+
+
+@query("anl16_collisions", f"WITH {m.TRADES_SQL} SELECT trade_id // 7 AS order_id, count(DISTINCT (symbol, exchange, side)) AS n FROM trades GROUP BY ALL HAVING count(DISTINCT (symbol, exchange, side)) > 1")
+def anl16_collisions(spark, sf):
+    return p.id_collisions(m.trades(spark, sf).withColumn("order_id", F.floor(F.col("trade_id") / 7)))
+
+
+@query("anl17_sizing", f"WITH {m.TRADES_SQL} SELECT trade_id, {r(f'CASE WHEN trade_id % 2 = 0 THEN amount ELSE {CAPITAL} * 0.05 / nullif(price, 0) END', 'order_qty')} FROM trades")
+def anl17_sizing(spark, sf):
+    orders = m.trades(spark, sf).select("trade_id", "price", F.when(F.col("trade_id") % 2 == 0, F.col("amount")).alias("quantity"), F.lit(0.05).alias("size_pct"))
+    return rounded(p.sized(orders, CAPITAL).select("trade_id", "order_qty"), "order_qty")
+
+
+@query("anl18_clamp", f"{FOLD_SQL}, s AS (SELECT account, symbol, trade_id, CASE WHEN trade_id % 3 > 0 THEN amount END AS requested FROM trades WHERE side = 'sell'), j AS (SELECT s.*, coalesce(quantity, 0) AS held FROM s LEFT JOIN positions USING (account, symbol)) SELECT trade_id, {r('least(coalesce(requested, held), held)', 'sell_qty')} FROM j WHERE least(coalesce(requested, held), held) > 0")
+def anl18_clamp(spark, sf):
+    sells = m.trades(spark, sf).where("side = 'sell'").select("account", "symbol", "trade_id", F.when(F.col("trade_id") % 3 > 0, F.col("amount")).alias("requested"))
+    return rounded(p.clamped_sells(sells, p.positions(_folded(spark, sf))).select("trade_id", "sell_qty"), "sell_qty")
+
+
+@query("anl19_current", f"WITH {m.TRADES_SQL}, l AS (SELECT account AS order_id, arg_max(symbol, (ts_ms, trade_id)) AS symbol, arg_max(amount, (ts_ms, trade_id)) AS quantity, arg_max(trade_id % 4 = 0, (ts_ms, trade_id)) AS closed, max(ts_ms) AS ts_ms FROM trades GROUP BY account) SELECT * FROM l WHERE NOT closed AND ts_ms > {m.NOW_MS - 7 * MS['1d']}")
+def anl19_current(spark, sf):
+    t = ts_ms(m.trades(spark, sf)).select(F.col("account").alias("order_id"), "symbol", F.col("amount").alias("quantity"), (F.col("trade_id") % 4 == 0).alias("closed"), "ts_ms", F.col("trade_id").alias("seq"))
+    return p.current_positions(t, m.NOW_MS)
+
+
+@query("agg14_order_status", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def agg14_status(spark, sf):
+    return spark.read.parquet(f"{sf}/orders.parquet").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("jn10_unknown_orders", "SELECT DISTINCT l_orderkey AS order_id FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
+def jn10_unknown(spark, sf):
+    known = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderstatus != 'P'").select(F.col("o_orderkey").alias("order_id"))
+    return spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("order_id")).distinct().join(known, "order_id", "left_anti")

@@ -13,10 +13,10 @@ from tideframe.sources import mappings as m
 
 S = "exchange, market_type, symbol"
 _T = f"WITH {m.TRADES_SQL}"
-_TOTALS = """count(*) AS trade_count, CAST(sum(amount) AS DOUBLE) AS total_volume, round(CAST(sum(CAST(price AS DECIMAL(18,8)) * CAST(amount AS DECIMAL(18,8))) AS DOUBLE), 6) AS total_cost,
+_TOTALS = """count(*) AS trade_count, CAST(sum(amount) AS DOUBLE) AS total_volume, round(CAST(sum(CAST(price AS DECIMAL(24,8)) * CAST(amount AS DECIMAL(10,0))) AS DOUBLE), 6) AS total_cost,
   coalesce(sum(amount) FILTER (side = 'buy'), 0) AS buy_volume, coalesce(sum(amount) FILTER (side = 'sell'), 0) AS sell_volume, arg_min(price, (ts_ms, trade_id)) AS open_price, max(price) AS high_price, min(price) AS low_price,
-  arg_max(price, (ts_ms, trade_id)) AS close_price, max(ts_ms) - min(ts_ms) AS duration_ms, round(sum(price * amount) / sum(amount), 6) AS vwap,
-  round((coalesce(sum(amount) FILTER (side = 'buy'), 0) - coalesce(sum(amount) FILTER (side = 'sell'), 0)) / sum(amount), 6) AS buy_sell_imbalance"""
+  arg_max(price, (ts_ms, trade_id)) AS close_price, max(ts_ms) - min(ts_ms) AS duration_ms, round(sum(price * amount) / sum(amount), 9) AS vwap,
+  round((coalesce(sum(amount) FILTER (side = 'buy'), 0) - coalesce(sum(amount) FILTER (side = 'sell'), 0)) / sum(amount), 9) AS buy_sell_imbalance"""
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -25,13 +25,13 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 @query("agg6_trade_series", f"{_T} SELECT {S}, {_TOTALS} FROM trades GROUP BY {S}")
 def agg6_series(spark, sf):
-    return rounded(_doubles(t.series_totals(m.trades(spark, sf), t.SERIES)), "vwap", "buy_sell_imbalance")
+    return rounded(_doubles(t.series_totals(m.trades(spark, sf), t.SERIES)), "vwap", "buy_sell_imbalance", places=9)
 
 
 @query("agg6_str4_trade_windows", f"{_T} SELECT {S}, ts_ms - ts_ms % {MS['4h']} AS window_start_ms, {_TOTALS} FROM trades GROUP BY {S}, ts_ms - ts_ms % {MS['4h']}")
 def agg6_windows(spark, sf):
     df = t.series_totals(m.trades(spark, sf), [*t.SERIES, F.window("timestamp", "4 hours").alias("w")])
-    return rounded(_doubles(df.withColumn("window_start_ms", F.unix_millis("w.start")).drop("w")), "vwap", "buy_sell_imbalance")
+    return rounded(_doubles(df.withColumn("window_start_ms", F.unix_millis("w.start")).drop("w")), "vwap", "buy_sell_imbalance", places=9)
 
 
 @query("win21_in_order", f"{_T}, x AS (SELECT *, (trade_id * 7919) % 10007 AS arrival FROM trades), y AS (SELECT *, max(ts_ms) OVER (PARTITION BY {S} ORDER BY arrival, trade_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM x) SELECT {S}, trade_id, ts_ms FROM y WHERE newest IS NULL OR ts_ms >= newest")
@@ -115,7 +115,7 @@ def prj14_side(spark, sf):
     return e.select("event_id", t.parsed_side(raw).alias("side"))
 
 
-@query("prj15_cost", f"{_T} SELECT trade_id, CAST(CAST(price AS DECIMAL(18,8)) * CAST(amount AS DECIMAL(18,8)) AS DOUBLE) AS cost, side = 'buy' AS is_buy, side = 'sell' AS is_sell, ts_ms FROM trades")
+@query("prj15_cost", f"{_T} SELECT trade_id, CAST(CAST(price AS DECIMAL(24,8)) * CAST(amount AS DECIMAL(10,0)) AS DOUBLE) AS cost, side = 'buy' AS is_buy, side = 'sell' AS is_sell, ts_ms FROM trades")
 def prj15_cost(spark, sf):
     cost = (F.col("price").cast("decimal(18,8)") * F.col("amount").cast("decimal(18,8)")).cast("double")
     return m.trades(spark, sf).select("trade_id", cost.alias("cost"), (F.col("side") == "buy").alias("is_buy"), (F.col("side") == "sell").alias("is_sell"), F.unix_millis("timestamp").alias("ts_ms"))
