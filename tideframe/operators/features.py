@@ -12,12 +12,15 @@ from tideframe.operators.resample import KEY
 
 ROLLING, LEAST = 20, 5
 FEATURES = ["log_return", "return_1", "volatility_20", "vwap", "high_low_spread", "volume_z", "price_range_pct", "body_pct", "is_suspect"]
-_SERIES = Window.partitionBy(*KEY).orderBy("timestamp")
+
+
+def _series():
+    return Window.partitionBy(*KEY).orderBy("timestamp")
 
 
 def rolling(value: Column, aggregate, rows: int = ROLLING, least: int = LEAST) -> Column:
     """An aggregate of the last rows, null unless so many of them have a value."""
-    frame = _SERIES.rowsBetween(1 - rows, 0)
+    frame = _series().rowsBetween(1 - rows, 0)
     return F.when(F.count(value).over(frame) >= least, aggregate(value).over(frame))
 
 
@@ -26,11 +29,11 @@ def _nonzero(c: str | Column) -> Column:
 
 
 def log_return() -> Column:
-    return F.ln(F.try_divide(_nonzero("close"), F.lag(_nonzero("close")).over(_SERIES)))
+    return F.ln(F.try_divide(_nonzero("close"), F.lag(_nonzero("close")).over(_series())))
 
 
 def return_1() -> Column:
-    return F.try_divide(F.col("close"), F.lag("close").over(_SERIES)) - 1
+    return F.try_divide(F.col("close"), F.lag("close").over(_series())) - 1
 
 
 def volatility() -> Column:

@@ -14,12 +14,15 @@ WEIGHTS = {"future_timestamps": 1.0, "ohlc_inconsistencies": 0.9, "temporal_gaps
 WEIGHT_DEFAULT, REJECT_BELOW, FLAG_BELOW, CRITICAL_SHARE = 0.3, 40.0, 99.0, 0.10
 GAP_FACTOR, GAP_CRITICAL, MAD_LIMIT, Z_LIMIT, Z_ROWS, Z_LEAST = 1.5, 0.05, 3.5, 4.0, 20, 10
 GAP_TIMEFRAMES = ("1m", "5m", "15m", "1h", "4h", "1d")
-_ORDER = Window.partitionBy(*KEY).orderBy("timestamp")
+
+
+def _order():
+    return Window.partitionBy(*KEY).orderBy("timestamp")
 
 
 def with_zscore(candles: DataFrame) -> DataFrame:
     """WIN14: distance of the close from its rolling mean in rolling deviations; 0 where that is not defined."""
-    frame = _ORDER.rowsBetween(1 - Z_ROWS, 0)
+    frame = _order().rowsBetween(1 - Z_ROWS, 0)
     enough = F.count("close").over(frame) >= Z_LEAST
     deviation = F.nullif(F.when(enough, F.stddev_samp("close").over(frame)), F.lit(0.0))
     z = F.abs(F.try_divide(F.col("close") - F.when(enough, F.avg("close").over(frame)), deviation))
@@ -36,9 +39,9 @@ def with_mad(candles: DataFrame) -> DataFrame:
 
     Frames hold 101 rows at most, so arrays stay small; the deviation is around the current row's median.
     """
-    df = candles.withColumn("_n", F.count("close").over(Window.partitionBy(*KEY))).withColumn("_i", F.row_number().over(_ORDER))
+    df = candles.withColumn("_n", F.count("close").over(Window.partitionBy(*KEY))).withColumn("_i", F.row_number().over(_order()))
     half = F.floor(F.least(F.lit(100), F.greatest(F.lit(10), F.floor(F.col("_n") / 5))) / 2)
-    near = F.collect_list(F.struct("_i", "close")).over(_ORDER.rowsBetween(-50, 50))
+    near = F.collect_list(F.struct("_i", "close")).over(_order().rowsBetween(-50, 50))
     df = df.withColumn("_half", half).withColumn("_near", near)
     values = F.transform(F.filter("_near", lambda x: (F.abs(x["_i"] - F.col("_i")) <= F.col("_half")) & x["close"].isNotNull()), lambda x: x["close"])
     df = df.withColumn("_values", values).withColumn("_median", _median(F.col("_values")))
@@ -51,7 +54,7 @@ def checks(candles: DataFrame, now_ms: int) -> DataFrame:
     """DQ1-DQ7: the counts behind every check, one row for each series, in one pass over scored rows."""
     ms = F.unix_millis("timestamp")
     step = F.when(F.col("timeframe").isin(*GAP_TIMEFRAMES), ms_of(F.col("timeframe")))
-    df = with_mad(with_zscore(candles)).withColumn("_delta", ms - F.lag(ms).over(_ORDER)).withColumn("_step", step)
+    df = with_mad(with_zscore(candles)).withColumn("_delta", ms - F.lag(ms).over(_order())).withColumn("_step", step)
     gap = F.col("_delta") > F.col("_step") * GAP_FACTOR
     h, lo, c, o = (F.col(x) for x in ("high", "low", "close", "open"))
     rows = F.count("*")

@@ -1 +1,94 @@
-"""Queries."""
+"""Streaming queries over landed files that Spark derives from the given tables; most have their batch twin as SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tideframe.functions.timeframes import MS
+from tideframe.operators import features
+from tideframe.operators.resample import KEY
+from tideframe.plans.core import K
+from tideframe.plans.register import long, query, rounded, ts_ms
+from tideframe.plans.tables import trade_messages
+from tideframe.sources import landed
+from tideframe.sources import mappings as m
+from tideframe.sources.snapshots import Lake, new_folder
+from tideframe.streaming import jobs
+
+_GOOD = "trade_id % 29 <> 0 AND trade_id % 19 <> 0 AND trade_id % 17 <> 0 AND trade_id % 23 <> 0"
+_T = f"WITH {m.TRADES_SQL}"
+
+
+def _trades(spark, sf) -> tuple[DataFrame, str]:
+    folder = new_folder(spark)
+    trade_messages(spark, sf).repartitionByRange(4, F.coalesce(F.get_json_object("value", "$.timestamp_ms").try_cast("bigint"), F.lit(0))).sortWithinPartitions(F.get_json_object("value", "$.timestamp_ms").try_cast("bigint")).write.text(f"{folder}/landed")
+    return jobs.trade_rows(jobs.source(spark, f"{folder}/landed")), folder
+
+
+@query("str5_window_candles", f"{_T}, good AS (SELECT * FROM trades WHERE {_GOOD}), last AS (SELECT max(ts_ms) AS newest FROM good), {m.candles_sql(MS['1d'], '1d', source='good')} SELECT c.* FROM candles c, last WHERE ts_ms + {MS['1d']} <= newest - {MS['1d']}")
+def str5_candles(spark, sf):
+    stream, folder = _trades(spark, sf)
+    done = ts_ms(jobs.drain(jobs.window_candles(stream, "1d", "1 day", "1 day"), folder))
+    newest = ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!=")).agg(F.max("ts_ms").alias("newest"))
+    return done.crossJoin(newest).where(F.col("ts_ms") + MS["1d"] <= F.col("newest") - MS["1d"]).drop("newest")  # newest is one row
+
+
+@query("ded7_str_once", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms FROM trades WHERE {_GOOD}")
+def ded7_once(spark, sf):
+    folder = new_folder(spark)
+    sent = trade_messages(spark, sf)
+    sent.union(sent).write.text(f"{folder}/landed")
+    stream = jobs.once(jobs.trade_rows(jobs.source(spark, f"{folder}/landed")), "400 days")
+    return jobs.drain(stream, folder).select("exchange", "symbol", "trade_id", "timestamp_ms")
+
+
+@query("str8_monotonic", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms, price FROM trades WHERE {_GOOD}")
+def str8_monotonic(spark, sf):
+    stream, folder = _trades(spark, sf)
+    return jobs.drain(jobs.monotonic(stream), folder)
+
+
+@query("str9_silence", f"{_T}, y AS (SELECT exchange, symbol, lag(ts_ms) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms) + 1 AS from_ms, ts_ms AS to_ms FROM trades WHERE {_GOOD}) SELECT * FROM y WHERE to_ms - from_ms + 1 > 7200000")
+def str9_silence(spark, sf):
+    stream, folder = _trades(spark, sf)
+    return jobs.drain(jobs.silence_gaps(stream, 7_200_000), folder)
+
+
+@query("str1_bronze", f"{m.BASE_SQL} SELECT {K}, ts_ms, open, high, low, close, volume FROM candles")
+def str1_bronze(spark, sf):
+    folder = new_folder(spark)
+    good = landed.candle_messages(m.candles(spark, sf), "r1").select("value")
+    good.union(good.limit(1)).union(good.select(F.lit("{broken").alias("value")).distinct()).coalesce(2).write.text(f"{folder}/landed")
+    lake = Lake(spark, folder)
+    jobs.drain_batches(jobs.source(spark, f"{folder}/landed"), jobs.land_candles(lake, "bronze", f"{folder}/dead"), folder)
+    return ts_ms(lake.candles("bronze")).select(*KEY, "ts_ms", "open", "high", "low", "close", "volume")
+
+
+@query("str6_features", f"{m.BASE_SQL} SELECT {K}, ts_ms, round(close / nullif(lag(close) OVER (PARTITION BY {K} ORDER BY ts_ms), 0) - 1, 6) AS return_1 FROM candles QUALIFY ts_ms >= {m.NOW_MS - 5 * MS['1d']}")
+def str6_features(spark, sf):
+    folder = new_folder(spark)
+    lake, c = Lake(spark, folder), m.candles(spark, sf)
+    edge = m.NOW_MS - 5 * MS["1d"]
+    lake.commit(c.where(F.unix_millis("timestamp") < edge), "silver", 0, 0)
+    jobs.features_of_new(lake, "silver", features.gold_features, f"{folder}/out")(c.where(F.unix_millis("timestamp") >= edge), 1)
+    return rounded(ts_ms(spark.read.parquet(f"{folder}/out")).select(*KEY, "ts_ms", "return_1"), "return_1")
+
+
+@query("str10_book", None)
+def str10_book(spark, sf):
+    folder = new_folder(spark)
+    i = F.col("trade_id")
+    t = m.trades(spark, sf).select("exchange", "symbol", i.alias("seq"), F.when(i % 500 < 2, "snapshot").otherwise("delta").alias("kind"), F.when(F.col("side") == "buy", "bid").otherwise("ask").alias("side"), F.floor(F.col("price") / 10).cast("double").alias("price"), F.when(i % 6 == 0, 0.0).otherwise(F.col("amount")).alias("qty"))
+    t.repartitionByRange(3, "seq").write.json(f"{folder}/landed")
+    stream = spark.readStream.schema(t.schema).json(f"{folder}/landed")
+    return jobs.drain(jobs.book_stream(stream), folder)
+
+
+@query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_GOOD} GROUP BY exchange")
+def str12_fan_out(spark, sf):
+    stream, folder = _trades(spark, sf)
+    sink = lambda name, keep: lambda batch, n: batch.where(keep).write.mode("overwrite").parquet(f"{folder}/{name}/batch={n}")
+    jobs.drain_batches(stream, jobs.fan_out(sink("every", "true"), sink("buys", "side = 'buy'")), folder)
+    every = spark.read.parquet(f"{folder}/every").groupBy("exchange").agg(F.count("*").alias("kept"))
+    return every.join(spark.read.parquet(f"{folder}/buys").groupBy("exchange").agg(F.count("*").alias("buys")), "exchange").select("exchange", long("kept").alias("kept"), "buys")
