@@ -15,8 +15,10 @@ Candidates. BANDS bands of ROWS registers: a pair at the threshold meets in none
 below 4e-5. A bucket's members are paired with one pivot, not with each other; verified pairs are
 contracted into components, then a second pivot is tried where a bucket still has several. One
 minus the similarity is a metric, so members near the pivot cannot be linked with those beyond its
-ring (similarity below 2 * threshold - 1). What remains of different components is paired where it
-meets in two open buckets, which a pair at the threshold misses with a probability below 5e-4.
+ring (similarity below 2 * threshold - 1). What remains of different components and has two open
+buckets is compared pair by pair, in blocks: signatures first, which drop a pair at the threshold
+with a probability below 1e-4, then exactly. Pairs never become rows; each group of blocks gives a
+spanning forest of the links that it has found.
 
 Verification is exact: the overlap of both multisets of shingle occurrences over their union.
 
@@ -40,6 +42,8 @@ from tideframe.llm.components import connected
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
+#: Rows of a block of a large bucket, and how far below the threshold an estimate may lie.
+BLOCK, ESTIMATE_SPREADS = 512, 4.0
 _REGISTERS = BANDS * ROWS
 _REMEMBER = 500_000
 _U = np.uint64
@@ -127,6 +131,11 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def register_marks(registers: np.ndarray) -> np.ndarray:
+    """Sixteen bits of each register, by which signatures are compared."""
+    return (_mix(np.ascontiguousarray(registers).view(_U)) >> _U(48)).astype(np.uint16)
+
+
 def occurrences(shingles: np.ndarray) -> np.ndarray:
     """A multiset of shingles as a sorted set: the i-th occurrence of a shingle is an element of its own."""
     ordered = np.sort(shingles)
@@ -163,7 +172,7 @@ def with_class(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
 
 
 def class_bands(docs: DataFrame, text: str) -> DataFrame:
-    """class, bands: one row for each class and task, of texts that have words."""
+    """class, bands, marks: one row for each class and task, of texts that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, done = Shingler(), set()
@@ -174,11 +183,13 @@ def class_bands(docs: DataFrame, text: str) -> DataFrame:
                     done.add(d)
                     fresh_texts[d] = words
             if fresh_texts:
-                keys = band_keys(signatures(*shingler.shingles(list(fresh_texts.values()))))
+                registers = signatures(*shingler.shingles(list(fresh_texts.values())))
+                keys = band_keys(registers)
+                marks = [x.tobytes() for x in register_marks(registers)]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(fresh_texts, pa.binary()), lists], names=["class", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(fresh_texts, pa.binary()), lists, pa.array(marks, pa.binary())], names=["class", "bands", "marks"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, bands array<long>")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, bands array<long>, marks binary")
 
 
 def class_texts(docs: DataFrame, text: str) -> DataFrame:
@@ -231,8 +242,8 @@ def _ordered(x: str, y: str) -> list:
 
 def linked_classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """class, component: for each class that is linked with another, the smallest class that it is connected with."""
-    bands = stored(class_bands(docs, text).groupBy("class").agg(F.any_value("bands").alias("bands")))
-    rows = bands.select("class", F.explode("bands").alias("key"))
+    bands = stored(class_bands(docs, text).groupBy("class").agg(F.any_value("bands").alias("bands"), F.any_value("marks").alias("marks")))
+    rows = bands.select("class", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     rows = stored(rows.join(shared, "key"))
     involved = rows.select("class").distinct()
@@ -258,23 +269,67 @@ def linked_classes(docs: DataFrame, text: str = "text", threshold: float = THRES
     told = near.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "similarity").union(near.select("b", "a", "similarity"))
     placed = rows.join(pivots(rows, 0), "key").join(told, ["class", "pivot"], "left")
     placed = placed.withColumn("similarity", F.when(F.col("class") == F.col("pivot"), 1.0).otherwise(F.coalesce("similarity", F.lit(0.0))))
-    placed = stored(in_components(placed.select("key", "class", "similarity"), components))
+    placed = stored(in_components(placed.select("band", "key", "class", "similarity"), components))
     ringed = placed.groupBy("key").agg(F.count_if((F.col("similarity") < threshold) & (F.col("similarity") >= ring)).alias("in_ring"))
-    active = placed.join(ringed, "key").where((F.col("similarity") < threshold) | (F.col("in_ring") > 0)).select("key", "class", "component")
+    active = placed.join(ringed, "key").where((F.col("similarity") < threshold) | (F.col("in_ring") > 0)).select("band", "key", "class", "component")
     open_ = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
     active = active.join(open_, "key")
-    # what is left must meet in two of its open buckets
-    keys = active.groupBy("class", "component").agg(F.array_sort(F.collect_set("key")).alias("keys")).where(F.size("keys") > 1)
-    pairs_of = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))))
-    both = stored(keys.select("class", "component", F.explode(pairs_of).alias("key")))
-    open_ = both.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-    both = both.join(open_, "key")
-    right = both.select("key", F.col("class").alias("class2"), F.col("component").alias("component2"))
-    pairs = both.join(right, "key").where("component < component2").select(*_ordered("class", "class2")).distinct()
-    rest = stored(verified(pairs, shingles, threshold)).select("a", "b")
+    # what is left must have two open buckets; each pair of different components is then compared where it first meets
+    several = active.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
+    active = stored(active.join(several, "class"))
+    sizes = active.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = active.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("class", "band"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("group", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    dealt = dealt.join(bands.select("class", "marks"), "class").join(shingles, "class")
+    rest = stored(linked_in_blocks(dealt, threshold))
     return components if rest.isEmpty() else connected(edges.union(rest)).withColumnRenamed("node", "class")
 
 
+def linked_in_blocks(dealt: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different components inside groups of at most two blocks; a spanning forest of them.
+
+    dealt: group, band, own, other (blocks), class, component, marks, shingles. Signatures are compared
+    first; a pair that is ESTIMATE_SPREADS deviations below the threshold there is left out.
+    """
+    least = threshold - ESTIMATE_SPREADS * (threshold * (1 - threshold) / _REGISTERS) ** 0.5
+
+    def compare(group: pa.Table) -> pa.Table:
+        columns = {c: group.column(c).to_pylist() for c in ("class", "component", "shingles")}
+        n, band = group.num_rows, group.column("band")[0].as_py()
+        own, other = (group.column(c).to_numpy() for c in ("own", "other"))
+        marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint16).reshape(n, _REGISTERS)
+        sets = [np.frombuffer(x, _U) for x in columns["shingles"]]
+        tree, names = list(range(n)), {}
+        for i, c in enumerate(columns["component"]):
+            tree[i] = names.setdefault(c, i)  # members of one component are connected already
+
+        def find(i: int) -> int:
+            while tree[i] != i:
+                tree[i] = tree[tree[i]]
+                i = tree[i]
+            return i
+
+        found = []
+        for start in range(0, n, 32):
+            rows = np.arange(start, min(start + 32, n))
+            equal = marks[rows, None, :] == marks[None, start:, :]
+            good = equal.mean(axis=2) >= least
+            good &= (own[rows, None] != own[None, start:]) | (own[rows, None] == other[rows, None])
+            x, y = np.nonzero(good)
+            later = y + start > x + start
+            x, y = x[later], y[later]
+            meets = equal[x, y].reshape(len(x), BANDS, ROWS).all(axis=2)
+            first = meets.argmax(axis=1) == band if len(x) else np.zeros(0, bool)
+            for i, j in zip((x[first] + start).tolist(), (y[first] + start).tolist(), strict=True):
+                if find(i) != find(j) and similarity(sets[i], sets[j]) >= threshold:
+                    tree[find(i)] = find(j)
+                    found.append((columns["class"][i], columns["class"][j]))
+        return pa.table([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], names=["a", "b"])
+
+    return dealt.select("group", "band", "own", "other", "class", "component", "marks", "shingles").groupBy("group").applyInArrow(compare, "a binary, b binary")
+
+
 def pivots(members: DataFrame, turn: int) -> DataFrame:
     """key, pivot: one member of each bucket, the same in every bucket that holds it first in the turn's order."""
     return members.groupBy("key").agg(F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("pivot"))
