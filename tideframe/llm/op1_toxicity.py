@@ -59,7 +59,8 @@ def units(text: str) -> list[bytes]:
     """The words of a text, and what its spelled-out runs say."""
     found = text.encode("utf-8", "replace").split()
     if _SPELLED.search(text):
-        found += ["".join(m.group().split()).encode("utf-8", "replace") for m in _SPELLED.finditer(text)]
+        runs = ["".join(m.group().split()) for m in _SPELLED.finditer(text)]  # its first or last letter may be a word of its own
+        found += [x.encode("utf-8", "replace") for run in runs for x in (run, run[1:], run[:-1])]
     return found
 
 
