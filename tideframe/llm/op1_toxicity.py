@@ -27,6 +27,7 @@ labelled rows of both kinds every score is 0. Repeated rows are scored as often
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tideframe.llm.char_codes import symbols
 from tideframe.llm.common import byte_values, fresh, held_out, learnable, stored, with_arrow_columns
 
-SAMPLE, SAMPLE_CHARS = 3000, 20_000
+SAMPLE, SAMPLE_CHARS = 2000, 20_000
 DECAY, MAX_SPAN, POWER = 0.7, 6, 3
 LANDMARKS, COMMON_LANDMARKS = 160, 32
 ROUNDS, RIDGE = 3, 1e-5
@@ -120,14 +121,15 @@ class Landmarks:
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights (the last is the bias) of the squared-hinge SVM, by Newton steps on the active rows."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(x.shape[1])
     penalty[-1, -1] = 1e-9
     for _ in range(30):
         active = y * (x @ w) < 1
-        a = x[active] * cost[active, None]
-        new = np.linalg.solve(penalty + a.T @ x[active], a.T @ y[active])
+        some = x[active].astype(np.float64)
+        weighted = some * cost[active, None]
+        new = np.linalg.solve(penalty + weighted.T @ some, weighted.T @ y[active])
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -169,11 +171,20 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
     if not len(y) or y.min() == y.max():
         return None
     index: dict[bytes, int] = {}
-    bags = [[np.array([index.setdefault(u, len(index)) for u in units(s)]) for s in _SENTENCE.split(t)] for t in texts]
-    bags = [[s for s in b if len(s)] for b in bags]
-    words = list(index)
-    whole = [np.unique(np.concatenate(b)) if b else np.zeros(0, np.int64) for b in bags]
-    df = [np.bincount(np.concatenate([w for w, t in zip(whole, y, strict=True) if t == k] + [np.zeros(0, np.int64)]).astype(np.int64), minlength=len(words)) for k in (0, 1)]
+    flat, starts, owners = array("i"), array("i"), array("i")  # all units in a row, each sentence's start, and its document
+    for d, t in enumerate(texts):
+        for sentence in _SENTENCE.split(t):
+            if found := units(sentence):
+                starts.append(len(flat))
+                owners.append(d)
+                flat.extend(index.setdefault(u, len(index)) for u in found)
+    words, unit, starts, owners = list(index), np.array(flat), np.array(starts), np.array(owners)
+    del index, flat
+    lengths = np.diff(np.append(starts, len(unit)))
+    pairs = np.unique(np.repeat(owners, lengths).astype(np.int64) * max(len(words), 1) + unit)  # each document's distinct units
+    doc, held = np.divmod(pairs, max(len(words), 1))
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    df = [np.bincount(held[y[doc] == k], minlength=len(words)) for k in (0, 1)]
     n = [int((y == k).sum()) for k in (0, 1)]
     share = n[1] / len(y) if share is None else share
     g = (df[1] + 1.0) / (df[1] + df[0] * n[1] / n[0] + 2.5)  # the share of toxic documents among those with a unit, shrunk
@@ -182,22 +193,38 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
     common = np.argsort(-df[0], kind="stable")[:COMMON_LANDMARKS]
     landmarks = Landmarks([words[i] for i in dict.fromkeys([*top[rank[top] > 0].tolist(), *common.tolist()])])
 
-    kernel = landmarks.kernel(words)
-    positive = Counter(int(u) for w, t in zip(whole, y, strict=True) if t == 1 and len(w) for u in {*w[g[w] > FIRST_SHARE].tolist(), w[g[w].argmax()]})
-    disguised = [(v, n_docs * GAPPED_SHARE / len(vs)) for u, n_docs in positive.items() if 0.5 < g[u] and 4 <= len(words[u]) <= 24 for vs in [gapped(words[u])] for v in vs]
-    extra = landmarks.kernel([v for v, _ in disguised]) @ landmarks.whiten
+    def best_of(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Where each run's first highest value is."""
+        if not len(begin):
+            return begin
+        size = np.diff(np.append(begin, len(values)))
+        at = np.flatnonzero(values == np.repeat(np.maximum.reduceat(values, begin), size))
+        return at[np.unique(np.repeat(np.arange(len(begin)), size)[at], return_index=True)[1]]
+
+    def mapped(rows) -> np.ndarray:
+        return landmarks.kernel([words[i] for i in rows]) @ landmarks.whiten.astype(np.float32)
+
+    toxic_pairs = y[doc] == 1
+    chosen = (g[held] > FIRST_SHARE) & toxic_pairs
+    best = best_of(g[held], first)
+    chosen[best[y[doc[best]] == 1]] = True
+    positive, times = np.unique(held[chosen], return_counts=True)
+    disguised = [(v, c * GAPPED_SHARE / len(vs)) for u, c in zip(positive.tolist(), times.tolist(), strict=True) if g[u] > 0.5 and 4 <= len(words[u]) <= 24 for vs in [gapped(words[u])] for v in vs]
+    x = np.concatenate([mapped(positive), landmarks.kernel([v for v, _ in disguised]) @ landmarks.whiten.astype(np.float32)])
+    clean = y[owners] == 0
     negative: Counter = Counter()
     for _ in range(ROUNDS):
-        negative |= Counter(int(s[g[s].argmax()]) for b, t in zip(bags, y, strict=True) if t == 0 for s in b)
-        weight = [np.array([*positive.values(), *(c for _, c in disguised)], float), np.array(list(negative.values()), float)]
+        worst = unit[best_of(g[unit], starts)][clean]
+        negative |= Counter(worst.tolist())
+        weight = [np.array([*times, *(c for _, c in disguised)], float), np.array(list(negative.values()), float)]
         cost = np.concatenate([c / max(c.sum(), 1.0) for c in weight])
         label = np.repeat([1.0, -1.0], [len(weight[0]), len(weight[1])])
-        x = [kernel[list(positive)] @ landmarks.whiten, extra, kernel[list(negative)] @ landmarks.whiten]
-        w = linear_svm(np.concatenate(x), label, cost)
+        w = linear_svm(np.concatenate([x, mapped(negative)]), label, cost)
         weights = landmarks.whiten @ w[:-1]
-        g = kernel @ weights
-    best = np.array([g[w].max() if len(w) else 0.0 for w in whole])
-    slope, offset = _logistic(best, y.astype(float), np.where(y == 1, share / n[1], (1 - share) / n[0]) * len(y))
+        g = np.concatenate([landmarks.kernel(words[i : i + 10_000]) @ weights for i in range(0, len(words), 10_000)] or [np.zeros(0)])
+    highest = np.zeros(len(y))
+    highest[doc[first]] = np.maximum.reduceat(g[held], first) if len(first) else 0.0
+    slope, offset = _logistic(highest, y.astype(float), np.where(y == 1, share / n[1], (1 - share) / n[0]) * len(y))
     return Model(landmarks, weights, slope, offset)
 
 
