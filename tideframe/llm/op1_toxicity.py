@@ -29,6 +29,8 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
+from functools import lru_cache
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,9 @@ from tideframe.llm.common import byte_values, fresh, held_out, learnable, stored
 
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
 DECAY, MAX_SPAN, POWER = 0.7, 6, 3
-LANDMARKS, COMMON_LANDMARKS = 160, 32
+LANDMARKS = 160
+#: Matches below are taken as none; most words then cost one look-up for each subsequence.
+FLOOR = 0.5
 ROUNDS, RIDGE = 3, 1e-5
 #: What the disguised forms of a toxic unit weigh together, as a share of the unit's own weight.
 GAPPED_SHARE = 0.3
@@ -97,16 +101,28 @@ class Landmarks:
             norm += np.bincount(owner, minlength=len(words)) * weight**2
             np.add.at(features, (self.at[key], owner), weight)
         self.by_key = features / np.sqrt(np.maximum(norm, 1e-12)).astype(np.float32)
+        self.highest = np.zeros(_TABLE, np.float32)
+        self.highest[self.keys] = self.by_key.max(axis=1, initial=0.0)
         values, vectors = np.linalg.eigh(self.kernel(words).astype(np.float64))
         strong = values > 1e-6 * max(values.max(), 1e-12)
         self.whiten = vectors[:, strong] / np.sqrt(values[strong])
 
+    def bound(self, words: list[bytes]) -> np.ndarray:
+        """For each word, what its normalised match with any landmark cannot exceed; one look-up for each subsequence."""
+        total, norm = np.zeros(len(words)), np.zeros(len(words))
+        for owner, key, weight in _subsequences(words):
+            total += np.bincount(owner, self.highest[key], len(words)) * weight
+            norm += np.bincount(owner, minlength=len(words)) * weight**2
+        return total / np.sqrt(np.maximum(norm, 1e-12))
+
     def kernel(self, words: list[bytes]) -> np.ndarray:
-        """Words by landmarks; 0 where a word has no subsequence."""
+        """Words by landmarks; 0 where a word's match cannot reach FLOOR with any of them."""
         out = np.zeros((len(words), self.by_key.shape[1]), np.float32)
-        for start in range(0, len(words), 2000):
-            part = words[start : start + 2000]
-            norm = np.zeros(len(part), np.float32)
+        near = np.flatnonzero(self.bound(words) >= FLOOR) if words else np.zeros(0, np.int64)
+        for start in range(0, len(near), 2000):
+            rows = near[start : start + 2000]
+            part = [words[i] for i in rows]
+            sums, norm = np.zeros((len(part), out.shape[1]), np.float32), np.zeros(len(part), np.float32)
             for owner, key, weight in _subsequences(part):
                 norm += np.bincount(owner, minlength=len(part)).astype(np.float32) * np.float32(weight**2)
                 place = self.at[key]
@@ -114,9 +130,9 @@ class Landmarks:
                 owner, place = owner[known], place[known]
                 if len(owner):  # owners come in order
                     first = np.flatnonzero(np.diff(owner, prepend=-1))
-                    out[start + owner[first]] += np.add.reduceat(self.by_key[place], first, axis=0) * np.float32(weight)
-            out[start : start + len(part)] /= np.sqrt(np.maximum(norm, 1e-12))[:, None]
-        return out**POWER
+                    sums[owner[first]] += np.add.reduceat(self.by_key[place], first, axis=0) * np.float32(weight)
+            out[rows] = (sums / np.sqrt(np.maximum(norm, 1e-12))[:, None]) ** POWER
+        return out
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
@@ -159,7 +175,7 @@ class Model:
     """What scoring needs: the landmarks with their weights, and the logistic of a document's highest decision."""
 
     def __init__(self, landmarks: Landmarks, weights: np.ndarray, slope: float, offset: float):
-        self.landmarks, self.weights, self.slope, self.offset = landmarks, weights.astype(np.float32), slope, offset
+        self.landmarks, self.weights, self.slope, self.offset, self.name = landmarks, weights.astype(np.float32), slope, offset, uuid4().hex
 
     def decision(self, words: list[bytes]) -> np.ndarray:
         return self.landmarks.kernel(words) @ self.weights
@@ -190,8 +206,7 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
     g = (df[1] + 1.0) / (df[1] + df[0] * n[1] / n[0] + 2.5)  # the share of toxic documents among those with a unit, shrunk
     rank = np.where(g > FIRST_SHARE, df[1], 0)
     top = np.argsort(-rank, kind="stable")[:LANDMARKS]
-    common = np.argsort(-df[0], kind="stable")[:COMMON_LANDMARKS]
-    landmarks = Landmarks([words[i] for i in dict.fromkeys([*top[rank[top] > 0].tolist(), *common.tolist()])])
+    landmarks = Landmarks([words[i] for i in top[rank[top] > 0]] or words[:1])
 
     def best_of(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Where each run's first highest value is."""
@@ -244,13 +259,20 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     return fit([r[0] for r in rows], [r[1] for r in rows], share)
 
 
+@lru_cache(maxsize=1)
+def _known(model: str) -> dict[bytes, float]:
+    """What a Python worker remembers of a model's decisions, for all its tasks."""
+    return {}
+
+
 def scored(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[DataFrame, str]:
     """docs with a score from 0 to 1; and its name."""
     name = fresh(docs, "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model, known = shared.value, {}
+        model = shared.value
+        known = _known(model.name) if model else {}
 
         def compute(column):
             texts = column.to_pylist()
