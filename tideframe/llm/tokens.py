@@ -15,7 +15,7 @@ from functools import lru_cache
 import public_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
-_REMEMBER, _AT_ONCE = 800_000, 2048
+_REMEMBER, _AT_ONCE = 1_200_000, 2048
 
 
 def tokenizer(vocabulary: str = VOCABULARY):
@@ -46,7 +46,7 @@ class ChunkIds:
     def texts(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its chunks."""
         known = self.known
-        new = list({c for chunks in texts for c in chunks if c not in known})
+        new = list(set().union(*texts).difference(known))
         known.update(zip(new, self.encode(new), strict=True))
         out = [b"".join(map(known.__getitem__, chunks)) for chunks in texts]
         for chunk in new[max(0, _REMEMBER - len(known) + len(new)) :]:
