@@ -77,6 +77,40 @@ def test_toxicity_learns_and_tolerates(spark):
     assert min(score[1], score[2], score[3], score[4]) > 0.5 > max(score[5], score[6], score[7])
 
 
+def test_toxicity_of_gapped_forms(spark):
+    """Heavily gapped forms still match, and the insults of held-out documents are found behind foreign letters."""
+    assert op1_toxicity.Landmarks([b"idiot"]).kernel([b"ixdxixoxt"])[0, 0] > 0
+    insults = ["trash", "pathetic", "worthless", "disgusting", "loser", "idiot", "scum", "moron", "clown", "stupid"]
+    syllables = ["the", "on", "er", "ing", "ti", "re", "ou", "nd", "at", "ha", "ly", "es"]
+    rng = np.random.default_rng(3)
+    clean = [" ".join("".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(40)) for _ in range(400)]
+    toxic = [f"{clean[rng.integers(400)][:120]} such a {insults[i % 10]} here" for i in range(100)]
+    model = op1_toxicity.fit(clean + toxic, [0] * 400 + [1] * 100)
+    cut = -model.offset / model.slope
+    one = [f"{w[:i]}z{w[i:]}".encode() for w in insults for i in range(1, len(w))]
+    two = [f"{w[:i]}z{w[i:j]}k{w[j:]}".encode() for w in insults for i in range(1, len(w)) for j in range(i + 1, len(w))]
+    assert (model.decision(one) >= cut).mean() >= 0.75 and (model.decision(two) >= cut).mean() >= 0.4
+    assert (model.decision([w.encode() for t in clean for w in t.split()]) >= cut).mean() < 0.01
+
+
+def test_toxicity_scores_as_each_document_alone(spark, monkeypatch):
+    clean = [f"the weather number {i} is fine. we walk home and read a book" for i in range(60)]
+    model = op1_toxicity.fit(clean + [f"you are a moron person number {i}" for i in range(30)], [0] * 60 + [1] * 30)
+    docs = awkward(spark).union(spark.createDataFrame([(50 + i, t, "en", "s", 1) for i, t in enumerate(["such a moron", "such a m o r o n", *clean[:9]])], DOCS))
+
+    def alone(text):
+        found = op1_toxicity.units(text or "")
+        best = model.decision(found).max() if found else 0.0
+        return 1 / (1 + math.exp(-min(max(model.slope * best + model.offset, -30), 30)))
+
+    want = sorted((str(r["doc_id"]), alone(r["text"])) for r in docs.collect())
+    for head in (0, 5, 100_000):
+        monkeypatch.setattr(op1_toxicity, "HEAD", head)
+        out, name = op1_toxicity.scored(docs, model)
+        got = sorted((str(r["doc_id"]), r[name]) for r in out.collect())
+        assert [i for i, _ in got] == [i for i, _ in want] and [x for _, x in got] == pytest.approx([x for _, x in want], abs=1e-6)
+
+
 def test_toxicity_query(spark, tmp_path):
     rows = {r["doc_id"]: r for r in op1_toxicity.op1_toxicity(spark, SF).collect()}
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for i, r in rows.items())

@@ -6,15 +6,17 @@ covers, up to MAX_SPAN letters; so gaps and inserted characters weaken a match i
 A unit's feature vector is divided by the root of its summed squared weights, and the product of
 two is raised to POWER, so that chance matches fade.
 
-Machine. Landmarks are units of the training sentences; the Nystrom map whitens the kernel to the
+Machine. Landmarks are the units of the training sentences that tell most, by the likelihood ratio
+of their documents' labels, for toxic and for clean documents; the Nystrom map whitens the kernel to the
 landmarks, and a linear SVM with squared hinge loss is trained on it. Labels belong to documents,
 so training is multi-instance: of a toxic document the units that lean to toxic documents are
 positive, and one at least; of each sentence of a clean document the most toxic unit is
-negative, chosen anew after each fit. Toxic units are also shown with an inserted letter. The landmarks
+negative, chosen anew after each fit. Toxic units are also shown with one, two and all gaps filled. The landmarks
 and their weights, which are broadcast, have a fixed size.
 
 A document scores by its most toxic unit, through a logistic fitted on the training documents with
-the labelled rows' share of toxic ones. Words are scored once for each task and remembered.
+the labelled rows' share of toxic ones. Spark finds the distinct units of all texts and each is scored
+once; the most frequent, HEAD at most, are broadcast with their decisions, and the others are joined.
 
 Training takes at most SAMPLE labelled rows of each label, in the order of a hash, among those of
 at most SAMPLE_CHARS characters; everything else covers all rows and whole texts.
@@ -29,31 +31,32 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
-from functools import lru_cache
-from uuid import uuid4
+from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from tideframe.llm.char_codes import symbols
-from tideframe.llm.common import byte_values, fresh, held_out, learnable, stored, with_arrow_columns
+from tideframe.llm.common import byte_values, fresh, held_out, learnable, sliced, stored
 
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
-DECAY, MAX_SPAN, POWER = 0.7, 6, 3
-LANDMARKS = 160
-#: Matches below are taken as none; most words then cost one look-up for each subsequence.
-FLOOR = 0.5
+DECAY, MAX_SPAN, POWER = 0.7, 6, 2
+#: Landmarks that tell for toxic, and for clean documents.
+LANDMARKS, CLEAN_LANDMARKS = 160, 96
 ROUNDS, RIDGE = 3, 1e-5
 #: What the disguised forms of a toxic unit weigh together, as a share of the unit's own weight.
-GAPPED_SHARE = 0.3
+GAPPED_SHARE = 3.0
 #: Share of toxic documents among those with a unit, shrunk, from which it counts as toxic before the first fit.
 FIRST_SHARE = 0.8
 _TABLE = 1 << 18
 #: The symbol that opens every unit.
 _START = 63
-_REMEMBER = 300_000
+#: Units that are broadcast at most, and the bytes that one has at most; a task holds _FOLD_AT distinct ones before it hands them on.
+HEAD, HEAD_BYTES, _FOLD_AT = 131_072, 64, 150_000
 #: Three or more single characters with single spaces between them.
 _SPELLED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -100,52 +103,51 @@ class Landmarks:
         for owner, key, weight in _subsequences(words):
             norm += np.bincount(owner, minlength=len(words)) * weight**2
             np.add.at(features, (self.at[key], owner), weight)
-        self.by_key = features / np.sqrt(np.maximum(norm, 1e-12)).astype(np.float32)
-        self.highest = np.zeros(_TABLE, np.float32)
-        self.highest[self.keys] = self.by_key.max(axis=1, initial=0.0)
+        features /= np.sqrt(np.maximum(norm, 1e-12)).astype(np.float32)
+        row, self.landmark = np.nonzero(features)  # a key is in few landmarks; its entries lie from its start to the next one's
+        self.start, self.value, self.n = np.searchsorted(row, np.arange(len(self.keys) + 1)), features[row, self.landmark], len(words)
         values, vectors = np.linalg.eigh(self.kernel(words).astype(np.float64))
         strong = values > 1e-6 * max(values.max(), 1e-12)
         self.whiten = vectors[:, strong] / np.sqrt(values[strong])
 
-    def bound(self, words: list[bytes]) -> np.ndarray:
-        """For each word, what its normalised match with any landmark cannot exceed; one look-up for each subsequence."""
-        total, norm = np.zeros(len(words)), np.zeros(len(words))
-        for owner, key, weight in _subsequences(words):
-            total += np.bincount(owner, self.highest[key], len(words)) * weight
-            norm += np.bincount(owner, minlength=len(words)) * weight**2
-        return total / np.sqrt(np.maximum(norm, 1e-12))
-
     def kernel(self, words: list[bytes]) -> np.ndarray:
-        """Words by landmarks; 0 where a word's match cannot reach FLOOR with any of them."""
-        out = np.zeros((len(words), self.by_key.shape[1]), np.float32)
-        near = np.flatnonzero(self.bound(words) >= FLOOR) if words else np.zeros(0, np.int64)
-        for start in range(0, len(near), 2000):
-            rows = near[start : start + 2000]
-            part = [words[i] for i in rows]
-            sums, norm = np.zeros((len(part), out.shape[1]), np.float32), np.zeros(len(part), np.float32)
+        """Words by landmarks."""
+        out = np.zeros((len(words), self.n), np.float32)
+        for first in range(0, len(words), 500):
+            part = words[first : first + 500]
+            sums, norm = np.zeros(len(part) * self.n), np.zeros(len(part))
             for owner, key, weight in _subsequences(part):
-                norm += np.bincount(owner, minlength=len(part)).astype(np.float32) * np.float32(weight**2)
-                place = self.at[key]
-                known = place >= 0
-                owner, place = owner[known], place[known]
-                if len(owner):  # owners come in order
-                    first = np.flatnonzero(np.diff(owner, prepend=-1))
-                    sums[owner[first]] += np.add.reduceat(self.by_key[place], first, axis=0) * np.float32(weight)
-            out[rows] = (sums / np.sqrt(np.maximum(norm, 1e-12))[:, None]) ** POWER
+                norm += np.bincount(owner, minlength=len(part)) * weight**2
+                known = self.at[key] >= 0
+                owners, places = owner[known], self.at[key[known]]
+                for begin in range(0, len(owners), 20_000):  # long words a piece at a time
+                    owner, place = owners[begin : begin + 20_000], places[begin : begin + 20_000]
+                    times = self.start[place + 1] - self.start[place]
+                    entry = np.repeat(self.start[place] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                    sums += np.bincount(np.repeat(owner, times) * self.n + self.landmark[entry], self.value[entry] * weight, len(sums))
+            out[first : first + 500] = (sums.reshape(len(part), self.n) / np.sqrt(np.maximum(norm, 1e-12))[:, None]) ** POWER
         return out
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
-    """Weights (the last is the bias) of the squared-hinge SVM, by Newton steps on the active rows."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    w = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(x.shape[1])
+def linear_svm(parts: list[np.ndarray], y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+    """Weights (the last is the bias) of the squared-hinge SVM over the rows of all parts, by Newton steps on the active rows, a block at a time."""
+    starts = np.cumsum([0, *(len(x) for x in parts)])
+    blocks = [(k, i, starts[k] + i) for k, x in enumerate(parts) for i in range(0, len(x), 5000)]
+    w = np.zeros(parts[0].shape[1] + 1)
+    penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-9
     for _ in range(30):
-        active = y * (x @ w) < 1
-        some = x[active].astype(np.float64)
-        weighted = some * cost[active, None]
-        new = np.linalg.solve(penalty + weighted.T @ some, weighted.T @ y[active])
+        squares, sums = penalty.copy(), np.zeros(len(w))
+        for k, i, at in blocks:
+            some = parts[k][i : i + 5000].astype(np.float64)
+            some = np.hstack([some, np.ones((len(some), 1))])
+            labels, costs = y[at : at + len(some)], cost[at : at + len(some)]
+            active = labels * (some @ w) < 1
+            some = some[active]
+            weighted = some * costs[active, None]
+            squares += weighted.T @ some
+            sums += weighted.T @ labels[active]
+        new = np.linalg.solve(squares, sums)
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -165,20 +167,38 @@ def _logistic(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[float, fl
     return float(a), float(b)
 
 
-def gapped(unit: bytes) -> list[bytes]:
-    """A unit with one foreign letter inserted at each inner place, as an insult is disguised."""
+def gapped(unit: bytes) -> list[list[bytes]]:
+    """A unit with foreign letters, as an insult is disguised: in each inner place, in each two, and in all of them."""
     text = unit.decode("utf-8", "replace")
-    return [(text[:i] + ("x" if text[i] != "x" else "q") + text[i:]).encode("utf-8") for i in range(1, len(text))]
+    places = range(1, len(text))
+
+    def filled(at: tuple[int, ...]) -> bytes:
+        return "".join((chr(97 + (7 * i + 11 * len(at) + 3 * at[0]) % 26) if i in at else "") + c for i, c in enumerate(text)).encode("utf-8")
+
+    return [[filled((i,)) for i in places], [filled(two) for two in combinations(places, 2)], [filled(tuple(places))]]
+
+
+def telling(df: list[np.ndarray], n: list[int]) -> list[int]:
+    """The units that tell most for toxic, and for clean documents: the likelihood ratio of their labels' document frequencies."""
+
+    def part(count, expected):
+        return np.where(count > 0, count * np.log(np.maximum(count, 1) / np.maximum(expected, 1e-12)), 0.0)
+
+    both = (df[0] + df[1]) / (n[0] + n[1])
+    ratio = sum(part(df[k], n[k] * both) + part(n[k] - df[k], n[k] * (1 - both)) for k in (0, 1))
+    sides = [np.where(df[k] * n[1 - k] > df[1 - k] * n[k], ratio, -1.0) for k in (0, 1)]
+    return sorted({int(i) for k, most in ((1, LANDMARKS), (0, CLEAN_LANDMARKS)) for i in np.argsort(-sides[k], kind="stable")[:most] if sides[k][i] > 0})
 
 
 class Model:
     """What scoring needs: the landmarks with their weights, and the logistic of a document's highest decision."""
 
     def __init__(self, landmarks: Landmarks, weights: np.ndarray, slope: float, offset: float):
-        self.landmarks, self.weights, self.slope, self.offset, self.name = landmarks, weights.astype(np.float32), slope, offset, uuid4().hex
+        self.landmarks, self.weights, self.slope, self.offset = landmarks, weights.astype(np.float32), slope, offset
 
     def decision(self, words: list[bytes]) -> np.ndarray:
-        return self.landmarks.kernel(words) @ self.weights
+        """How toxic each word is; a bounded number at a time."""
+        return np.concatenate([np.zeros(0), *(self.landmarks.kernel(words[i : i + 10_000]) @ self.weights for i in range(0, len(words), 10_000))])
 
 
 def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model | None:
@@ -204,9 +224,7 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
     n = [int((y == k).sum()) for k in (0, 1)]
     share = n[1] / len(y) if share is None else share
     g = (df[1] + 1.0) / (df[1] + df[0] * n[1] / n[0] + 2.5)  # the share of toxic documents among those with a unit, shrunk
-    rank = np.where(g > FIRST_SHARE, df[1], 0)
-    top = np.argsort(-rank, kind="stable")[:LANDMARKS]
-    landmarks = Landmarks([words[i] for i in top[rank[top] > 0]] or words[:1])
+    landmarks = Landmarks([words[i] for i in telling(df, n)] or words[:1])
 
     def best_of(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Where each run's first highest value is."""
@@ -216,16 +234,22 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
         at = np.flatnonzero(values == np.repeat(np.maximum.reduceat(values, begin), size))
         return at[np.unique(np.repeat(np.arange(len(begin)), size)[at], return_index=True)[1]]
 
-    def mapped(rows) -> np.ndarray:
-        return landmarks.kernel([words[i] for i in rows]) @ landmarks.whiten.astype(np.float32)
+    whiten = landmarks.whiten.astype(np.float32)
+
+    def mapped(some: list[bytes]) -> np.ndarray:
+        out = np.zeros((len(some), whiten.shape[1]), np.float32)
+        for i in range(0, len(some), 5000):
+            out[i : i + 5000] = landmarks.kernel(some[i : i + 5000]) @ whiten
+        return out
 
     toxic_pairs = y[doc] == 1
     chosen = (g[held] > FIRST_SHARE) & toxic_pairs
     best = best_of(g[held], first)
     chosen[best[y[doc[best]] == 1]] = True
     positive, times = np.unique(held[chosen], return_counts=True)
-    disguised = [(v, c * GAPPED_SHARE / len(vs)) for u, c in zip(positive.tolist(), times.tolist(), strict=True) if g[u] > 0.5 and 4 <= len(words[u]) <= 24 for vs in [gapped(words[u])] for v in vs]
-    x = np.concatenate([mapped(positive), landmarks.kernel([v for v, _ in disguised]) @ landmarks.whiten.astype(np.float32)])
+    shown = [(c, gapped(words[u])) for u, c in zip(positive.tolist(), times.tolist(), strict=True) if g[u] > 0.5 and 4 <= len(words[u]) <= 16]
+    disguised = [(v, c * GAPPED_SHARE / len(levels) / len(vs)) for c, levels in shown for vs in levels for v in vs]
+    x = [mapped([words[i] for i in positive]), mapped([v for v, _ in disguised])]
     clean = y[owners] == 0
     negative: Counter = Counter()
     for _ in range(ROUNDS):
@@ -234,7 +258,7 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
         weight = [np.array([*times, *(c for _, c in disguised)], float), np.array(list(negative.values()), float)]
         cost = np.concatenate([c / max(c.sum(), 1.0) for c in weight])
         label = np.repeat([1.0, -1.0], [len(weight[0]), len(weight[1])])
-        w = linear_svm(np.concatenate([x, mapped(negative)]), label, cost)
+        w = linear_svm([*x, mapped([words[i] for i in negative])], label, cost)
         weights = landmarks.whiten @ w[:-1]
         g = np.concatenate([landmarks.kernel(words[i : i + 10_000]) @ weights for i in range(0, len(words), 10_000)] or [np.zeros(0)])
     highest = np.zeros(len(y))
@@ -259,42 +283,81 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     return fit([r[0] for r in rows], [r[1] for r in rows], share)
 
 
-@lru_cache(maxsize=1)
-def _known(model: str) -> dict[bytes, float]:
-    """What a Python worker remembers of a model's decisions, for all its tasks."""
-    return {}
+def _units_of(column: pa.Array) -> Iterator[list[bytes]]:
+    for text, raw in zip(column.to_pylist(), byte_values(column), strict=True):
+        yield units(text) if text and _SPELLED.search(text) else (raw or b"").split()
 
 
-def scored(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[DataFrame, str]:
-    """docs with a score from 0 to 1; and its name."""
-    name = fresh(docs, "score")
+def decided(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """unit, n, decision of the distinct units of all texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make():
-        model = shared.value
-        known = _known(model.name) if model else {}
-
-        def compute(column):
-            texts = column.to_pylist()
-            if model is None:
-                return [[0.0] * len(texts)]
-            found = [raw.split() if raw else [] for raw in byte_values(column)]
-            for i, t in enumerate(texts):
-                if t and _SPELLED.search(t):
-                    found[i] = units(t)
-            new = list({u for us in found for u in us if u not in known})
-            extra = dict(zip(new, model.decision(new).tolist(), strict=True)) if new else {}
-            if len(known) < _REMEMBER:
-                known.update(extra)
-                look = known.__getitem__
-            else:
-                look = (known | extra).__getitem__
-            best = np.array([max(map(look, us)) if us else 0.0 for us in found])
-            return [(1 / (1 + np.exp(-np.clip(model.slope * best + model.offset, -30, 30)))).tolist()]
-
-        return compute
-
-    return with_arrow_columns(docs, [text], [pa.field(name, pa.float64())], make), name
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], names=["unit", "n"])
+            held.clear()
+            return made
+
+        for batch in sliced(batches, 0):
+            for us in _units_of(batch.column(0)):
+                held.update(us)
+            if len(held) > _FOLD_AT:
+                yield out()
+        yield out()
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 0, 1 << 20):
+            made = shared.value.decision(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=["unit", "n", "decision"])
+
+    distinct = docs.select(F.col(text).alias("text")).mapInArrow(found, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    return distinct.mapInArrow(decide, "unit binary, n long, decision double")
+
+
+def head_units(decisions: DataFrame) -> DataFrame:
+    """unit, decision of the short units above the smallest frequency that HEAD of them reach at most, by a histogram of a few hundred steps."""
+    short = decisions.where(F.length("unit") <= HEAD_BYTES).withColumn("step", F.floor(F.log2("n") * 8).cast("int"))
+    least, above = 0, 0
+    for step, n in sorted(short.groupBy("step").count().collect(), reverse=True):
+        above += n
+        if above > HEAD:
+            least = step + 1
+            break
+    return short.where(F.col("step") >= least).select("unit", "decision")
+
+
+def scored(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[DataFrame, str]:
+    """docs without its text and with a score from 0 to 1; and the score's name. The texts are read twice and never shuffled."""
+    name = fresh(docs, "score")
+    others = [c for c in docs.columns if c != text]
+    if model is None:
+        return docs.select(*others, F.lit(0.0).alias(name)), name
+    decisions = stored(decided(docs, model, text))
+    head = head_units(decisions).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(dict(zip(head.column(0).to_pylist(), head.column(1).to_pylist(), strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in sliced(batches, 0):
+            parents, rest, heads = [], [], []
+            for i, us in enumerate(_units_of(batch.column(0))):
+                us = set(us)
+                unknown = [u for u in us if u not in known] or [b" %d" % (i % 4096)]  # nothing to join: a key that no unit has, spread over the partitions
+                best = max((known[u] for u in us if u in known), default=float("-inf") if us else 0.0)
+                parents.extend([i] * len(unknown))
+                rest.extend(unknown)
+                heads.extend([best] * len(unknown))
+            rows = np.array(parents, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(rows), batch.column(2).take(rows), pa.array(rest, pa.binary()), pa.array(heads, pa.float64())], names=["row", "own", "unit", "head"])
+
+    rows = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"), F.struct(*others).alias("own"))
+    parts = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["own"], StructField("unit", BinaryType()), StructField("head", DoubleType())]))
+    joined = parts.join(decisions.select("unit", "decision"), "unit", "left")
+    best = joined.groupBy("row", "own").agg(F.max(F.greatest("head", "decision")).alias("best"))
+    z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("best") * model.slope + model.offset))
+    return best.select(*(F.col("own")[c].alias(c) for c in others), (1 / (1 + F.exp(-z))).alias(name)), name
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
