@@ -164,6 +164,27 @@ def test_kneser_ney_by_definition():
     assert sum(p(int((context << 6 & ((1 << 24) - 1)) | s), 4) for s in range(64)) == pytest.approx(1)
 
 
+def test_quality_keeps_case():
+    codes, _ = char_codes.cased_symbols([b"tion"] * 5 + [b"Tion"])
+    model = op2_quality.KneserNey(*np.unique(char_codes.packed_ngrams(codes, 4), return_counts=True))
+    lower, capitals = model.surprise([b"tion", b"TION"])
+    assert capitals > 2 * lower
+
+
+def test_quality_bands_reject_junk(spark):
+    """Texts in capitals are rejected, and documents that the base rules reject do not widen the band."""
+    rng = np.random.default_rng(4)
+    syllables = ["the", "on", "er", "ing", "ti", "re", "ou", "nd", "at", "ha", "ly", "es"]
+    prose = [["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(80)] for _ in range(300)]
+    rows = [(i, " ".join(w).capitalize(), "en", "s", 1) for i, w in enumerate(prose)]
+    rows += [(1000 + i, " ".join(x.upper() for x in prose[i]), "en", "s", 1) for i in range(8)]
+    rows += [(3000 + i, " ".join(["QZX@%"] * (i % 3) + prose[i][:2]), "en", "s", 1) for i in range(200)]  # too short for the base rules
+    out, names = op2_quality.quality_rules(spark.createDataFrame(rows, DOCS))
+    kept = {r["doc_id"]: r[names["kept"]] for r in out.collect()}
+    found = [sum(v for i, v in kept.items() if low <= i < low + 1000) for low in (0, 1000, 3000)]
+    assert found[0] >= 270 and found[1:] == [0, 0], found
+
+
 def test_quality_edges(spark):
     out, names = op2_quality.quality_rules(clashing(awkward(spark)))
     assert out.count() == 10 and names["kept"] == "kept_" and {r["kept"] for r in out.collect()} == {"own kept"}

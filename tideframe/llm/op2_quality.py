@@ -4,7 +4,8 @@ The language model counts, with Spark, every character n-gram inside every word
 document. From those counts a modified Kneser-Ney model is built: sorted arrays of packed
 n-grams with their interpolated probabilities, and sorted arrays of contexts with their back-off
 mass. Its size is bounded by the alphabet, not by the corpus: at most 64**4 n-grams.
-A document's log-perplexity is compared with an upper and a lower limit of its language.
+A capital counts as a shift and its letter. A document's log-perplexity is compared with an upper
+and a lower limit of its language, which come from the documents that the base rules keep.
 
 Nulls: a null text has no words, so it fails the base rules; a null language is a language of
 its own; ids are never looked at, so repeated rows and null ids are kept apart as they are.
@@ -18,17 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm.char_codes import SYMBOLS, packed_ngrams, symbols
+from tideframe.llm.char_codes import SYMBOLS, cased_symbols, packed_ngrams
 from tideframe.llm.common import byte_values, fresh, sliced, stored, with_arrow_columns
 
 ORDER = 4
 MIN_WORDS = 20
 WINDOW = 8
 #: Half width of a band: SPREADS robust deviations of a text of that many words, and a margin.
-SPREADS, MARGIN = 6.0, 0.02
+SPREADS, MARGIN = 2.5, 0.02
 _WHITE = (" ", "\t", "\n", "\v", "\f", "\r")
 _SYMBOLS = "#*$%&|<>"
 #: Distinct words held by a task before they are folded into n-gram counts, or remembered with their score.
@@ -47,7 +48,7 @@ def ngram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
         def fold() -> None:
             nonlocal keys, counts
-            codes, lengths = symbols(list(words))
+            codes, lengths = cased_symbols(list(words))
             weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
             keys, where = np.unique(np.concatenate([keys, packed_ngrams(codes, ORDER)]), return_inverse=True)
             counts = np.bincount(where, np.concatenate([counts, weight]), len(keys)).astype(np.int64)
@@ -121,7 +122,7 @@ class KneserNey:
 
     def surprise(self, words: list[bytes]) -> np.ndarray:
         """Minus the log probability of each word, its end included."""
-        codes, lengths = symbols(words)
+        codes, lengths = cased_symbols(words)
         nll = -np.log(np.maximum(self._probability(packed_ngrams(codes, ORDER), ORDER), 1e-12))
         return np.add.reduceat(nll, np.concatenate([[0], np.cumsum(lengths)[:-1]])) if len(words) else nll
 
@@ -167,7 +168,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 
 def measured(docs: DataFrame, model: KneserNey, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """docs with the base counts and the log-perplexity of a symbol (null where there is no word); and the new columns' names."""
+    """docs with the base counts and the log-perplexity of a character or word end (null where there is no word); and the new columns' names."""
     names = {c: fresh(docs, c) for c in (*MEASURES, "log_ppl")}
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -195,7 +196,7 @@ def measured(docs: DataFrame, model: KneserNey, text: str = "text") -> tuple[Dat
 
 
 def bands(scores: DataFrame, lang: str, n_words: str, log_ppl: str) -> DataFrame:
-    """band_lang, centre and spread of every language, over all its documents.
+    """band_lang, centre and spread of every language, over the given documents.
 
     A mean over n words varies as 1 / sqrt(n), so the spread is that of the distance from the
     language's median times sqrt(n), taken robustly from the quartiles.
@@ -208,15 +209,20 @@ def bands(scores: DataFrame, lang: str, n_words: str, log_ppl: str) -> DataFrame
     return cuts.select("band_lang", "centre", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("spread"))
 
 
+def base_failed_by(names: dict[str, str]) -> Column:
+    words, repeats = F.col(names["n_words"]), F.col(names["n_repeat_words"])
+    return (words < MIN_WORDS) | (100 * repeats > 30 * words)
+
+
 def judged(scored: DataFrame, limits: DataFrame, names: dict[str, str], lang: str = "lang") -> DataFrame:
     """scored with base_failed and kept. Languages join null-safely; a document without words is rejected by the base rules."""
     base_failed, kept = fresh(scored, "base_failed"), fresh(scored, "kept")
     b = {c: fresh(scored, c) for c in ("band_lang", "centre", "spread")}
-    words, repeats, ppl = F.col(names["n_words"]), F.col(names["n_repeat_words"]), F.col(names["log_ppl"])
+    words, ppl = F.col(names["n_words"]), F.col(names["log_ppl"])
     joined = scored.join(limits.withColumnsRenamed(b), F.col(lang).eqNullSafe(F.col(b["band_lang"])), "left")
     half_width = F.lit(SPREADS) * F.col(b["spread"]) / F.sqrt(F.greatest(words, F.lit(1)).cast("double")) + F.lit(MARGIN)
     inside = F.coalesce(F.abs(ppl - F.col(b["centre"])) <= half_width, F.lit(False))
-    failed = (words < MIN_WORDS) | (100 * repeats > 30 * words)
+    failed = base_failed_by(names)
     return joined.withColumns({base_failed: failed, kept: ~failed & inside}).drop(*b.values())
 
 
@@ -229,7 +235,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang") -> tu
     slim, names = measured(docs.select(text, lang), model, text)
     slim = stored(slim.drop(text))
     scored, final = measured(docs, model, text)
-    out = judged(scored, bands(slim, lang, names["n_words"], names["log_ppl"]), final, lang)
+    out = judged(scored, bands(slim.where(~base_failed_by(names)), lang, names["n_words"], names["log_ppl"]), final, lang)
     return out, final | {"base_failed": out.columns[-2], "kept": out.columns[-1]}
 
 
@@ -237,4 +243,4 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     scored, names = measured(docs, build_model(ngram_counts(docs)))
     scored = stored(scored.drop("text"))
-    return judged(scored, bands(scored, "lang", names["n_words"], names["log_ppl"]), names).drop("lang")
+    return judged(scored, bands(scored.where(~base_failed_by(names)), "lang", names["n_words"], names["log_ppl"]), names).drop("lang")
