@@ -135,40 +135,83 @@ def test_quality_counts(spark):
         assert r["base_failed"] == (len(w) < 20 or 100 * len(repeated) > 30 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
-def test_kneser_ney_by_definition():
-    sample = [b"abra", b"cadabra", b"abba", b"bar", b"abra"]
-    codes, _ = char_codes.symbols(sample)
-    keys, counts = np.unique(char_codes.packed_ngrams(codes, 4), return_counts=True)
-    model = op2_quality.KneserNey(keys, counts)
-    grams = [dict(zip(map(int, keys), map(int, counts), strict=True))]
-    for n in (3, 2, 1):
-        grams.insert(0, dict(Counter(k & ((1 << 6 * n) - 1) for k in grams[0])))
-    discounts = [op2_quality._discounts(np.array(list(g.values()))) for g in grams]
-
-    def p(key, n):
-        if n == 0:
-            return 1 / 64
-        table, d = grams[n - 1], discounts[n - 1]
-        same_context = [c for k, c in table.items() if k >> 6 == key >> 6]
-        below = p(key & ((1 << 6 * (n - 1)) - 1), n - 1)
-        if not same_context:
-            return below
-        c = table.get(key, 0)
-        return (c - d[min(c, 3)]) / sum(same_context) + sum(d[min(x, 3)] for x in same_context) / sum(same_context) * below
-
-    for word in (b"abra", b"dab", b"zebra"):
-        codes, _ = char_codes.symbols([word])
-        want = -sum(math.log(p(int(k), 4)) for k in char_codes.packed_ngrams(codes, 4))
-        assert model.surprise([word])[0] == pytest.approx(want)
-    context = char_codes.packed_ngrams(char_codes.symbols([b"abr"])[0], 4)[2]
-    assert sum(p(int((context << 6 & ((1 << 24) - 1)) | s), 4) for s in range(64)) == pytest.approx(1)
-
-
-def test_quality_keeps_case():
-    codes, _ = char_codes.cased_symbols([b"tion"] * 5 + [b"Tion"])
-    model = op2_quality.KneserNey(*np.unique(char_codes.packed_ngrams(codes, 4), return_counts=True))
-    lower, capitals = model.surprise([b"tion", b"TION"])
-    assert capitals > 2 * lower
+def plain(text):
+    return "".join(f"{w} " for w in words(text))
+
+
+def kneser_ney_by_definition(texts):
+    """{n-gram: p} of one language, from plain dictionaries."""
+    order = op2_quality.ORDER
+    grams = [Counter()]
+    for t in texts:
+        padded = "\0" * (order - 1) + plain(t)
+        grams[0].update(padded[i : i + order] for i in range(len(padded) - order + 1))
+    for _ in range(order - 1):
+        grams.insert(0, Counter(g[1:] for g in grams[0]))
+
+    def discount(table, c):
+        n1, n2, n3, n4 = (sum(x == k for x in table.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        k, low, high = [(1, n1, n2), (2, n2, n3), (3, n3, n4)][min(c, 3) - 1]
+        return min(max(k - (k + 1) * y * high / low, 0.1), k - 0.1) if low and n1 else k / 2
+
+    below = None
+    for table in grams:
+        total, mass = Counter(), Counter()
+        for g, c in table.items():
+            total[g[:-1]] += c
+            mass[g[:-1]] += discount(table, c)
+        low = below or {"": 1 / (len(table) + 1)}
+        below = {g: (c - discount(table, c) + mass[g[:-1]] * low[g[1:] if len(g) > 1 else ""]) / total[g[:-1]] for g, c in table.items()}
+    return below
+
+
+def test_kneser_ney_by_definition(spark, monkeypatch):
+    sample = [(1, "abra cadabra\n abba", "en"), (2, "bar  abra", "en"), (3, "漢字 かな ab", None), (4, "Abra", "de"), (5, "abra cadabra abba bar " * 5, "en"), (6, None, "en"), (7, " \t", "en")]
+    docs = spark.createDataFrame(sample, "doc_id long, text string, lang string")
+    want = {lang: kneser_ney_by_definition([t for _, t, x in sample if x == lang]) for lang in ("en", "de", None)}
+    got = {(r["language"], r["ngram"]): r["p"] for r in op2_quality.kneser_ney(op2_quality.ngram_counts(docs)).collect()}
+    assert got == {("" if lang is None else f"={lang}", g): pytest.approx(p) for lang, table in want.items() for g, p in table.items()}
+
+    def surprise(text, lang):
+        s = "\0" * (op2_quality.ORDER - 1) + plain(text)
+        each = [-math.log(want[lang][s[i : i + op2_quality.ORDER]]) for i in range(len(plain(text)))]
+        return sum(each) / len(words(text)) if each else None
+
+    for head in (0, 20, 1 << 20):  # all, some and none of the n-grams are joined
+        monkeypatch.setattr(op2_quality, "HEAD", head)
+        scored, names = op2_quality.measured(docs)
+        assert {r["doc_id"]: r[names["log_ppl"]] for r in scored.collect()} == {i: pytest.approx(surprise(t, x)) for i, t, x in sample}
+    monkeypatch.setattr(op2_quality, "_BITS", 3)  # more characters than have numbers
+    many = {(r["language"], r["ngram"]): r["n"] for r in op2_quality.ngram_counts(docs).collect()}
+    monkeypatch.undo()
+    assert many == {(r["language"], r["ngram"]): r["n"] for r in op2_quality.ngram_counts(docs).collect()}
+
+
+def test_quality_sees_the_order_of_words(spark):
+    rng = np.random.default_rng(8)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(12)]
+    lines = [" ".join(vocabulary[(k + j) % 12] for j in range(30)) for k in range(60)]
+    shuffled = " ".join(rng.permutation(lines[0].split()))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*lines, shuffled])], "doc_id long, text string, lang string")
+    scored, names = op2_quality.measured(docs)
+    ppl = {r["doc_id"]: r[names["log_ppl"]] for r in scored.collect()}
+    assert ppl[60] > 1.2 * max(ppl[i] for i in range(60))
+
+
+def test_quality_verdicts_by_definition(spark):
+    """kept is the band of the documents that the base rules keep, by quantiles of plain numbers."""
+    rows = op2_quality.op2_quality_rules(spark, SF).collect()
+    lang = {r["doc_id"]: r["lang"] for r in table(spark, "documents").collect()}
+    known = [r for r in rows if not r["base_failed"]]
+    for x in set(lang.values()):
+        own = [r for r in known if lang[r["doc_id"]] == x]
+        centre = sorted(r["log_ppl"] for r in own)[math.ceil(len(own) * 0.5) - 1]
+        z = sorted((r["log_ppl"] - centre) * math.sqrt(r["n_words"]) for r in own)
+        spread = (z[math.ceil(len(z) * 0.75) - 1] - z[math.ceil(len(z) * 0.25) - 1]) / 1.349
+        for r in own:
+            assert r["kept"] == (abs(r["log_ppl"] - centre) <= op2_quality.SPREADS * spread / math.sqrt(r["n_words"]) + op2_quality.MARGIN)
+    assert not any(r["kept"] for r in rows if r["base_failed"])
 
 
 def test_quality_bands_reject_junk(spark):
@@ -189,6 +232,7 @@ def test_quality_edges(spark):
     out, names = op2_quality.quality_rules(clashing(awkward(spark)))
     assert out.count() == 10 and names["kept"] == "kept_" and {r["kept"] for r in out.collect()} == {"own kept"}
     assert op2_quality.quality_rules(awkward(spark).limit(0))[0].count() == 0
+    assert op2_quality.kept_documents(clashing(awkward(spark))).columns == clashing(awkward(spark)).columns
 
 
 # ---- 3 near-duplicates --------------------------------------------------------------------------
@@ -392,13 +436,15 @@ def test_language_by_definition(spark):
     for k, label in enumerate(model.labels):
         c = counts[label] + op7_language.SMOOTHING
         assert np.allclose(model.matrix[:, k], np.log(c / c.sum()), atol=1e-5)
-    out, name, score = op7_language.predict(clashing(docs), model)
+    out, names = op7_language.predict(clashing(docs), model)
+    name, score = names["lang_pred"], names["score"]
     assert {r["doc_id"]: r[name] for r in out.collect()} == {1: "x", 2: "y", 3: "und", 4: "y"}  # what was never seen goes to the label with fewer n-grams
 
 
 def test_language_edges(spark):
     df = awkward(spark)
-    out, name, score = op7_language.predict(df, op7_language.train(df.limit(0)))
+    out, names = op7_language.predict(df, op7_language.train(df.limit(0)))
+    name, score = names["lang_pred"], names["score"]
     assert {r[name] for r in out.collect()} == {"und"}
     got = {r["doc_id"]: r for r in op7_language.predict(df, op7_language.train(df))[0].collect()}
     assert [got[i]["lang_pred"] for i in (1, 2, 3, 8)] == ["und"] * 4 and all(0 <= r["score"] <= 1 for r in got.values())

@@ -40,31 +40,3 @@ def symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     points, lengths = code_points(words)
     codes = np.where(points < _TABLE_SIZE, _TABLE[np.minimum(points, _TABLE_SIZE - 1)], SYMBOLS - 1)
     return codes, lengths
-
-
-_CAPITAL = np.array([chr(cp).isupper() for cp in range(_TABLE_SIZE)])
-
-
-def cased_symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Like symbols, with the last symbol as a shift before each capital."""
-    points, lengths = code_points(words)
-    inside = np.minimum(points, _TABLE_SIZE - 1)
-    codes = np.where(points < _TABLE_SIZE, _TABLE[inside], SYMBOLS - 1)
-    capital = np.flatnonzero(_CAPITAL[inside] & (points < _TABLE_SIZE))
-    owner = np.repeat(np.arange(len(words)), lengths)
-    return np.insert(codes, capital, SYMBOLS - 1), lengths + np.bincount(owner[capital], minlength=len(words))
-
-
-def packed_ngrams(codes: np.ndarray, order: int) -> np.ndarray:
-    """The n-gram that ends at each place, six bits a symbol; what precedes a word's start counts as 0.
-
-    codes holds words that end in 0; the packing is injective, so a key is a hash without collisions.
-    """
-    key = codes.copy()
-    open_ = np.ones(len(codes), dtype=bool)
-    for back in range(1, order):
-        before = np.zeros_like(codes)
-        before[back:] = codes[:-back]
-        open_ &= before != 0
-        key |= np.where(open_, before, 0) << (_BITS * back)
-    return key

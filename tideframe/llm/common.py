@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +18,14 @@ WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset on a local master (tests), one of our own."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir()
     if found is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideframe-"))
+        given = spark.conf.get("spark.checkpoint.dir", None)
+        if given is None and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="tideframe-"))
         found = sc.getCheckpointDir()
     return found
 
@@ -37,6 +41,27 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A table to join with: stored, and marked for broadcast if it has so many rows at most; else joined by a shuffle."""
+    table = stored(df)
+    return F.broadcast(table) if table.count() <= most else table
+
+
+def frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of a table that are above the smallest frequency n that so many of them reach at most, and the others.
+
+    The frequency is found from a histogram in steps of 2**(1/8), which has a few hundred rows.
+    """
+    stepped = table.withColumn("step", F.floor(F.log2("n") * 8).cast("int"))
+    least, above = 0, 0
+    for step, n in sorted(stepped.groupBy("step").count().collect(), reverse=True):
+        above += n
+        if above > most:
+            least = step + 1
+            break
+    return tuple(stepped.where(F.col("step") >= least if head else F.col("step") < least).drop("step") for head in (True, False))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that no column of df clashes with, in any case."""
     taken = {c.lower() for c in df.columns}
@@ -60,8 +85,28 @@ def byte_values(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
 
 
+_held: dict = {}
+
+
+def held_in_worker(key: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps for all its tasks of one stage; it lets go when it takes up another stage (see sliced)."""
+    _let_go()
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def _let_go() -> None:
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if _held.get("stage") != stage:
+        _held.clear()
+        _held["stage"] = stage
+
+
 def sliced(batches: Iterator[pa.RecordBatch], place: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the text column at that place has about so many bytes in each; a longer text comes alone."""
+    _let_go()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -74,26 +119,28 @@ def sliced(batches: Iterator[pa.RecordBatch], place: int, most: int = 4 << 20) -
             start = stop
 
 
-def with_arrow_columns(df: DataFrame, inputs: list[str], fields: list[pa.Field], make: Callable[[], Callable[..., list]]) -> DataFrame:
+def with_arrow_columns(df: DataFrame, inputs: list[str], fields: list[pa.Field], make: Callable[[], Callable[..., list]], drop: list[str] | None = None, most: int = 4 << 20) -> DataFrame:
     """df with further columns that Python computes a batch at a time from some input columns.
 
-    make() runs once in each task and returns the function of the inputs' Arrow columns; all
-    columns of df pass through as they are. The first input is a text column. Names of fields must be free in df.
+    make() runs once in each task and returns the function of the inputs' Arrow columns; the
+    columns of df pass through as they are, but for those to drop. The first input is a text column, and
+    a batch has about most bytes of it. Names of fields must be free in df.
     """
     from pyspark.sql.pandas.types import from_arrow_type
     from pyspark.sql.types import StructField, StructType
 
     places = [df.columns.index(c) for c in inputs]
     types = [f.type for f in fields]
-    names = [*df.columns, *(f.name for f in fields)]
+    passed = [i for i, c in enumerate(df.columns) if c not in (drop or ())]
+    names = [*(df.columns[i] for i in passed), *(f.name for f in fields)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in sliced(batches, places[0]):
+        for batch in sliced(batches, places[0], most):
             added = compute(*(batch.column(i) for i in places))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, t) for v, t in zip(added, types, strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in passed), *(v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(added, types, strict=True))], names=names)
 
-    schema = StructType([*df.schema.fields, *(StructField(f.name, from_arrow_type(f.type)) for f in fields)])
+    schema = StructType([*(df.schema.fields[i] for i in passed), *(StructField(f.name, from_arrow_type(f.type)) for f in fields)])
     return df.mapInArrow(run, schema)
 
 

@@ -1,198 +1,344 @@
 """Quality rules: base counts, and bands of n-gram perplexity for each language.
 
-The language model counts, with Spark, every character n-gram inside every word of every
-document. From those counts a modified Kneser-Ney model is built: sorted arrays of packed
-n-grams with their interpolated probabilities, and sorted arrays of contexts with their back-off
-mass. Its size is bounded by the alphabet, not by the corpus: at most 64**4 n-grams.
-A capital counts as a shift and its letter. A document's log-perplexity is compared with an upper
-and a lower limit of its language, which come from the documents that the base rules keep.
-
-Nulls: a null text has no words, so it fails the base rules; a null language is a language of
-its own; ids are never looked at, so repeated rows and null ids are kept apart as they are.
-Empty tables give empty results.
+Language model. Spark counts every n-gram of ORDER characters of every document, for each language:
+characters as they are, capitals, all scripts and the ends of words included, so an n-gram also sees
+how words follow each other, and what is gathered grows with the corpus. Distinct left extensions
+give the lower orders; each order's discounts, totals and back-off mass are aggregations, and
+interpolated modified Kneser-Ney probabilities go up the orders by joins. The model is a table of
+64-bit n-gram hashes with their surprise. Its HEAD most frequent n-grams at most are broadcast as
+sorted hash arrays, whose size this bounds; a document's other n-grams are joined to the table, and no
+n-gram is left out. Texts are scored by a model of the same documents, so every n-gram is known.
+
+A document's log-perplexity of a word, its end included, is compared with an upper and a lower limit
+of its language, which come from the documents that the base rules keep.
+
+Nulls: a null text has no words, so it fails the base rules; a null language is a language of its own;
+ids are never looked at, so repeated rows and null ids are kept apart as they are, and equal
+texts of one language are judged alike. Texts of any length are whole. New columns take names that
+no column of docs has in any case. Empty tables give empty results. Rows are numbered as they are read, so
+docs must give the same rows in the same order when read again, as files do.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tideframe.llm.char_codes import SYMBOLS, cased_symbols, packed_ngrams
-from tideframe.llm.common import byte_values, fresh, sliced, stored, with_arrow_columns
+from tideframe.llm.common import broadcast_if_small, fresh, frequent, sliced, stored, with_arrow_columns
 
-ORDER = 4
+ORDER = 5
 MIN_WORDS = 20
 WINDOW = 8
 #: Half width of a band: SPREADS robust deviations of a text of that many words, and a margin.
-SPREADS, MARGIN = 2.5, 0.02
-_WHITE = (" ", "\t", "\n", "\v", "\f", "\r")
+SPREADS, MARGIN = 3.0, 0.02
+#: N-grams that are broadcast at most.
+HEAD = 1 << 20
+_WHITE = " \t\v\f\r"
 _SYMBOLS = "#*$%&|<>"
-#: Distinct words held by a task before they are folded into n-gram counts, or remembered with their score.
-_FOLD_AT, _REMEMBER = 300_000, 300_000
+#: Bits of a character's number in a packed n-gram, and characters held by a task before they are folded into counts.
+_BITS, _FOLD_AT = 12, 2_000_000
+_SLICE = 1 << 20
+_U = np.uint64
+
+
+# ---- characters -----------------------------------------------------------------------------
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers that spreads every bit (the finaliser of splitmix64)."""
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+class Characters:
+    """The characters of some texts in a row, each run of white space as one blank.
+
+    padded opens each text with ORDER - 1 zeros and closes it with a blank, which leads to none
+    where a text has no word; at says where its characters lie in padded, and doc whose they are.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        points = np.frombuffer("".join(f"{t or ''} " for t in texts).encode("utf-32-le"), np.uint32).copy()
+        sizes = np.fromiter((len(t or "") + 1 for t in texts), np.int64, len(texts))
+        blank = (points == 32) | ((points >= 9) & (points <= 13))
+        self.symbols = np.isin(points, np.frombuffer(_SYMBOLS.encode("utf-32-le"), np.uint32))
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        self.n_symbols = np.bincount(doc[self.symbols], minlength=len(texts))
+        points[blank] = 32
+        points[points == 0] = 0xFFFD  # 0 is kept for what precedes a text
+        keep = ~(blank & np.concatenate([[True], blank[:-1]])) if len(points) else blank
+        self.points, self.doc, self.blank = points[keep], doc[keep], blank[keep]
+        self.n_words = np.bincount(self.doc[self.blank], minlength=len(texts))
+        self.size = np.bincount(self.doc, minlength=len(texts))
+        self.at = np.arange(len(self.points)) + (ORDER - 1) * (self.doc + 1)
+        self.padded = np.zeros(len(self.points) + (ORDER - 1) * len(texts), np.uint32)
+        self.padded[self.at] = self.points
+
+    def hashes(self, seeds: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the n-gram that ends at each character, by a seed for each text."""
+        return gram_hashes([self.padded[self.at - back] for back in range(ORDER - 1, -1, -1)], seeds[self.doc])
+
+    def repeated_words(self) -> np.ndarray:
+        """For each text, its words inside windows of WINDOW words that it holds twice or more, by 64-bit hashes."""
+        out = np.zeros(len(self.size), np.int64)
+        letters = ~self.blank
+        if letters.sum() < WINDOW:
+            return out
+        word = (np.cumsum(self.blank) - self.blank)[letters]
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        place = np.arange(len(word)) - first[word]
+        ids = np.add.reduceat(_mix(self.points[letters].astype(_U) | place.astype(_U) << _U(21)), first)
+        doc = self.doc[letters][first]
+        windows = len(ids) - WINDOW + 1
+        if windows < 2:
+            return out
+        key = np.zeros(windows, _U)
+        for k in range(WINDOW):
+            key = _mix(key + ids[k : k + windows])
+        inside = doc[:windows] == doc[WINDOW - 1 :]
+        key = _mix(key + doc[:windows].astype(_U))[inside]
+        ordered = np.sort(key)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        if len(twice):
+            starts = np.flatnonzero(inside)[np.isin(key, twice)]
+            marks = np.bincount(starts, minlength=len(ids) + 1) - np.bincount(starts + WINDOW, minlength=len(ids) + 1)
+            out += np.bincount(doc[np.cumsum(marks)[: len(ids)] > 0], minlength=len(out))
+        return out
+
+
+def gram_hashes(points: list[np.ndarray], seeds: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams given as the arrays of their first, second, ... characters."""
+    key = seeds.copy()
+    for first in range(0, len(points), 3):
+        part = points[first].astype(_U)
+        for more in points[first + 1 : first + 3]:
+            part = part << _U(21) | more
+        key = _mix(key + part)
+    return key
+
+
+def language_seed(language: str) -> int:
+    return int.from_bytes(hashlib.md5(language.encode()).digest()[:8], "little")
+
+
+def language_of(lang: str) -> Column:
+    """A language's own name, which is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(lang).cast("string")), F.lit(""))
 
 
 # ---- counting -------------------------------------------------------------------------------
 
 
-def ngram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """ngram (packed), n: occurrences of every character n-gram of ORDER over all words of all texts."""
+class _Counts:
+    """Counts of n-grams as packed numbers of characters; the numbers are dealt as characters come."""
+
+    def __init__(self):
+        self.numbers, self.alphabet = np.zeros(0x110000, np.int64), [0]
+        self.held: list[np.ndarray] = []
+        self.keys, self.counts, self.waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def fits(self, points: np.ndarray) -> bool:
+        """Deal numbers to the characters; False, with nothing done, where there are more than fit."""
+        new = np.flatnonzero(np.bincount(points, minlength=1))
+        new = new[(self.numbers[new] == 0) & (new > 0)]
+        if len(self.alphabet) + len(new) > 1 << _BITS:
+            return False
+        self.numbers[new] = np.arange(len(self.alphabet), len(self.alphabet) + len(new))
+        self.alphabet.extend(new.tolist())
+        return True
+
+    def add(self, text: Characters) -> None:
+        numbers = self.numbers[text.padded]
+        key = np.zeros(len(text.at), np.int64)
+        for back in range(ORDER - 1, -1, -1):
+            key = key << _BITS | numbers[text.at - back]
+        self.held.append(key)
+        self.waiting += len(key)
+        if self.waiting > _FOLD_AT:
+            self.fold()
+
+    def fold(self) -> None:
+        keys, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *self.held]), return_counts=True)
+        self.keys, where = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+        self.counts = np.bincount(where, np.concatenate([self.counts, counts]), len(self.keys)).astype(np.int64)
+        self.held, self.waiting = [], 0
+
+    def strings(self) -> tuple[list[str], np.ndarray]:
+        self.fold()
+        alphabet = np.array(self.alphabet, np.uint32)
+        points = np.stack([alphabet[self.keys >> _BITS * back & (1 << _BITS) - 1] for back in range(ORDER - 1, -1, -1)], axis=1)
+        return _strings(points), self.counts
+
+
+def _strings(points: np.ndarray) -> list[str]:
+    """Rows of ORDER characters as strings; the last character is never 0."""
+    return np.ascontiguousarray(points, np.uint32).view(f"<U{ORDER}").ravel().tolist()
+
+
+def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """language, ngram, n: occurrences of every n-gram of ORDER characters over all whole texts."""
+
+    def made(language: str, grams: list[str], counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([language] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], names=["language", "ngram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def fold() -> None:
-            nonlocal keys, counts
-            codes, lengths = cased_symbols(list(words))
-            weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
-            keys, where = np.unique(np.concatenate([keys, packed_ngrams(codes, ORDER)]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([counts, weight]), len(keys)).astype(np.int64)
-            words.clear()
-
-        for batch in sliced(batches, 0):
-            for value in byte_values(batch.column(0)):
-                if value:
-                    words.update(value.split())
-            if len(words) > _FOLD_AT:
-                fold()
-        if words:
-            fold()
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["ngram", "n"])
-
-    parts = docs.select(F.col(text).alias("text")).mapInArrow(run, "ngram long, n long")
-    return parts.groupBy("ngram").agg(F.sum("n").alias("n"))
+        found: dict[str, _Counts] = {}
+        for batch in sliced(batches, 0, _SLICE):
+            texts, languages = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for language in sorted(set(languages)):
+                characters = Characters([t for t, x in zip(texts, languages, strict=True) if x == language])
+                own = found.setdefault(language, _Counts())
+                if not own.fits(characters.padded):
+                    yield made(language, *own.strings())
+                    own = found[language] = _Counts()
+                    if not own.fits(characters.padded):  # more characters in one slice than have numbers
+                        points = np.stack([characters.padded[characters.at - back] for back in range(ORDER - 1, -1, -1)], axis=1)
+                        rows, counts = np.unique(points, axis=0, return_counts=True)
+                        yield made(language, _strings(rows), counts)
+                        continue
+                own.add(characters)
+            if len(found) > 8 or sum(len(own.keys) for own in found.values()) > _FOLD_AT:
+                for language, own in found.items():
+                    yield made(language, *own.strings())
+                found.clear()
+        for language, own in found.items():
+            yield made(language, *own.strings())
+
+    parts = docs.select(F.col(text).alias("text"), language_of(lang).alias("language")).mapInArrow(run, "language string, ngram string, n long")
+    return parts.groupBy("language", "ngram").agg(F.sum("n").alias("n"))
 
 
 # ---- model ----------------------------------------------------------------------------------
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Chen and Goodman's three discounts, at index 1 to 3; kept within what a count has where the counts of counts are degenerate."""
-    n1, n2, n3, n4 = (float((counts == k).sum()) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    found = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return np.array([0.0, *(min(max(d, 0.1), k - 0.1) for k, d in enumerate(found, 1))])
+def discounts(counts: DataFrame) -> DataFrame:
+    """language, d: Chen and Goodman's three discounts; kept within what a count has where the counts of counts are degenerate."""
+    n = counts.groupBy("language").agg(*(F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)))
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+
+    def d(k: int, otherwise: float) -> Column:
+        some = F.col(f"n{k}") > 0
+        return F.when(some & (F.col("n1") > 0), F.least(F.lit(k - 0.1), F.greatest(F.lit(0.1), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")))).otherwise(otherwise)
+
+    return n.select("language", F.array(d(1, 0.5), d(2, 1.0), d(3, 1.5)).alias("d"))
+
 
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """language, ngram, n, p: interpolated modified Kneser-Ney probabilities of the counted n-grams.
+
+    The highest order has the given counts, lower ones count distinct left extensions. Below the
+    first order every character of the language, and one that it lacks, is as likely.
+    """
+    levels = [counts]
+    for n in range(ORDER - 1, 0, -1):
+        shorter = levels[0].groupBy("language", F.substring("ngram", 2, n).alias("ngram")).agg(F.count("*").alias("n"))
+        levels.insert(0, stored(shorter) if n == ORDER - 1 else shorter)
+    below = None
+    for n, level in enumerate(levels, 1):
+        context = Window.partitionBy("language", F.substring("ngram", 1, n - 1))
+        taken = level.join(broadcast_if_small(discounts(level)), "language").withColumn("d", F.col("d")[F.least(F.col("n"), F.lit(3)).cast("int") - 1])
+        summed = taken.withColumn("total", F.sum("n").over(context)).withColumn("mass", F.sum("d").over(context))
+        if below is None:
+            summed = summed.withColumn("below", 1 / (F.count("*").over(context) + 1))
+        else:
+            summed = summed.withColumn("tail", F.substring("ngram", 2, n - 1)).join(below.select("language", F.col("ngram").alias("tail"), F.col("p").alias("below")), ["language", "tail"])
+        below = summed.select("language", "ngram", "n", ((F.col("n") - F.col("d") + F.col("mass") * F.col("below")) / F.col("total")).alias("p"))
+    return below
+
+
+def hashed(model: DataFrame) -> DataFrame:
+    """key, n, surprise: the model by the hashes of its n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = np.frombuffer("".join(batch.column("ngram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+            seeds = {x: language_seed(x) for x in batch.column("language").unique().to_pylist()}
+            keys = gram_hashes(list(points.T), np.array([seeds[x] for x in batch.column("language").to_pylist()], _U))
+            surprise = -np.log(batch.column("p").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("n"), pa.array(surprise)], names=["key", "n", "surprise"])
 
-class KneserNey:
-    """Interpolated modified Kneser-Ney over packed n-grams, as sorted arrays looked up by bisection."""
+    return model.mapInArrow(run, "key long, n long, surprise double")
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+
+class SortedHashes:
+    """Values by hash: sorted arrays, entered by the hash's first bits."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
-        keys, counts = keys[order].astype(np.int64), counts[order].astype(np.int64)
-        levels = [(keys, counts)]  # the highest order has raw counts, lower ones count distinct left extensions
-        for n in range(ORDER - 1, 0, -1):
-            shorter, distinct = np.unique(levels[0][0] & ((1 << 6 * n) - 1), return_counts=True)
-            levels.insert(0, (shorter, distinct))
-        self.grams: list[tuple[np.ndarray, np.ndarray]] = []
-        self.contexts: list[tuple[np.ndarray, np.ndarray]] = []
-        lower = np.full(SYMBOLS, 1.0 / SYMBOLS)
-        for n, (keys, counts) in enumerate(levels, 1):
-            d = _discounts(counts)[np.minimum(counts, 3)]
-            contexts, which = np.unique(keys >> 6, return_inverse=True)
-            total = np.bincount(which, counts, len(contexts))
-            mass = np.bincount(which, d, len(contexts)) / total if len(keys) else total
-            below = lower[keys & (SYMBOLS - 1)] if n == 1 else self._probability(keys & ((1 << 6 * (n - 1)) - 1), n - 1)
-            p = (counts - d) / total[which] + mass[which] * below if len(keys) else np.zeros(0)
-            self.grams.append((keys, p))
-            self.contexts.append((contexts, mass))
-
-    @staticmethod
-    def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise: float) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.full(len(wanted), otherwise), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        hit = keys[at] == wanted
-        return np.where(hit, values[at], otherwise), hit
-
-    def _probability(self, keys: np.ndarray, n: int) -> np.ndarray:
-        if n == 0:
-            return np.full(len(keys), 1.0 / SYMBOLS)
-        p, hit = self._find(*self.grams[n - 1], keys, 0.0)
-        if not hit.all():
-            miss = ~hit
-            mass, _ = self._find(*self.contexts[n - 1], keys[miss] >> 6, 1.0)
-            p[miss] = mass * self._probability(keys[miss] & ((1 << 6 * (n - 1)) - 1), n - 1)
-        return p
-
-    def surprise(self, words: list[bytes]) -> np.ndarray:
-        """Minus the log probability of each word, its end included."""
-        codes, lengths = cased_symbols(words)
-        nll = -np.log(np.maximum(self._probability(packed_ngrams(codes, ORDER), ORDER), 1e-12))
-        return np.add.reduceat(nll, np.concatenate([[0], np.cumsum(lengths)[:-1]])) if len(words) else nll
-
-
-def build_model(counts: DataFrame) -> KneserNey:
-    """The model of counted n-grams; the table has at most 64**4 rows whatever the corpus."""
-    table = counts.select("ngram", "n").toArrow()
-    return KneserNey(table.column("ngram").to_numpy(), table.column("n").to_numpy())
+        self.keys, self.values = np.append(keys[order], ~_U(0)), np.append(values[order], 0.0)
+        self.shift = _U(64 - max(1, int(len(keys)).bit_length() + 1))
+        self.starts = np.searchsorted(self.keys[:-1], np.arange(1 << 64 - int(self.shift), dtype=_U) << self.shift).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the hashes, and which are known."""
+        at = self.starts[wanted >> self.shift]
+        behind = np.flatnonzero(self.keys[at] < wanted)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < wanted[behind]]
+        hit = (self.keys[at] == wanted) & (at < len(self.keys) - 1)
+        return np.where(hit, self.values[at], 0.0), hit
 
 
 # ---- scoring --------------------------------------------------------------------------------
 
 
-def _repeat_words(words: list[bytes]) -> int:
-    """Words inside windows of WINDOW words that occur twice or more, by a 64-bit rolling hash."""
-    n = len(words)
-    if n < WINDOW + 1:
-        return 0
-    ids = np.fromiter(map(hash, words), np.int64, n).view(np.uint64)
-    windows = n - WINDOW + 1
-    key = np.zeros(windows, np.uint64)
-    for k in range(WINDOW):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + ids[k : k + windows]
-    key ^= key >> np.uint64(31)
-    order = np.sort(key)
-    twice = order[1:][order[1:] == order[:-1]]
-    if not len(twice):
+def _repeated_lines(text: str | None) -> int:
+    if not text or "\n" not in text:
         return 0
-    marks = np.zeros(n + 1, np.int64)
-    starts = np.flatnonzero(np.isin(key, twice))
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, starts + WINDOW, -1)
-    return int((np.cumsum(marks)[:n] > 0).sum())
-
-
-def _counts(text: str, raw: bytes, words: list[bytes]) -> tuple[int, int, int, int, int]:
-    lines = Counter(line for line in raw.split(b"\n") if line.strip(b" \t\v\f\r")) if b"\n" in raw else {}
-    chars = len(text) - sum(map(text.count, _WHITE))
-    return len(words), chars, sum(map(text.count, _SYMBOLS)), sum(lines.values()) - len(lines), _repeat_words(words)
+    lines = [line for line in text.split("\n") if line.strip(_WHITE)]
+    return len(lines) - len(set(lines))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measured(docs: DataFrame, model: KneserNey, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """docs with the base counts and the log-perplexity of a character or word end (null where there is no word); and the new columns' names."""
-    names = {c: fresh(docs, c) for c in (*MEASURES, "log_ppl")}
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def measured(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, dict[str, str]]:
+    """docs without its text, with the base counts, log_ppl (the mean surprise of a word;
+    null where there is no word) and the row's number; and the new columns' names. Texts are read twice and never shuffled."""
+    model = stored(hashed(kneser_ney(stored(ngram_counts(docs, text, lang)))))
+    head, rest = frequent(model, HEAD)
+    table = head.select("key", "surprise").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(SortedHashes(table.column("key").to_numpy().view(_U), table.column("surprise").to_numpy()))
+    names = {c: fresh(docs, c) for c in (*MEASURES, "log_ppl", "row", "language", "known", "others")}
+    slim = docs.withColumns({names["row"]: F.monotonically_increasing_id(), names["language"]: language_of(lang)})
 
     def make():
-        lm, known = shared.value, {}
-
-        def compute(column):
-            texts, raws = column.to_pylist(), byte_values(column)
-            split = [raw.split() if raw else [] for raw in raws]
-            new = list({w for words in split for w in words if w not in known})
-            extra = dict(zip(new, lm.surprise(new).tolist(), strict=True)) if new else {}
-            if len(known) < _REMEMBER:
-                known.update(extra)
-                look = known.__getitem__
-            else:
-                look = (known | extra).__getitem__
-            rows = [_counts(t or "", raw or b"", words) for t, raw, words in zip(texts, raws, split, strict=True)]
-            ppl = [sum(map(look, words)) / (row[1] + row[0]) if words else None for row, words in zip(rows, split, strict=True)]
-            return [*(list(c) for c in zip(*rows, strict=True)), ppl] if rows else [[] for _ in range(6)]
+        arrays, seeds = shared.value, {}
+
+        def compute(column, languages):
+            texts, own = column.to_pylist(), languages.to_pylist()
+            seeds.update({x: language_seed(x) for x in set(own).difference(seeds)})
+            characters = Characters(texts)
+            keys = characters.hashes(np.array([seeds[x] for x in own], _U))
+            value, hit = arrays.find(keys)
+            known = np.bincount(characters.doc, value, len(texts))
+            miss = np.flatnonzero(~hit)
+            ends = np.cumsum(np.bincount(characters.doc[miss], minlength=len(texts)))
+            others = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(keys[miss].view(np.int64)))
+            lines = np.fromiter(map(_repeated_lines, texts), np.int64, len(texts))
+            return [characters.n_words, characters.size - characters.n_words, characters.n_symbols, lines, characters.repeated_words(), known, others]
 
         return compute
 
-    fields = [pa.field(names[c], pa.int64()) for c in MEASURES] + [pa.field(names["log_ppl"], pa.float64())]
-    return with_arrow_columns(docs, [text], fields, make), names
+    fields = [pa.field(names[c], pa.int64()) for c in MEASURES] + [pa.field(names["known"], pa.float64()), pa.field(names["others"], pa.list_(pa.int64()))]
+    rows = stored(with_arrow_columns(slim, [text, names["language"]], fields, make, drop=[text, names["language"]], most=_SLICE))
+    others = rows.select(F.col(names["row"]).alias("row"), F.explode(names["others"]).alias("key")).join(rest.select("key", "surprise"), "key")
+    more = others.groupBy(F.col("row").alias(fresh(rows, "more_row"))).agg(F.sum("surprise").alias(fresh(rows, "more")))
+    joined = rows.join(more, rows[names["row"]] == more[more.columns[0]], "left")
+    n_words = F.col(names["n_words"])
+    ppl = F.when(n_words > 0, (F.col(names["known"]) + F.coalesce(F.col(more.columns[1]), F.lit(0.0))) / n_words)
+    scored = joined.withColumn(names["log_ppl"], ppl).drop(names["known"], names["others"], *more.columns)
+    return stored(scored), {c: n for c, n in names.items() if c in (*MEASURES, "log_ppl", "row")}
 
 
 def bands(scores: DataFrame, lang: str, n_words: str, log_ppl: str) -> DataFrame:
@@ -201,11 +347,10 @@ def bands(scores: DataFrame, lang: str, n_words: str, log_ppl: str) -> DataFrame
     A mean over n words varies as 1 / sqrt(n), so the spread is that of the distance from the
     language's median times sqrt(n), taken robustly from the quartiles.
     """
-    known = scores.where(F.col(log_ppl).isNotNull()).select(F.col(lang).alias("band_lang"), F.col(n_words).alias("n"), F.col(log_ppl).alias("x"))
-    centres = known.groupBy("band_lang").agg(F.percentile_approx("x", F.lit(0.5), F.lit(10_000)).alias("centre"))
-    near = known.join(centres.withColumnRenamed("band_lang", "l"), F.col("band_lang").eqNullSafe(F.col("l")))
+    known = scores.where(F.col(log_ppl).isNotNull()).select(language_of(lang).alias("band_lang"), F.col(n_words).alias("n"), F.col(log_ppl).alias("x"))
+    centres = broadcast_if_small(known.groupBy("band_lang").agg(F.percentile_approx("x", F.lit(0.5), F.lit(10_000)).alias("centre")))
     z = (F.col("x") - F.col("centre")) * F.sqrt(F.col("n").cast("double"))
-    cuts = near.groupBy("band_lang", "centre").agg(F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
+    cuts = known.join(centres, "band_lang").groupBy("band_lang", "centre").agg(F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
     return cuts.select("band_lang", "centre", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("spread"))
 
 
@@ -214,33 +359,34 @@ def base_failed_by(names: dict[str, str]) -> Column:
     return (words < MIN_WORDS) | (100 * repeats > 30 * words)
 
 
-def judged(scored: DataFrame, limits: DataFrame, names: dict[str, str], lang: str = "lang") -> DataFrame:
-    """scored with base_failed and kept. Languages join null-safely; a document without words is rejected by the base rules."""
+def judged(scored: DataFrame, limits: DataFrame, names: dict[str, str], lang: str = "lang") -> tuple[DataFrame, dict[str, str]]:
+    """scored with base_failed and kept; and all new columns' names. A document of a language without a band is not kept."""
     base_failed, kept = fresh(scored, "base_failed"), fresh(scored, "kept")
     b = {c: fresh(scored, c) for c in ("band_lang", "centre", "spread")}
     words, ppl = F.col(names["n_words"]), F.col(names["log_ppl"])
-    joined = scored.join(limits.withColumnsRenamed(b), F.col(lang).eqNullSafe(F.col(b["band_lang"])), "left")
+    limits = broadcast_if_small(limits.withColumnsRenamed(b))
+    joined = scored.join(limits, language_of(lang) == F.col(b["band_lang"]), "left")
     half_width = F.lit(SPREADS) * F.col(b["spread"]) / F.sqrt(F.greatest(words, F.lit(1)).cast("double")) + F.lit(MARGIN)
     inside = F.coalesce(F.abs(ppl - F.col(b["centre"])) <= half_width, F.lit(False))
     failed = base_failed_by(names)
-    return joined.withColumns({base_failed: failed, kept: ~failed & inside}).drop(*b.values())
+    return joined.withColumns({base_failed: failed, kept: ~failed & inside}).drop(*b.values()), names | {"base_failed": base_failed, "kept": kept}
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, dict[str, str]]:
-    """docs with the base counts, log_ppl, base_failed and kept; and the new columns' names.
+    """docs without its text, with the base counts, log_ppl, base_failed, kept and the row's number; and the new columns' names."""
+    scored, names = measured(docs, text, lang)
+    return judged(scored, bands(scored.where(~base_failed_by(names)), lang, names["n_words"], names["log_ppl"]), names, lang)
 
-    The texts are read three times (counts, bands, verdicts) and never shuffled.
-    """
-    model = build_model(ngram_counts(docs, text))
-    slim, names = measured(docs.select(text, lang), model, text)
-    slim = stored(slim.drop(text))
-    scored, final = measured(docs, model, text)
-    out = judged(scored, bands(slim.where(~base_failed_by(names)), lang, names["n_words"], names["log_ppl"]), final, lang)
-    return out, final | {"base_failed": out.columns[-2], "kept": out.columns[-1]}
+
+def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The documents that the rules keep, whole. The rejected rows' numbers are broadcast where they are few,
+    as a check of their count says; beyond that texts are shuffled once, by row."""
+    verdicts, names = quality_rules(docs.select(text, lang), text, lang)
+    row = fresh(docs, "row")
+    rejected = broadcast_if_small(verdicts.where(~F.col(names["kept"])).select(F.col(names["row"]).alias(row)))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(rejected, row, "left_anti").drop(row)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    scored, names = measured(docs, build_model(ngram_counts(docs)))
-    scored = stored(scored.drop("text"))
-    return judged(scored, bands(scored.where(~base_failed_by(names)), "lang", names["n_words"], names["log_ppl"]), names).drop("lang")
+    return quality_rules(docs)[0].drop("lang", "row")

@@ -3,11 +3,12 @@
 Spark counts, for each language, every n-gram of one to MAX_N characters inside every word of
 every learning row. The log-probability matrix has BUCKETS rows and a column for each language;
 languages are a closed set of labels, so its size is bounded, and more than MAX_LANGUAGES labels
-are refused. A batch is scored in numpy: distinct words first, then the sum over a text's words.
+are refused with an error, never left out. A batch is scored in numpy: distinct words first, then the sum over a text's words.
 
 Nulls: a null text, and a text without a letter, is `und` with score 0; rows with a null language
 or id teach nothing. Without any learning row every text is `und`. A tie takes the language that
-sorts first. Repeated rows count as often as they come.
+sorts first. Repeated rows count as often as they come. Texts of any length are whole. New columns
+take names that no column of docs has in any case. An empty table teaches nothing and gives no row.
 """
 
 from __future__ import annotations
@@ -21,11 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.llm.char_codes import code_points
-from tideframe.llm.common import byte_values, fresh, held_out, learnable, sliced, with_arrow_columns
+from tideframe.llm.common import broadcast_if_small, byte_values, fresh, held_out, learnable, sliced, stored, with_arrow_columns
 
 BUCKETS, MAX_N, MAX_LANGUAGES = 1 << 15, 3, 512
 SMOOTHING = 0.5
-_FOLD_AT, _REMEMBER = 200_000, 300_000
+#: How far below its language's median a document's n-grams may be: robust deviations of a mean of so many, and a margin.
+SPREADS, MARGIN = 6.0, 0.25
+#: Distinct words of all languages that a task holds before it folds them, so many at a time, and languages whose counts it holds.
+_FOLD_AT, _AT_ONCE, _LABELS_HELD = 200_000, 10_000, 64
+#: Words remembered with their scores by a task, and the bytes of those scores.
+_REMEMBER, _REMEMBER_BYTES = 300_000, 32 << 20
 
 
 def _lower_table() -> np.ndarray:
@@ -59,23 +65,33 @@ def bucket_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
         words: dict[str, Counter] = defaultdict(Counter)
         rows: Counter = Counter()
 
-        def fold(label: str) -> None:
-            if words[label]:
-                buckets, owners = _features(list(words[label]), lower)
-                weight = np.fromiter(words[label].values(), np.int64, len(words[label]))
-                totals[label] += np.bincount(buckets, weight[owners], BUCKETS).astype(np.int64)
-                words[label].clear()
+        def fold() -> Iterator[pa.RecordBatch]:
+            for label, counted in words.items():
+                some = list(counted)
+                for start in range(0, len(some), _AT_ONCE):
+                    part = some[start : start + _AT_ONCE]
+                    buckets, owners = _features(part, lower)
+                    weight = np.fromiter(map(counted.__getitem__, part), np.int64, len(part))
+                    totals[label] += np.bincount(buckets, weight[owners], BUCKETS).astype(np.int64)
+            words.clear()
+            if len(totals) > _LABELS_HELD:
+                yield from out()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for label, n in rows.items():
+                used = np.flatnonzero(totals[label])
+                yield pa.RecordBatch.from_arrays([pa.array([label] * (len(used) + 1), pa.string()), pa.array([*used.tolist(), -1], pa.int32()), pa.array([*totals[label][used].tolist(), n], pa.int64())], names=["lang", "bucket", "n"])
+            totals.clear()
+            rows.clear()
 
         for batch in sliced(batches, 0):
             for value, label in zip(byte_values(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 words[label].update(value.split())
                 rows[label] += 1
-                if len(words[label]) > _FOLD_AT:
-                    fold(label)
-        for label in rows:
-            fold(label)
-            used = np.flatnonzero(totals[label])
-            yield pa.RecordBatch.from_arrays([pa.array([label] * (len(used) + 1), pa.string()), pa.array([*used.tolist(), -1], pa.int32()), pa.array([*totals[label][used].tolist(), rows[label]], pa.int64())], names=["lang", "bucket", "n"])
+            if sum(map(len, words.values())) > _FOLD_AT:
+                yield from fold()
+        yield from fold()
+        yield from out()
 
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     return known.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -103,49 +119,79 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> NaiveBayes
     return NaiveBayes(table.column("lang").to_pylist(), table.column("bucket").to_numpy(), table.column("n").to_numpy())
 
 
-def predict(docs: DataFrame, model: NaiveBayes, text: str = "text") -> tuple[DataFrame, str, str]:
-    """docs with the predicted language and its posterior; and the two columns' names."""
-    name, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+def predict(docs: DataFrame, model: NaiveBayes, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
+    """docs with the predicted language, its posterior, and how likely its n-grams are in that language (their
+    mean log probability, and their number); and the new columns' names."""
+    names = {c: fresh(docs, c) for c in ("lang_pred", "score", "fit", "n_grams")}
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        nb, lower, index, kept = shared.value, _lower_table(), {}, [np.zeros((0, len(shared.value.labels)), np.float32)]
+        nb, lower, index = shared.value, _lower_table(), {}
+        width = len(nb.labels) + 1  # a word's last number is how many n-grams it has
+        held = np.empty((min(_REMEMBER, _REMEMBER_BYTES // (4 * width)), width), np.float32)
+
+        def scores(words: list[bytes]) -> np.ndarray:
+            out = np.empty((len(words), width), np.float32)
+            for start in range(0, len(words), _AT_ONCE):
+                part = words[start : start + _AT_ONCE]
+                buckets, owners = _features(part, lower)
+                order = np.argsort(owners, kind="stable")
+                n = np.bincount(owners, minlength=len(part))
+                out[start : start + len(part), :-1] = np.add.reduceat(nb.matrix[buckets[order]], np.cumsum(n) - n, axis=0)
+                out[start : start + len(part), -1] = n
+            return out
 
         def compute(column):
             texts, raws = column.to_pylist(), byte_values(column)
             split = [raw.split() if raw else [] for raw in raws]
-            new = list({w for words in split for w in words if w not in index})
-            rows = kept[0]
-            look = index
-            if new:
-                buckets, owners = _features(new, lower)
-                order = np.argsort(owners, kind="stable")
-                starts = np.searchsorted(owners[order], np.arange(len(new)))
-                rows = np.concatenate([rows, np.add.reduceat(nb.matrix[buckets[order]], starts, axis=0)])
-                if len(index) < _REMEMBER:
-                    kept[0] = rows
-                    index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
-                else:
-                    look = index | dict(zip(new, range(len(index), len(index) + len(new)), strict=True))
-            names, scores = [], []
+            here = list(set().union(*split))
+            new = [i for i, w in enumerate(here) if w not in index]
+            rows = np.empty((len(here), width), np.float32)
+            known = [i for i, w in enumerate(here) if w in index]
+            rows[known] = held[[index[here[i]] for i in known]]
+            rows[new] = scores([here[i] for i in new])
+            room = new[: len(held) - len(index)]
+            held[len(index) : len(index) + len(room)] = rows[room]
+            index.update((here[i], len(index) + k) for k, i in enumerate(room))
+            at = {w: i for i, w in enumerate(here)}
+            out = []
             for t, words in zip(texts, split, strict=True):
                 if not words or not nb.labels or not any(map(str.isalpha, t)):
-                    names.append("und")
-                    scores.append(0.0)
+                    out.append(("und", 0.0, None, 0))
                     continue
-                total = nb.prior + rows[np.fromiter(map(look.__getitem__, words), np.int64, len(words))].sum(axis=0, dtype=np.float64)
+                places = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+                summed = sum(rows[places[i : i + _AT_ONCE]].sum(axis=0, dtype=np.float64) for i in range(0, len(places), _AT_ONCE))
+                total = nb.prior + summed[:-1]
                 best = int(total.argmax())
-                names.append(nb.labels[best])
-                scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-            return [names, scores]
+                out.append((nb.labels[best], float(1.0 / np.exp(total - total[best]).sum()), float(summed[best] / summed[-1]), int(summed[-1])))
+            return [list(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
 
         return compute
 
-    return with_arrow_columns(docs, [text], [pa.field(name, pa.string()), pa.field(score, pa.float64())], make), name, score
+    fields = [pa.field(names[c], t) for c, t in (("lang_pred", pa.string()), ("score", pa.float64()), ("fit", pa.float64()), ("n_grams", pa.int64()))]
+    return with_arrow_columns(docs, [text], fields, make), names
+
+
+def told_languages(docs: DataFrame, model: NaiveBayes, text: str = "text") -> DataFrame:
+    """The documents whose language is told: not `und`, with a posterior of one half at least, and with n-grams about as
+    likely as that language's documents have them. The lower limit is SPREADS robust deviations below the language's
+    median, for a mean over so many n-grams, and a margin; it rejects texts of languages that were not learned, which naive Bayes
+    would give to one of its own with certainty."""
+    found, names = predict(docs, model, text)
+    lang, fit = F.col(names["lang_pred"]), F.col(names["fit"])
+    slim = stored(predict(docs.select(text), model, text)[0].drop(text)).where("fit is not null")
+    centres = broadcast_if_small(slim.groupBy(F.col("lang_pred").alias("l")).agg(F.percentile_approx("fit", F.lit(0.5), F.lit(10_000)).alias("centre")))
+    z = (F.col("fit") - F.col("centre")) * F.sqrt(F.col("n_grams").cast("double"))
+    cuts = slim.join(centres, F.col("lang_pred") == F.col("l")).groupBy("l", "centre").agg(F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
+    limits = broadcast_if_small(cuts.select(F.col("l").alias(fresh(found, "l")), F.col("centre").alias(fresh(found, "centre")), ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias(fresh(found, "spread"))))
+    label, centre, spread = limits.columns
+    joined = found.join(limits, lang == F.col(label))
+    low = F.col(centre) - SPREADS * F.col(spread) / F.sqrt(F.col(names["n_grams"]).cast("double")) - MARGIN
+    return joined.where((lang != "und") & (F.col(names["score"]) >= 0.5) & (fit >= low)).select(*docs.columns)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs.where(learnable(F.col("doc_id"))))
-    scored, name, score = predict(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model)
-    return scored.select("doc_id", "held_out", name, score)
+    scored, names = predict(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model)
+    return scored.select("doc_id", "held_out", *(names[c] for c in ("lang_pred", "score")))

@@ -10,10 +10,11 @@ from __future__ import annotations
 import os
 import sys
 from array import array
-from functools import lru_cache
 
 import public_tokenizers
 
+from tideframe.llm.common import held_in_worker
+
 VOCABULARY = "word_bpe_49k.json"
 _REMEMBER, _AT_ONCE = 1_200_000, 2048
 
@@ -54,7 +55,6 @@ class ChunkIds:
         return out
 
 
-@lru_cache(maxsize=1)
 def chunk_ids(vocabulary: str = VOCABULARY) -> ChunkIds:
-    """One for each Python worker, whose tasks follow each other and share what it remembers."""
-    return ChunkIds(vocabulary)
+    """One for each Python worker, whose tasks of a stage follow each other and share what it remembers."""
+    return held_in_worker(f"chunk ids {vocabulary}", lambda: ChunkIds(vocabulary))
