@@ -7,7 +7,6 @@ packing. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tideframe.llm import op2_quality, op3_minhash, op7_language, op8_mixing, op10_packing
 from tideframe.llm.common import stored
@@ -15,14 +14,12 @@ from tideframe.llm.common import stored
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the perplexity band of their language keep."""
-    judged, names = op2_quality.quality_rules(docs)
-    return judged.where(F.col(names["kept"])).select(*docs.columns)
+    return op2_quality.kept_documents(docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with a posterior of one half at least; `und` goes."""
-    scored, name, score = op7_language.predict(docs, op7_language.train(docs))
-    return scored.where((F.col(name) != "und") & (F.col(score) >= 0.5)).select(*docs.columns)
+    """Documents whose language is told: with a posterior of one half at least and n-grams as likely as that language's have them; `und` goes."""
+    return op7_language.told_languages(docs, op7_language.train(docs))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
