@@ -57,24 +57,30 @@ def closed_trades(folded: DataFrame) -> DataFrame:
 
 
 def settled(closed: DataFrame, fee: Column, fee_status: Column) -> DataFrame:
-    """ANL3/ANL4: gross result, net where the fee is known, and the shares of cost; a winner is judged by net if known."""
+    """ANL3/ANL4: gross result, net where the fee is known or provisional, and the shares of cost; a winner is judged by net if there is one.
+
+    The gross share is 0 without a cost; the net share and that of fees are null there.
+    """
     df = closed.withColumn("fee_status", fee_status)
-    df = df.withColumn("fee_amount_usd", F.when(F.col("fee_status") == "known", fee)).withColumn("gross_realized_usd", F.col("closed_qty") * (F.col("exit_price") - F.col("avg_entry_price")))
-    cost = F.nullif(F.col("closed_qty") * F.col("avg_entry_price"), F.lit(0.0))
+    df = df.withColumn("fee_amount_usd", F.when(F.col("fee_status").isin("known", "provisional"), fee)).withColumn("gross_realized_usd", F.col("closed_qty") * (F.col("exit_price") - F.col("avg_entry_price")))
+    cost = F.when((F.col("closed_qty") > 0) & (F.col("avg_entry_price") > 0), F.col("closed_qty") * F.col("avg_entry_price"))
     df = df.withColumn("net_realized_usd", F.col("gross_realized_usd") - F.col("fee_amount_usd"))
     pnl = F.coalesce("net_realized_usd", "gross_realized_usd")
     return df.withColumns({
         "pnl_usd": pnl,
-        "pnl_pct": F.try_divide("gross_realized_usd", cost),
+        "pnl_pct": F.coalesce(F.try_divide("gross_realized_usd", cost), F.lit(0.0)),
         "net_pnl_pct": F.try_divide("net_realized_usd", cost),
         "fees_pct": F.try_divide("fee_amount_usd", cost),
-        "is_winner": pnl > 0,
+        "is_winner": F.coalesce(F.try_divide("net_realized_usd", cost), F.try_divide("gross_realized_usd", cost), F.lit(0.0)) > 0,
         "duration_s": (F.unix_millis("exit_at") - F.unix_millis("entry_at")) / 1000,
     })
 
 
 def performance(trades: DataFrame, capital: float, by: list[str] = ["account"]) -> DataFrame:  # noqa: B006
-    """ANL5/ANL6: counts, results, win rate, averages, profit factor, mean duration, Sharpe ratio; null where undefined."""
+    """ANL5/ANL6: counts, results, win rate, averages, profit factor, mean duration, Sharpe ratio; null where undefined.
+
+    The profit factor compares summed shares of cost, not sums of money.
+    """
     win, pnl = F.col("is_winner"), F.col("pnl_usd")
     df = trades.groupBy(*by).agg(
         F.count("*").alias("trades"),
@@ -82,8 +88,8 @@ def performance(trades: DataFrame, capital: float, by: list[str] = ["account"])
         F.sum(pnl).alias("total_usd"),
         F.avg(F.when(win, F.col("pnl_pct"))).alias("avg_win"),
         F.avg(F.when(~win, F.col("pnl_pct"))).alias("avg_loss"),
-        F.sum(F.when(win, pnl)).alias("won"),
-        F.sum(F.when(~win, pnl)).alias("lost"),
+        F.coalesce(F.sum(F.when(win, F.col("pnl_pct"))), F.lit(0.0)).alias("won"),
+        F.sum(F.when(~win, F.col("pnl_pct"))).alias("lost"),
         F.avg("duration_s").alias("avg_duration_s"),
         F.avg("pnl_pct").alias("mean_pct"),
         F.stddev_samp("pnl_pct").alias("std_pct"),
@@ -151,8 +157,8 @@ def risk_decisions(signals: DataFrame, closes: DataFrame, capital: float, by: st
     """ANL9: approved or the first rule that refuses, for each signal in its account's order of time.
 
     signals: account, timestamp, signal_id, direction, confidence, actionable, open_positions.
-    closes: account, exit_at, pnl_usd. A breach of a drawdown limit by the closes so far halts the
-    account for good. One account is one window partition.
+    closes: account, exit_at, pnl_usd. Drawdown is looked at when a signal has passed the rules before it;
+    a breach refuses that signal and halts the account for all later ones. One account is one window partition.
     """
     event = closes.select(by, F.col("exit_at").alias("at"), F.lit(0).alias("kind"), "pnl_usd", F.lit(None).cast("long").alias("signal_id"), F.lit(None).cast("string").alias("direction"), F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("boolean").alias("actionable"), F.lit(None).cast("long").alias("open_positions"))
     ask = signals.select(by, F.col("timestamp").alias("at"), F.lit(1).alias("kind"), F.lit(0.0).alias("pnl_usd"), "signal_id", "direction", "confidence", "actionable", F.col("open_positions").cast("long").alias("open_positions"))
@@ -160,25 +166,33 @@ def risk_decisions(signals: DataFrame, closes: DataFrame, capital: float, by: st
     so_far = Window.partitionBy(by).orderBy("at", "kind", "signal_id").rowsBetween(Window.unboundedPreceding, 0)
     today = Window.partitionBy(by, "day").orderBy("at", "kind", "signal_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({"daily": F.sum("pnl_usd").over(today) / capital, "total": F.sum("pnl_usd").over(so_far) / capital})
-    rows = rows.withColumn("breach", (F.col("kind") == 0) & ((F.col("daily") <= -DAILY_DRAWDOWN) | (F.col("total") <= -TOTAL_DRAWDOWN)))
-    rows = rows.withColumn("halted", F.max("breach").over(so_far)).where("kind = 1")
+    rows = rows.where("kind = 1")
     buy = F.col("direction") != "sell"
-    order_usd = capital * POSITION_PCT
-    reason = (
-        F.when(F.col("halted"), "system_halted").when(~F.col("actionable"), "signal_not_actionable").when(F.col("confidence") < MIN_CONFIDENCE, "confidence_too_low")
-        .when(buy & (F.col("open_positions") >= MAX_POSITIONS), "max_positions_reached").when(buy & F.lit(order_usd < MIN_ORDER_USD), "order_too_small").otherwise("ok")
+    refused = (
+        F.when(~F.col("actionable"), "signal_not_actionable").when(F.col("confidence") < MIN_CONFIDENCE, "confidence_too_low").when(buy & (F.col("open_positions") >= MAX_POSITIONS), "max_positions_reached")
+        .when(F.col("daily") <= -DAILY_DRAWDOWN, "daily_drawdown_breached").when(F.col("total") <= -TOTAL_DRAWDOWN, "total_drawdown_breached")
     )
+    rows = rows.withColumn("refused", refused)
+    earlier = Window.partitionBy(by).orderBy("at", "kind", "signal_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("halted", F.coalesce(F.max(F.coalesce(F.col("refused").endswith("drawdown_breached"), F.lit(False))).over(earlier), F.lit(False)))
+    order_usd = capital * POSITION_PCT
+    reason = F.when(F.col("halted"), "system_halted").when(F.col("refused").isNotNull(), F.col("refused")).when(buy & F.lit(order_usd < MIN_ORDER_USD), "order_too_small").otherwise("ok")
     size = F.when(F.col("reason") == "ok", F.when(buy & F.lit(order_usd > MAX_ORDER_USD), MAX_ORDER_USD / capital).otherwise(POSITION_PCT))
     return rows.withColumn("reason", reason).select(by, "signal_id", (F.col("reason") == "ok").alias("approved"), "reason", size.alias("size_pct"))
 
 
 def rebalance(held: DataFrame, targets: DataFrame, drift: float = DRIFT) -> DataFrame:
-    """ANL12/JN8/SRT3: buys and sells that bring each symbol's weight to its target, where they are a drift apart."""
+    """ANL12/JN8: buys and sells that bring each symbol's weight to its target, where they are a drift apart."""
     df = held.groupBy("symbol").agg(F.sum("size_pct").alias("current")).join(targets.select("symbol", "target"), "symbol", "full").fillna(0.0, ["current", "target"])
     delta = F.col("target") - F.col("current")
     return df.withColumn("delta_pct", F.abs(delta)).withColumn("side", F.when(delta > 0, "buy").otherwise("sell")).where(F.col("delta_pct") >= drift)
 
 
+def by_drift(actions: DataFrame) -> DataFrame:
+    """SRT3: actions with their place by drift, the largest first; equal drifts in the order of symbols."""
+    return actions.orderBy(F.desc("delta_pct"), "symbol").withColumn("place", F.row_number().over(Window.orderBy(F.desc("delta_pct"), "symbol")))
+
+
 def target_problems(targets: DataFrame) -> DataFrame:
     """ANL13: whether targets are missing, outside [0, 1], or more than all together."""
     t = F.col("target")

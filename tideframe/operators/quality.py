@@ -20,9 +20,17 @@ def _order():
     return Window.partitionBy(*KEY).orderBy("timestamp")
 
 
+def _known_order():
+    """A series' rows that have a close, in their order; those that have none are apart."""
+    return Window.partitionBy(*KEY, F.isnull("close")).orderBy("timestamp")
+
+
 def with_zscore(candles: DataFrame) -> DataFrame:
-    """WIN14: distance of the close from its rolling mean in rolling deviations; 0 where that is not defined."""
-    frame = _order().rowsBetween(1 - Z_ROWS, 0)
+    """WIN14: distance of the close from its rolling mean in rolling deviations; 0 where that is not defined.
+
+    Rows without a close are in no frame.
+    """
+    frame = _known_order().rowsBetween(1 - Z_ROWS, 0)
     enough = F.count("close").over(frame) >= Z_LEAST
     deviation = F.nullif(F.when(enough, F.stddev_samp("close").over(frame)), F.lit(0.0))
     z = F.abs(F.try_divide(F.col("close") - F.when(enough, F.avg("close").over(frame)), deviation))
@@ -38,10 +46,11 @@ def with_mad(candles: DataFrame) -> DataFrame:
     """WIN15: modified z-score of the close, in a centred frame whose width follows the series' length.
 
     Frames hold 101 rows at most, so arrays stay small; the deviation is around the current row's median.
+    Rows without a close are in no frame.
     """
-    df = candles.withColumn("_n", F.count("close").over(Window.partitionBy(*KEY))).withColumn("_i", F.row_number().over(_order()))
+    df = candles.withColumn("_n", F.count("close").over(Window.partitionBy(*KEY, F.isnull("close")))).withColumn("_i", F.row_number().over(_known_order()))
     half = F.floor(F.least(F.lit(100), F.greatest(F.lit(10), F.floor(F.col("_n") / 5))) / 2)
-    near = F.collect_list(F.struct("_i", "close")).over(_order().rowsBetween(-50, 50))
+    near = F.collect_list(F.struct("_i", "close")).over(_known_order().rowsBetween(-50, 50))
     df = df.withColumn("_half", half).withColumn("_near", near)
     values = F.transform(F.filter("_near", lambda x: (F.abs(x["_i"] - F.col("_i")) <= F.col("_half")) & x["close"].isNotNull()), lambda x: x["close"])
     df = df.withColumn("_values", values).withColumn("_median", _median(F.col("_values")))

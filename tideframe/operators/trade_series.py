@@ -18,7 +18,8 @@ def parsed_side(raw: Column) -> Column:
 
 
 def series_totals(trades: DataFrame, by: list[Column | str]) -> DataFrame:
-    """AGG6: totals of the trades of each group, in exact decimals: OHLC, volumes, cost, VWAP, imbalance."""
+    """AGG6: totals of the trades of each group, in exact decimals: OHLC, volumes, cost, VWAP, imbalance as a share of the
+    whole volume, trades of an unknown side included."""
     price, amount = F.col("price").cast("decimal(18,8)"), F.col("amount").cast("decimal(18,8)")
     order, sum_of = F.struct("timestamp", "trade_id"), lambda c, when=None: F.sum(c if when is None else F.when(when, c))
     df = trades.withColumns({"_p": price, "_a": amount, "_c": (price * amount).cast("decimal(28,12)")})
@@ -34,8 +35,7 @@ def series_totals(trades: DataFrame, by: list[Column | str]) -> DataFrame:
         F.max_by("_p", order).alias("close_price"),
         (F.max(F.unix_millis("timestamp")) - F.min(F.unix_millis("timestamp"))).alias("duration_ms"),
     )
-    sides = (F.col("buy_volume") + F.col("sell_volume")).cast("double")
-    imbalance = F.coalesce(F.try_divide((F.col("buy_volume") - F.col("sell_volume")).cast("double"), sides), F.lit(0.0))
+    imbalance = F.coalesce(F.try_divide((F.col("buy_volume") - F.col("sell_volume")).cast("double"), F.col("total_volume").cast("double")), F.lit(0.0))
     vwap = F.coalesce(F.try_divide(F.col("total_cost").cast("double"), F.col("total_volume").cast("double")), F.lit(0.0))
     return out.withColumns({"vwap": vwap, "buy_sell_imbalance": imbalance})
 
@@ -85,11 +85,24 @@ def sorted_book(books: DataFrame) -> DataFrame:
     return books.withColumns({"bids": F.sort_array("bids", asc=False), "asks": F.sort_array("asks", asc=True)})
 
 
-def book_valid() -> Column:
-    """FLT15: sides sorted, levels positive, and not both empty."""
-    fine = lambda side: F.forall(side, lambda x: (x["price"] > 0) & (x["qty"] >= 0))
-    ordered = (F.col("bids") == F.sort_array("bids", asc=False)) & (F.col("asks") == F.sort_array("asks", asc=True))
-    return ordered & fine("bids") & fine("asks") & (F.size("bids") + F.size("asks") > 0)
+def book_problem() -> Column:
+    """FLT15: the first rule that a snapshot breaks, null if none: it has a venue, a symbol, a positive time and a level;
+    prices are positive and quantities not negative; bids fall and asks rise by price, equal prices allowed."""
+    prices = lambda side: F.transform(side, lambda x: x["price"])
+    bad = lambda side: F.exists(side, lambda x: ~((x["price"] > 0) & (x["qty"] >= 0)) | x["price"].isNull() | x["qty"].isNull())
+    return (
+        F.when(F.coalesce("exchange", F.lit("")) == "", "no_exchange").when(F.coalesce("symbol", F.lit("")) == "", "no_symbol").when(~(F.coalesce("ts_ms", F.lit(0)) > 0), "bad_time")
+        .when(F.size("bids") + F.size("asks") <= 0, "empty").when(bad("bids") | bad("asks"), "bad_level")
+        .when(prices("bids") != F.sort_array(prices("bids"), asc=False), "bids_not_falling").when(prices("asks") != F.sort_array(prices("asks"), asc=True), "asks_not_rising")
+    )
+
+
+def delta_problem() -> Column:
+    """FLT15: the first rule that a change of a level breaks, null if none."""
+    return (
+        F.when(F.coalesce("exchange", F.lit("")) == "", "no_exchange").when(F.coalesce("symbol", F.lit("")) == "", "no_symbol").when(~(F.coalesce("ts_ms", F.lit(0)) > 0), "bad_time")
+        .when(F.col("side").isNull() | ~F.col("side").isin("bid", "ask"), "bad_side").when(F.col("price").isNull() | ~(F.col("price") > 0), "bad_price").when(F.col("qty").isNull() | ~(F.col("qty") >= 0), "bad_size")
+    )
 
 
 def book_measures(books: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ f AS (SELECT account, symbol, 0 AS i, 0.0::DOUBLE AS qty, 0.0::DOUBLE AS avg, NU
 held AS (SELECT account, symbol, qty AS quantity, avg AS avg_entry, entry_ms FROM f QUALIFY row_number() OVER (PARTITION BY account, symbol ORDER BY i DESC) = 1),
 positions AS (SELECT * FROM held WHERE quantity > 0),
 closed0 AS (SELECT account, symbol, trade_id, trade_entry_ms AS entry_ms, exit_ms, closed_qty, avg_entry_price, exit_price, closed_qty * (exit_price - avg_entry_price) AS gross, CASE WHEN trade_id % 5 <> 1 THEN closed_qty * exit_price * 0.001 END AS fee FROM f WHERE closed_qty > 0),
-closed AS (SELECT *, gross - fee AS net, coalesce(gross - fee, gross) AS pnl, gross / nullif(closed_qty * avg_entry_price, 0) AS pnl_pct FROM closed0)"""
+closed AS (SELECT *, gross - fee AS net, coalesce(gross - fee, gross) AS pnl, coalesce(gross / nullif(closed_qty * avg_entry_price, 0), 0) AS pnl_pct FROM closed0)"""
 
 
 def _folded(spark, sf) -> DataFrame:
@@ -60,8 +60,8 @@ def _folded(spark, sf) -> DataFrame:
 
 
 def _trades(spark, sf) -> DataFrame:
-    known = F.col("trade_id") % 5 != 1
-    return p.settled(p.closed_trades(_folded(spark, sf)), F.col("closed_qty") * F.col("exit_price") * 0.001, F.when(known, "known").otherwise("unknown"))
+    fifth = F.col("trade_id") % 5
+    return p.settled(p.closed_trades(_folded(spark, sf)), F.col("closed_qty") * F.col("exit_price") * 0.001, F.when(fifth == 1, "unknown").when(fifth == 2, "provisional").otherwise("known"))
 
 
 @query("anl2_positions", f"{FOLD_SQL} SELECT account, symbol, {r('quantity', 'quantity')}, {r('avg_entry', 'avg_entry')}, entry_ms AS opened_ms FROM positions")
@@ -81,9 +81,9 @@ def anl3_settlement(spark, sf):
     return rounded(_trades(spark, sf).select("account", "symbol", "trade_id", *names, "is_winner", "duration_s"), *names)
 
 
-@query("anl5_anl6_performance", f"""{FOLD_SQL}, g AS (SELECT symbol, count(*) AS trades, count(*) FILTER (pnl > 0) AS winners, sum(pnl) AS total_usd, avg(pnl_pct) FILTER (pnl > 0) AS avg_win, avg(pnl_pct) FILTER (NOT pnl > 0) AS avg_loss, sum(pnl) FILTER (pnl > 0) AS won, sum(pnl) FILTER (NOT pnl > 0) AS lost,
+@query("anl5_anl6_performance", f"""{FOLD_SQL}, g AS (SELECT symbol, count(*) AS trades, count(*) FILTER (pnl > 0) AS winners, sum(pnl) AS total_usd, avg(pnl_pct) FILTER (pnl > 0) AS avg_win, avg(pnl_pct) FILTER (NOT pnl > 0) AS avg_loss, sum(pnl_pct) FILTER (pnl > 0) AS won, sum(pnl_pct) FILTER (NOT pnl > 0) AS lost,
   avg((exit_ms - entry_ms) / 1000) AS avg_duration_s, avg(pnl_pct) AS mean_pct, stddev_samp(pnl_pct) AS std_pct FROM closed GROUP BY symbol) SELECT symbol, trades, winners, round(total_usd, 4) AS total_usd, {r(f'total_usd / {CAPITAL}', 'return_pct')}, {r('winners / trades', 'win_rate')}, {r('avg_win', 'avg_win')}, {r('avg_loss', 'avg_loss')},
-  {r('won / abs(nullif(lost, 0))', 'profit_factor')}, round(avg_duration_s, 3) AS avg_duration_s, {r('CASE WHEN trades >= 2 THEN mean_pct / nullif(std_pct, 0) * sqrt(252) END', 'sharpe')} FROM g""")
+  {r('coalesce(won, 0) / abs(nullif(lost, 0))', 'profit_factor')}, round(avg_duration_s, 3) AS avg_duration_s, {r('CASE WHEN trades >= 2 THEN mean_pct / nullif(std_pct, 0) * sqrt(252) END', 'sharpe')} FROM g""")
 def anl5_performance(spark, sf):
     df = p.performance(_trades(spark, sf), CAPITAL, ["symbol"])
     return rounded(rounded(rounded(df, "return_pct", "win_rate", "avg_win", "avg_loss", "profit_factor", "sharpe"), "total_usd", places=4), "avg_duration_s", places=3)
@@ -139,8 +139,10 @@ def agg12_exposure(spark, sf):
 
 RISK_SQL = f"""{FOLD_SQL}, ev AS (SELECT account, exit_ms AS at_ms, 0 AS kind, coalesce(pnl, 0) * 5 AS pnl_usd, NULL::BIGINT AS signal_id FROM closed UNION ALL SELECT account, ts_ms, 1, 0, trade_id FROM trades),
 run AS (SELECT *, sum(pnl_usd) OVER (PARTITION BY account, at_ms // 86400000 ORDER BY at_ms, kind, signal_id NULLS FIRST ROWS UNBOUNDED PRECEDING) / {CAPITAL} AS daily, sum(pnl_usd) OVER (PARTITION BY account ORDER BY at_ms, kind, signal_id NULLS FIRST ROWS UNBOUNDED PRECEDING) / {CAPITAL} AS total FROM ev),
-halt AS (SELECT *, max(CASE WHEN kind = 0 AND (daily <= -0.05 OR total <= -0.15) THEN 1 ELSE 0 END) OVER (PARTITION BY account ORDER BY at_ms, kind, signal_id NULLS FIRST ROWS UNBOUNDED PRECEDING) = 1 AS halted FROM run),
-told AS (SELECT h.account, signal_id, t.side, CASE WHEN halted THEN 'system_halted' WHEN signal_id % 13 = 0 THEN 'signal_not_actionable' WHEN 0.7 + (signal_id % 10) * 0.03 < 0.8 THEN 'confidence_too_low' WHEN t.side <> 'sell' AND signal_id % 5 >= 3 THEN 'max_positions_reached' ELSE 'ok' END AS reason FROM halt h JOIN trades t ON t.trade_id = h.signal_id WHERE kind = 1)"""
+asked AS (SELECT run.*, t.side, CASE WHEN run.signal_id % 13 = 0 THEN 'signal_not_actionable' WHEN 0.7 + (run.signal_id % 10) * 0.03 < 0.8 THEN 'confidence_too_low' WHEN t.side <> 'sell' AND run.signal_id % 5 >= 3 THEN 'max_positions_reached'
+  WHEN daily <= -0.05 THEN 'daily_drawdown_breached' WHEN total <= -0.15 THEN 'total_drawdown_breached' END AS refused FROM run JOIN trades t ON t.trade_id = run.signal_id WHERE kind = 1),
+halting AS (SELECT account, min((at_ms, signal_id)) AS halt FROM asked WHERE refused IN ('daily_drawdown_breached', 'total_drawdown_breached') GROUP BY account),
+told AS (SELECT a.account, signal_id, CASE WHEN (at_ms, signal_id) > halt THEN 'system_halted' ELSE coalesce(refused, 'ok') END AS reason FROM asked a LEFT JOIN halting h ON h.account = a.account)"""
 
 
 def _risk(spark, sf) -> DataFrame:
@@ -160,11 +162,20 @@ WEIGHTS_SQL = f"{FOLD_SQL}, total AS (SELECT sum(quantity * avg_entry) AS t FROM
 
 @query("anl12_jn8_rebalance", f"{WEIGHTS_SQL}, j AS (SELECT coalesce(w.symbol, t.symbol) AS symbol, coalesce(current, 0) AS current, coalesce(target, 0) AS target FROM weights w FULL JOIN targets t ON w.symbol = t.symbol) SELECT symbol, {r('current', 'current')}, target, {r('abs(target - current)', 'delta_pct')}, CASE WHEN target > current THEN 'buy' ELSE 'sell' END AS side FROM j WHERE abs(target - current) >= 0.05")
 def anl12_rebalance(spark, sf):
+    return rounded(_weighed(spark, sf), "current", "delta_pct")
+
+
+def _weighed(spark, sf) -> DataFrame:
     held = p.positions(_folded(spark, sf)).withColumn("usd", F.col("quantity") * F.col("avg_entry"))
     total = held.agg(F.sum("usd").alias("total"))
     weights = held.crossJoin(F.broadcast(total)).select("symbol", (F.col("usd") / F.col("total")).alias("size_pct"))  # total is one row
     targets = spark.sql("SELECT * FROM VALUES ('click', 0.5D), ('view', 0.1D), ('gold', 0.2D) AS t(symbol, target)")
-    return rounded(p.rebalance(weights, targets), "current", "delta_pct")
+    return p.rebalance(weights, targets)
+
+
+@query("srt3_by_drift", f"{WEIGHTS_SQL}, j AS (SELECT coalesce(w.symbol, t.symbol) AS symbol, abs(coalesce(target, 0) - coalesce(current, 0)) AS delta FROM weights w FULL JOIN targets t ON w.symbol = t.symbol) SELECT symbol, row_number() OVER (ORDER BY delta DESC, symbol) AS place FROM j WHERE delta >= 0.05")
+def srt3_drift(spark, sf):
+    return p.by_drift(_weighed(spark, sf)).select("symbol", long("place").alias("place"))
 
 
 @query("anl13_targets", f"{WEIGHTS_SQL} SELECT false AS empty, count(*) FILTER (NOT current * 2 BETWEEN 0 AND 1) AS outside, sum(current * 2) > 1 + 1e-9 AS too_much FROM weights")

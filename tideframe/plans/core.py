@@ -345,14 +345,22 @@ meds AS (SELECT a.exchange, a.market_type, a.symbol, a.timeframe, a.ts_ms, a.clo
 mads AS (SELECT {K}, ts_ms, CASE WHEN n >= 5 THEN coalesce(0.6745 * abs(close - med) / nullif(list_aggregate(list_transform(vals, lambda v: abs(v - med)), 'median'), 0), 0) ELSE 0 END AS mad_score FROM meds)"""
 
 
-@query("win14_zscore", f"{m.BASE_SQL}, {Z_SQL} SELECT {K}, ts_ms, {r('z', 'z')} FROM z")
+#: Candles of which one in eleven has no close; those are in no frame.
+NULLED_SQL = f"{m.BASE_SQL.replace('candles AS', 'whole AS')}, nulled AS (SELECT * REPLACE (CASE WHEN ts_ms // {HOUR} % 11 <> 0 THEN close END AS close) FROM whole), candles AS (SELECT * FROM nulled WHERE close IS NOT NULL)"
+
+
+def _nulled(spark, sf) -> DataFrame:
+    return m.candles(spark, sf).withColumn("close", F.when(F.floor(F.unix_millis("timestamp") / HOUR) % 11 != 0, F.col("close")))
+
+
+@query("win14_zscore", f"{NULLED_SQL}, {Z_SQL} SELECT {K}, ts_ms, {r('z', 'z')} FROM z UNION ALL SELECT {K}, ts_ms, 0 FROM nulled WHERE close IS NULL")
 def win14_zscore(spark, sf):
-    return rounded(ts_ms(quality.with_zscore(m.candles(spark, sf))).select(*KEY, "ts_ms", "z"), "z")
+    return rounded(ts_ms(quality.with_zscore(_nulled(spark, sf))).select(*KEY, "ts_ms", "z"), "z")
 
 
-@query("win15_mad", f"{m.BASE_SQL}, {MAD_SQL} SELECT {K}, ts_ms, round(mad_score, 9) AS mad_score FROM mads")
+@query("win15_mad", f"{NULLED_SQL}, {MAD_SQL} SELECT {K}, ts_ms, round(mad_score, 9) AS mad_score FROM mads UNION ALL SELECT {K}, ts_ms, 0 FROM nulled WHERE close IS NULL")
 def win15_mad(spark, sf):
-    return rounded(ts_ms(quality.with_mad(m.candles(spark, sf))).select(*KEY, "ts_ms", "mad_score"), "mad_score", places=9)
+    return rounded(ts_ms(quality.with_mad(_nulled(spark, sf))).select(*KEY, "ts_ms", "mad_score"), "mad_score", places=9)
 
 
 _LATE = m.NOW_MS - 20 * 86_400_000

@@ -23,14 +23,22 @@ def _doubles(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c, kind in df.dtypes if kind.startswith("decimal")})
 
 
-@query("agg6_trade_series", f"{_T} SELECT {S}, {_TOTALS} FROM trades GROUP BY {S}")
+#: Trades of which one in nine has no known side: it counts in the volume, on neither side.
+_SIDED = f"{_T.replace('trades AS', 'all_trades AS')}, trades AS (SELECT * REPLACE (CASE WHEN trade_id % 9 = 0 THEN 'unknown' ELSE side END AS side) FROM all_trades)"
+
+
+def _sided(spark, sf) -> DataFrame:
+    return m.trades(spark, sf).withColumn("side", t.parsed_side(F.when(F.col("trade_id") % 9 == 0, "none").otherwise(F.upper("side"))))
+
+
+@query("agg6_trade_series", f"{_SIDED} SELECT {S}, {_TOTALS} FROM trades GROUP BY {S}")
 def agg6_series(spark, sf):
-    return rounded(_doubles(t.series_totals(m.trades(spark, sf), t.SERIES)), "vwap", "buy_sell_imbalance", places=9)
+    return rounded(_doubles(t.series_totals(_sided(spark, sf), t.SERIES)), "vwap", "buy_sell_imbalance", places=9)
 
 
-@query("agg6_str4_trade_windows", f"{_T} SELECT {S}, ts_ms - ts_ms % {MS['4h']} AS window_start_ms, {_TOTALS} FROM trades GROUP BY {S}, ts_ms - ts_ms % {MS['4h']}")
+@query("agg6_str4_trade_windows", f"{_SIDED} SELECT {S}, ts_ms - ts_ms % {MS['4h']} AS window_start_ms, {_TOTALS} FROM trades GROUP BY {S}, ts_ms - ts_ms % {MS['4h']}")
 def agg6_windows(spark, sf):
-    df = t.series_totals(m.trades(spark, sf), [*t.SERIES, F.window("timestamp", "4 hours").alias("w")])
+    df = t.series_totals(_sided(spark, sf), [*t.SERIES, F.window("timestamp", "4 hours").alias("w")])
     return rounded(_doubles(df.withColumn("window_start_ms", F.unix_millis("w.start")).drop("w")), "vwap", "buy_sell_imbalance", places=9)
 
 
@@ -142,11 +150,28 @@ def ob1_book(spark, sf):
     return rounded(rounded(df, "best_bid", "best_ask", "mid", "spread", places=9), "spread_bps").withColumns({c: long(c) for c in ("bid_depth", "ask_depth")})
 
 
-@query("srt6_flt15_book_valid", f"WITH {_LEVELS} SELECT l_orderkey, true AS valid, best_bid = (SELECT max(price) FROM l WHERE l.l_orderkey = b.l_orderkey AND bid) OR best_bid IS NULL AS sorted FROM b")
+#: Books with one fault each, by the order's number modulo 8; two bids of one price and falling quantities are no fault.
+_FAULTS = "CASE l_orderkey % 8 WHEN 1 THEN 'no_exchange' WHEN 2 THEN 'bad_time' WHEN 3 THEN CASE WHEN bid_depth + ask_depth > 0 THEN 'empty' END WHEN 4 THEN CASE WHEN bid_depth > 0 THEN 'bad_level' END WHEN 5 THEN CASE WHEN best_bid > least_bid THEN 'bids_not_falling' END END"
+
+
+@query("srt6_flt15_book_valid", f"WITH {_LEVELS.replace('max(price) FILTER (bid) AS best_bid', 'max(price) FILTER (bid) AS best_bid, min(price) FILTER (bid) AS least_bid')} SELECT l_orderkey, {_FAULTS} AS problem, best_bid AS first_bid FROM b")
 def srt6_book(spark, sf):
-    b = books(spark, sf)
-    first = F.get("bids", F.lit(0))["price"]
-    return b.select("l_orderkey", t.book_valid().alias("valid"), (first.isNull() | (first == F.array_max(F.transform("bids", lambda x: x["price"])))).alias("sorted"))
+    kind = F.col("l_orderkey") % 8
+    b = books(spark, sf).withColumns({"exchange": F.when(kind == 1, "").otherwise("ex0"), "symbol": F.lit("part"), "ts_ms": F.when(kind == 2, 0).otherwise(m.NOW_MS), "first_bid": F.get("bids", F.lit(0))["price"]})
+    none = F.slice("bids", 1, 0)
+    again = F.transform("bids", lambda x: F.struct(x["price"].alias("price"), (x["qty"] - 0.5).alias("qty")))
+    bids = F.when(kind == 3, none).when(kind == 4, F.transform("bids", lambda x: F.struct((-x["price"]).alias("price"), x["qty"].alias("qty")))).when(kind == 5, F.reverse("bids"))
+    twice = F.flatten(F.transform(F.sequence(F.lit(0), F.size("bids") - 1), lambda i: F.array(F.get("bids", i), F.get(again, i))))
+    bids = F.coalesce(bids, F.when((kind == 6) & (F.size("bids") > 0), twice), F.col("bids"))
+    b = b.withColumns({"bids": bids, "asks": F.when(kind == 3, none).otherwise(F.col("asks"))})
+    return b.select("l_orderkey", t.book_problem().alias("problem"), "first_bid")
+
+
+@query("flt15_deltas", f"{_T} SELECT CASE WHEN trade_id % 5 = 0 THEN 'bad_side' WHEN trade_id % 7 = 0 THEN 'bad_price' WHEN trade_id % 11 = 0 THEN 'bad_size' END AS problem, count(*) AS n FROM trades GROUP BY ALL")
+def flt15_deltas(spark, sf):
+    i = F.col("trade_id")
+    d = ts_ms(m.trades(spark, sf)).withColumns({"side": F.when(i % 5 == 0, F.col("side")).otherwise("bid"), "price": F.when(i % 7 == 0, 0.0).otherwise(F.col("price")), "qty": F.when(i % 11 == 0, F.lit(None).cast("double")).when(i % 13 == 0, 0.0).otherwise(F.col("amount"))})
+    return d.groupBy(t.delta_problem().alias("problem")).agg(F.count("*").alias("n"))
 
 
 @query("ob4_deltas", f"{_T} SELECT trade_id, CASE WHEN trade_id % 6 = 0 THEN 'delete' ELSE 'upsert' END AS kind, side = 'buy' AS is_bid FROM trades")
