@@ -424,6 +424,38 @@ def test_language(spark):
     assert sum(r["lang_pred"] == labels[r["doc_id"]] for r in held) >= 0.95 * len(held)
 
 
+def test_language_in_many_batches(spark, monkeypatch):
+    """Words remembered from earlier batches, and more of them than are remembered, score as in one batch."""
+    docs = table(spark, "documents").coalesce(1)
+    model = op7_language.train(docs)
+
+    def found():
+        out, names = op7_language.predict(docs.select("doc_id", "text"), model)
+        return {r["doc_id"]: (r[names["lang_pred"]], pytest.approx(r[names["score"]]), pytest.approx(r[names["fit"]], rel=1e-4)) for r in out.collect()}
+
+    want = found()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    got = found()
+    monkeypatch.setattr(op7_language, "_REMEMBER", 500)
+    less = found()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {i: (x, s.expected, f.expected) for i, (x, s, f) in got.items()} == want
+    assert {i: (x, s.expected, f.expected) for i, (x, s, f) in less.items()} == want
+
+
+def test_language_stage_rejects_what_was_not_learned(spark):
+    """A text of a language that none was labelled with goes, though naive Bayes is certain of one of its own; clean texts stay."""
+    import corpus_pipeline
+
+    docs = table(spark, "documents")
+    letters = np.array(list("qxzkwjvyhp"))
+    rng = np.random.default_rng(5)
+    odd = [(10_000 + i, " ".join("".join(rng.choice(letters, rng.integers(4, 9))) for _ in range(120)), None, "s", 1) for i in range(3)]
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs.union(spark.createDataFrame(odd, docs.schema)), SF).collect()}
+    clean = {r["doc_id"] for r in docs.where("n_chars > 200").collect()}
+    assert not kept & {r[0] for r in odd} and len(clean - kept) <= 0.01 * len(clean)
+
+
 def test_language_by_definition(spark):
     docs = spark.createDataFrame([(1, "ab ab", "x"), (2, "cd", "y"), (3, None, "y"), (4, "zz", None)], "doc_id long, text string, lang string")
     model = op7_language.train(docs)

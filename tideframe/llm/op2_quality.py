@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -218,16 +219,17 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
 # ---- model ----------------------------------------------------------------------------------
 
 
-def discounts(counts: DataFrame) -> DataFrame:
-    """language, d: Chen and Goodman's three discounts; kept within what a count has where the counts of counts are degenerate."""
-    n = counts.groupBy("language").agg(*(F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)))
+def discounts(levels: list[DataFrame]) -> DataFrame:
+    """language, level, d: Chen and Goodman's three discounts of each order; kept within what a count has where the counts of counts are degenerate."""
+    every = reduce(DataFrame.union, (level.select("language", F.lit(n).alias("level"), "n") for n, level in enumerate(levels, 1)))
+    n = every.groupBy("language", "level").agg(*(F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)))
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
 
     def d(k: int, otherwise: float) -> Column:
         some = F.col(f"n{k}") > 0
         return F.when(some & (F.col("n1") > 0), F.least(F.lit(k - 0.1), F.greatest(F.lit(0.1), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")))).otherwise(otherwise)
 
-    return n.select("language", F.array(d(1, 0.5), d(2, 1.0), d(3, 1.5)).alias("d"))
+    return n.select("language", "level", F.array(d(1, 0.5), d(2, 1.0), d(3, 1.5)).alias("d"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
@@ -240,10 +242,11 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     for n in range(ORDER - 1, 0, -1):
         shorter = levels[0].groupBy("language", F.substring("ngram", 2, n).alias("ngram")).agg(F.count("*").alias("n"))
         levels.insert(0, stored(shorter) if n == ORDER - 1 else shorter)
+    taken_off = broadcast_if_small(discounts(levels))
     below = None
     for n, level in enumerate(levels, 1):
         context = Window.partitionBy("language", F.substring("ngram", 1, n - 1))
-        taken = level.join(broadcast_if_small(discounts(level)), "language").withColumn("d", F.col("d")[F.least(F.col("n"), F.lit(3)).cast("int") - 1])
+        taken = level.join(taken_off.where(F.col("level") == n).drop("level"), "language").withColumn("d", F.col("d")[F.least(F.col("n"), F.lit(3)).cast("int") - 1])
         summed = taken.withColumn("total", F.sum("n").over(context)).withColumn("mass", F.sum("d").over(context))
         if below is None:
             summed = summed.withColumn("below", 1 / (F.count("*").over(context) + 1))

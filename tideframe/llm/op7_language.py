@@ -150,9 +150,10 @@ def predict(docs: DataFrame, model: NaiveBayes, text: str = "text") -> tuple[Dat
             known = [i for i, w in enumerate(here) if w in index]
             rows[known] = held[[index[here[i]] for i in known]]
             rows[new] = scores([here[i] for i in new])
-            room = new[: len(held) - len(index)]
-            held[len(index) : len(index) + len(room)] = rows[room]
-            index.update((here[i], len(index) + k) for k, i in enumerate(room))
+            first = len(index)
+            room = new[: len(held) - first]
+            held[first : first + len(room)] = rows[room]
+            index.update((here[i], first + k) for k, i in enumerate(room))
             at = {w: i for i, w in enumerate(here)}
             out = []
             for t, words in zip(texts, split, strict=True):
