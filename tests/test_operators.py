@@ -143,7 +143,8 @@ def test_drawdown(spark):
 def test_book(spark):
     level = "array<struct<price:double,qty:double>>"
     df = spark.sql(f"SELECT cast(array(named_struct('price', 99D, 'qty', 1D), named_struct('price', 100D, 'qty', 1D)) AS {level}) AS bids, cast(array() AS {level}) AS asks")
-    assert not df.select(t.book_valid().alias("v")).first()["v"]
+    df = df.selectExpr("*", "'x' AS exchange", "'s' AS symbol", "1L AS ts_ms")
+    assert df.select(t.book_problem().alias("v")).first()["v"] == "bids_not_falling"
     row = t.book_measures(t.sorted_book(df)).first()
     assert (row["best_bid"], row["best_ask"], row["mid"], row["crossed"]) == (100.0, None, None, False)
 
@@ -169,3 +170,29 @@ def test_lake(spark, tmp_path):
     assert lake.fresh("t", 2500) and not lake.fresh("t", 10**9)
     with pytest.raises(ValueError, match="version"):
         lake.resolve("t", "v3")
+
+
+def test_rows_of_failed_commits_are_not_read(spark, tmp_path):
+    """A commit that crashed before its log entry leaves files that no read gives, also after later commits."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.commit(candles(spark, [1.0, 2.0]).drop("seq"), "t", 1, 1000)
+    crashed = candles(spark, [7.0, 7.0, 7.0]).drop("seq").withColumn("ts_month", F.date_format("timestamp", "yyyy-MM"))
+    crashed.write.partitionBy("exchange", "symbol", "timeframe", "ts_month").parquet(f"{lake.folder}/t/commit_id=2")
+    assert one(lake.candles("t"), "close") == [1.0, 2.0]
+    lake.commit(candles(spark, [5.0]).drop("seq"), "t", 3, 900)  # logged with an earlier time: not the newest
+    assert one(lake.candles("t"), "close") == [1.0, 2.0]
+    lake.commit(candles(spark, [6.0]).drop("seq"), "t", 0, 2000)  # a lower id, but newer
+    assert one(lake.candles("t"), "close") == [6.0, 2.0]
+    with pytest.raises(LookupError):
+        lake.found("t", ["no such symbol"])
+
+
+def test_retention_expires_versions_not_rows(spark, tmp_path):
+    lake, day = Lake(spark, str(tmp_path / "lake")), 86_400_000
+    for k in (1, 2, 3):
+        lake.commit(candles(spark, [float(k)] * k).drop("seq"), "t", k, k * day)
+    rows = one(lake.candles("t"), "close")
+    assert tuple(lake.retention("t", 9 * day, 3, dry_run=False).first()) == (3, 2)
+    assert one(lake.candles("t"), "close") == rows and tuple(lake.retention("t", 9 * day, 3).first()) == (1, 0)
+    with pytest.raises(LookupError):
+        lake.resolve("t", 1)

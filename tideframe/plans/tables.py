@@ -342,6 +342,48 @@ def src23_bounds(spark, sf):
     return _lake(spark, sf).bounds("silver").select(*KEY, F.unix_millis("oldest").alias("oldest_ms"), F.unix_millis("newest").alias("newest_ms"))
 
 
-@query("snk17_retention", "SELECT 2 AS scanned, 1 AS eligible")
+@query("snk17_retention", f"{_C} SELECT 'before' AS state, 2 AS scanned, 1 AS eligible, count(*) AS live_rows FROM candles UNION ALL SELECT 'after', 1, 0, count(*) FROM candles")
 def snk17_retention(spark, sf):
-    return _lake(spark, sf).retention("silver", 1_500 + 3 * MS["1d"], 3)
+    """The older version expires: it is no version any more, and the newest one reads the same rows."""
+    lake, now = _lake(spark, sf), 1_500 + 3 * MS["1d"]
+    before, rows = lake.retention("silver", now, 3), lake.candles("silver").agg(F.count("*").alias("live_rows"))
+    before = spark.createDataFrame([(*before.first(), rows.first()[0])], "scanned long, eligible long, live_rows long").select(F.lit("before").alias("state"), "*")
+    lake.retention("silver", now, 3, dry_run=False)
+    after = lake.retention("silver", now, 3).crossJoin(lake.candles("silver").agg(F.count("*").alias("live_rows")))  # each is one row
+    return before.union(after.select(F.lit("after").alias("state"), "*"))
+
+
+@query("snk6_src6_trades_table", f"{_T} SELECT exchange, symbol, trade_id, ts_ms, price + CASE WHEN trade_id % 3 = 0 THEN 1 ELSE 0 END AS price FROM trades WHERE symbol IN ('click', 'view') AND ts_ms BETWEEN {m.NOW_MS - 10 * MS['1d']} AND {m.NOW_MS - 5 * MS['1d']}")
+def snk6_trades(spark, sf):
+    """Trades, which have no timeframe, are stored by trade id; a second commit corrects some of them."""
+    lake, t = Lake(spark, new_folder(spark)), m.trades(spark, sf).withColumn("timestamp", F.timestamp_millis(F.unix_millis("timestamp")))
+    lake.commit(t, "trades", 1, 1_000)
+    lake.upsert(t.where("trade_id % 3 = 0").withColumn("price", F.col("price") + 1), "trades", 2, 2_000)
+    return ts_ms(lake.newest_rows("trades", ["click", "view"], m.NOW_MS - 10 * MS["1d"], m.NOW_MS - 5 * MS["1d"], columns=["price"])).select("exchange", "symbol", "trade_id", "ts_ms", "price")
+
+
+@query("snk7_derivatives_table", f"{_T}, d AS (SELECT exchange, symbol, ts_ms - ts_ms % {HOUR} AS ts_ms, unnest(['funding_rate', 'open_interest']) AS metric, unnest([avg(price), sum(amount)]) AS value FROM trades GROUP BY exchange, symbol, ts_ms - ts_ms % {HOUR}) SELECT exchange, symbol, metric, ts_ms, round(value + CASE WHEN metric = 'funding_rate' THEN 5 ELSE 0 END, 6) AS value FROM d")
+def snk7_derivatives(spark, sf):
+    """Derivatives in long form; a correction of one metric leaves the other of the same time as it is."""
+    hour = F.window("timestamp", "1 hour").alias("w")
+    wide = m.trades(spark, sf).groupBy("exchange", "market_type", "symbol", hour).agg(F.avg("price").alias("funding_rate"), F.sum("amount").alias("open_interest"))
+    long_form = wide.select("exchange", "market_type", "symbol", F.col("w.start").alias("timestamp"), "funding_rate", "open_interest").unpivot(["exchange", "market_type", "symbol", "timestamp"], ["funding_rate", "open_interest"], "metric", "value")
+    lake = Lake(spark, new_folder(spark))
+    lake.commit(long_form, "derivatives", 1, 1_000)
+    lake.upsert(long_form.where("metric = 'funding_rate'").withColumn("value", F.col("value") + 5), "derivatives", 2, 2_000)
+    return rounded(ts_ms(lake.newest_rows("derivatives")).select("exchange", "symbol", "metric", "ts_ms", "value"), "value")
+
+
+@query("src7_feature_range", f"{_C} SELECT symbol, ts_ms, round((high - low) / nullif(close, 0), 6) AS high_low_spread FROM candles WHERE symbol = 'click' AND exchange = 'ex0' AND ts_ms >= {m.NOW_MS - 5 * MS['1d']}")
+def src7_features(spark, sf):
+    """A research read: one column of one symbol's features in a range of time."""
+    lake = Lake(spark, new_folder(spark))
+    lake.commit(gold_rows(features.gold_features(m.candles(spark, sf)), "r1", "v1", 1), "gold", 1, 1_000, "replace", source_commit_id=1)
+    df = lake.found("gold", ["click"], m.NOW_MS - 5 * MS["1d"], columns=["high_low_spread"]).where("exchange = 'ex0'")
+    return rounded(ts_ms(df).select("symbol", "ts_ms", "high_low_spread"), "high_low_spread")
+
+
+@query("src19_datasets", f"{_C} SELECT DISTINCT exchange, symbol, timeframe, true AS fresh FROM candles")
+def src19_datasets(spark, sf):
+    lake = _lake(spark, sf)
+    return lake.datasets("silver").select("exchange", "symbol", "timeframe", F.lit(lake.fresh("silver", 2_000 + HOUR) and not lake.fresh("silver", 2_001 + HOUR)).alias("fresh"))

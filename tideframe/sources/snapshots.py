@@ -3,31 +3,50 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY = ["exchange", "market_type", "symbol", "timeframe"]
-LOG = "commit_id long, committed_ms long, table string, kind string, exchange string, market_type string, symbol string, timeframe string, run_id string, feature_version string, source_commit_id long, added_rows long"
+LOG = "commit_id long, committed_ms long, table string, kind string, exchange string, market_type string, symbol string, timeframe string, run_id string, feature_version string, source_commit_id long, added_rows long, files long"
 GOLD_COLUMNS = ["timestamp", "open", "high", "low", "close", "volume", "log_return", "return_1", "volatility_20", "vwap", "high_low_spread", "volume_z", "price_range_pct", "body_pct", "is_suspect"]
+#: What tells the rows of a series apart, by table; other tables have one row for each time.
+ROW_KEYS = {"trades": ["timestamp", "trade_id"], "derivatives": ["timestamp", "metric"]}
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A folder for tables that no location is given for, in the shared checkpoint folder where there is one."""
+    """A folder for tables that no location is given for: in the shared checkpoint folder, or, where none is set on a local master (tests), one of our own."""
     import uuid
 
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideframe-")
-    return f"{base}/lake-{uuid.uuid4().hex}"
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base or tempfile.mkdtemp(prefix='tideframe-')}/lake-{uuid.uuid4().hex}"
+
+
+def _series(df: DataFrame) -> DataFrame:
+    """df with its series' columns named apart, to be joined by _same_series."""
+    return df.withColumnsRenamed({c: f"_{c}" for c in KEY})
+
+
+def _same_series() -> Column:
+    """Equal series; tables without a timeframe have a null one."""
+    return reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY))
 
 
 class Lake:
-    """Tables under one folder. A row belongs to the commit that wrote it; the log says which commits are live."""
+    """Tables under one folder. A row belongs to the commit that wrote it; the log says which commits are live.
+
+    Rows that a commit wrote before it failed are in no log entry, so no read gives them. Of commits
+    the one logged later is newer, and of those of one time the one with the higher id.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def log(self) -> DataFrame:
-        """The snapshot log; empty before the first commit."""
+    def _entries(self) -> DataFrame:
         try:
             return self.spark.read.schema(LOG).parquet(f"{self.folder}/_log")
         except Exception as e:  # the folder is not there yet
@@ -35,54 +54,76 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], LOG)
 
+    def log(self) -> DataFrame:
+        """The log of commits; empty before the first one."""
+        return self._entries().where("kind != 'expire'")
+
+    def snapshots(self, table: str) -> DataFrame:
+        """The commits of a table that can still be read as versions: those that have not expired."""
+        gone = self._entries().where((F.col("table") == table) & (F.col("kind") == "expire")).select("commit_id")
+        return self.log().where(F.col("table") == table).join(gone, "commit_id", "left_anti")
+
     def has(self, table: str, commit_id: int) -> bool:
         return not self.log().where((F.col("table") == table) & (F.col("commit_id") == commit_id)).isEmpty()
 
     def commit(self, df: DataFrame, table: str, commit_id: int, now_ms: int, kind: str = "append", run_id: str = "run", feature_version: str | None = None, source_commit_id: int | None = None) -> None:
-        """SNK1-SNK6, SNK16: write rows and log the commit for each series; a commit that is logged already is skipped.
+        """SNK1-SNK7, SNK16: write rows and log the commit for each series; a commit that is logged already is skipped.
 
-        kind replace: the commit stands for all of a series' rows before it.
+        kind replace: the commit stands for all of a series' rows before it. Trades and derivatives have no timeframe.
         """
         if self.has(table, commit_id):
             return
         month = F.date_format("timestamp", "yyyy-MM")
         path = f"{self.folder}/{table}/commit_id={commit_id}"
-        df.withColumn("ts_month", month).repartition("symbol", "ts_month").sortWithinPartitions("timestamp").write.mode("overwrite").partitionBy("exchange", "symbol", "timeframe", "ts_month").parquet(path)
-        entry = self.spark.read.parquet(path).groupBy(*KEY).agg(F.count("*").alias("added_rows"))
+        parts = [c for c in ("exchange", "symbol", "timeframe") if c in df.columns]
+        df.withColumn("ts_month", month).repartition("symbol", "ts_month").sortWithinPartitions("timestamp").write.mode("overwrite").partitionBy(*parts, "ts_month").parquet(path)
+        written = self.spark.read.parquet(path).withColumn("_file", F.input_file_name())
+        written = written if "timeframe" in parts else written.withColumn("timeframe", F.lit(None).cast("string"))
+        entry = written.groupBy(*KEY).agg(F.count("*").alias("added_rows"), F.count_distinct("_file").alias("files"))
         constants = {"commit_id": commit_id, "committed_ms": now_ms, "table": table, "kind": kind, "run_id": run_id, "feature_version": feature_version, "source_commit_id": source_commit_id}
         types = dict(part.split() for part in LOG.split(", "))
         entry.select(*((F.lit(constants[c]) if c in constants else F.col(c)).cast(t).alias(c) for c, t in types.items())).write.mode("append").parquet(f"{self.folder}/_log")
 
-    def resolve(self, table: str, version: int | str = "latest", as_of_ms: int | None = None) -> int:
-        """SRC4/SRC22/SRT7: the commit that a version means: latest, a commit id, or the last one at a time."""
-        log = self.log().where(F.col("table") == table)
+    def resolve(self, table: str, version: int | str = "latest", as_of_ms: int | None = None) -> tuple[int, int]:
+        """SRC4/SRC22/SRT7: time and id of the commit that a version means: latest, a commit id, or the last one at a time."""
+        log = self.snapshots(table)
         if as_of_ms is not None:
             log = log.where(F.col("committed_ms") <= as_of_ms)
         elif version != "latest":
             if not isinstance(version, int):
                 raise ValueError(f"a version is 'latest' or a commit id, not {version!r}")
             log = log.where(F.col("commit_id") == version)
-        found = log.agg(F.max_by("commit_id", F.struct("committed_ms", "commit_id"))).first()[0]
+        found = log.agg(F.max(F.struct("committed_ms", "commit_id"))).first()[0]
         if found is None:
             raise LookupError(f"{table} has no such snapshot")
-        return found
+        return found["committed_ms"], found["commit_id"]
+
+    def live(self, table: str, version: int | str = "latest", as_of_ms: int | None = None) -> DataFrame:
+        """The log entries of a version: for each series its commits since the last replace, with their place in time."""
+        at_ms, at_id = self.resolve(table, version, as_of_ms)
+        place = F.struct("committed_ms", "commit_id")
+        log = self.log().where((F.col("table") == table) & (place <= F.struct(F.lit(at_ms).cast("long").alias("committed_ms"), F.lit(at_id).cast("long").alias("commit_id")))).withColumn("place", place)
+        since = log.where("kind = 'replace'").groupBy(*KEY).agg(F.max("place").alias("since"))
+        return log.join(_series(since), _same_series(), "left").where(F.col("since").isNull() | (F.col("place") >= F.col("since"))).select(*KEY, "commit_id", "place")
 
     def read(self, table: str, version: int | str = "latest", as_of_ms: int | None = None, columns: list[str] | None = None) -> DataFrame:
-        """SRC1-SRC3: live rows of a version: appended ones, and of replaced series those since the last replace.
+        """SRC1-SRC3, SRC6: rows of the live commits of a version, or some of their columns.
 
         Filters on series, month and time given to the result reach the scan as partition and Parquet filters.
         """
-        commit = self.resolve(table, version, as_of_ms)
-        log = self.log().where((F.col("table") == table) & (F.col("commit_id") <= commit))
-        first = F.coalesce(F.max(F.when(F.col("kind") == "replace", F.col("commit_id"))), F.lit(-1))
-        since = log.groupBy(*KEY).agg(first.alias("since"))
-        rows = self.spark.read.option("basePath", f"{self.folder}/{table}").parquet(f"{self.folder}/{table}").where(F.col("commit_id") <= commit)
-        live = rows.join(since, KEY).where(F.col("commit_id") >= F.col("since")).drop("since")
-        return live.select(*columns) if columns else live
-
-    def candles(self, table: str, symbols: list[str] | None = None, start_ms: int | None = None, end_ms: int | None = None, **version) -> DataFrame:
-        """SRC1, SRC5-SRC8, DED3: candles of some symbols in an inclusive range; the latest commit of each timestamp wins."""
-        df = self.read(table, **version)
+        df = self._placed(table, version, as_of_ms).drop("place")
+        return df.select(*columns) if columns else df
+
+    def _placed(self, table: str, version: int | str = "latest", as_of_ms: int | None = None) -> DataFrame:
+        entries = _series(self.live(table, version, as_of_ms)).withColumnRenamed("commit_id", "_commit_id")
+        rows = self.spark.read.option("basePath", f"{self.folder}/{table}").parquet(f"{self.folder}/{table}")
+        rows = rows if "timeframe" in rows.columns else rows.withColumn("timeframe", F.lit(None).cast("string"))
+        return rows.join(entries, _same_series() & (F.col("commit_id") == F.col("_commit_id"))).select(*rows.columns, "place")
+
+    def newest_rows(self, table: str, symbols: list[str] | None = None, start_ms: int | None = None, end_ms: int | None = None, columns: list[str] | None = None, **version) -> DataFrame:
+        """SRC1, SRC5-SRC8, SNK6, SNK7, DED3: rows of some symbols in an inclusive range, or some of their columns; of rows with
+        one key (see ROW_KEYS) the one of the latest commit wins, so a commit of a known key is an upsert. No row is an error."""
+        df = self._placed(table, **version)
         if symbols is not None:
             df = df.where(F.col("symbol").isin(symbols))
         for bound, after in ((start_ms, True), (end_ms, False)):
@@ -90,9 +131,21 @@ class Lake:
                 t, edge = F.col("timestamp"), F.timestamp_millis(F.lit(bound))
                 month = F.date_format(edge, "yyyy-MM")
                 df = df.where((t >= edge) & (F.col("ts_month") >= month) if after else (t <= edge) & (F.col("ts_month") <= month))
-        rest = [c for c in df.columns if c not in (*KEY, "timestamp", "commit_id", "ts_month")]
-        best = df.groupBy(*KEY, "timestamp").agg(F.max_by(F.struct(*rest), "commit_id").alias("r"))
-        return best.select(*KEY, "timestamp", *(F.col(f"r.{c}").alias(c) for c in rest))
+        key = [*KEY, *ROW_KEYS.get(table, ["timestamp"])]
+        rest = [c for c in df.columns if c not in (*key, "commit_id", "ts_month", "place") and (columns is None or c in columns)]
+        best = df.groupBy(*key).agg(F.max_by(F.struct(F.lit(0).alias("_"), *rest), "place").alias("r"))
+        return best.select(*key, *(F.col(f"r.{c}").alias(c) for c in rest))
+
+    def candles(self, table: str, *given, **more) -> DataFrame:
+        """The newest rows of a table of candles."""
+        return self.newest_rows(table, *given, **more)
+
+    def found(self, table: str, *given, **more) -> DataFrame:
+        """SRC3: the newest rows, or LookupError where there is none."""
+        df = self.newest_rows(table, *given, **more)
+        if df.isEmpty():
+            raise LookupError(f"{table} has no row of that selection")
+        return df
 
     def datasets(self, table: str) -> DataFrame:
         """SRC19."""
@@ -100,7 +153,7 @@ class Lake:
 
     def versions(self, table: str) -> DataFrame:
         """SRC20/SRC21: commits of each series with their rows, run and origin."""
-        return self.log().where(F.col("table") == table).select(*KEY, "commit_id", "committed_ms", "kind", "run_id", "feature_version", "source_commit_id", "added_rows")
+        return self.snapshots(table).select(*KEY, "commit_id", "committed_ms", "kind", "run_id", "feature_version", "source_commit_id", "added_rows", "files")
 
     def bounds(self, table: str) -> DataFrame:
         """SRC23: oldest and newest time of each series."""
@@ -111,16 +164,27 @@ class Lake:
         newest = self.log().where(F.col("table") == table).agg(F.max("committed_ms")).first()[0]
         return newest is not None and now_ms - newest <= max_age_ms
 
-    def retention(self, table: str, now_ms: int, days: int, keep_days: int = 2) -> DataFrame:
-        """SNK17, dry run: scanned and eligible commits; the newest commit is never eligible."""
+    def expirable(self, table: str, now_ms: int, days: int, keep_days: int = 2) -> DataFrame:
+        """SNK17: versions with the verdict on each: those older than the limit expire, but the newest never does."""
         limit = now_ms - max(days, keep_days) * 86_400_000
-        log = self.log().where(F.col("table") == table).select("commit_id", "committed_ms").distinct()
-        newest = log.agg(F.max("committed_ms").alias("newest"))
-        old = (F.col("committed_ms") < limit) & (F.col("committed_ms") < F.col("newest"))
-        return log.crossJoin(newest).agg(F.count("*").alias("scanned"), F.count_if(old).alias("eligible"))
+        commits = self.snapshots(table).groupBy("commit_id").agg(F.max("committed_ms").alias("committed_ms"))
+        newest = commits.agg(F.max(F.struct("committed_ms", "commit_id"))["commit_id"].alias("newest"))
+        old = (F.col("committed_ms") < limit) & (F.col("commit_id") != F.col("newest"))
+        return commits.crossJoin(newest).select("commit_id", "committed_ms", old.alias("expired"))  # newest is one row
+
+    def retention(self, table: str, now_ms: int, days: int, keep_days: int = 2, dry_run: bool = True) -> DataFrame:
+        """SNK17: scanned and eligible versions. Without dry_run the eligible ones expire: they can no longer be read as
+        versions, while their rows stay in the versions after them. The log is only added to."""
+        told = self.expirable(table, now_ms, days, keep_days)
+        counted = self.spark.createDataFrame([told.agg(F.count("*").alias("scanned"), F.count_if("expired").alias("eligible")).first()])
+        if not dry_run:
+            marks = {"committed_ms": F.lit(now_ms), "table": F.lit(table), "kind": F.lit("expire"), "commit_id": F.col("commit_id")}
+            types = dict(part.split() for part in LOG.split(", "))
+            told.where("expired").select(*(marks.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items())).write.mode("append").parquet(f"{self.folder}/_log")
+        return counted
 
     def upsert(self, df: DataFrame, table: str, commit_id: int, now_ms: int) -> None:
-        """SNK7: a true upsert: the new rows win over live ones of the same series and time."""
+        """SNK7: a true upsert: the new rows win over live ones of the same key."""
         self.commit(df, table, commit_id, now_ms)
 
 
