@@ -4,15 +4,21 @@ A turn is written `<|im_start|>role\\nbody<|im_end|>\\n`. Inside roles and bodie
 `&amp;` and `<|` becomes `&lt;|`, and inside roles a line end becomes `&#10;`; so no text can hold
 a control string, and reading undoes it exactly.
 
-Prefix sums of the turns' tokens cut a conversation into turn-aligned spans. Each span becomes a
-window: the system turn again (if an earlier window had it), up to HISTORY tokens of the turns
-before, then the span's own turns. The span's size leaves room for the repeats within BUDGET; one
-turn that is longer has a window of its own. Only a span's own assistant bodies are under the
-loss mask, so each is a target once.
+Prefix sums of the turns' tokens cut a conversation into turn-aligned spans: a turn longer than half
+a span's room is a span of its own, and of what lies between such turns each stretch of half a room
+opens a span, so none is longer than its room. Each span becomes a window of at most BUDGET tokens: the
+system turn again (if an earlier window had it), up to HISTORY tokens of the turns before, then the
+span's own turns. Where the budget does not leave room for all of it, the history shrinks first
+and the system turn goes next; only one turn that is longer than the budget itself exceeds it, alone.
+Only a span's own assistant bodies are under the loss mask, so each is a target once.
+
+All steps are window functions over turns, and each window is a row; a conversation's turns are
+in one task for that, and its digest, which needs all of them, is one row.
 
 Nulls: null texts and roles count as empty; a null turn sorts first; a null conv_id is one
-conversation. Rows of one conversation with the same turn are ordered by role and text. An empty
-table gives an empty result. One conversation is one group, as its digest needs all its turns in order.
+conversation. Rows of one conversation with the same turn are ordered by role and text, and repeated
+rows are turns of their own. Texts of any length are whole; other columns are not looked at. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,85 +57,74 @@ def turn_tokens(text: Column) -> Column:
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens=turn_tokens) -> DataFrame:
-    """conv_id and its windows: array of struct(text, repeats, spans).
+    """conv_id, window (its first own turn's place), text, repeats, spans, tokens: a row for each window.
 
     repeats is the number of turns at a window's start that an earlier window has too; spans are
-    the loss mask, as [begin, end) in code points of text.
+    the loss mask, as [begin, end) in code points of text; tokens is what the window's turns take together.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    whole, order = Window.partitionBy("conv_id"), Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("tokens", tokens(F.col("text")).cast("long"))
-    rows = rows.withColumn("after", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("idx", F.row_number().over(order))
-    turn = F.struct("idx", (F.col("after") - F.col("tokens")).alias("before"), "after", "tokens", "role", "text")
-    grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-
-    # the system turn: the first with that role; 0 where there is none
-    system = F.coalesce(F.get(F.filter("turns", lambda t: t["role"] == "system"), F.lit(0)), F.struct(F.lit(0).alias("idx"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("after"), F.lit(0).cast("long").alias("tokens"), F.lit("").alias("role"), F.lit("").alias("text")))
-    grouped = grouped.withColumn("system", system)
-    s = F.col("system")
-
-    def step(acc: Column, t: Column) -> Column:
-        repeats = F.when(F.size(acc["starts"]) > 1, F.lit(history) + F.when((s["idx"] > 0) & (s["idx"] < t["idx"]), s["tokens"]).otherwise(0)).otherwise(0)
-        opens = (F.size(acc["starts"]) == 0) | ((t["idx"] > F.get(acc["starts"], F.size(acc["starts"]) - 1)) & (t["after"] - acc["from"] + repeats > budget))
-        return F.struct(F.when(opens, t["before"]).otherwise(acc["from"]).alias("from"), F.when(opens, F.concat(acc["starts"], F.array(t["idx"]))).otherwise(acc["starts"]).alias("starts"))
-
-    empty = F.struct(F.lit(0).cast("long").alias("from"), F.array().cast("array<int>").alias("starts"))
-    grouped = grouped.withColumn("starts", F.aggregate("turns", empty, step, lambda acc: acc["starts"]))
-
-    def window(start: Column, k: Column) -> Column:
-        stop = F.coalesce(F.get("starts", k + 1), F.size("turns") + 1)
-        first = F.get("turns", start - 1)
-        n_history = F.size(F.filter("turns", lambda t: (t["idx"] < start) & (first["before"] - t["before"] <= history)))
-        begin = start - n_history
-        with_system = (s["idx"] > 0) & (s["idx"] < begin)
-        own = F.slice("turns", begin, stop - begin)
-        return F.struct((n_history + with_system.cast("int")).alias("repeats"), F.when(with_system, F.concat(F.array(s), own)).otherwise(own).alias("turns"))
-
-    spans = grouped.select("conv_id", F.transform("starts", window).alias("windows"))
-
-    def rendered(w: Column) -> Column:
-        parts = F.transform(w["turns"], lambda t, i: F.struct(F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"), ((t["role"] == "assistant") & (i >= w["repeats"])).alias("target")))
-        text = F.array_join(F.transform(parts, lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
-
-        def mark(acc: Column, p: Column) -> Column:
-            begin = acc["at"] + F.length(p["head"])
-            end = begin + F.length(p["body"])
-            span = F.array(F.struct(begin.alias("begin"), end.alias("end")))
-            return F.struct((end + len(END)).alias("at"), F.when(p["target"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,end:int>>").alias("spans"))
-        return F.struct(text.alias("text"), w["repeats"].alias("repeats"), F.aggregate(parts, none, mark, lambda acc: acc["spans"]).alias("spans"))
-
-    return spans.select("conv_id", F.transform("windows", rendered).alias("windows"))
-
-
-def read_turns(window: Column) -> Column:
+    rows = rows.withColumn("tokens", tokens(F.col("text")).cast("long")).withColumn("idx", F.row_number().over(order))
+    placed = Window.partitionBy("conv_id").orderBy("idx")
+    rows = rows.withColumn("before", F.coalesce(F.sum("tokens").over(placed.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # the system turn: the first with that role; null where there is none
+    rows = rows.withColumn("system", F.min(F.when(F.col("role") == "system", F.struct("idx", "before", "tokens", "role", "text"))).over(whole))
+    repeated = F.coalesce("system.tokens", F.lit(0))
+
+    half = F.greatest(F.floor(F.greatest(budget - history - repeated, F.lit(budget // 2)) / 2), F.lit(1))
+    rows = rows.withColumn("half", half).withColumn("alone", F.col("tokens") > F.col("half"))
+    cut = F.col("alone") | F.coalesce(F.lag("alone").over(placed), F.lit(False))
+    rows = rows.withColumn("run", F.sum(cut.cast("int")).over(placed))
+    rows = rows.withColumn("stretch", F.floor((F.col("before") - F.min("before").over(Window.partitionBy("conv_id", "run"))) / F.col("half")))
+    rows = rows.withColumn("window", F.min("idx").over(Window.partitionBy("conv_id", "run", "stretch")))
+
+    rows = rows.withColumn("own", F.sum("tokens").over(Window.partitionBy("conv_id", "window")))
+    with_system = (F.col("system.idx") < F.col("window")) & (F.col("own") + repeated <= budget)
+    rows = rows.withColumn("with_system", F.coalesce(with_system, F.lit(False)))
+    rows = rows.withColumn("room", F.greatest(F.lit(0), F.least(F.lit(history), budget - F.col("own") - F.when(F.col("with_system"), repeated).otherwise(0))))
+    # each turn goes to its own window, and to those that open soon enough after it to repeat it
+    opening = F.when(F.col("idx") == F.col("window"), F.struct("window", "before", "room"))
+    soon = F.collect_list(opening).over(Window.partitionBy("conv_id").orderBy("before").rangeBetween(0, history))
+    later = F.transform(F.filter(soon, lambda w: (w["window"] > F.col("idx")) & (w["before"] - F.col("before") <= w["room"])), lambda w: w["window"])
+    rows = rows.withColumn("targets", F.concat(F.array("window"), later))
+    here = F.struct("idx", "tokens", "role", "text")
+    lead = (F.col("idx") == F.col("window")) & F.col("with_system") & (F.col("before") - F.col("system.before") > F.col("room"))
+    first = F.struct(F.col("window"), F.struct("system.idx", "system.tokens", "system.role", "system.text").alias("turn"))
+    members = F.transform("targets", lambda w: F.struct(w.alias("window"), here.alias("turn")))
+    pieces = rows.select("conv_id", F.inline(F.when(lead, F.concat(F.array(first), members)).otherwise(members))).select("conv_id", "window", "turn.*")
+
+    head, body = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")), escape(F.col("text"))
+    pieces = pieces.withColumns({"head": F.length(head), "body": F.length(body), "piece": F.concat(head, body, F.lit(END))})
+    inside = Window.partitionBy("conv_id", "window").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum(F.length("piece")).over(inside), F.lit(0)) + F.col("head")
+    target = (F.col("role") == "assistant") & (F.col("idx") >= F.col("window"))
+    pieces = pieces.withColumn("span", F.when(target, F.struct(begin.cast("int").alias("begin"), (begin + F.col("body")).cast("int").alias("end"))))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "piece"))), lambda p: p["piece"]), "")
+    return pieces.groupBy("conv_id", "window").agg(text.alias("text"), F.count_if(F.col("idx") < F.col("window")).cast("int").alias("repeats"), F.array_sort(F.collect_list("span")).alias("spans"), F.sum("tokens").alias("tokens"))
+
+
+def read_turns() -> Column:
     """The turns that a window is the first to hold, as struct(role, text), from its text alone."""
-    pieces = F.split(window["text"], "<\\|im_end\\|>\n")
-    own = F.slice(pieces, window["repeats"] + 1, F.size(pieces) - 1 - window["repeats"])
+    pieces = F.split("text", "<\\|im_end\\|>\n")
+    own = F.slice(pieces, F.col("repeats") + 1, F.size(pieces) - 1 - F.col("repeats"))
     headless = F.transform(own, lambda p: F.substring(p, len(START) + 1, 2147483647))
     return F.transform(headless, lambda p: F.struct(unescape_role(F.substring_index(p, "\n", 1)).alias("role"), unescape(F.substr(p, F.locate("\n", p) + 1)).alias("text")))
 
 
-def read_targets(window: Column) -> Column:
+def read_targets() -> Column:
     """The texts under a window's loss mask."""
-    return F.transform(window["spans"], lambda x: unescape(F.substr(window["text"], x["begin"] + 1, x["end"] - x["begin"])))
+    return F.transform("spans", lambda x: unescape(F.substr(F.col("text"), x["begin"] + 1, x["end"] - x["begin"])))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What reading the windows back gives, as counts and digests."""
-    turns = F.flatten(F.transform("windows", read_turns))
-    targets = F.array_join(F.flatten(F.transform("windows", read_targets)), "")
-    read = formatted.select("conv_id", turns.alias("turns"), targets.alias("loss"), F.aggregate("windows", F.lit(0).cast("long"), lambda n, w: n + F.length(w["text"])).alias("formatted_chars"))
+    """What reading the windows back gives, as counts and digests: a row for each conversation."""
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return read.select(
-        "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(lines, 256).alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"),
-        "formatted_chars",
-    )
+    read = formatted.withColumn("turns", read_turns())
+    read = read.select("conv_id", "window", F.size("turns").alias("n"), lines.alias("lines"), F.array_join(read_targets(), "").alias("loss"), F.length("text").alias("chars"))
+    whole = lambda c: F.array_join(F.transform("windows", lambda w: w[c]), "")
+    rows = read.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("window", "lines", "loss"))).alias("windows"), F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"))
+    rows = rows.select("conv_id", "n_turns", whole("lines").alias("lines"), whole("loss").alias("loss"), "formatted_chars")
+    return rows.select("conv_id", F.col("n_turns").cast("long").alias("n_turns"), F.sha2("lines", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
