@@ -388,6 +388,7 @@ def test_urls_against_all_rules(spark):
     rules = sorted({(h, pick(["/", "/x", "/x/y", ""]), pick(["allow", "block"])) for h in hosts[:25]})
     rules = list({(h, p): (h, p, v) for h, p, v in rules}.values())
     urls = [f"http://{pick(hosts)}{pick(['', '/', '/x', '/x/y/z', '?q', '#f', '/x?y'])}" for _ in range(400)] + [None, "no scheme", "://", "HTTP://A.B/X"]
+    urls += ["http://a\x01b/x", "http://c\x01/x", "http://a0/x", "http://b./x", f"http://b/x/{'y' * 100_000}", "http://a.b/x", "http://a.b/x"]  # control characters, very long, repeated
     pages = clashing(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
     out, names = op5_url_rules.match_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), ranges=7)
     got = {r["page_id"]: (r[names["host"]], r[names["path"]], r[names["rule"]], r[names["verdict"]]) for r in out.collect()}

@@ -8,8 +8,9 @@ rules and URLs are swept in key order while a stack keeps the rules whose interv
 these the longest whose path starts the URL's path decides. A URL that no rule fits is allowed.
 
 Nulls: a null URL and one without `://` have an empty host and path, which no rule fits. Repeated
-rows keep their rows. Rules that agree in host and path count once, block before allow. No rules,
-or an empty table, give no match and no row.
+rows keep their rows. URLs of any length are whole. Rules that agree in host and path count once, block
+before allow; of rules that fit, the longest host and path together decides. New columns take names
+that no column of pages has in any case. No rules, or an empty table, give no match and no row.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tideframe.llm.common import fresh
 
-SEPARATOR, AFTER = "\x01", "\x02"
+#: A character that no host holds, and the one after it, which closes an interval.
+SEPARATOR, AFTER = "/", "0"
 #: Sampled rows for each range; what the sample sends to the driver is bounded by this and the number of ranges.
 SAMPLE = 20
 DEFAULT = "allow"
