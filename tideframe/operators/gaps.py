@@ -136,3 +136,15 @@ def advanced(old: DataFrame, new: DataFrame, forward: bool = True) -> DataFrame:
     """AGG18/GAP12: cursors merged with newer ones; forward cursors only grow, backfill cursors only shrink."""
     best = F.max if forward else F.min
     return old.select(*KEY, "cursor_ms").unionByName(new.select(*KEY, "cursor_ms")).groupBy(*KEY).agg(best("cursor_ms").alias("cursor_ms"))
+
+
+def replayed(bronze: DataFrame, requests: DataFrame) -> DataFrame:
+    """GAP15: landed rows that are asked for again, marked as a replay, with the request's id.
+
+    requests: request_id, symbol, from_ms (inclusive) and to_ms (exclusive); a null bound is open. A row that
+    several ask for comes once for each. The join is by symbol, so AQE broadcasts a small table of requests.
+    """
+    ms = F.unix_millis("timestamp")
+    r = requests.select("request_id", F.col("symbol").alias("_symbol"), "from_ms", "to_ms")
+    inside = (ms >= F.coalesce("from_ms", F.lit(0))) & (F.col("to_ms").isNull() | (ms < F.col("to_ms")))
+    return bronze.join(r, (F.col("symbol") == F.col("_symbol")) & inside).drop("_symbol", "from_ms", "to_ms").withColumn("source", F.lit("replay"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.timeframes import MS
+from tideframe.operators import rules
 from tideframe.operators import trade_series as t
 from tideframe.plans.core import HOUR, K, r
 from tideframe.plans.register import long, query, rounded, ts_ms
@@ -71,20 +72,6 @@ def agg10_lateness(spark, sf):
     return rounded(t.lateness(m.candles(spark, sf).select("exchange", "timeframe", (F.col("volume") * 30_000).alias("delay_ms")), exact=True), "p95_ms", "p99_ms")
 
 
-@query("flt12_slice_side", f"{_T} SELECT {S}, trade_id, ts_ms FROM trades WHERE ts_ms BETWEEN {m.NOW_MS - 10 * MS['1d']} AND {m.NOW_MS - 9 * MS['1d']} AND side = 'buy'")
-def flt12_slice(spark, sf):
-    ms = F.unix_millis("timestamp")
-    return ts_ms(m.trades(spark, sf).where(ms.between(m.NOW_MS - 10 * MS["1d"], m.NOW_MS - 9 * MS["1d"]) & (F.col("side") == "buy"))).select(*t.SERIES, "trade_id", "ts_ms")
-
-
-@query("flt17_trade_rules", f"{_T}, x AS (SELECT *, CASE WHEN trade_id % 11 = 0 THEN -1.0 WHEN trade_id % 7 = 0 THEN 0.0 ELSE price END AS p, CASE WHEN trade_id % 5 = 0 THEN 'telegraph' ELSE 'live' END AS source FROM trades) SELECT exchange, count(*) AS rows, count(*) FILTER (p > 0 AND source = 'live') AS valid, count(*) FILTER (NOT p > 0) AS bad_price, count(*) FILTER (source <> 'live') AS bad_source FROM x GROUP BY exchange")
-def flt17_rules(spark, sf):
-    tid = F.col("trade_id")
-    x = m.trades(spark, sf).withColumn("p", F.when(tid % 11 == 0, -1.0).when(tid % 7 == 0, 0.0).otherwise(F.col("price"))).withColumn("source", F.when(tid % 5 == 0, "telegraph").otherwise("live"))
-    known = F.col("source").isin("live", "backfill", "replay")
-    return x.groupBy("exchange").agg(F.count("*").alias("rows"), F.count_if((F.col("p") > 0) & known & tid.isNotNull()).alias("valid"), F.count_if(~(F.col("p") > 0)).alias("bad_price"), F.count_if(~known).alias("bad_source"))
-
-
 @query("flt18_homogeneous", f"{_T} SELECT ts_ms // {MS['1d']} AS batch, count(DISTINCT (exchange, market_type, symbol)) AS series, count(DISTINCT (exchange, market_type, symbol)) = 1 AS homogeneous FROM trades GROUP BY ALL")
 def flt18_homogeneous(spark, sf):
     n = F.count_distinct("exchange", "market_type", "symbol")
@@ -96,24 +83,18 @@ def flt18_homogeneous(spark, sf):
 
 @query("prj11_shape", f"{m.BASE_SQL} SELECT {K}, ts_ms, {r('abs(close - open)', 'body_size')}, {r('high - greatest(open, close)', 'wick_upper')}, {r('least(open, close) - low', 'wick_lower')}, close > open AS is_bullish, close < open AS is_bearish FROM candles")
 def prj11_shape(spark, sf):
-    o, c = F.col("open"), F.col("close")
-    df = ts_ms(m.candles(spark, sf)).withColumns({"body_size": F.abs(c - o), "wick_upper": F.col("high") - F.greatest(o, c), "wick_lower": F.least(o, c) - F.col("low"), "is_bullish": c > o, "is_bearish": c < o})
+    df = rules.with_shape(ts_ms(m.candles(spark, sf)))
     return rounded(df.drop("open", "high", "low", "close", "volume"), "body_size", "wick_upper", "wick_lower")
 
 
 @query("prj12_valid_count", f"{m.PLANTED_SQL} SELECT {K}, count(*) FILTER (ts_ms > 0 AND volume >= 0 AND NOT isnan(volume) AND open BETWEEN low AND high AND close BETWEEN low AND high) AS valid FROM planted GROUP BY {K}")
 def prj12_valid(spark, sf):
-    ok = (F.unix_millis("timestamp") > 0) & (F.col("volume") >= 0) & ~F.isnan("volume") & F.col("open").between(F.col("low"), F.col("high")) & F.col("close").between(F.col("low"), F.col("high"))
-    return m.planted(spark, sf).groupBy(*K.split(", ")).agg(F.count_if(ok).alias("valid"))
+    return m.planted(spark, sf).groupBy(*K.split(", ")).agg(F.count_if(rules.candle_is_valid()).alias("valid"))
 
 
 @query("prj13_chunks", f"{m.BASE_SQL} SELECT {K}, ts_ms // {MS['1d']} AS chunk, count(*) AS n, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms, ts_ms // {MS['1d']} = max(ts_ms // {MS['1d']}) OVER (PARTITION BY {K}) AS is_last_chunk FROM candles GROUP BY {K}, ts_ms // {MS['1d']}".replace(f"max(ts_ms // {MS['1d']}) OVER", f"max(max(ts_ms // {MS['1d']})) OVER"))
 def prj13_chunks(spark, sf):
-    from pyspark.sql.window import Window
-
-    ms, key = F.unix_millis("timestamp"), K.split(", ")
-    c = m.candles(spark, sf).withColumn("chunk", long(F.floor(ms / MS["1d"]))).groupBy(*key, "chunk").agg(F.array_sort(F.collect_list(F.struct(ms.alias("ts"), "close"))).alias("bars"))
-    return c.select(*key, "chunk", long(F.size("bars")).alias("n"), F.element_at("bars", 1)["ts"].alias("first_ms"), F.element_at("bars", -1)["ts"].alias("last_ms"), (F.col("chunk") == F.max("chunk").over(Window.partitionBy(*key))).alias("is_last_chunk"))
+    return rules.chunks(m.candles(spark, sf), K.split(", "), MS["1d"]).drop("bars")
 
 
 @query("prj14_side", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'buy' WHEN 1 THEN 'sell' ELSE 'unknown' END AS side FROM events")
@@ -125,8 +106,7 @@ def prj14_side(spark, sf):
 
 @query("prj15_cost", f"{_T} SELECT trade_id, CAST(CAST(price AS DECIMAL(24,8)) * CAST(amount AS DECIMAL(10,0)) AS DOUBLE) AS cost, side = 'buy' AS is_buy, side = 'sell' AS is_sell, ts_ms FROM trades")
 def prj15_cost(spark, sf):
-    cost = (F.col("price").cast("decimal(18,8)") * F.col("amount").cast("decimal(18,8)")).cast("double")
-    return m.trades(spark, sf).select("trade_id", cost.alias("cost"), (F.col("side") == "buy").alias("is_buy"), (F.col("side") == "sell").alias("is_sell"), F.unix_millis("timestamp").alias("ts_ms"))
+    return rules.with_cost(m.trades(spark, sf)).select("trade_id", F.col("cost").cast("double").alias("cost"), "is_buy", "is_sell", F.unix_millis("timestamp").alias("ts_ms"))
 
 
 # ---- order books ----------------------------------------------------------------------------------
@@ -197,4 +177,4 @@ def ob5_book_at(spark, sf):
 @query("ob6_split", f"{_T} SELECT trade_id, CASE WHEN trade_id % 4 = 0 THEN 'snapshot' ELSE 'delta' END AS payload_type, CASE WHEN trade_id % 3 = 0 THEN ts_ms + 250 ELSE ts_ms END AS book_ms FROM trades")
 def ob6_split(spark, sf):
     x = ts_ms(m.trades(spark, sf)).withColumns({"delta": F.when(F.col("trade_id") % 4 != 0, F.col("price")), "exchange_ms": F.when(F.col("trade_id") % 3 != 0, F.col("ts_ms")), "receipt_s": (F.col("ts_ms") + 250) / 1000.0})
-    return x.select("trade_id", F.when(F.col("delta").isNull(), "snapshot").otherwise("delta").alias("payload_type"), F.coalesce("exchange_ms", F.round(F.col("receipt_s") * 1000).cast("long")).alias("book_ms"))
+    return x.select("trade_id", rules.book_kind(F.col("delta")).alias("payload_type"), rules.book_time(F.col("exchange_ms"), F.col("receipt_s")).alias("book_ms"))

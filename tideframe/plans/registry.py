@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideframe.plans import analytics, core, market, streams, tables
+from tideframe.plans import analytics, core, market, streams, tables, wire
 from tideframe.plans.register import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "analytics", "core", "market", "streams", "tables"]
+__all__ = ["ORACLE_SQL", "QUERIES", "analytics", "core", "market", "streams", "tables", "wire"]

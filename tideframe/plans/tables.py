@@ -118,13 +118,6 @@ def prj16_symbols(spark, sf):
     return s.select("symbol", landed.symbol_parts(F.concat(F.lit(" "), F.col("symbol"), F.when(F.col("symbol") < "s", "/usdt").otherwise("usdt"))).alias("canonical"), landed.encoded_segment(key).alias("segment"), (landed.decoded_segment(landed.encoded_segment(key)) == key).alias("round_trip"))
 
 
-@query("prj18_coerce_ts", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_id * 1000 WHEN event_id % 3 = 1 THEN NULL ELSE event_id END AS timestamp_ms FROM events")
-def prj18_coerce(spark, sf):
-    i = F.col("event_id")
-    raw = F.when(i % 3 == 0, (i * 1000).cast("string")).when(i % 3 == 1, F.lit("true")).otherwise(i.cast("string"))
-    return _events(spark, sf).select("event_id", raw.try_cast("bigint").alias("timestamp_ms"))
-
-
 @query("prj23_prj25_timeframes", f"{_C}, t AS (SELECT timeframe, count(*) AS n FROM candles GROUP BY timeframe) SELECT timeframe, {HOUR} AS ms, 8760 AS yearly, n FROM t")
 def prj23_timeframes(spark, sf):
     from tideframe.functions.timeframes import YEARLY, YEARLY_DEFAULT
@@ -133,12 +126,6 @@ def prj23_timeframes(spark, sf):
     return c.select("timeframe", ms_of(F.col("timeframe")).alias("ms"), lookup(YEARLY, F.col("timeframe"), YEARLY_DEFAULT).alias("yearly"), "n")
 
 
-@query("prj24_sources", "SELECT event_type, CASE event_type WHEN 'click' THEN 'live' WHEN 'view' THEN 'replay' ELSE 'backfill' END AS wire_source, count(*) AS n FROM events GROUP BY ALL")
-def prj24_sources(spark, sf):
-    wire = lookup({"click": "live", "view": "replay"}, F.col("event_type"), "backfill")
-    return _events(spark, sf).groupBy("event_type", wire.alias("wire_source")).agg(F.count("*").alias("n"))
-
-
 @query("prj28_errors", "SELECT event_id, event_id % 4 <> 3 AND event_id % 4 <> 2 AS transient FROM events")
 def prj28_errors(spark, sf):
     i = (F.col("event_id") % 4 + 1).cast("int")
@@ -152,27 +139,6 @@ def flt13_live(spark, sf):
     return landed.parsed(trade_messages(spark, sf), "trade").where("reject_reason IS NULL AND source = 'live'").agg(F.count("*").alias("n"))
 
 
-@query("flt14_signals", f"{_T} SELECT trade_id AS signal_id, price > 0 AND symbol <> '' AND amount > 0 AND (trade_id % 12) / 10 BETWEEN 0 AND 1 AS valid, trade_id % 3 <> 2 AS actionable FROM trades")
-def flt14_signals(spark, sf):
-    s = m.trades(spark, sf).withColumns({"confidence": (F.col("trade_id") % 12) / 10, "direction": F.get(F.array(F.lit("buy"), F.lit("sell"), F.lit("hold")), (F.col("trade_id") % 3).cast("int"))})
-    valid = (F.col("price") > 0) & (F.col("symbol") != "") & (F.col("amount") > 0) & F.col("confidence").between(0, 1)
-    return s.select(F.col("trade_id").alias("signal_id"), valid.alias("valid"), F.col("direction").isin("buy", "sell").alias("actionable"))
-
-
-@query("flt16_positions", f"{_T} SELECT CASE WHEN trade_id % 5 = 0 THEN 'bad_side' WHEN trade_id % 7 = 0 THEN 'bad_quantity' WHEN (trade_id % 30) / 20 NOT BETWEEN 0 AND 1 OR trade_id % 30 = 0 THEN 'bad_size' END AS problem, count(*) AS n FROM trades GROUP BY ALL")
-def flt16_positions(spark, sf):
-    i = F.col("trade_id")
-    p = m.trades(spark, sf).select(F.when(i % 5 == 0, "flat").otherwise("long").alias("side"), F.when(i % 7 == 0, 0.0).otherwise(F.col("amount")).alias("quantity"), ((i % 30) / 20).alias("size_pct"))
-    problem = F.when(~F.col("side").isin("long", "short"), "bad_side").when(~(F.col("quantity") > 0), "bad_quantity").when(~((F.col("size_pct") > 0) & (F.col("size_pct") <= 1)), "bad_size")
-    return p.groupBy(problem.alias("problem")).agg(F.count("*").alias("n"))
-
-
-@query("flt20_promoted", "SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type")
-def flt20_promoted(spark, sf):
-    kinds = spark.sql("SELECT * FROM VALUES ('click', true), ('view', true), ('signup', false) AS k(event_type, promoted)").where("promoted")
-    return _events(spark, sf).join(kinds, "event_type", "left_semi").groupBy("event_type").agg(F.count("*").alias("n"))
-
-
 @query("ded7_event_ids", "SELECT event_id FROM events WHERE event_id % 4 <> 0")
 def ded7_ids(spark, sf):
     e = _events(spark, sf).select("event_id")

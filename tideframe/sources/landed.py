@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.operators import rules
 from tideframe.operators.trade_series import EXACT, parsed_side
 
+#: Time that a message's bars span at most.
+CHUNK_MS = 7 * 86_400_000
 VERSION, SOURCES = 1, ["live", "backfill", "replay"]
 BAR = "struct<ts:bigint,open:double,high:double,low:double,close:double,volume:double>"
 # The declared wire schemas.
@@ -14,21 +17,11 @@ ENVELOPE = "event_id string, event_version int, occurred_at string, source strin
 SCHEMAS = {
     "ohlcv": f"{ENVELOPE}, timeframe string, batch_start_ts bigint, bars string, meta map<string,string>",
     "trade": f"{ENVELOPE}, market_type string, trade_id string, timestamp_ms bigint, price string, amount string, side string, meta map<string,string>",
-    "snapshot": f"{ENVELOPE}, payload_type string, timestamp_ms bigint, bids array<array<string>>, asks array<array<string>>, depth int, checksum bigint",
-    "delta": f"{ENVELOPE}, payload_type string, timestamp_ms bigint, side string, price string, size string",
-    "funding": f"{ENVELOPE}, timestamp_ms bigint, funding_rate string, next_funding_ms bigint",
-    "open_interest": f"{ENVELOPE}, timestamp_ms bigint, open_interest string",
-    "liquidation": f"{ENVELOPE}, timestamp_ms bigint, side string, price string, size string",
-    "signal": f"{ENVELOPE}, timeframe string, signal_type string, price double, confidence double, timestamp_ms bigint",
-    "order": f"{ENVELOPE}, order_id string, status string, quantity double, price double, filled_at string",
-    "position": f"{ENVELOPE}, order_id string, side string, quantity double, avg_entry double",
 }
-#: Kinds of payload that are trusted enough to be consumed.
-PROMOTED = ["ohlcv", "trade", "snapshot", "delta"]
 
 
 def parsed(raw: DataFrame, kind: str, column: str = "value") -> DataFrame:
-    """SRC9-SRC14: the fields of a payload kind, with the raw text and why it is rejected (null if it is not).
+    """SRC9/SRC10: the fields of a payload kind, with the raw text and why it is rejected (null if it is not).
 
     FLT19: a wrong version or an unknown source is rejected, as is what does not parse.
     """
@@ -51,11 +44,6 @@ def exact_trades(events: DataFrame) -> DataFrame:
     return df.where("price > 0 AND amount > 0 AND trade_id IS NOT NULL AND timestamp_ms > 0")
 
 
-def book_levels(side: str) -> Column:
-    """SRC12: pairs of text as structs of price and quantity."""
-    return F.transform(side, lambda x: F.struct(x[0].try_cast("double").alias("price"), x[1].try_cast("double").alias("qty")))
-
-
 def raw_candles(raw: DataFrame, column: str = "value") -> DataFrame:
     """SRC15: candle lists [[ts, o, h, l, c, v], ...] landed as text."""
     rows = raw.withColumn("c", F.explode(F.from_json(column, "array<array<double>>")))
@@ -84,20 +72,21 @@ def external_key() -> Column:
     return routing_key("source_id", "metric", F.coalesce("symbol", F.lit("global")))
 
 
-def candle_messages(candles: DataFrame, run_id: str, source: str = "backfill") -> DataFrame:
-    """SNK8/SNK13: one message for each series, with its bars in order, and its routing key."""
+def candle_messages(candles: DataFrame, run_id: str, source: str = "backfill", chunk_ms: int = CHUNK_MS) -> DataFrame:
+    """SNK8/SNK13: a message for each series and chunk of time, with its bars in order, under the series' key; so no
+    message grows with the length of a series. A candle that is not valid is an error (PRJ10)."""
     key = ["exchange", "symbol", "timeframe"]
-    bar = F.struct(F.unix_millis("timestamp").alias("ts"), "open", "high", "low", "close", "volume")
-    df = candles.groupBy(*key).agg(F.array_sort(F.collect_list(bar)).alias("bars"))
-    body = F.to_json(F.struct(F.concat_ws("-", F.lit(run_id), *key).alias("event_id"), F.lit(VERSION).alias("event_version"), F.lit(source).alias("source"), F.lit(run_id).alias("run_id"), *key, F.get("bars", F.lit(0))["ts"].alias("batch_start_ts"), "bars"))
-    return df.select(routing_key(*key).alias("key"), body.alias("value"))
+    df = rules.chunks(candles, key, chunk_ms)
+    body = F.struct(F.concat_ws("-", F.lit(run_id), *key, F.col("chunk").cast("string")).alias("event_id"), F.lit(VERSION).alias("event_version"), rules.wire_source(F.lit(source)).alias("source"), F.lit(run_id).alias("run_id"), *key, F.col("first_ms").alias("batch_start_ts"), "bars")
+    return df.select(routing_key(*key).alias("key"), F.to_json(body).alias("value"))
 
 
-def metric_rows(raw: DataFrame, source_id: str, metric: str, value: str, column: str = "value") -> DataFrame:
-    """PRJ17-PRJ19, PRJ21: rows of an external source as long metrics, symbols with a slash, values as text."""
+def metric_rows(raw: DataFrame, source_id: str, metric: str, value: str, column: str = "value", symbols: DataFrame | None = None) -> DataFrame:
+    """PRJ17-PRJ19, PRJ21: rows of an external source as long metrics, symbols with a slash, values as text; of some symbols, if given."""
     df = raw.select(F.from_json(column, f"symbol string, {value} string, updateTime string, createdTime string").alias("r")).select("r.*")
     ts = F.coalesce(F.col("updateTime").try_cast("bigint"), F.col("createdTime").try_cast("bigint"))
-    return df.select(F.lit(source_id).alias("source_id"), F.lit(metric).alias("metric"), slash_symbol(F.col("symbol")).alias("symbol"), ts.alias("timestamp_ms"), F.col(value).alias("value")).where("timestamp_ms IS NOT NULL AND value IS NOT NULL")
+    df = df.select(F.lit(source_id).alias("source_id"), F.lit(metric).alias("metric"), slash_symbol(F.col("symbol")).alias("symbol"), ts.alias("timestamp_ms"), F.col(value).alias("value")).where("timestamp_ms IS NOT NULL AND value IS NOT NULL")
+    return df if symbols is None else df.join(symbols.select(slash_symbol(F.col("symbol")).alias("symbol")), "symbol", "left_semi").select(*df.columns)
 
 
 def slash_symbol(raw: Column) -> Column:
