@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -419,6 +420,20 @@ def test_token_counts(spark):
     assert op6_token_counts.token_counts(awkward(spark).limit(0)).count() == 0
 
 
+def test_vocabularies_that_span_white_space_are_refused():
+    from tideframe.llm import tokens
+
+    others = [f for f in os.listdir(os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))) if f.endswith(".json") and f != "word_bpe_49k.json"]
+    refused = 0
+    for name in others:
+        t = Tokenizer.from_file(public_tokenizers.path(name))
+        if t.encode("the of", add_special_tokens=False).ids != t.encode("the", add_special_tokens=False).ids + t.encode("of", add_special_tokens=False).ids:
+            refused += 1
+            with pytest.raises(ValueError, match="span white space"):
+                tokens.tokenizer(name)
+    assert refused or not others
+
+
 def check_packing(rows, docs):
     by_doc = {}
     for r in rows:
@@ -575,6 +590,25 @@ def test_embeddings(spark):
     assert op9_embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_any_magnitude(spark):
+    rows = [(i, [x, x], 1) for i, x in enumerate([1e200, 2e200, 1e-200, 3e-200, 5e-324, 1.0, 1.7e308])] + [(9, [1e200, -1e200], 1), (10, [1e-310, -1e-310], 1)]
+    got = {r["vec_id"]: r for r in op9_embeddings.near_vectors(clashing(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))).collect()}
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {**{i: (6, 0) for i in range(7)}, 9: (1, 9), 10: (1, 9)}
+
+
+def test_embeddings_query_against_brute_force(spark):
+    rows = {r["vec_id"]: r for r in table(spark, "embeddings").collect()}
+    got = {r["vec_id"]: r for r in op9_embeddings.op9_embedding_dedup(spark, SF).collect()}
+    assert set(got) == set(rows) and all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
+    valid = [i for i, r in rows.items() if r["label"] is not None and r["embedding"] and any(r["embedding"])]
+    unit = np.array([np.array(rows[i]["embedding"], np.float64) / np.linalg.norm(np.array(rows[i]["embedding"], np.float64)) for i in valid])
+    label = np.array([rows[i]["label"] for i in valid])
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    want = dict(zip(valid, near.sum(axis=1).tolist(), strict=True))
+    assert all(r["n_links"] <= want.get(i, 0) for i, r in got.items()) and sum(r["n_links"] for r in got.values()) >= 0.99 * sum(want.values())
+
+
 def test_embeddings_blocks(spark):
     x = np.random.default_rng(1).standard_normal(8)
     rows = [(i, (x + 0.001 * np.random.default_rng(i).standard_normal(8)).tolist(), 1) for i in range(200)]

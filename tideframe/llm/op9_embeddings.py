@@ -33,7 +33,7 @@ from tideframe.llm.common import stored
 from tideframe.llm.components import connected
 
 THRESHOLD, RECALL, COUNT = 0.98, 0.999, 2
-BUCKET, BLOCK = 128, 1024
+BUCKET, BLOCK = 512, 1024
 #: The window's half width, in standard deviations of the projected difference of a pair at the threshold.
 WIDTH = 2.0
 SEED = 29
@@ -55,8 +55,9 @@ def _directions(dim: int, signs: int, tables: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _units(column: pa.Array) -> np.ndarray:
-    """Rows of equal dimension as double unit vectors."""
+    """Rows of equal dimension as double unit vectors; scaled by the largest component first, so that no square over- or underflows."""
     x = np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(axis=1)[:, None]
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 

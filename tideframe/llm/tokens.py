@@ -2,7 +2,8 @@
 
 A chunk is a maximal run of bytes without ASCII white space. The normaliser of a word-level
 vocabulary turns white space into single spaces and its pre-tokenizer never lets a piece span
-them, so a text's ids are those of its chunks in turn.
+them, so a text's ids are those of its chunks in turn. A vocabulary of which that does not hold
+is refused with an error.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ def tokenizer(vocabulary: str = VOCABULARY):
     found = Tokenizer.from_file(public_tokenizers.path(vocabulary))
     found.no_truncation()
     found.no_padding()
+    ids = lambda text: found.encode(text, add_special_tokens=False).ids
+    for a, b in (("the", "of"), ("A", "."), ("x1", "\u00e9\u6f22"), (".", "the")):
+        if any(ids(a + white + b) != ids(a) + ids(b) for white in (" ", "  ", "\n", "\t", "\r\n", " \v\f")):
+            raise ValueError(f"{vocabulary} has pieces that span white space; its texts cannot be encoded a chunk at a time")
     return found
 
 
