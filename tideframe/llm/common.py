@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -104,7 +106,20 @@ def _let_go() -> None:
         _held["stage"] = stage
 
 
-def sliced(batches: Iterator[pa.RecordBatch], place: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the worker gives memory that it has freed back to the system; workers are kept for later stages,
+    and several of them share an executor's memory with the JVM."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
+def sliced(batches: Iterator[pa.RecordBatch], place: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the text column at that place has about so many bytes in each; a longer text comes alone."""
     _let_go()
     for batch in batches:
@@ -119,7 +134,7 @@ def sliced(batches: Iterator[pa.RecordBatch], place: int, most: int = 4 << 20) -
             start = stop
 
 
-def with_arrow_columns(df: DataFrame, inputs: list[str], fields: list[pa.Field], make: Callable[[], Callable[..., list]], drop: list[str] | None = None, most: int = 4 << 20) -> DataFrame:
+def with_arrow_columns(df: DataFrame, inputs: list[str], fields: list[pa.Field], make: Callable[[], Callable[..., list]], drop: list[str] | None = None, most: int = 1 << 20) -> DataFrame:
     """df with further columns that Python computes a batch at a time from some input columns.
 
     make() runs once in each task and returns the function of the inputs' Arrow columns; the
@@ -141,7 +156,7 @@ def with_arrow_columns(df: DataFrame, inputs: list[str], fields: list[pa.Field],
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in passed), *(v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(added, types, strict=True))], names=names)
 
     schema = StructType([*(df.schema.fields[i] for i in passed), *(StructField(f.name, from_arrow_type(f.type)) for f in fields)])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tideframe.llm.common import byte_values, sliced, stored
+from tideframe.llm.common import byte_values, sliced, stored, tidied
 from tideframe.llm.tokens import VOCABULARY, chunk_ids
 
 LENGTH = 2048
@@ -58,7 +58,7 @@ def token_pieces(docs: DataFrame, text: str, doc_id: str, vocabulary: str, lengt
 
     rows = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(tidied(run), f"row long, doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 # ---- the plan -------------------------------------------------------------------------------
@@ -191,7 +191,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary
 
     kept = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kind = pieces.schema["doc_id"].dataType.simpleString()
-    return ranked(pieces, sizes).select(*kept, "rank").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked(pieces, sizes).select(*kept, "rank").mapInArrow(tidied(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from tideframe.llm.char_codes import symbols
-from tideframe.llm.common import byte_values, fresh, held_out, learnable, sliced, stored
+from tideframe.llm.common import byte_values, fresh, held_out, learnable, sliced, stored, tidied
 
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
 DECAY, MAX_SPAN, POWER = 0.7, 6, 2
@@ -312,8 +312,8 @@ def decided(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             made = shared.value.decision(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=["unit", "n", "decision"])
 
-    distinct = docs.select(F.col(text).alias("text")).mapInArrow(found, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    return distinct.mapInArrow(decide, "unit binary, n long, decision double")
+    distinct = docs.select(F.col(text).alias("text")).mapInArrow(tidied(found), "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    return distinct.mapInArrow(tidied(decide), "unit binary, n long, decision double")
 
 
 def head_units(decisions: DataFrame) -> DataFrame:
@@ -353,7 +353,7 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[Da
             yield pa.RecordBatch.from_arrays([batch.column(1).take(rows), batch.column(2).take(rows), pa.array(rest, pa.binary()), pa.array(heads, pa.float64())], names=["row", "own", "unit", "head"])
 
     rows = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"), F.struct(*others).alias("own"))
-    parts = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["own"], StructField("unit", BinaryType()), StructField("head", DoubleType())]))
+    parts = rows.mapInArrow(tidied(run), StructType([rows.schema["row"], rows.schema["own"], StructField("unit", BinaryType()), StructField("head", DoubleType())]))
     joined = parts.join(decisions.select("unit", "decision"), "unit", "left")
     best = joined.groupBy("row", "own").agg(F.max(F.greatest("head", "decision")).alias("best"))
     z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("best") * model.slope + model.offset))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tideframe.llm.common import broadcast_if_small, fresh, frequent, sliced, stored, with_arrow_columns
+from tideframe.llm.common import broadcast_if_small, frequent, fresh, sliced, stored, tidied, with_arrow_columns
 
 ORDER = 5
 MIN_WORDS = 20
@@ -43,8 +43,8 @@ HEAD = 1 << 20
 _WHITE = " \t\v\f\r"
 _SYMBOLS = "#*$%&|<>"
 #: Bits of a character's number in a packed n-gram, and characters held by a task before they are folded into counts.
-_BITS, _FOLD_AT = 12, 2_000_000
-_SLICE = 1 << 20
+_BITS, _FOLD_AT = 12, 1_000_000
+_SLICE = 1 << 19
 _U = np.uint64
 
 
@@ -70,7 +70,7 @@ class Characters:
         sizes = np.fromiter((len(t or "") + 1 for t in texts), np.int64, len(texts))
         blank = (points == 32) | ((points >= 9) & (points <= 13))
         self.symbols = np.isin(points, np.frombuffer(_SYMBOLS.encode("utf-32-le"), np.uint32))
-        doc = np.repeat(np.arange(len(texts)), sizes)
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         self.n_symbols = np.bincount(doc[self.symbols], minlength=len(texts))
         points[blank] = 32
         points[points == 0] = 0xFFFD  # 0 is kept for what precedes a text
@@ -141,7 +141,7 @@ class _Counts:
     """Counts of n-grams as packed numbers of characters; the numbers are dealt as characters come."""
 
     def __init__(self):
-        self.numbers, self.alphabet = np.zeros(0x110000, np.int64), [0]
+        self.numbers, self.alphabet = np.zeros(0x110000, np.int16), [0]
         self.held: list[np.ndarray] = []
         self.keys, self.counts, self.waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
 
@@ -156,7 +156,7 @@ class _Counts:
         return True
 
     def add(self, text: Characters) -> None:
-        numbers = self.numbers[text.padded]
+        numbers = self.numbers[text.padded].astype(np.int64)
         key = np.zeros(len(text.at), np.int64)
         for back in range(ORDER - 1, -1, -1):
             key = key << _BITS | numbers[text.at - back]
@@ -212,7 +212,7 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         for language, own in found.items():
             yield made(language, *own.strings())
 
-    parts = docs.select(F.col(text).alias("text"), language_of(lang).alias("language")).mapInArrow(run, "language string, ngram string, n long")
+    parts = docs.select(F.col(text).alias("text"), language_of(lang).alias("language")).mapInArrow(tidied(run), "language string, ngram string, n long")
     return parts.groupBy("language", "ngram").agg(F.sum("n").alias("n"))
 
 
@@ -269,7 +269,7 @@ def hashed(model: DataFrame) -> DataFrame:
             surprise = -np.log(batch.column("p").to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("n"), pa.array(surprise)], names=["key", "n", "surprise"])
 
-    return model.mapInArrow(run, "key long, n long, surprise double")
+    return model.mapInArrow(tidied(run), "key long, n long, surprise double")
 
 
 class SortedHashes:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm.common import byte_values, fresh, sliced, stored, with_arrow_columns
+from tideframe.llm.common import byte_values, fresh, sliced, stored, tidied, with_arrow_columns
 from tideframe.llm.components import connected
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -45,7 +45,7 @@ BANDS, ROWS = 26, 5
 #: Rows of a block of a large bucket, and how far below the threshold an estimate may lie.
 BLOCK, ESTIMATE_SPREADS = 512, 4.0
 _REGISTERS = BANDS * ROWS
-_REMEMBER = 500_000
+_REMEMBER = 200_000
 _U = np.uint64
 
 
@@ -189,7 +189,7 @@ def class_bands(docs: DataFrame, text: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array(fresh_texts, pa.binary()), lists, pa.array(marks, pa.binary())], names=["class", "bands", "marks"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, bands array<long>, marks binary")
+    return docs.select(F.col(text).alias("text")).mapInArrow(tidied(run), "class binary, bands array<long>, marks binary")
 
 
 def class_texts(docs: DataFrame, text: str) -> DataFrame:
@@ -202,7 +202,7 @@ def class_texts(docs: DataFrame, text: str) -> DataFrame:
             new = [i for i, d in enumerate(digests) if d is not None and d not in done and not done.add(d)]
             yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in new], pa.binary()), batch.column(0).take(pa.array(new, pa.int64()))], names=["class", "text"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "class binary, text string")
+    return docs.select(F.col(text).alias("text")).mapInArrow(tidied(run), "class binary, text string")
 
 
 def class_shingles(texts: DataFrame) -> DataFrame:
@@ -215,7 +215,7 @@ def class_shingles(texts: DataFrame) -> DataFrame:
             sets = [occurrences(x).tobytes() for x in np.split(keys, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["class", "shingles"])
 
-    return texts.select("class", "text").mapInArrow(run, "class binary, shingles binary")
+    return texts.select("class", "text").mapInArrow(tidied(run), "class binary, shingles binary")
 
 
 def verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
@@ -233,7 +233,7 @@ def verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFra
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     # what cannot reach the threshold by its sizes alone
     n, m = F.length("left"), F.length("right")
-    return full.where(F.least(n, m) >= threshold * F.greatest(n, m)).mapInArrow(run, "a binary, b binary, similarity double")
+    return full.where(F.least(n, m) >= threshold * F.greatest(n, m)).mapInArrow(tidied(run), "a binary, b binary, similarity double")
 
 
 def _ordered(x: str, y: str) -> list:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm.common import fresh
+from tideframe.llm.common import fresh, tidied
 
 #: A character that no host holds, and the one after it, which closes an interval.
 SEPARATOR, AFTER = "/", "0"
@@ -76,11 +76,11 @@ def match_urls(pages: DataFrame, rules: DataFrame, url: str = "url", ranges: int
 
     from pyspark.sql.types import IntegerType, StructField, StructType
 
-    urls = keyed.mapInArrow(deal, StructType([*keyed.schema.fields, StructField(place, IntegerType())])).withColumn(inner["is_url"], F.lit(1))
+    urls = keyed.mapInArrow(tidied(deal), StructType([*keyed.schema.fields, StructField(place, IntegerType())])).withColumn(inner["is_url"], F.lit(1))
     host, path = F.lower("host"), F.col("path")
     ruled = rules.where(F.col("host").isNotNull() & F.col("path").isNotNull()).groupBy(host.alias("host"), path.alias("path")).agg(F.max("verdict").alias("verdict"))
     ruled = ruled.select(host_key(F.col("host")).alias("key"), "path", F.concat("host", "path").alias("rule"), "verdict")
-    ruled = ruled.mapInArrow(deal_rules, "key string, path string, rule string, verdict string, range int")
+    ruled = ruled.mapInArrow(tidied(deal_rules), "key string, path string, rule string, verdict string, range int")
     ruled = ruled.select(F.col("key").alias(key), F.col("path").alias(inner["path"]), F.col("rule").alias(inner["rule"]), F.col("verdict").alias(inner["verdict"]), F.col("range").alias(place), F.lit(0).alias(inner["is_url"]))
     both = urls.unionByName(ruled, allowMissingColumns=True)
     dealt = both.repartitionById(ranges, F.col(place)).sortWithinPartitions(place, key, inner["is_url"])
@@ -122,7 +122,7 @@ def match_urls(pages: DataFrame, rules: DataFrame, url: str = "url", ranges: int
             chosen = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(chosen.column(order.index(c)) for c in kept), pa.array(found, pa.string()), pa.array(verdicts, pa.string())], names=[*kept, names["rule"], names["verdict"]])
 
-    return dealt.mapInArrow(sweep, out_schema), names
+    return dealt.mapInArrow(tidied(sweep), out_schema), names
 
 
 #: The rules of the query: verdict, host, path.

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm.common import byte_values, sliced, stored
+from tideframe.llm.common import byte_values, sliced, stored, tidied
 from tideframe.llm.tokens import VOCABULARY, chunk_ids
 
 LIMIT = 2048
@@ -47,7 +47,7 @@ def chunk_counts(docs: DataFrame, text: str) -> DataFrame:
                 yield out()
         yield out()
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "chunk binary, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text).alias("text")).mapInArrow(tidied(run), "chunk binary, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
 def piece_counts(chunks: DataFrame, vocabulary: str) -> DataFrame:
@@ -59,7 +59,7 @@ def piece_counts(chunks: DataFrame, vocabulary: str) -> DataFrame:
             pieces = [len(x) // 4 for x in ids.encode(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces, pa.int32())], names=["chunk", "n", "pieces"])
 
-    return chunks.mapInArrow(run, "chunk binary, n long, pieces int")
+    return chunks.mapInArrow(tidied(run), "chunk binary, n long, pieces int")
 
 
 def head_chunks(pieces: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def token_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vo
 
     rows = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    parts = rows.mapInArrow(run, f"row long, doc_id {kind}, n_bytes long, chunk binary, times int, head long")
+    parts = rows.mapInArrow(tidied(run), f"row long, doc_id {kind}, n_bytes long, chunk binary, times int, head long")
     joined = parts.join(pieces.select("chunk", "pieces"), "chunk", "left")
     total = F.sum(F.col("head") + F.coalesce(F.col("times") * F.col("pieces"), F.lit(0)))
     summed = joined.groupBy("row", "doc_id", "n_bytes").agg(total.alias("n_tokens"))

@@ -22,16 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.llm.char_codes import code_points
-from tideframe.llm.common import broadcast_if_small, byte_values, fresh, held_out, learnable, sliced, stored, with_arrow_columns
+from tideframe.llm.common import broadcast_if_small, byte_values, fresh, held_out, learnable, sliced, stored, tidied, with_arrow_columns
 
 BUCKETS, MAX_N, MAX_LANGUAGES = 1 << 15, 3, 512
 SMOOTHING = 0.5
 #: How far below its language's median a document's n-grams may be: robust deviations of a mean of so many, and a margin.
 SPREADS, MARGIN = 6.0, 0.25
 #: Distinct words of all languages that a task holds before it folds them, so many at a time, and languages whose counts it holds.
-_FOLD_AT, _AT_ONCE, _LABELS_HELD = 200_000, 10_000, 64
+_FOLD_AT, _AT_ONCE, _LABELS_HELD = 150_000, 5_000, 64
 #: Words remembered with their scores by a task, and the bytes of those scores.
-_REMEMBER, _REMEMBER_BYTES = 300_000, 32 << 20
+_REMEMBER, _REMEMBER_BYTES = 200_000, 16 << 20
 
 
 def _lower_table() -> np.ndarray:
@@ -94,7 +94,7 @@ def bucket_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
         yield from out()
 
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    return known.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return known.mapInArrow(tidied(run), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 class NaiveBayes:

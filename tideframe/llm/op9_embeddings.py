@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm.common import stored
+from tideframe.llm.common import stored, tidied
 from tideframe.llm.components import connected
 
 THRESHOLD, RECALL, COUNT = 0.98, 0.999, 2
@@ -83,7 +83,7 @@ def classes(vectors: DataFrame, embedding: str, label: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "class"])
 
     at_label, at_vector = vectors.columns.index(label), vectors.columns.index(embedding)
-    return vectors.mapInArrow(run, StructType([*vectors.schema.fields, StructField("class", BinaryType())]))
+    return vectors.mapInArrow(tidied(run), StructType([*vectors.schema.fields, StructField("class", BinaryType())]))
 
 
 def links(rows: DataFrame, signs: int, tables: int, width: float, threshold: float = THRESHOLD, count: int = COUNT, block: int = BLOCK) -> DataFrame:
@@ -106,9 +106,9 @@ def links(rows: DataFrame, signs: int, tables: int, width: float, threshold: flo
 
     label_kind = rows.schema["label"].dataType.simpleString()
     bucket = ["label", "dim", "table", "code"]
-    sizes = rows.mapInArrow(deal(False), f"label {label_kind}, dim int, table int, code long").groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1")
+    sizes = rows.mapInArrow(tidied(deal(False)), f"label {label_kind}, dim int, table int, code long").groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1")
     sizes = stored(sizes.select(*bucket, F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    dealt = rows.mapInArrow(deal(True), f"label {label_kind}, dim int, class binary, size long, embedding {kind}, table int, code long")
+    dealt = rows.mapInArrow(tidied(deal(True)), f"label {label_kind}, dim int, class binary, size long, embedding {kind}, table int, code long")
     dealt = dealt.join(sizes, bucket).withColumn("own", F.pmod(F.xxhash64("class", "table"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("group", F.xxhash64(*bucket, F.least("own", "other"), F.greatest("own", "other")))

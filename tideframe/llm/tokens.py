@@ -17,7 +17,7 @@ import public_tokenizers
 from tideframe.llm.common import held_in_worker
 
 VOCABULARY = "word_bpe_49k.json"
-_REMEMBER, _AT_ONCE = 1_200_000, 2048
+_REMEMBER, _AT_ONCE = 800_000, 1024
 
 
 def tokenizer(vocabulary: str = VOCABULARY):
