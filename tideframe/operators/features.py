@@ -75,3 +75,17 @@ def gold_features(candles: DataFrame) -> DataFrame:
         "is_suspect": F.coalesce(flag == "suspect", F.lit(False)),
     })
     return sanitized(df)
+
+
+def build_all(lake, candles: DataFrame, wanted: DataFrame, commit_id: int, now_ms: int, run_id: str, version: str) -> DataFrame:
+    """SNK4: Gold of all wanted series in one job, and how it went: done and rows for each wanted series.
+
+    A wanted series without a candle fails; the others are replaced under one commit.
+    """
+    from tideframe.sources.snapshots import gold_rows
+
+    some = candles.join(wanted.select(*KEY).distinct(), KEY, "left_semi")
+    lake.commit(gold_rows(gold_features(some), run_id, version, commit_id), "gold", commit_id, now_ms, "replace", run_id, version, commit_id)
+    built = lake.snapshots("gold").where(F.col("commit_id") == commit_id).select(*KEY, F.col("added_rows").alias("rows"))
+    told = wanted.select(*KEY).distinct().join(built, KEY, "left")
+    return told.select(*KEY, F.col("rows").isNotNull().alias("done"), F.coalesce("rows", F.lit(0)).alias("rows"))

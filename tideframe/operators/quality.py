@@ -82,8 +82,14 @@ def checks(candles: DataFrame, now_ms: int) -> DataFrame:
     )
 
 
-def issues(found: DataFrame, rows_removed: int = 0) -> DataFrame:
-    """DQ16: a row for each check that a series fails: check, severity, affected rows, all rows."""
+def with_expected(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """DQ2: the checks with a row of zeros for each expected series that has no candle at all."""
+    numbers = [c for c in found.columns if c not in KEY]
+    return expected.select(*KEY).distinct().join(found, KEY, "full").fillna(0, numbers)
+
+
+def issue_array(found: DataFrame, rows_removed: int = 0) -> Column:
+    """DQ2, DQ16: the issues of each row of checks: check, severity, affected rows."""
     gaps = F.greatest(F.lit(0), F.col("gaps") - rows_removed)
     one = lambda check, severity, n: F.struct(F.lit(check).alias("check"), severity.alias("severity"), n.cast("long").alias("affected"))
     critical, warning = F.lit("critical"), F.lit("warning")
@@ -96,21 +102,34 @@ def issues(found: DataFrame, rows_removed: int = 0) -> DataFrame:
         one("price_outliers_zscore", warning, F.col("z_outliers")),
         one("flatline_candles", warning, F.col("flat")),
     )
-    return found.select(*KEY, "rows", F.explode(every).alias("i")).select(*KEY, "rows", "i.*").where("affected > 0")
-
-
-def decisions(found: DataFrame, issue_rows: DataFrame) -> DataFrame:
-    """DQ8-DQ11: score, decision, tier and reasons of every series, those without an issue too."""
-    penalty = lookup(WEIGHTS, F.col("check"), WEIGHT_DEFAULT) * F.col("affected") / F.greatest("rows", F.lit(1)) * F.when(F.col("severity") == "critical", 2.0).otherwise(1.0) * 100
-    reason = F.concat(F.col("check"), F.lit("("), F.col("severity"), F.lit("): "), F.col("affected").cast("string"), F.lit(" rows"))
-    per = issue_rows.groupBy(*KEY).agg(F.sum(penalty).alias("penalty"), F.sum(F.when(F.col("severity") == "critical", F.col("affected"))).alias("critical"), F.array_sort(F.collect_list(reason)).alias("reasons"))
-    df = found.select(*KEY, "rows").join(per, KEY, "left")
-    score = F.when(F.col("rows") == 0, 0.0).otherwise(F.greatest(F.lit(0.0), 100 - F.coalesce("penalty", F.lit(0.0))))
-    df = df.withColumn("score", score)
-    reject = (F.col("rows") == 0) | (F.col("score") < REJECT_BELOW) | (F.coalesce(F.try_divide("critical", "rows"), F.lit(0.0)) > CRITICAL_SHARE)
+    return F.filter(every, lambda i: i["affected"] > 0)
+
+
+def issues(found: DataFrame, rows_removed: int = 0) -> DataFrame:
+    """DQ16: a row for each check that a series fails: check, severity, affected rows, all rows."""
+    return found.select(*KEY, "rows", F.explode(issue_array(found, rows_removed)).alias("i")).select(*KEY, "rows", "i.*")
+
+
+def decisions(found: DataFrame, issue_rows: DataFrame | None = None) -> DataFrame:
+    """DQ8-DQ11: score, decision, tier and reasons of every series, those without an issue too.
+
+    Issues are those of the checks, told within each row, or given ones, joined by series.
+    """
+    if issue_rows is None:
+        df = found.select(*KEY, "rows", issue_array(found).alias("_issues"))
+    else:
+        given = issue_rows.groupBy(*KEY).agg(F.collect_list(F.struct("check", "severity", "affected")).alias("_issues"))
+        df = found.select(*KEY, "rows").join(given, KEY, "left").withColumn("_issues", F.coalesce("_issues", F.array().cast("array<struct<check:string,severity:string,affected:bigint>>")))
+    costs = lambda i: lookup(WEIGHTS, i["check"], WEIGHT_DEFAULT) * i["affected"] / F.greatest("rows", F.lit(1)) * F.when(i["severity"] == "critical", 2.0).otherwise(1.0) * 100
+    total = lambda values, zero: F.aggregate(values, zero, lambda a, x: a + x)
+    penalty = total(F.transform("_issues", costs), F.lit(0.0))
+    critical = total(F.transform(F.filter("_issues", lambda i: i["severity"] == "critical"), lambda i: i["affected"]), F.lit(0).cast("long"))
+    reasons = F.array_sort(F.transform("_issues", lambda i: F.concat(i["check"], F.lit("("), i["severity"], F.lit("): "), i["affected"].cast("string"), F.lit(" rows"))))
+    df = df.withColumns({"score": F.when(F.col("rows") == 0, 0.0).otherwise(F.greatest(F.lit(0.0), 100 - penalty)), "_critical": critical, "reasons": reasons})
+    reject = (F.col("rows") == 0) | (F.col("score") < REJECT_BELOW) | (F.coalesce(F.try_divide("_critical", "rows"), F.lit(0.0)) > CRITICAL_SHARE)
     df = df.withColumn("decision", F.when(reject, "reject").when(F.col("score") < FLAG_BELOW, "accept_with_flags").otherwise("accept"))
     tier = F.when(F.col("decision") == "reject", "rejected").when(F.col("decision") == "accept", "clean").otherwise("flagged")
-    return df.select(*KEY, "rows", "score", "decision", tier.alias("tier"), F.coalesce("reasons", F.array().cast("array<string>")).alias("reasons"))
+    return df.select(*KEY, "rows", "score", "decision", tier.alias("tier"), "reasons")
 
 
 def accepted(candles: DataFrame, decided: DataFrame) -> DataFrame:
@@ -148,6 +167,30 @@ def expectations(candles: DataFrame, rules: dict[str, tuple[str, str]] | None =
     return counts.select(*KEY, "rows", each.alias("e")).select(*KEY, "rows", "e.*").withColumn("success", F.col("unexpected") == 0)
 
 
+def table_expectations(candles: DataFrame) -> DataFrame:
+    """DQ14: what the table as a whole must have: its columns, doubles where numbers belong, and a row. One row for each expectation."""
+    kinds = dict(candles.dtypes)
+    told = [(f"column_exists:{c}", "critical", c in kinds) for c in ("timestamp", *OHLCV)] + [(f"type_double:{c}", "warning", kinds.get(c) == "double") for c in OHLCV]
+    told.append(("row_count_positive", "warning", not candles.isEmpty()))
+    return candles.sparkSession.createDataFrame(told, "expectation string, severity string, success boolean")
+
+
+def expectation_issues(results: DataFrame) -> DataFrame:
+    """DQ15: failed expectations as issues: check, severity, affected rows, all rows."""
+    return results.where("NOT success").select(*KEY, "rows", F.col("expectation").alias("check"), "severity", F.col("unexpected").alias("affected"))
+
+
+def judged_expectations(candles: DataFrame, rules: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """DQ15: issues of the expectations; where they cannot be evaluated at all, one warning for each series says so (the degraded report)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return expectation_issues(expectations(candles, rules))
+    except AnalysisException:
+        rows = candles.groupBy(*KEY).agg(F.count("*").alias("rows"))
+        return rows.select(*KEY, "rows", F.lit("expectations_failed").alias("check"), F.lit("warning").alias("severity"), F.col("rows").alias("affected"))
+
+
 # ---- two venues ---------------------------------------------------------------------------------
 
 PRICE_LIMIT, VOLUME_LIMIT, CRITICAL_ROWS, LEAST_COMMON = 0.005, 0.5, 0.05, 10

@@ -138,3 +138,27 @@ def schema_report(candles: DataFrame) -> DataFrame:
         F.count_if(F.col("_same") > 1).alias("timestamp_repeated"),
         F.count_if(F.coalesce(F.unix_millis("timestamp") % ms != 0, F.lit(False))).alias("off_grid"),
     )
+
+
+def order_report(candles: DataFrame, seq: str) -> DataFrame:
+    """FLT8: for each series how many rows are not later than the one that arrived before."""
+    back = F.col("timestamp") <= F.lag("timestamp").over(Window.partitionBy(*KEY).orderBy(seq))
+    return candles.withColumn("_back", back).groupBy(*KEY).agg(F.count_if("_back").alias("not_increasing"))
+
+
+def extra_columns(candles: DataFrame) -> list[str]:
+    """FLT8: the columns that a candle does not have."""
+    return [c for c in candles.columns if c not in (*KEY, "timestamp", *OHLCV)]
+
+
+def labelled(candles: DataFrame) -> DataFrame:
+    """PRJ9: Silver rows of landed candles: classified, without what is corrupt, in the fixed order of columns."""
+    df = classified(candles.withColumn("_seq", F.lit(0)), "_seq")
+    return df.where("label != 'corrupt'").withColumnRenamed("label", "quality_flag").select(*KEY, "timestamp", *OHLCV, "quality_flag")
+
+
+def append_bronze(lake, candles: DataFrame, commit_id: int, now_ms: int, **identity: str) -> None:
+    """SNK1/PRJ6: candles with identity and time of arrival into the Bronze table; none at all is an error."""
+    if candles.isEmpty():
+        raise ValueError("an empty table cannot be appended")
+    lake.commit(bronze_rows(candles, F.timestamp_millis(F.lit(now_ms)), **identity), "bronze", commit_id, now_ms)

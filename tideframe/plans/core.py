@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.timeframes import FLAT, MS, YEARLY
-from tideframe.operators import features, gaps, quality, resample, silver
+from tideframe.operators import features, gaps, quality, resample, rules, silver
 from tideframe.operators.resample import KEY, OHLCV
 from tideframe.plans.register import long, query, rounded, ts_ms
+from tideframe.sources import landed
 from tideframe.sources import mappings as m
+from tideframe.sources.snapshots import Lake, new_folder
 
 K = "exchange, market_type, symbol, timeframe"
 HOUR = MS["1h"]
@@ -398,8 +400,7 @@ def dq16_issues(spark, sf):
 
 @query("dq8_dq10_decisions", f"{ISSUES_SQL} SELECT {K}, rows, round(score, 6) AS score, decision, CASE decision WHEN 'reject' THEN 'rejected' WHEN 'accept' THEN 'clean' ELSE 'flagged' END AS tier, reasons FROM decided")
 def dq8_decisions(spark, sf):
-    c = _checked(spark, sf)
-    return rounded(quality.decisions(c, quality.issues(c)), "score").withColumn("reasons", F.array_join("reasons", "; "))
+    return rounded(quality.decisions(_checked(spark, sf)), "score").withColumn("reasons", F.array_join("reasons", "; "))
 
 
 _DAILY_SQL = ISSUES_SQL.replace(str(_LATE), str(m.NOW_MS)).replace(str(HOUR), str(MS["1d"])).replace("'1h' AS timeframe", "'1d' AS timeframe")
@@ -409,7 +410,7 @@ _DAILY_SQL = ISSUES_SQL.replace(str(_LATE), str(m.NOW_MS)).replace(str(HOUR), st
 def dq11_tiers(spark, sf):
     c = m.candles(spark, sf, "1d")
     found = quality.checks(c, m.NOW_MS)
-    return ts_ms(quality.accepted(c, quality.decisions(found, quality.issues(found))))
+    return ts_ms(quality.accepted(c, quality.decisions(found)))
 
 
 @query("dq14_dq15_expectations", f"""{m.PLANTED_SQL}, x AS (SELECT * REPLACE (CASE WHEN isnan(volume) THEN NULL ELSE volume END AS volume), count(*) OVER (PARTITION BY {K}, ts_ms) AS same, ts_ms - lag(ts_ms) OVER (PARTITION BY {K} ORDER BY seq, ts_ms) AS delta FROM planted),
@@ -424,6 +425,76 @@ def dq14_expectations(spark, sf):
     return quality.expectations(features.without_nan(m.planted(spark, sf), OHLCV))
 
 
+@query("dq2_empty_series", f"{ISSUES_SQL}, wanted AS (SELECT DISTINCT exchange, market_type, symbol, timeframe FROM candles UNION ALL SELECT 'ex9', 'spot', 'none', '1h' UNION ALL SELECT 'ex9', 'spot', 'nothing', '1h') SELECT {K}, coalesce(rows, 0) AS rows, CASE WHEN rows IS NULL THEN 'reject' ELSE decision END AS decision, CASE WHEN rows IS NULL THEN 'empty_dataset(critical): 1 rows' ELSE reasons END AS reasons FROM wanted LEFT JOIN decided USING ({K})")
+def dq2_empty(spark, sf):
+    """Two of the expected series have no candle."""
+    wanted = m.candles(spark, sf).select(*KEY).union(spark.createDataFrame([("ex9", "spot", "none", "1h"), ("ex9", "spot", "nothing", "1h")], "exchange string, market_type string, symbol string, timeframe string"))
+    return quality.decisions(quality.with_expected(_checked(spark, sf), wanted)).select(*KEY, "rows", "decision", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query("dq14_table", f"{m.BASE_SQL}, n AS (SELECT count(*) AS n FROM candles) SELECT * FROM (SELECT unnest(['timestamp', 'open', 'high', 'low', 'close', 'volume']) AS c), LATERAL (SELECT 'column_exists:' || c AS expectation, 'critical' AS severity, c <> 'low' AS success UNION ALL SELECT 'type_double:' || c, 'warning', c NOT IN ('low', 'volume') WHERE c <> 'timestamp') UNION ALL SELECT '', 'row_count_positive', 'warning', n > 0 FROM n".replace("SELECT * FROM (SELECT unnest", "SELECT expectation, severity, success FROM (SELECT unnest").replace("UNION ALL SELECT '', 'row", "UNION ALL SELECT 'row"))
+def dq14_table(spark, sf):
+    """Candles without a low, and with the volume as text."""
+    return quality.table_expectations(m.candles(spark, sf).drop("low").withColumn("volume", F.col("volume").cast("string")))
+
+
+@query("dq15_degraded", f"{m.PLANTED_SQL}, x AS (SELECT *, count(*) OVER (PARTITION BY {K}, ts_ms) AS same FROM planted), i AS (SELECT {K}, count(*) AS rows, unnest(['high_ge_low', 'close_not_null', 'timestamp_unique']) AS \"check\", 'critical' AS severity, unnest([count(*) FILTER (high < low), count(*) FILTER (close IS NULL), count(*) FILTER (same > 1)]) AS affected FROM x GROUP BY {K}) SELECT * FROM i WHERE affected > 0 UNION ALL SELECT {K}, count(*), 'expectations_failed', 'warning', count(*) FROM planted GROUP BY {K}")
+def dq15_degraded(spark, sf):
+    """The issues of three expectations, and the degraded report of candles that lack a column."""
+    rules = {"high_ge_low": ("high < low", "critical"), "close_not_null": ("close IS NULL", "critical"), "timestamp_unique": ("_same > 1", "critical")}
+    p = m.planted(spark, sf)
+    return quality.judged_expectations(p, rules).union(quality.judged_expectations(p.drop("high"), rules))
+
+
+@query("flt8_order_and_extra", f"{m.PLANTED_SQL}, x AS (SELECT *, ts_ms <= lag(ts_ms) OVER (PARTITION BY {K} ORDER BY seq, close, ts_ms) AS back FROM planted WHERE close IS NOT NULL) SELECT {K}, count(*) FILTER (back) AS not_increasing, 2 AS extra_columns FROM x GROUP BY {K}")
+def flt8_order(spark, sf):
+    """Candles in an order of arrival that is not that of time, with two columns too many."""
+    p = m.planted(spark, sf).where("close IS NOT NULL").withColumn("arrival", F.struct("seq", "close", F.unix_millis("timestamp").alias("t"))).withColumn("odd", F.lit(1))
+    extra = silver.extra_columns(p.drop("seq"))
+    return silver.order_report(p, "arrival").withColumn("extra_columns", F.lit(len(extra)).cast("long"))
+
+
+@query("flt10_assertions", f"{m.BASE_SQL} SELECT {K}, count(*) AS rows FROM candles GROUP BY {K}")
+def flt10_assertions(spark, sf):
+    """Candles pass; the same with times without a zone, and none at all, do not."""
+    c = m.candles(spark, sf)
+    for bad, error in ((lambda: rules.assert_utc(c.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))), TypeError), (lambda: rules.assert_non_empty(c.limit(0)), ValueError)):
+        try:
+            bad()
+        except error:
+            continue
+        raise AssertionError("an assertion let a bad table pass")
+    return rules.assert_non_empty(rules.assert_utc(c)).groupBy(*KEY).agg(F.count("*").alias("rows"))
+
+
+@query("prj9_silver_frame", f"{m.BASE_SQL}, x AS (SELECT *, lag(ts_ms) OVER (PARTITION BY {K} ORDER BY ts_ms) AS before FROM candles WHERE ts_ms // {HOUR} % 10 <> 0) SELECT {K}, ts_ms, open, high, low, close, volume, CASE WHEN volume = 0 OR high = low OR abs(ts_ms - before - {HOUR}) > 1 THEN 'suspect' ELSE 'clean' END AS quality_flag FROM x")
+def prj9_frame(spark, sf):
+    """Landed candle lists, of which one in ten has a high below its low, to labelled Silver rows."""
+    bad = F.floor(F.unix_millis("timestamp") / HOUR) % 10 == 0
+    row = F.array(F.unix_millis("timestamp").cast("double"), "open", F.when(bad, F.col("low") - 1).otherwise(F.col("high")), "low", "close", "volume")
+    raw = m.candles(spark, sf).groupBy(*KEY, F.to_date("timestamp").alias("day")).agg(F.to_json(F.collect_list(row)).alias("value"))
+    return ts_ms(silver.labelled(landed.raw_candles(raw, keep=KEY)))
+
+
+@query("snk1_bronze_append", f"{m.BASE_SQL} SELECT {K}, ts_ms, close, true AS stamped FROM candles")
+def snk1_bronze(spark, sf):
+    """Candles without identity but for their symbol and venue land in Bronze with it, and with their time of arrival."""
+    lake = Lake(spark, new_folder(spark))
+    silver.append_bronze(lake, m.candles(spark, sf).drop("market_type", "timeframe"), 1, m.NOW_MS, market_type="spot", timeframe="1h")
+    df = lake.candles("bronze")
+    return ts_ms(df).select(*KEY, "ts_ms", "close", (F.unix_millis("ingestion_ts") == m.NOW_MS).alias("stamped"))
+
+
+@query("snk4_build_all", f"{m.BASE_SQL}, n AS (SELECT {K}, count(*) AS rows FROM candles GROUP BY {K}) SELECT exchange, count(*) AS done, 1 AS failed, sum(rows) AS rows FROM n GROUP BY exchange")
+def snk4_build(spark, sf):
+    """Gold of all series in one job; of each venue one expected series has no candle, so it fails."""
+    c, lake = m.candles(spark, sf), Lake(spark, new_folder(spark))
+    wanted = c.select(*KEY).distinct()
+    wanted = wanted.union(wanted.select("exchange", "market_type", F.lit("nothing").alias("symbol"), "timeframe").distinct())
+    told = features.build_all(lake, c, wanted, 1, m.NOW_MS, "r1", "v1")
+    return told.groupBy("exchange").agg(F.count_if("done").alias("done"), F.count_if(~F.col("done")).alias("failed"), F.sum("rows").alias("rows"))
+
+
 # ---- two venues ---------------------------------------------------------------------------------
 
 VENUES_SQL = f"""{m.BASE_SQL}, a AS (SELECT symbol, timeframe, ts_ms - ts_ms % 60000 AS minute, * EXCLUDE (symbol, timeframe) FROM candles WHERE exchange = 'ex0'), b AS (SELECT symbol, timeframe, ts_ms - ts_ms % 60000 AS minute, * EXCLUDE (symbol, timeframe) FROM candles WHERE exchange = 'ex1'),

@@ -221,10 +221,14 @@ def dq13_novel(spark, sf):
     return registry.novel(a.withColumn("reason", F.concat("reason", F.lit(" (n=1)"))), seen).select("exchange", "symbol", "timeframe", "reason")
 
 
-@query("agg15_manifest", f"{_C}, p AS (SELECT symbol, ts_ms // {MS['1d']} AS d, exchange, min(ts_ms) AS min_ms, max(ts_ms) AS max_ms, count(*) AS rows FROM candles GROUP BY ALL), n AS (SELECT *, lead(min_ms) OVER (PARTITION BY symbol ORDER BY min_ms, max_ms) AS next_ms FROM p) SELECT symbol, count(*) AS parts, count(*) FILTER (next_ms < max_ms) AS overlaps, 0 AS inverted, 0 AS empty FROM n GROUP BY symbol")
+@query("agg15_manifest", f"""{_C}, p AS (SELECT symbol, ts_ms // {MS['1d']} AS d, exchange, min(ts_ms) AS lo, max(ts_ms) AS hi, count(*) AS rows FROM candles GROUP BY ALL), q AS (SELECT symbol, CASE WHEN d % 7 = 0 THEN hi + 1 ELSE lo END AS min_ms, CASE WHEN d % 7 = 0 THEN lo ELSE hi END AS max_ms, CASE WHEN d % 5 = 0 THEN 0 ELSE rows END AS rows FROM p),
+  n AS (SELECT *, lead(min_ms) OVER (PARTITION BY symbol ORDER BY min_ms, max_ms) AS next_ms FROM q) SELECT symbol, count(*) AS parts, count(*) FILTER (next_ms < max_ms) AS overlaps, count(*) FILTER (min_ms > max_ms) AS inverted, count(*) FILTER (rows <= 0) AS empty FROM n GROUP BY symbol""")
 def agg15_manifest(spark, sf):
-    c = ts_ms(m.candles(spark, sf))
-    parts = c.groupBy("symbol", F.floor(F.col("ts_ms") / MS["1d"]).alias("d"), "exchange").agg(F.min("ts_ms").alias("min_ms"), F.max("ts_ms").alias("max_ms"), F.count("*").alias("rows"))
+    """Parts of which some end before they begin, and some have no row."""
+    c, d = ts_ms(m.candles(spark, sf)), F.floor(F.col("ts_ms") / MS["1d"])
+    parts = c.groupBy("symbol", d.alias("d"), "exchange").agg(F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi"), F.count("*").alias("rows"))
+    seventh = F.col("d") % 7 == 0
+    parts = parts.select("symbol", F.when(seventh, F.col("hi") + 1).otherwise(F.col("lo")).alias("min_ms"), F.when(seventh, F.col("lo")).otherwise(F.col("hi")).alias("max_ms"), F.when(F.col("d") % 5 == 0, 0).otherwise(F.col("rows")).alias("rows"))
     return registry.manifest_problems(parts)
 
 
@@ -240,12 +244,72 @@ def agg17_loss(spark, sf):
     return rounded(registry.with_loss(steps), "loss_rate")
 
 
-@query("lin2_lin3_runs", f"{_RESULTS}, x AS (SELECT run_id, rows, row_number() OVER () AS k FROM results) SELECT run_id, count(*) AS n FROM x GROUP BY run_id")
-def lin2_runs(spark, sf):
+_RUNS = f"{_C}, runs AS (SELECT 'run' || CAST(ts_ms // {MS['1d']} % 5 AS VARCHAR) || exchange AS run_id, CASE WHEN ts_ms // {HOUR} % 2 = 0 THEN 'prod' ELSE 'test' END AS env, CASE WHEN volume > 10 THEN 'ok' ELSE 'failed' END AS result, ts_ms * 10 + length(symbol) AS ts_ms, symbol FROM candles), latest AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts_ms DESC, symbol DESC) = 1)"
+
+
+def _runs(spark, sf) -> DataFrame:
     c = ts_ms(m.candles(spark, sf))
-    runs = c.select(F.concat(F.lit("run"), (F.floor(F.col("ts_ms") / MS["1d"]) % 5).cast("string")).alias("run_id"), "ts_ms", "close")
-    counted = runs.groupBy("run_id").agg(F.count("*").alias("n"))
-    return registry.latest_runs(runs).select("run_id").join(counted, "run_id")
+    hour = F.floor(F.col("ts_ms") / HOUR)
+    return c.select(F.concat(F.lit("run"), (F.floor(F.col("ts_ms") / MS["1d"]) % 5).cast("string"), "exchange").alias("run_id"), F.when(hour % 2 == 0, "prod").otherwise("test").alias("env"), F.when(F.col("volume") > 10, "ok").otherwise("failed").alias("result"), (F.col("ts_ms") * 10 + F.length("symbol")).alias("ts_ms"), "symbol")
+
+
+@query("lin2_lin3_runs", f"{_RUNS} SELECT run_id, ts_ms FROM latest")
+def lin2_runs(spark, sf):
+    """The last record of each run is the one that counts."""
+    return registry.latest_runs(_runs(spark, sf)).select("run_id", "ts_ms")
+
+
+@query("srt4_runs_by_time", f"{_RUNS}, t AS (SELECT run_id, max(ts_ms) AS ts_ms FROM runs WHERE symbol = 'click' GROUP BY run_id) SELECT run_id, ts_ms FROM t ORDER BY ts_ms DESC, run_id LIMIT 4")
+def srt4_runs(spark, sf):
+    """A report of the four newest runs."""
+    return registry.runs_by_time(_runs(spark, sf).where("symbol = 'click'"), 4).select("run_id", "ts_ms")
+
+
+@query("lin1_lineage", f"""{_C}, days AS (SELECT 'run' || CAST(ts_ms // {MS['1d']} % 3 AS VARCHAR) AS run_id, exchange, symbol, ts_ms // {MS['1d']} AS d, count(*) AS rows_in, count(*) FILTER (volume > 5) AS kept FROM candles GROUP BY ALL), steps AS (SELECT run_id, 'bronze' AS layer, exchange, symbol, d, rows_in, rows_in AS rows_out FROM days UNION ALL SELECT run_id, 'silver', exchange, symbol, d, rows_in, kept FROM days)
+  SELECT run_id, layer, exchange, symbol, rows_in, rows_out, round((rows_in - rows_out) / rows_in, 6) AS loss_rate FROM (SELECT * FROM steps WHERE symbol = 'click' AND exchange = 'ex0' ORDER BY d DESC, layer, run_id LIMIT 9) UNION ALL SELECT run_id, 'run', exchange, symbol, sum(rows_in), sum(rows_out), 0 FROM steps WHERE run_id = 'run1' GROUP BY ALL""")
+def lin1_lineage(spark, sf):
+    """Steps appended in two writes; then the newest nine of a series, and the totals of a run."""
+    day = F.floor(F.col("ts_ms") / MS["1d"])
+    days = ts_ms(m.candles(spark, sf)).groupBy(day.alias("d"), "exchange", "symbol", "timeframe").agg(F.count("*").alias("rows_in"), F.count_if(F.col("volume") > 5).alias("kept"))
+    steps = days.select("*", F.concat(F.lit("run"), (F.col("d") % 3).cast("string")).alias("run_id"), (F.col("d") * MS["1d"]).alias("ts_ms"), F.lit("success").alias("status"))
+    folder = new_folder(spark)
+    registry.record(steps.withColumns({"layer": F.lit("bronze"), "rows_out": F.col("rows_in")}), folder)
+    registry.record(steps.withColumns({"layer": F.lit("silver"), "rows_out": F.col("kept")}), folder)
+    table = registry.lineage_of(spark, folder)
+    shown = ["run_id", "layer", "exchange", "symbol", "rows_in", "rows_out", "loss_rate"]
+    whole = registry.run_events(table, "run1").groupBy("run_id", F.lit("run").alias("layer"), "exchange", "symbol").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"), F.lit(0.0).alias("loss_rate"))
+    return rounded(registry.series_history(table, "click", "ex0", 9).select(*shown).union(whole), "loss_rate")
+
+
+@query("prj26_run_ids", "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%S') || '-' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS run_id FROM events")
+def prj26_ids(spark, sf):
+    return _events(spark, sf).select("event_id", registry.run_id(F.col("ts").cast("timestamp"), F.col("event_id")).alias("run_id"))
+
+
+_NOW = m.NOW_MS - 6 * MS["1d"]
+
+
+@query("agg21_rules", f"""{_T}, x AS (SELECT exchange, ts_ms, CASE trade_id % 4 WHEN 0 THEN 'last_run' WHEN 1 THEN 'fetch_errors' WHEN 2 THEN 'events_failed' ELSE 'circuit_open' END AS metric, CASE WHEN trade_id % 4 = 3 THEN trade_id // 4 % 2 WHEN exchange = 'ex0' THEN 500.0 ELSE 1 END AS value, trade_id FROM trades WHERE ts_ms <= {_NOW} AND (exchange <> 'ex1' OR trade_id % 4 <> 0)),
+  v AS (SELECT DISTINCT exchange FROM trades UNION ALL SELECT 'ex9'), a AS (SELECT exchange, max(ts_ms) FILTER (metric = 'last_run') AS last_run, sum(value) FILTER (metric = 'fetch_errors' AND ts_ms > {_NOW - 300_000}) AS fetched, sum(value) FILTER (metric = 'events_failed' AND ts_ms > {_NOW - 300_000}) AS failed, arg_max(value, ts_ms) FILTER (metric = 'circuit_open') AS circuit FROM x GROUP BY exchange),
+  j AS (SELECT v.exchange, ({_NOW} - last_run) / 1000.0 AS age, coalesce(fetched / 300.0, 0) AS fetched, coalesce(failed / 300.0, 0) AS failed, coalesce(circuit, 0) AS circuit FROM v LEFT JOIN a ON a.exchange = v.exchange)
+  SELECT exchange, unnest(['stale', 'fetch_errors', 'events_failed', 'circuit_open']) AS rule, round(unnest([age, fetched, failed, circuit]), 6) AS value, unnest([coalesce(age > 600, true), fetched > 0.1, failed > 1, circuit > 0]) AS alarm FROM j""")
+def agg21_rules(spark, sf):
+    """One venue never reports a run, one reports nothing at all."""
+    i, t = F.col("trade_id"), ts_ms(m.trades(spark, sf))
+    metric = F.get(F.array(*map(F.lit, ("last_run", "fetch_errors", "events_failed", "circuit_open"))), (i % 4).cast("int"))
+    value = F.when(i % 4 == 3, (F.floor(i / 4) % 2).cast("double")).when(F.col("exchange") == "ex0", 500.0).otherwise(1.0)
+    metrics = t.where("exchange != 'ex1' OR trade_id % 4 != 0").select("exchange", metric.alias("metric"), "ts_ms", value.alias("value"))
+    venues = t.select("exchange").union(spark.createDataFrame([("ex9",)], "exchange string"))
+    return rounded(registry.health(metrics, venues, _NOW), "value")
+
+
+@query("str14_checkpoints", f"{_T}, x AS (SELECT exchange, symbol, ts_ms FROM trades), c AS (SELECT exchange AS source_id, max(ts_ms) FILTER (ts_ms < {m.NOW_MS - 10 * MS['1d']}) AS checkpoint FROM x GROUP BY exchange) SELECT source_id, count(*) AS taken, max(ts_ms) AS checkpoint FROM x JOIN c ON exchange = source_id WHERE ts_ms > checkpoint GROUP BY source_id")
+def str14_checkpoints(spark, sf):
+    """External rows past each source's checkpoint, which then moves to the newest of them."""
+    rows = ts_ms(m.trades(spark, sf)).select(F.col("exchange").alias("source_id"), F.col("ts_ms").alias("timestamp_ms"))
+    before = registry.checkpoints(rows.where(F.col("timestamp_ms") < m.NOW_MS - 10 * MS["1d"]))
+    fresh = registry.past_checkpoints(rows, before)
+    return fresh.groupBy("source_id").agg(F.count("*").alias("taken")).join(registry.checkpoints(fresh), "source_id")
 
 
 @query("agg19_cursor_lag", f"{_C}, k AS (SELECT {K}, max(ts_ms) AS cursor_ms FROM candles GROUP BY {K}) SELECT exchange, count(*) AS series, round(avg({m.NOW_MS} - cursor_ms), 3) AS mean_lag_ms FROM k GROUP BY exchange")

@@ -44,10 +44,10 @@ def exact_trades(events: DataFrame) -> DataFrame:
     return df.where("price > 0 AND amount > 0 AND trade_id IS NOT NULL AND timestamp_ms > 0")
 
 
-def raw_candles(raw: DataFrame, column: str = "value") -> DataFrame:
-    """SRC15: candle lists [[ts, o, h, l, c, v], ...] landed as text."""
+def raw_candles(raw: DataFrame, column: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """SRC15: candle lists [[ts, o, h, l, c, v], ...] landed as text, with the columns to keep."""
     rows = raw.withColumn("c", F.explode(F.from_json(column, "array<array<double>>")))
-    return rows.select(F.timestamp_millis(F.get("c", F.lit(0)).cast("bigint")).alias("timestamp"), *(F.get("c", F.lit(i)).alias(n) for i, n in enumerate(["open", "high", "low", "close", "volume"], 1)))
+    return rows.select(*(keep or []), F.timestamp_millis(F.get("c", F.lit(0)).cast("bigint")).alias("timestamp"), *(F.get("c", F.lit(i)).alias(n) for i, n in enumerate(["open", "high", "low", "close", "volume"], 1)))
 
 
 def raw_trades(raw: DataFrame, column: str = "value") -> DataFrame:
