@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tideframe.functions.timeframes import MS
 from tideframe.operators import features
+from tideframe.operators import trade_series as t
 from tideframe.operators.resample import KEY
-from tideframe.plans.core import K
+from tideframe.plans.core import _LATE, ISSUES_SQL, K
 from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.plans.tables import trade_messages
 from tideframe.sources import landed
@@ -49,10 +50,26 @@ def str8_monotonic(spark, sf):
     return jobs.drain(jobs.monotonic(stream), folder)
 
 
-@query("str9_silence", f"{_T}, y AS (SELECT exchange, symbol, lag(ts_ms) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms) + 1 AS from_ms, ts_ms AS to_ms FROM trades WHERE {_GOOD}) SELECT * FROM y WHERE to_ms - from_ms + 1 > 7200000")
+@query("str9_silence", f"""{_T}, g AS (SELECT * FROM trades WHERE {_GOOD}), e AS (SELECT exchange, symbol, ts_ms, true AS trade FROM g UNION ALL SELECT exchange, symbol, ts_ms + 1, false FROM g WHERE trade_id % 41 = 0),
+  k AS (SELECT *, count(*) FILTER (trade) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms, trade) AS n FROM e), y AS (SELECT exchange, symbol, n, max(ts_ms) FILTER (trade) AS last, bool_or(NOT trade) AS cut FROM k GROUP BY ALL), z AS (SELECT exchange, symbol, last + 1 AS from_ms, lead(last) OVER (PARTITION BY exchange, symbol ORDER BY n) AS to_ms, cut FROM y)
+  SELECT exchange, symbol, from_ms, to_ms, CASE WHEN cut THEN 'disconnect' ELSE 'silence' END AS cause FROM z WHERE to_ms > from_ms AND (cut OR to_ms - from_ms + 1 > 7200000)""")
 def str9_silence(spark, sf):
-    stream, folder = _trades(spark, sf)
-    return jobs.drain(jobs.silence_gaps(stream, 7_200_000), folder)
+    """Trades, and after some of them a disconnect."""
+    folder, good = new_folder(spark), ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!="))
+    e = good.select("exchange", "symbol", F.col("ts_ms").alias("timestamp_ms"), F.when(F.col("trade_id") % 2 == 0, "trade").alias("event"))
+    e = e.union(good.where("trade_id % 41 = 0").select("exchange", "symbol", F.col("ts_ms") + 1, F.lit("disconnect")))
+    e.repartitionByRange(4, "timestamp_ms").sortWithinPartitions("timestamp_ms").write.json(f"{folder}/landed")
+    return jobs.drain(jobs.silence_gaps(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).json(f"{folder}/landed"), 7_200_000), folder)
+
+
+@query("str9_recovered", f"{_T}, y AS (SELECT exchange, symbol, lag(ts_ms) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms) + 1 AS from_ms, ts_ms AS to_ms FROM trades WHERE trade_id % 3 = 0), g AS (SELECT * FROM y WHERE to_ms - from_ms + 1 > 7200000) SELECT exchange, symbol, 'recovery' AS source, count(*) AS n FROM trades t WHERE EXISTS (SELECT 1 FROM g WHERE g.exchange = t.exchange AND g.symbol = t.symbol AND ts_ms >= from_ms AND ts_ms < to_ms) GROUP BY ALL")
+def str9_recovered(spark, sf):
+    """A stream that saw a third of the trades; the others that lie in its gaps come back with a tag."""
+    t = ts_ms(m.trades(spark, sf)).select("exchange", "symbol", "trade_id", F.col("ts_ms").alias("timestamp_ms"))
+    folder = new_folder(spark)
+    t.where("trade_id % 3 = 0").write.json(f"{folder}/landed")
+    gaps = jobs.drain(jobs.silence_gaps(spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1000).json(f"{folder}/landed"), 7_200_000), folder)
+    return jobs.recovered(t, gaps).groupBy("exchange", "symbol", "source").agg(F.count("*").alias("n"))
 
 
 @query("str1_bronze", f"{m.BASE_SQL} SELECT {K}, ts_ms, open, high, low, close, volume FROM candles")
@@ -65,24 +82,85 @@ def str1_bronze(spark, sf):
     return ts_ms(lake.candles("bronze")).select(*KEY, "ts_ms", "open", "high", "low", "close", "volume")
 
 
-@query("str6_features", f"{m.BASE_SQL} SELECT {K}, ts_ms, round(close / nullif(lag(close) OVER (PARTITION BY {K} ORDER BY ts_ms), 0) - 1, 6) AS return_1 FROM candles QUALIFY ts_ms >= {m.NOW_MS - 5 * MS['1d']}")
+@query("str6_features", f"{m.BASE_SQL}, x AS (SELECT *, row_number() OVER w AS i, lag(close) OVER w AS before, avg(volume) OVER (w ROWS 19 PRECEDING) AS mv, stddev_samp(volume) OVER (w ROWS 19 PRECEDING) AS sv, count(*) OVER (w ROWS 19 PRECEDING) AS n FROM candles WINDOW w AS (PARTITION BY {K} ORDER BY ts_ms)) SELECT {K}, ts_ms, round(close / nullif(before, 0) - 1, 6) AS return_1, round((high - low) / nullif(close, 0), 6) AS high_low_spread FROM x WHERE ts_ms >= {m.NOW_MS - 5 * MS['1d']}")
 def str6_features(spark, sf):
+    """Candles of five days on a stream, a batch a day, over a table that each batch is then added to."""
     folder = new_folder(spark)
     lake, c = Lake(spark, folder), m.candles(spark, sf)
     edge = m.NOW_MS - 5 * MS["1d"]
     lake.commit(c.where(F.unix_millis("timestamp") < edge), "silver", 0, 0)
-    jobs.features_of_new(lake, "silver", features.gold_features, f"{folder}/out")(c.where(F.unix_millis("timestamp") >= edge), 1)
-    return rounded(ts_ms(spark.read.parquet(f"{folder}/out")).select(*KEY, "ts_ms", "return_1"), "return_1")
+    new = c.where(F.unix_millis("timestamp") >= edge)
+    for day in range(6):
+        at = edge + day * MS["1d"]
+        new.where(F.unix_millis("timestamp").between(at, at + MS["1d"] - 1)).coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    save = lambda batch, n: lake.commit(batch, "silver", n + 1, n + 1)
+    jobs.drain_batches(stream, jobs.fan_out(jobs.features_of_new(lake, "silver", features.gold_features, f"{folder}/out"), save), folder)
+    return rounded(ts_ms(spark.read.parquet(f"{folder}/out")).select(*KEY, "ts_ms", "return_1", "high_low_spread"), "return_1", "high_low_spread")
+
+
+@query("str3_dq18_gate", f"{ISSUES_SQL}, t AS (SELECT *, CASE decision WHEN 'reject' THEN 'rejected' WHEN 'accept' THEN 'clean' ELSE 'flagged' END AS tier FROM decided) SELECT {K}, tier, rows AS rows_in, CASE WHEN tier = 'rejected' THEN 0 ELSE rows END AS rows_out, CASE WHEN reasons = '' THEN 'success' ELSE 'partial' END AS status, round(score, 6) AS quality_score FROM t")
+def str3_gate(spark, sf):
+    """Candle events through the quality gate: what each series left in lineage, and the rows in either sink."""
+    folder = new_folder(spark)
+    landed.candle_messages(m.candles(spark, sf), "r1").select("value").coalesce(1).write.text(f"{folder}/landed")
+    jobs.drain_batches(jobs.source(spark, f"{folder}/landed"), jobs.quality_gate(_LATE, folder), folder)
+    sinks = [spark.read.parquet(f"{folder}/{sink}").groupBy(*KEY, "tier").agg(F.count("*").alias("n")) for sink in ("validated", "rejected")]
+    steps = spark.read.parquet(f"{folder}/lineage").select(*KEY, "rows_in", "rows_out", "status", "quality_score")
+    return rounded(steps.join(sinks[0].union(sinks[1]), KEY).where("n = rows_in").select(*KEY, "tier", "rows_in", long("rows_out").alias("rows_out"), "status", "quality_score"), "quality_score")
 
 
-@query("str10_book", None)
-def str10_book(spark, sf):
+@query("str4_str7_window_totals", f"{_T}, good AS (SELECT * FROM trades WHERE {_GOOD}), last AS (SELECT max(ts_ms) AS newest FROM good), w AS (SELECT exchange, market_type, symbol, ts_ms - ts_ms % {MS['1d']} AS window_start_ms, count(*) AS trade_count, CAST(sum(amount) AS DOUBLE) AS total_volume, round(sum(price * amount) / sum(amount), 6) AS vwap FROM good GROUP BY ALL) SELECT w.* FROM w, last WHERE window_start_ms + {MS['1d']} <= newest - {MS['1d']}")
+def str4_totals(spark, sf):
+    """Window totals on a stream that waits for late trades as long as the calibrated lateness says."""
+    stream, folder = _trades(spark, sf)
+    late = t.lateness(m.candles(spark, sf).select("exchange", "timeframe", (F.col("volume") * 30_000).alias("delay_ms")))
+    done = jobs.drain(jobs.window_totals(stream, "1 day", jobs.calibrated_delay(late)), folder)
+    newest = ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!=")).agg(F.max("ts_ms").alias("newest"))
+    df = done.crossJoin(newest).where(F.col("window_start_ms") + MS["1d"] <= F.col("newest") - MS["1d"])  # newest is one row
+    return rounded(df.select(*t.SERIES, "window_start_ms", "trade_count", F.col("total_volume").cast("double").alias("total_volume"), "vwap"), "vwap")
+
+
+@query("snk6_str_trades", f"{_T} SELECT 'kept' AS what, NULL AS reject_reason, count(*) AS n FROM trades WHERE {_GOOD} UNION ALL SELECT 'dead', CASE WHEN trade_id % 29 = 0 THEN 'undecodable' WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 17 = 0 THEN 'bad_source' ELSE 'bad_trade' END, count(*) FROM trades WHERE NOT ({_GOOD}) GROUP BY ALL")
+def snk6_stream(spark, sf):
+    """Trade events, each sent twice in different files, land once; what is wrong goes to the dead letters once for each time it was sent and had no id."""
     folder = new_folder(spark)
-    i = F.col("trade_id")
-    t = m.trades(spark, sf).select("exchange", "symbol", i.alias("seq"), F.when(i % 500 < 2, "snapshot").otherwise("delta").alias("kind"), F.when(F.col("side") == "buy", "bid").otherwise("ask").alias("side"), F.floor(F.col("price") / 10).cast("double").alias("price"), F.when(i % 6 == 0, 0.0).otherwise(F.col("amount")).alias("qty"))
-    t.repartitionByRange(3, "seq").write.json(f"{folder}/landed")
-    stream = spark.readStream.schema(t.schema).json(f"{folder}/landed")
-    return jobs.drain(jobs.book_stream(stream), folder)
+    sent = trade_messages(spark, sf)
+    sent.union(sent.where("value != '{broken'")).repartition(6).write.text(f"{folder}/landed")
+    lake = Lake(spark, folder)
+    jobs.drain_batches(jobs.first_seen(jobs.source(spark, f"{folder}/landed", 2)), jobs.land_trades(lake, "trades", f"{folder}/dead"), folder)
+    kept = lake.newest_rows("trades").agg(F.count("*").alias("n")).select(F.lit("kept").alias("what"), F.lit(None).cast("string").alias("reject_reason"), "n")
+    return kept.union(spark.read.parquet(f"{folder}/dead").groupBy(F.lit("dead").alias("what"), "reject_reason").agg(F.count("*").alias("n")))
+
+
+#: Book events: three levels a side as a snapshot at each 500th event of a book, changes else; one event in 701 is lost.
+_BOOK = f"""{_T}, e AS (SELECT exchange, symbol, CASE side WHEN 'buy' THEN 'bid' ELSE 'ask' END AS side, floor(price / 10) AS price, CASE WHEN trade_id % 6 = 0 THEN 0.0 ELSE amount END AS qty, trade_id, row_number() OVER (PARTITION BY exchange, symbol ORDER BY trade_id) AS seq FROM trades),
+  r AS (SELECT exchange, symbol, seq, 'delta' AS kind, side, price, qty FROM e WHERE seq % 500 <> 7 AND trade_id % 701 <> 0 UNION ALL SELECT exchange, symbol, seq, 'snapshot', l.side, CAST(l.price AS DOUBLE), 1.0 FROM e, (VALUES ('bid', 1), ('bid', 2), ('ask', 900), ('ask', 901)) AS l(side, price) WHERE seq % 500 = 7),
+  b AS (SELECT exchange, symbol, max(seq) AS seq, max(seq) FILTER (kind = 'snapshot') AS base FROM r GROUP BY ALL),
+  f AS (SELECT r.*, b.base FROM r JOIN b USING (exchange, symbol) WHERE r.seq >= b.base), n AS (SELECT exchange, symbol, seq, seq - lag(seq) OVER (PARTITION BY exchange, symbol ORDER BY seq) AS step FROM (SELECT DISTINCT exchange, symbol, seq FROM f)), g AS (SELECT exchange, symbol, min(seq) AS lost FROM n WHERE step > 1 GROUP BY ALL),
+  live AS (SELECT f.exchange, f.symbol, f.side, f.price, arg_max(f.qty, f.seq) AS qty FROM f LEFT JOIN g USING (exchange, symbol) WHERE lost IS NULL OR f.seq < lost GROUP BY ALL)
+  SELECT b.exchange, b.symbol, b.seq, b.base IS NOT NULL AND lost IS NULL AS ready, max(price) FILTER (side = 'bid' AND qty > 0) AS best_bid, min(price) FILTER (side = 'ask' AND qty > 0) AS best_ask, count(*) FILTER (qty > 0) AS levels FROM b LEFT JOIN g USING (exchange, symbol) LEFT JOIN live USING (exchange, symbol) GROUP BY ALL"""
+
+
+@query("str10_book", _BOOK)
+def str10_book(spark, sf):
+    """Books as they are after the last batch; a lost event makes a book wait for its next snapshot."""
+    from pyspark.sql.window import Window
+
+    folder, i = new_folder(spark), F.col("trade_id")
+    seq = F.row_number().over(Window.partitionBy("exchange", "symbol").orderBy("trade_id")).cast("long")
+    e = m.trades(spark, sf).select("exchange", "symbol", "trade_id", seq.alias("seq"), F.when(F.col("side") == "buy", "bid").otherwise("ask").alias("side"), F.floor(F.col("price") / 10).cast("double").alias("price"), F.when(i % 6 == 0, 0.0).otherwise(F.col("amount")).alias("qty"))
+    changes = e.where("seq % 500 != 7 AND trade_id % 701 != 0").select("exchange", "symbol", "seq", F.lit("delta").alias("kind"), "side", "price", "qty")
+    levels = F.array(*(F.struct(F.lit(s).alias("side"), F.lit(p).alias("price"), F.lit(1.0).alias("qty")) for s, p in (("bid", 1.0), ("bid", 2.0), ("ask", 900.0), ("ask", 901.0))))
+    whole = e.where("seq % 500 = 7").select("exchange", "symbol", "seq", F.lit("snapshot").alias("kind"), F.inline(levels))
+    rows = changes.union(whole)
+    last = rows.agg(F.max("seq")).first()[0]
+    for k in range(3):  # three batches, in the order of events
+        rows.where(F.col("seq").between(k * last // 3 + 1, (k + 1) * last // 3)).coalesce(1).write.mode("append").json(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(f"{folder}/landed")
+    told = jobs.drain(jobs.book_stream(stream), folder)
+    best = told.groupBy("exchange", "symbol").agg(F.max_by(F.struct("seq", "ready", "best_bid", "best_ask", "levels"), "seq").alias("r"))
+    return best.select("exchange", "symbol", "r.*")
 
 
 @query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_GOOD} GROUP BY exchange")

@@ -67,7 +67,8 @@ class Lake:
         return not self.log().where((F.col("table") == table) & (F.col("commit_id") == commit_id)).isEmpty()
 
     def commit(self, df: DataFrame, table: str, commit_id: int, now_ms: int, kind: str = "append", run_id: str = "run", feature_version: str | None = None, source_commit_id: int | None = None) -> None:
-        """SNK1-SNK7, SNK16: write rows and log the commit for each series; a commit that is logged already is skipped.
+        """SNK1-SNK7, SNK16: write rows and log the commit for each series; a commit that is logged already is skipped,
+        and one without a row leaves no entry.
 
         kind replace: the commit stands for all of a series' rows before it. Trades and derivatives have no timeframe.
         """
@@ -76,8 +77,9 @@ class Lake:
         month = F.date_format("timestamp", "yyyy-MM")
         path = f"{self.folder}/{table}/commit_id={commit_id}"
         parts = [c for c in ("exchange", "symbol", "timeframe") if c in df.columns]
-        df.withColumn("ts_month", month).repartition("symbol", "ts_month").sortWithinPartitions("timestamp").write.mode("overwrite").partitionBy(*parts, "ts_month").parquet(path)
-        written = self.spark.read.parquet(path).withColumn("_file", F.input_file_name())
+        df = df.withColumn("ts_month", month)
+        df.repartition("symbol", "ts_month").sortWithinPartitions("timestamp").write.mode("overwrite").partitionBy(*parts, "ts_month").parquet(path)
+        written = self.spark.read.schema(df.schema).parquet(path).withColumn("_file", F.input_file_name())
         written = written if "timeframe" in parts else written.withColumn("timeframe", F.lit(None).cast("string"))
         entry = written.groupBy(*KEY).agg(F.count("*").alias("added_rows"), F.count_distinct("_file").alias("files"))
         constants = {"commit_id": commit_id, "committed_ms": now_ms, "table": table, "kind": kind, "run_id": run_id, "feature_version": feature_version, "source_commit_id": source_commit_id}

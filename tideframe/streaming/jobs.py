@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tideframe.functions.timeframes import ms_of
+from tideframe.operators import quality
+from tideframe.operators.resample import KEY
 from tideframe.operators.trade_series import SERIES, SILENCE_MS, series_totals
-from tideframe.sources.landed import SCHEMAS, exploded_bars, parsed
+from tideframe.sources.landed import SCHEMAS, exact_trades, exploded_bars, parsed
 from tideframe.sources.snapshots import Lake
 
 #: STR13: where each consumer starts.
@@ -34,31 +37,84 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, profile: str, mo
 
 
 def land_candles(lake: Lake, table: str, dead_letters: str) -> Callable[[DataFrame, int], None]:
-    """STR1-STR3, SNK14, DED7: each batch is parsed once; accepted bars are committed under the batch's id,
+    """STR1, STR2, SNK14: each batch is parsed once; accepted bars are committed under the batch's id,
     the rest goes to the dead letters with its reason.
 
     A batch that is run again is skipped by the snapshot log, so a crash between write and checkpoint
-    duplicates nothing. Ids repeated within the batch count once.
+    duplicates nothing. Ids repeated within the batch count once; first_seen() before it drops those of earlier batches.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         events = parsed(batch, "ohlcv").persist()
         bars = exploded_bars(events.dropDuplicates(["event_id"])).withColumn("market_type", F.lit("spot"))
         lake.commit(bars, table, batch_id, batch_id, run_id=f"batch-{batch_id}")
-        events.where("reject_reason IS NOT NULL").select("raw", "reject_reason", F.lit(table).alias("topic")).write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
+        dead(events, table, batch_id, dead_letters)
         events.unpersist()
 
     return write
 
 
+def dead(events: DataFrame, topic: str, batch_id: int, folder: str) -> None:
+    """SNK14: a batch's rejected events, raw and with the reason."""
+    events.where("reject_reason IS NOT NULL").select("raw", "reject_reason", F.lit(topic).alias("topic")).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+
+def first_seen(raw: DataFrame, horizon: str = "7 days", column: str = "value") -> DataFrame:
+    """DED7: each event id once within the horizon of arrival, across batches; texts without an id all pass, on their way to the dead letters."""
+    own = F.coalesce(F.get_json_object(column, "$.event_id"), F.concat(F.lit("no id "), F.uuid()))
+    seen = raw.withColumns({"_id": own, "_at": F.current_timestamp()}).withWatermark("_at", horizon).dropDuplicatesWithinWatermark(["_id"])
+    return seen.drop("_id", "_at")
+
+
+def land_trades(lake: Lake, table: str, dead_letters: str) -> Callable[[DataFrame, int], None]:
+    """SNK6, SNK14: accepted trades are committed under the batch's id; undecodable ones and those without a
+    positive price, amount, time or an id go to the dead letters."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        events = parsed(batch, "trade")
+        good = (F.col("price").try_cast("double") > 0) & (F.col("amount").try_cast("double") > 0) & F.col("trade_id").isNotNull() & (F.col("timestamp_ms") > 0)
+        reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")).when(~F.coalesce(good, F.lit(False)), "bad_trade")
+        events = events.withColumn("reject_reason", reason).persist()
+        lake.commit(exact_trades(events).withColumn("timestamp", F.timestamp_millis("timestamp_ms")).select(*SERIES, "timestamp", "trade_id", "price", "amount", "side", "source").dropDuplicates([*SERIES, "timestamp", "trade_id"]), table, batch_id, batch_id, run_id=f"batch-{batch_id}")
+        dead(events, table, batch_id, dead_letters)
+        events.unpersist()
+
+    return write
+
+
+def quality_gate(now_ms: int, folder: str) -> Callable[[DataFrame, int], None]:
+    """STR3/DQ18: each batch of candle events is checked by series; candles of series that are not rejected go to
+    validated, with their tier, the others to rejected, and each series leaves a lineage step: success without an issue, else partial."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bars = exploded_bars(parsed(batch, "ohlcv")).withColumn("market_type", F.lit("spot")).dropDuplicates([*KEY, "timestamp"]).persist()
+        told = quality.decisions(quality.checks(bars, now_ms)).persist()
+        both = bars.join(told.select(*KEY, "tier"), KEY).persist()
+        both.where("tier != 'rejected'").write.mode("overwrite").parquet(f"{folder}/validated/batch={batch_id}")
+        both.where("tier = 'rejected'").write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
+        kept = F.when(F.col("tier") == "rejected", 0).otherwise(F.col("rows"))
+        steps = told.select(F.lit(f"batch-{batch_id}").alias("run_id"), F.lit("silver").alias("layer"), *KEY, F.col("rows").alias("rows_in"), kept.alias("rows_out"), F.when(F.size("reasons") == 0, "success").otherwise("partial").alias("status"), F.col("score").alias("quality_score"), F.lit(now_ms).alias("ts_ms"))
+        steps.write.mode("overwrite").parquet(f"{folder}/lineage/batch={batch_id}")
+        for df in (bars, told, both):
+            df.unpersist()
+
+    return write
+
+
 def trade_rows(raw: DataFrame) -> DataFrame:
-    """Accepted trade events as rows, on a stream or not."""
+    """Accepted trade events as rows, on a stream or not; land_trades keeps what is rejected here."""
     p = F.from_json("value", SCHEMAS["trade"])
     df = raw.select(p.alias("p")).where("p.event_version = 1 AND p.source IN ('live', 'backfill', 'replay')").select("p.*")
     df = df.withColumns({"timestamp": F.timestamp_millis("timestamp_ms"), "price": F.col("price").try_cast("double"), "amount": F.col("amount").try_cast("double"), "side": F.lower("side")})
     return df.where("price > 0 AND amount > 0")
 
 
+def calibrated_delay(late: DataFrame, share: str = "p99_ms") -> str:
+    """STR7: how long a stream waits for late rows: the largest calibrated lateness (AGG10) of its venues and timeframes."""
+    found = late.agg(F.max(share)).first()[0]
+    return f"{int(found or 60_000)} milliseconds"
+
+
 def once(trades: DataFrame, horizon: str = "7 days") -> DataFrame:
     """DED7/DED8: each trade of a venue once within the horizon."""
     return trades.withWatermark("timestamp", horizon).dropDuplicatesWithinWatermark(["exchange", "symbol", "timestamp_ms", "trade_id"])
@@ -105,55 +161,89 @@ def monotonic(trades: DataFrame) -> DataFrame:
     return rows.groupBy("exchange", "symbol").applyInPandasWithState(keep, out, "newest long, ids string", "append", GroupStateTimeout.NoTimeout)
 
 
-def silence_gaps(trades: DataFrame, threshold_ms: int = SILENCE_MS) -> DataFrame:
-    """STR9: a gap record for each span without a trade longer than the threshold, across batches."""
+def silence_gaps(events: DataFrame, threshold_ms: int = SILENCE_MS) -> DataFrame:
+    """STR9: a gap record for each span without a trade that is longer than the threshold, or that a disconnect
+    opened, across batches; from just after the last trade to the next event, and with its cause.
+
+    events: exchange, symbol, timestamp_ms, and event (trade or disconnect; trade where it is null).
+    """
 
     def gaps(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        times = sorted(ms for pdf in frames for ms in pdf["timestamp_ms"])
+        last, cut = state.get if state.exists else (-1, False)
+        rows = pd.concat(list(frames), ignore_index=True)
+        rows["trade"] = rows["event"].fillna("trade") == "trade"
         found = []
-        for ms in times:
-            if last is not None and ms - last > threshold_ms:
-                found.append((*key, last + 1, ms))
-            last = ms if last is None else max(last, ms)
-        if last is not None:
-            state.update((int(last),))
-        yield pd.DataFrame(found, columns=["exchange", "symbol", "from_ms", "to_ms"])
+        for ms, trade in rows.sort_values(["timestamp_ms", "trade"], kind="stable")[["timestamp_ms", "trade"]].itertuples(index=False):
+            if not trade:
+                cut = True
+                continue
+            if last >= 0 and ms > last + 1 and (cut or ms - last > threshold_ms):
+                found.append((*key, last + 1, ms, "disconnect" if cut else "silence"))
+            last, cut = max(last, ms), False
+        state.update((int(last), bool(cut)))
+        yield pd.DataFrame(found, columns=["exchange", "symbol", "from_ms", "to_ms", "cause"])
+
+    out = "exchange string, symbol string, from_ms long, to_ms long, cause string"
+    rows = events.select("exchange", "symbol", "timestamp_ms", "event" if "event" in events.columns else F.lit("trade").alias("event"))
+    return rows.groupBy("exchange", "symbol").applyInPandasWithState(gaps, out, "last long, cut boolean", "append", GroupStateTimeout.NoTimeout)
 
-    out = "exchange string, symbol string, from_ms long, to_ms long"
-    return trades.select("exchange", "symbol", "timestamp_ms").groupBy("exchange", "symbol").applyInPandasWithState(gaps, out, "last long", "append", GroupStateTimeout.NoTimeout)
 
+def recovered(trades: DataFrame, gaps: DataFrame) -> DataFrame:
+    """STR9: landed trades that lie in a gap, tagged as recovered; they must not count as live ones."""
+    g = gaps.select(F.col("exchange").alias("_exchange"), F.col("symbol").alias("_symbol"), "from_ms", "to_ms")
+    inside = (F.col("exchange") == F.col("_exchange")) & (F.col("symbol") == F.col("_symbol")) & (F.col("timestamp_ms") >= F.col("from_ms")) & (F.col("timestamp_ms") < F.col("to_ms"))
+    return trades.join(g, inside, "left_semi").withColumn("source", F.lit("recovery"))
 
-def book_stream(events: DataFrame) -> DataFrame:
+
+#: STR10: deltas that a book keeps for the snapshot that it waits for.
+PENDING = 1000
+
+
+def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
     """STR10: the best prices of each book after each batch, rebuilt from snapshots and deltas.
 
-    events: exchange, symbol, seq, kind (snapshot or delta), side, price, qty. A book is not ready before
-    a snapshot, nor after a gap in seq; a snapshot makes it ready again.
+    events: exchange, symbol, seq, kind (snapshot or delta), side, price, qty; a snapshot's rows share its seq. A book is
+    not ready before a snapshot, nor after a gap in seq; its deltas wait then, so many of the newest at most, and those
+    after the snapshot's seq are applied when it comes. Levels are kept as arrays in the state store.
     """
 
     def rebuild(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        import json
-
-        book = json.loads(state.get[0]) if state.exists else {"bid": {}, "ask": {}, "seq": None, "ready": False}
-        rows = pd.concat(list(frames)).sort_values("seq", kind="stable")
-        for seq, group in rows.groupby("seq", sort=True):
+        seq, ready, sides, prices, sizes, w_seq, w_side, w_price, w_qty = state.get if state.exists else (-1, False, [], [], [], [], [], [], [])
+        book = dict(zip(zip(sides, prices, strict=True), sizes, strict=True))
+        waiting = list(zip(w_seq, w_side, w_price, w_qty, strict=True))
+
+        def put(side: str, price: float, qty: float) -> None:
+            if qty > 0:
+                book[side, price] = qty
+            else:
+                book.pop((side, price), None)
+
+        rows = pd.concat(list(frames)).sort_values(["seq", "price"], kind="stable")
+        for s, group in rows.groupby("seq", sort=True):
+            levels = list(zip(group["side"], group["price"].astype(float), group["qty"].astype(float), strict=True))
             if (group["kind"] == "snapshot").any():
-                book |= {"bid": {}, "ask": {}, "ready": True}
-            elif book["seq"] is not None and seq > book["seq"] + 1:
-                book["ready"] = False
-            book["seq"] = int(seq)
-            for side, price, qty in zip(group["side"], group["price"], group["qty"], strict=True):
-                if qty > 0:
-                    book[side][repr(float(price))] = float(qty)
-                else:
-                    book[side].pop(repr(float(price)), None)
-        state.update((json.dumps(book),))
-        bids, asks = ([float(p) for p in book[s]] for s in ("bid", "ask"))
-        yield pd.DataFrame([{"exchange": key[0], "symbol": key[1], "seq": book["seq"], "ready": book["ready"], "best_bid": max(bids, default=None), "best_ask": min(asks, default=None), "levels": len(bids) + len(asks)}])
+                book.clear()
+                for level in levels:
+                    put(*level)
+                for _, *level in sorted(x for x in waiting if x[0] > s):
+                    put(*level)
+                waiting, ready = [], True
+            elif ready and s == seq + 1:
+                for level in levels:
+                    put(*level)
+            else:
+                ready = False
+                waiting = [*waiting, *((int(s), *level) for level in levels)][-pending:]
+            seq = int(max(seq, s))
+        w = list(zip(*waiting, strict=True)) or [[], [], [], []]
+        state.update((seq, bool(ready), [k[0] for k in book], [k[1] for k in book], list(book.values()), *(list(x) for x in w)))
+        bids, asks = ([p for side, p in book if side == which] for which in ("bid", "ask"))
+        yield pd.DataFrame([{"exchange": key[0], "symbol": key[1], "seq": seq, "ready": ready, "best_bid": max(bids, default=None), "best_ask": min(asks, default=None), "levels": len(book)}])
 
     out = "exchange string, symbol string, seq long, ready boolean, best_bid double, best_ask double, levels long"
+    kept = "seq long, ready boolean, sides array<string>, prices array<double>, sizes array<double>, w_seq array<long>, w_side array<string>, w_price array<double>, w_qty array<double>"
     rows = events.select("exchange", "symbol", "seq", "kind", "side", "price", "qty")
-    return rows.groupBy("exchange", "symbol").applyInPandasWithState(rebuild, out, "book string", "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("exchange", "symbol").applyInPandasWithState(rebuild, out, kept, "append", GroupStateTimeout.NoTimeout)
 
 
 def fan_out(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -168,18 +258,26 @@ def fan_out(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
     return write
 
 
-def features_of_new(lake: Lake, table: str, features: Callable[[DataFrame], DataFrame], out: str, rows: int = 20) -> Callable[[DataFrame, int], None]:
-    """STR6: features of a batch's candles, with as many earlier candles of each series as the windows need."""
+def features_of_new(lake: Lake, table: str, features: Callable[[DataFrame], DataFrame], out: str, rows: int = 20, longest_gap: int = 10) -> Callable[[DataFrame, int], None]:
+    """STR6: features of a batch's candles, with as many earlier candles of each series as the windows need.
+
+    Earlier candles are looked for in the table from longest_gap times that many candles before the batch's oldest one, so
+    that only months and series near it are read; a series with a longer gap starts its windows anew.
+    """
     from pyspark.sql.window import Window
 
-    key = ["exchange", "market_type", "symbol", "timeframe"]
+    columns = [*KEY, "timestamp", "open", "high", "low", "close", "volume"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("timestamp")))
-        first = batch.groupBy(*key).agg(F.min("timestamp").alias("first"))
-        old = lake.candles(table).join(first, key).where(F.col("timestamp") < F.col("first")).withColumn("_n", newest).where(F.col("_n") <= rows)
-        both = old.select(*key, "timestamp", "open", "high", "low", "close", "volume").unionByName(batch.select(*key, "timestamp", "open", "high", "low", "close", "volume"))
-        features(both).join(first, key).where(F.col("timestamp") >= F.col("first")).drop("first").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch = batch.select(*columns).persist()
+        edge = batch.agg(F.min(F.unix_millis("timestamp") - rows * longest_gap * ms_of(F.col("timeframe"))).alias("from_ms"), F.max(F.unix_millis("timestamp")).alias("to_ms")).first()
+        if edge["to_ms"] is not None:
+            first = batch.groupBy(*KEY).agg(F.min("timestamp").alias("first"))
+            newest = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("timestamp")))
+            old = lake.candles(table, start_ms=edge["from_ms"], end_ms=edge["to_ms"]).join(first, KEY).where(F.col("timestamp") < F.col("first")).withColumn("_n", newest).where(F.col("_n") <= rows)
+            both = old.select(*columns).unionByName(batch)
+            features(both).join(first, KEY).where(F.col("timestamp") >= F.col("first")).drop("first").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.unpersist()
 
     return write
 
