@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,34 +29,59 @@ def fold_fills(fills: DataFrame) -> DataFrame:
     """ANL1/ANL2/JN9: for each account and symbol its open position at weighted-average cost, and its closed trades.
 
     fills: account, symbol, timestamp, trade_id, side, price, amount. A sale closes at most what is
-    held. The fold needs a position's fills in order, so one account and symbol is one group.
+    held. The fold needs a position's fills in order, so they are sorted within partitions by account and
+    symbol and pass through a task with one position's state in hand; no history is ever one row or one array.
     """
-    fill = F.struct("timestamp", "trade_id", "side", "price", "amount")
-    sorted_fills = fills.groupBy(*ACCOUNT).agg(F.array_sort(F.collect_list(fill)).alias("fills"))
-    closed_type = "array<struct<trade_id:bigint,entry_at:timestamp,exit_at:timestamp,closed_qty:double,avg_entry_price:double,exit_price:double>>"
-    none = F.struct(F.lit(0.0).alias("qty"), F.lit(0.0).alias("avg"), F.lit(None).cast("timestamp").alias("entry_at"), F.array().cast(closed_type).alias("closed"))
-
-    def step(acc: Column, f: Column) -> Column:
-        buy = f["side"] == "buy"
-        held = F.least(f["amount"], acc["qty"])
-        left = acc["qty"] - held
-        qty = F.when(buy, acc["qty"] + f["amount"]).otherwise(left)
-        avg = F.when(buy, (acc["qty"] * acc["avg"] + f["amount"] * f["price"]) / (acc["qty"] + f["amount"])).when(left > 0, acc["avg"]).otherwise(0.0)
-        entry = F.when(buy & (acc["qty"] == 0), f["timestamp"]).when(~buy & (left <= 0), None).otherwise(acc["entry_at"])
-        trade = F.array(F.struct(f["trade_id"].alias("trade_id"), acc["entry_at"].alias("entry_at"), f["timestamp"].alias("exit_at"), held.alias("closed_qty"), acc["avg"].alias("avg_entry_price"), f["price"].alias("exit_price")))
-        return F.struct(qty.alias("qty"), avg.alias("avg"), entry.alias("entry_at"), F.when(~buy & (held > 0), F.concat(acc["closed"], trade)).otherwise(acc["closed"]).alias("closed"))
-
-    return sorted_fills.select(*ACCOUNT, F.aggregate("fills", none, step).alias("state"))
+    closed = "trade_id bigint, entry_at timestamp, exit_at timestamp, closed_qty double, avg_entry_price double, exit_price double"
+    kinds = ", ".join(f"{c} {fills.schema[c].dataType.simpleString()}" for c in ACCOUNT)
+    schema = f"{kinds}, is_open boolean, {closed}, quantity double, avg_entry double, opened_at timestamp"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, qty, avg, entry = None, 0.0, 0.0, None
+        names = [x.split()[0] for x in schema.split(", ")]
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [[] for _ in names]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, types, strict=True)], names=names)
+
+        types = None
+        stamp = pa.timestamp("us", "UTC")
+        for batch in batches:
+            types = types or [*(batch.column(i).type for i in range(2)), pa.bool_(), pa.int64(), stamp, stamp, *[pa.float64()] * 5, stamp]
+            rows = []
+            columns = [c.cast(pa.int64()) if pa.types.is_timestamp(c.type) else c for c in batch.columns]
+            for account, symbol, at, trade_id, side, price, amount in zip(*(c.to_pylist() for c in columns), strict=True):
+                if (account, symbol) != key:
+                    if key is not None and qty > 0:
+                        rows.append((*key, True, None, None, None, None, None, None, qty, avg, entry))
+                    key, qty, avg, entry = (account, symbol), 0.0, 0.0, None
+                if side == "buy":
+                    entry = at if qty == 0 else entry
+                    avg = (qty * avg + amount * price) / (qty + amount)
+                    qty += amount
+                else:
+                    held = min(amount, qty)
+                    if held > 0:
+                        rows.append((*key, False, trade_id, entry, at, held, avg, price, None, None, None))
+                    qty -= held
+                    if qty <= 0:
+                        avg, entry = 0.0, None
+            yield made(rows)
+        if key is not None and qty > 0:
+            yield made([(*key, True, None, None, None, None, None, None, qty, avg, entry)])
+
+    rows = fills.select(*ACCOUNT, "timestamp", F.col("trade_id").cast("long").alias("trade_id"), "side", F.col("price").cast("double").alias("price"), F.col("amount").cast("double").alias("amount"))
+    return rows.repartition(*ACCOUNT).sortWithinPartitions(*ACCOUNT, "timestamp", "trade_id").mapInArrow(run, schema)
 
 
 def positions(folded: DataFrame) -> DataFrame:
     """ANL2: open positions."""
-    return folded.select(*ACCOUNT, F.col("state.qty").alias("quantity"), F.col("state.avg").alias("avg_entry"), F.col("state.entry_at").alias("opened_at")).where("quantity > 0")
+    return folded.where("is_open").select(*ACCOUNT, "quantity", "avg_entry", "opened_at")
 
 
 def closed_trades(folded: DataFrame) -> DataFrame:
-    """ANL1: closed trades in the order of their exits."""
-    return folded.select(*ACCOUNT, F.inline("state.closed"))
+    """ANL1: closed trades."""
+    return folded.where("NOT is_open").select(*ACCOUNT, "trade_id", "entry_at", "exit_at", "closed_qty", "avg_entry_price", "exit_price")
 
 
 def settled(closed: DataFrame, fee: Column, fee_status: Column) -> DataFrame:
@@ -117,10 +145,15 @@ def max_drawdown(curve: DataFrame, by: list[str] = ["account"]) -> DataFrame:  #
 
 
 def compounded(trades: DataFrame, by: list[str] = ["account"]) -> DataFrame:  # noqa: B006
-    """WIN20 without capital: equity compounds from 1 by each trade's share; a product by fold, as a factor may be negative."""
-    rows = trades.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("exit_at", "trade_id", "pnl_pct"))).alias("t"))
-    run = F.aggregate("t", F.array(F.lit(1.0)), lambda ys, x: F.concat(ys, F.array(F.element_at(ys, -1) * (1 + x["pnl_pct"]))))
-    return rows.select(*by, F.posexplode(run).alias("step", "equity"))
+    """WIN20 without capital: equity compounds from 1 by each trade's share. The product so far is a running sum of
+    logarithms, with running counts of zeros and of negative factors for its sign; step 0 is the 1."""
+    order = Window.partitionBy(*by).orderBy("exit_at", "trade_id").rowsBetween(Window.unboundedPreceding, 0)
+    factor = 1 + F.col("pnl_pct")
+    so_far = lambda c: F.sum(c).over(order)
+    sign = F.when(so_far((factor == 0).cast("int")) > 0, 0.0).when(so_far((factor < 0).cast("int")) % 2 == 1, -1.0).otherwise(1.0)
+    size = F.exp(so_far(F.when(factor != 0, F.log(F.abs(factor))).otherwise(0.0)))
+    rows = trades.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy("exit_at", "trade_id")).alias("step"), (sign * size).alias("equity"))
+    return trades.select(*by).distinct().select(*by, F.lit(0).alias("step"), F.lit(1.0).alias("equity")).union(rows)
 
 
 def daily_pnl(trades: DataFrame, by: list[str] = ["account"]) -> DataFrame:  # noqa: B006

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideframe.functions.timeframes import ms_of
 from tideframe.operators.resample import KEY
 from tideframe.operators.silver import require_columns
 
@@ -18,35 +19,31 @@ BLOCK = 128
 def ema(candles: DataFrame, spans: dict[str, int], value: str = "close", block: int = BLOCK) -> DataFrame:
     """WIN16: recursive exponential averages, seeded with the first value; one column for each name in spans.
 
-    y = (1 - a) y' + a x is an affine map of y', and maps compose. Blocks of rows are folded side by
-    side, only their two coefficients pass through one task of a series, and each block then runs
-    from its carried-in value. A long series is never one group of rows.
+    y = (1 - a) y' + a x is an affine map of y', and maps compose. Blocks, each of the time of so many
+    candles, are folded side by side, only their coefficients pass through one task of a series, and each block
+    then runs from its carried-in value; the first one from its first value, which leaves that value as it is.
     """
-    order = Window.partitionBy(*KEY).orderBy("timestamp")
     rest = [c for c in candles.columns if c not in KEY]
-    rows = candles.withColumn("_block", F.floor((F.row_number().over(order) - 1) / block))
+    rows = candles.withColumn("_block", F.floor(F.unix_millis("timestamp") / (ms_of(F.col("timeframe")) * block)))
     blocks = rows.groupBy(*KEY, "_block").agg(F.array_sort(F.collect_list(F.struct("timestamp", *(c for c in rest if c != "timestamp")))).alias("_rows"))
     names = list(spans)
     alpha = {n: 2.0 / (spans[n] + 1) for n in names}
-    opening = F.col("_block") == 0
-    todo = F.when(opening, F.slice("_rows", 2, block)).otherwise(F.col("_rows"))
 
     def fold(n: str) -> list:
         a = alpha[n]
-        start = F.when(opening, F.get("_rows", F.lit(0))[value]).otherwise(F.lit(0.0))
-        return [F.aggregate(todo, start, lambda y, x: y * (1 - a) + x[value] * a).alias(f"b_{n}"), F.pow(F.lit(1 - a), F.size("_rows")).alias(f"a_{n}")]
+        return [F.aggregate("_rows", F.lit(0.0), lambda y, x: y * (1 - a) + x[value] * a).alias(f"b_{n}"), F.pow(F.lit(1 - a), F.size("_rows")).alias(f"a_{n}")]
 
     folds = [c for n in names for c in fold(n)]
-    summary = blocks.select(*KEY, "_block", *folds)
+    summary = blocks.select(*KEY, "_block", F.get("_rows", F.lit(0))[value].cast("double").alias("first"), *folds)
 
     def carried(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
         out = {f"in_{n}": [] for n in names}
-        y = dict.fromkeys(names, 0.0)
+        y = dict.fromkeys(names, pdf["first"].iloc[0])
         for values in pdf.to_dict("records"):
             for n in names:
                 out[f"in_{n}"].append(y[n])
-                y[n] = (0.0 if values["_block"] == 0 else y[n] * values[f"a_{n}"]) + values[f"b_{n}"]
+                y[n] = y[n] * values[f"a_{n}"] + values[f"b_{n}"]
         return pdf[[*KEY, "_block"]].assign(**out)
 
     kind = ", ".join(f"{c} string" for c in KEY) + ", _block long, " + ", ".join(f"in_{n} double" for n in names)
@@ -58,7 +55,7 @@ def ema(candles: DataFrame, spans: dict[str, int], value: str = "close", block:
 
         def step(ys, x):
             before = F.coalesce(F.try_element_at(ys, F.lit(-1)), F.col(f"in_{n}"))
-            return F.concat(ys, F.array(F.when(opening & (F.size(ys) == 0), x[value]).otherwise(before * (1 - a) + x[value] * a)))
+            return F.concat(ys, F.array(before + (x[value] - before) * a))
 
         return F.aggregate("_rows", F.array().cast("array<double>"), step)
 

@@ -62,7 +62,7 @@ def snk12_keys(spark, sf):
 @query("src15_raw_candles", f"{_C} SELECT ts_ms, open, close, volume FROM candles")
 def src15_raw(spark, sf):
     row = F.array(F.unix_millis("timestamp").cast("double"), "open", "high", "low", "close", "volume")
-    raw = m.candles(spark, sf).groupBy("symbol").agg(F.to_json(F.collect_list(row)).alias("value"))
+    raw = m.candles(spark, sf).groupBy("symbol", F.to_date("timestamp").alias("day")).agg(F.to_json(F.collect_list(row)).alias("value"))  # a list for each day
     return ts_ms(landed.raw_candles(raw)).select("ts_ms", "open", "close", "volume")
 
 
