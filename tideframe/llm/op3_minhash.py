@@ -17,8 +17,11 @@ contracted into components, then a second pivot is tried where a bucket still ha
 minus the similarity is a metric, so members near the pivot cannot be linked with those beyond its
 ring (similarity below 2 * threshold - 1). What remains of different components and has two open
 buckets is compared pair by pair, in blocks: signatures first, which drop a pair at the threshold
-with a probability below 1e-4, then exactly. Pairs never become rows; each group of blocks gives a
-spanning forest of the links that it has found.
+with a probability below 1e-4, then exactly, for members that have a candidate left. A pair exactly at the
+threshold that no pivot connects meets in fewer than two buckets with a probability of 4.5e-4, which is the main
+source of misses. Pairs never become rows; each group of blocks gives a spanning forest of the links that it
+has found. A member of a bucket of n rows goes to n / BLOCK groups with its signature of 260 bytes, with its
+shingles only where it has a candidate.
 
 Verification is exact: the overlap of both multisets of shingle occurrences over their union.
 
@@ -281,28 +284,58 @@ def linked_classes(docs: DataFrame, text: str = "text", threshold: float = THRES
     dealt = active.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("class", "band"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("group", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    dealt = dealt.join(bands.select("class", "marks"), "class").join(shingles, "class")
-    rest = stored(linked_in_blocks(dealt, threshold))
+    dealt = stored(dealt.join(bands.select("class", "marks"), "class").select("group", "band", "own", "other", "class", "component", "marks"))
+    # by signatures alone first: shingles go only to members that have a candidate left
+    compared = dealt.join(surviving(dealt, threshold), ["group", "class"]).join(shingles, "class")
+    rest = stored(linked_in_blocks(compared, threshold))
     return components if rest.isEmpty() else connected(edges.union(rest)).withColumnRenamed("node", "class")
 
 
+def candidate_pairs(group: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of members of different components whose signatures agree enough, each pair in the group where it first meets.
+
+    A pair that is ESTIMATE_SPREADS deviations below the threshold by its signatures is left out.
+    """
+    least = threshold - ESTIMATE_SPREADS * (threshold * (1 - threshold) / _REGISTERS) ** 0.5
+    n, band = group.num_rows, group.column("band")[0].as_py()
+    own, other = (group.column(c).to_numpy() for c in ("own", "other"))
+    component = group.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+    marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint16).reshape(n, _REGISTERS)
+    for start in range(0, n, 32):
+        rows = np.arange(start, min(start + 32, n))
+        equal = marks[rows, None, :] == marks[None, start:, :]
+        good = equal.mean(axis=2) >= least
+        good &= ((own[rows, None] != own[None, start:]) | (own[rows, None] == other[rows, None])) & (component[rows, None] != component[None, start:])
+        x, y = np.nonzero(good)
+        later = y > x
+        x, y = x[later], y[later]
+        if len(x):
+            first = equal[x, y].reshape(len(x), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            yield x[first] + start, y[first] + start
+
+
+def surviving(dealt: DataFrame, threshold: float) -> DataFrame:
+    """group, class: the members of groups of blocks that have a candidate there."""
+
+    def find(group: pa.Table) -> pa.Table:
+        places = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.concatenate(pair) for pair in candidate_pairs(group, threshold))]))
+        return group.select(["group", "class"]).take(pa.array(places))
+
+    return dealt.groupBy("group").applyInArrow(find, "group long, class binary")
+
+
 def linked_in_blocks(dealt: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between different components inside groups of at most two blocks; a spanning forest of them.
 
-    dealt: group, band, own, other (blocks), class, component, marks, shingles. Signatures are compared
-    first; a pair that is ESTIMATE_SPREADS deviations below the threshold there is left out.
+    dealt: group, band, own, other (blocks), class, component, marks, shingles. Candidates are compared exactly.
     """
-    least = threshold - ESTIMATE_SPREADS * (threshold * (1 - threshold) / _REGISTERS) ** 0.5
 
     def compare(group: pa.Table) -> pa.Table:
-        columns = {c: group.column(c).to_pylist() for c in ("class", "component", "shingles")}
-        n, band = group.num_rows, group.column("band")[0].as_py()
-        own, other = (group.column(c).to_numpy() for c in ("own", "other"))
-        marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint16).reshape(n, _REGISTERS)
-        sets = [np.frombuffer(x, _U) for x in columns["shingles"]]
-        tree, names = list(range(n)), {}
-        for i, c in enumerate(columns["component"]):
-            tree[i] = names.setdefault(c, i)  # members of one component are connected already
+        names, components = (group.column(c).to_pylist() for c in ("class", "component"))
+        sets = [np.frombuffer(x, _U) for x in group.column("shingles").to_pylist()]
+        tree, firsts = [0] * len(names), {}
+        for i, c in enumerate(components):
+            tree[i] = firsts.setdefault(c, i)  # members of one component are connected already
 
         def find(i: int) -> int:
             while tree[i] != i:
@@ -311,20 +344,11 @@ def linked_in_blocks(dealt: DataFrame, threshold: float) -> DataFrame:
             return i
 
         found = []
-        for start in range(0, n, 32):
-            rows = np.arange(start, min(start + 32, n))
-            equal = marks[rows, None, :] == marks[None, start:, :]
-            good = equal.mean(axis=2) >= least
-            good &= (own[rows, None] != own[None, start:]) | (own[rows, None] == other[rows, None])
-            x, y = np.nonzero(good)
-            later = y + start > x + start
-            x, y = x[later], y[later]
-            meets = equal[x, y].reshape(len(x), BANDS, ROWS).all(axis=2)
-            first = meets.argmax(axis=1) == band if len(x) else np.zeros(0, bool)
-            for i, j in zip((x[first] + start).tolist(), (y[first] + start).tolist(), strict=True):
+        for x, y in candidate_pairs(group, threshold):
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
                 if find(i) != find(j) and similarity(sets[i], sets[j]) >= threshold:
                     tree[find(i)] = find(j)
-                    found.append((columns["class"][i], columns["class"][j]))
+                    found.append((names[i], names[j]))
         return pa.table([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], names=["a", "b"])
 
     return dealt.select("group", "band", "own", "other", "class", "component", "marks", "shingles").groupBy("group").applyInArrow(compare, "a binary, b binary")
