@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -110,24 +112,36 @@ def issues(found: DataFrame, rows_removed: int = 0) -> DataFrame:
     return found.select(*KEY, "rows", F.explode(issue_array(found, rows_removed)).alias("i")).select(*KEY, "rows", "i.*")
 
 
-def decisions(found: DataFrame, issue_rows: DataFrame | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Policy:
+    """UDF6: what issues cost, and where scores are rejected or flagged."""
+
+    weights: dict[str, float] = field(default_factory=lambda: dict(WEIGHTS))
+    weight_default: float = WEIGHT_DEFAULT
+    reject_below: float = REJECT_BELOW
+    flag_below: float = FLAG_BELOW
+    critical_share: float = CRITICAL_SHARE
+
+
+def decisions(found: DataFrame, issue_rows: DataFrame | None = None, policy: Policy | None = None) -> DataFrame:
     """DQ8-DQ11: score, decision, tier and reasons of every series, those without an issue too.
 
     Issues are those of the checks, told within each row, or given ones, joined by series.
     """
+    policy = policy or Policy()
     if issue_rows is None:
         df = found.select(*KEY, "rows", issue_array(found).alias("_issues"))
     else:
         given = issue_rows.groupBy(*KEY).agg(F.collect_list(F.struct("check", "severity", "affected")).alias("_issues"))
         df = found.select(*KEY, "rows").join(given, KEY, "left").withColumn("_issues", F.coalesce("_issues", F.array().cast("array<struct<check:string,severity:string,affected:bigint>>")))
-    costs = lambda i: lookup(WEIGHTS, i["check"], WEIGHT_DEFAULT) * i["affected"] / F.greatest("rows", F.lit(1)) * F.when(i["severity"] == "critical", 2.0).otherwise(1.0) * 100
+    costs = lambda i: lookup(policy.weights, i["check"], policy.weight_default) * i["affected"] / F.greatest("rows", F.lit(1)) * F.when(i["severity"] == "critical", 2.0).otherwise(1.0) * 100
     total = lambda values, zero: F.aggregate(values, zero, lambda a, x: a + x)
     penalty = total(F.transform("_issues", costs), F.lit(0.0))
     critical = total(F.transform(F.filter("_issues", lambda i: i["severity"] == "critical"), lambda i: i["affected"]), F.lit(0).cast("long"))
     reasons = F.array_sort(F.transform("_issues", lambda i: F.concat(i["check"], F.lit("("), i["severity"], F.lit("): "), i["affected"].cast("string"), F.lit(" rows"))))
     df = df.withColumns({"score": F.when(F.col("rows") == 0, 0.0).otherwise(F.greatest(F.lit(0.0), 100 - penalty)), "_critical": critical, "reasons": reasons})
-    reject = (F.col("rows") == 0) | (F.col("score") < REJECT_BELOW) | (F.coalesce(F.try_divide("_critical", "rows"), F.lit(0.0)) > CRITICAL_SHARE)
-    df = df.withColumn("decision", F.when(reject, "reject").when(F.col("score") < FLAG_BELOW, "accept_with_flags").otherwise("accept"))
+    reject = (F.col("rows") == 0) | (F.col("score") < policy.reject_below) | (F.coalesce(F.try_divide("_critical", "rows"), F.lit(0.0)) > policy.critical_share)
+    df = df.withColumn("decision", F.when(reject, "reject").when(F.col("score") < policy.flag_below, "accept_with_flags").otherwise("accept"))
     tier = F.when(F.col("decision") == "reject", "rejected").when(F.col("decision") == "accept", "clean").otherwise("flagged")
     return df.select(*KEY, "rows", "score", "decision", tier.alias("tier"), "reasons")
 

@@ -12,6 +12,8 @@ from tideframe.operators.resample import KEY
 from tideframe.plans.core import K, r
 from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.sources import mappings as m
+from tideframe.sources.snapshots import new_folder
+from tideframe.streaming import jobs
 
 CAPITAL = 10_000.0
 _FAST, _SLOW = 2.0 / 10, 2.0 / 22
@@ -145,14 +147,31 @@ halting AS (SELECT account, min((at_ms, signal_id)) AS halt FROM asked WHERE ref
 told AS (SELECT a.account, signal_id, CASE WHEN (at_ms, signal_id) > halt THEN 'system_halted' ELSE coalesce(refused, 'ok') END AS reason FROM asked a LEFT JOIN halting h ON h.account = a.account)"""
 
 
-def _risk(spark, sf) -> DataFrame:
+def _asked(spark, sf) -> tuple[DataFrame, DataFrame]:
     t = m.trades(spark, sf).withColumn("timestamp", F.timestamp_millis(F.unix_millis("timestamp")))
     signals = t.select("account", "timestamp", F.col("trade_id").alias("signal_id"), F.col("side").alias("direction"), (0.7 + (F.col("trade_id") % 10) * 0.03).alias("confidence"), (F.col("trade_id") % 13 != 0).alias("actionable"), (F.col("trade_id") % 5).alias("open_positions"))
-    closes = _trades(spark, sf).select("account", F.timestamp_millis(F.unix_millis("exit_at")).alias("exit_at"), (F.col("pnl_usd") * 5).alias("pnl_usd"))
-    return p.risk_decisions(signals, closes, CAPITAL)
+    return signals, _trades(spark, sf).select("account", F.timestamp_millis(F.unix_millis("exit_at")).alias("exit_at"), (F.col("pnl_usd") * 5).alias("pnl_usd"))
+
+
+def _risk(spark, sf) -> DataFrame:
+    return p.risk_decisions(*_asked(spark, sf), CAPITAL)
+
+
+@query("str11_risk_gate", f"{RISK_SQL} SELECT account, signal_id, reason = 'ok' AS approved, reason FROM told")
+def str11_gate(spark, sf):
+    """Closes and signals on a stream, in three batches of time."""
+    signals, closes = _asked(spark, sf)
+    e = signals.select("account", F.unix_millis("timestamp").alias("at_ms"), F.lit("signal").alias("kind"), F.lit(0.0).alias("pnl_usd"), "signal_id", "direction", "confidence", "actionable", "open_positions")
+    c = closes.select("account", F.unix_millis("exit_at").alias("at_ms"), F.lit("close").alias("kind"), "pnl_usd")
+    rows, folder = e.unionByName(c, allowMissingColumns=True), new_folder(spark)
+    for k in range(3):
+        low, high = m.NOW_MS - (20 - k * 10) * MS["1d"], m.NOW_MS - (10 - k * 10) * MS["1d"]
+        rows.where((F.col("at_ms") >= (low if k else 0)) & (F.col("at_ms") < (high if k < 2 else 1 << 60))).coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    return jobs.drain(jobs.risk_gate(stream, CAPITAL), folder)
 
 
-@query("anl9_str11_risk", f"{RISK_SQL} SELECT account, signal_id, reason = 'ok' AS approved, reason, CASE WHEN reason = 'ok' THEN 0.05 END AS size_pct FROM told")
+@query("anl9_risk", f"{RISK_SQL} SELECT account, signal_id, reason = 'ok' AS approved, reason, CASE WHEN reason = 'ok' THEN 0.05 END AS size_pct FROM told")
 def anl9_risk(spark, sf):
     return _risk(spark, sf)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tideframe.functions.timeframes import ms_of
+from tideframe.operators import portfolio as p
 from tideframe.operators import quality
 from tideframe.operators.resample import KEY
 from tideframe.operators.trade_series import SERIES, SILENCE_MS, series_totals
@@ -82,13 +83,13 @@ def land_trades(lake: Lake, table: str, dead_letters: str) -> Callable[[DataFram
     return write
 
 
-def quality_gate(now_ms: int, folder: str) -> Callable[[DataFrame, int], None]:
+def quality_gate(now_ms: int, folder: str, policy: quality.Policy | None = None) -> Callable[[DataFrame, int], None]:
     """STR3/DQ18: each batch of candle events is checked by series; candles of series that are not rejected go to
     validated, with their tier, the others to rejected, and each series leaves a lineage step: success without an issue, else partial."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bars = exploded_bars(parsed(batch, "ohlcv")).withColumn("market_type", F.lit("spot")).dropDuplicates([*KEY, "timestamp"]).persist()
-        told = quality.decisions(quality.checks(bars, now_ms)).persist()
+        told = quality.decisions(quality.checks(bars, now_ms), policy=policy).persist()
         both = bars.join(told.select(*KEY, "tier"), KEY).persist()
         both.where("tier != 'rejected'").write.mode("overwrite").parquet(f"{folder}/validated/batch={batch_id}")
         both.where("tier = 'rejected'").write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
@@ -103,8 +104,7 @@ def quality_gate(now_ms: int, folder: str) -> Callable[[DataFrame, int], None]:
 
 def trade_rows(raw: DataFrame) -> DataFrame:
     """Accepted trade events as rows, on a stream or not; land_trades keeps what is rejected here."""
-    p = F.from_json("value", SCHEMAS["trade"])
-    df = raw.select(p.alias("p")).where("p.event_version = 1 AND p.source IN ('live', 'backfill', 'replay')").select("p.*")
+    df = raw.select(F.from_json("value", SCHEMAS["trade"]).alias("p")).where("p.event_version = 1 AND p.source IN ('live', 'backfill', 'replay')").select("p.*")
     df = df.withColumns({"timestamp": F.timestamp_millis("timestamp_ms"), "price": F.col("price").try_cast("double"), "amount": F.col("amount").try_cast("double"), "side": F.lower("side")})
     return df.where("price > 0 AND amount > 0")
 
@@ -246,6 +246,40 @@ def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
     return rows.groupBy("exchange", "symbol").applyInPandasWithState(rebuild, out, kept, "append", GroupStateTimeout.NoTimeout)
 
 
+def risk_gate(events: DataFrame, capital: float) -> DataFrame:
+    """STR11: ANL9 on a stream, keyed by account: each signal approved, or the first rule that refuses it.
+
+    events: account, at_ms, kind (close or signal), pnl_usd, signal_id, direction, confidence, actionable, open_positions.
+    State is the day, its result and the whole one, and whether the account is halted. A batch is taken in order of
+    time, closes first.
+    """
+    order_usd = capital * p.POSITION_PCT
+
+    def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        day, daily, total, halted = state.get if state.exists else (-1, 0.0, 0.0, False)
+        out = []
+        for e in pd.concat(list(frames)).sort_values(["at_ms", "kind", "signal_id"]).itertuples(index=False):
+            if e.at_ms // 86_400_000 != day:
+                day, daily = e.at_ms // 86_400_000, 0.0
+            if e.kind == "close":
+                daily, total = daily + e.pnl_usd, total + e.pnl_usd
+                continue
+            buy = e.direction != "sell"
+            rules = [
+                ("system_halted", halted), ("signal_not_actionable", not e.actionable), ("confidence_too_low", e.confidence < p.MIN_CONFIDENCE), ("max_positions_reached", buy and e.open_positions >= p.MAX_POSITIONS),
+                ("daily_drawdown_breached", daily / capital <= -p.DAILY_DRAWDOWN), ("total_drawdown_breached", total / capital <= -p.TOTAL_DRAWDOWN), ("order_too_small", buy and order_usd < p.MIN_ORDER_USD),
+            ]
+            reason = next((name for name, hit in rules if hit), "ok")
+            halted = halted or reason.endswith("drawdown_breached")
+            out.append((key[0], int(e.signal_id), reason == "ok", reason))
+        state.update((int(day), float(daily), float(total), bool(halted)))
+        yield pd.DataFrame(out, columns=["account", "signal_id", "approved", "reason"])
+
+    kind = events.schema["account"].dataType.simpleString()
+    rows = events.select("account", "at_ms", "kind", F.coalesce("pnl_usd", F.lit(0.0)).alias("pnl_usd"), F.coalesce("signal_id", F.lit(-1)).alias("signal_id"), "direction", "confidence", F.coalesce("actionable", F.lit(False)).alias("actionable"), "open_positions")
+    return rows.groupBy("account").applyInPandasWithState(decide, f"account {kind}, signal_id long, approved boolean, reason string", "day long, daily double, total double, halted boolean", "append", GroupStateTimeout.NoTimeout)
+
+
 def fan_out(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """STR12: several sinks of one batch, which is computed once."""
 
