@@ -5,6 +5,7 @@ import math
 import os
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -150,20 +151,19 @@ def kneser_ney_by_definition(texts):
     for _ in range(order - 1):
         grams.insert(0, Counter(g[1:] for g in grams[0]))
 
-    def discount(table, c):
+    def discounts(table):
         n1, n2, n3, n4 = (sum(x == k for x in table.values()) for k in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2) if n1 else 0.5
-        k, low, high = [(1, n1, n2), (2, n2, n3), (3, n3, n4)][min(c, 3) - 1]
-        return min(max(k - (k + 1) * y * high / low, 0.1), k - 0.1) if low and n1 else k / 2
+        return {k: min(max(k - (k + 1) * y * high / low, 0.1), k - 0.1) if low and n1 else k / 2 for k, low, high in ((1, n1, n2), (2, n2, n3), (3, n3, n4))}
 
     below = None
     for table in grams:
-        total, mass = Counter(), Counter()
+        d, total, mass = discounts(table), Counter(), Counter()
         for g, c in table.items():
             total[g[:-1]] += c
-            mass[g[:-1]] += discount(table, c)
+            mass[g[:-1]] += d[min(c, 3)]
         low = below or {"": 1 / (len(table) + 1)}
-        below = {g: (c - discount(table, c) + mass[g[:-1]] * low[g[1:] if len(g) > 1 else ""]) / total[g[:-1]] for g, c in table.items()}
+        below = {g: (c - d[min(c, 3)] + mass[g[:-1]] * low[g[1:] if len(g) > 1 else ""]) / total[g[:-1]] for g, c in table.items()}
     return below
 
 
@@ -203,7 +203,14 @@ def test_quality_sees_the_order_of_words(spark):
 def test_quality_verdicts_by_definition(spark):
     """kept is the band of the documents that the base rules keep, by quantiles of plain numbers."""
     rows = op2_quality.op2_quality_rules(spark, SF).collect()
-    lang = {r["doc_id"]: r["lang"] for r in table(spark, "documents").collect()}
+    docs = {r["doc_id"]: r for r in table(spark, "documents").collect()}
+    lang = {i: r["lang"] for i, r in docs.items()}
+    models = {x: kneser_ney_by_definition([r["text"] for r in docs.values() if r["lang"] == x]) for x in set(lang.values())}
+    for r in rows:
+        w, model = words(docs[r["doc_id"]]["text"]), models[lang[r["doc_id"]]]
+        padded = "\0" * (op2_quality.ORDER - 1) + "".join(f"{x} " for x in w)
+        each = [math.log(model[padded[i : i + op2_quality.ORDER]]) for i in range(len(padded) - op2_quality.ORDER + 1)]
+        assert r["log_ppl"] == (pytest.approx(-sum(each) / len(w)) if w else None)
     known = [r for r in rows if not r["base_failed"]]
     for x in set(lang.values()):
         own = [r for r in known if lang[r["doc_id"]] == x]
@@ -407,8 +414,12 @@ def test_urls_against_all_rules(spark):
 
 
 def encoded(text):
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    return t.encode(text or "", add_special_tokens=False).ids
+    return library().encode(text or "", add_special_tokens=False).ids
+
+
+@lru_cache
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_token_counts(spark):
@@ -420,6 +431,12 @@ def test_token_counts(spark):
     assert op6_token_counts.token_counts(awkward(spark).limit(0)).count() == 0
 
 
+def test_token_count_query(spark):
+    got = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in op6_token_counts.op6_token_counts(spark, SF).collect()}
+    want = {i: (len(t.encode()), len(encoded(t))) for i, t in texts(spark).items()}
+    assert got == {i: (b, n, n > 2048) for i, (b, n) in want.items()}
+
+
 def test_vocabularies_that_span_white_space_are_refused():
     from tideframe.llm import tokens
 
@@ -638,9 +655,19 @@ def test_pipeline_against_brute_force(spark):
     assert len(kept["language_id"]) >= 0.98 * len(kept["quality_rules"])
     some = {i: shingles(t) for i, t in texts(spark).items() if i in set(kept["language_id"])}
     assert sorted(kept["minhash_dedup"]) == sorted(set(groups(some).values()))
-    assert set(kept["mixing"]) <= set(kept["minhash_dedup"])
-    final = cp.run(spark, SF).collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/stage-minhash_dedup/*.parquet'")
+    mixed = con.sql(op8_mixing.ORACLE_SQL)
+    at = mixed.columns.index("doc_id")
+    assert Counter(r[at] for r in mixed.fetchall()) == Counter(kept["mixing"])
+    final, all_texts = cp.run(spark, SF).collect(), texts(spark)
     assert Counter(r["doc_id"] for r in final if r["piece"] == 0) == Counter(kept["mixing"])
+    filled = Counter()
+    for r in sorted(final, key=lambda r: (r["sequence_id"], r["offset"])):
+        ids = np.array([*encoded(all_texts[r["doc_id"]]), 0], "<u4")[r["start"] : r["start"] + r["length"]]
+        assert (len(ids), zlib.crc32(ids.tobytes()), filled[r["sequence_id"]]) == (r["length"], r["ids_crc32"], r["offset"])
+        filled[r["sequence_id"]] += r["length"]
+    assert max(filled.values()) <= 2048
 
 
 def test_pipeline_of_awkward_rows(spark, tmp_path):
