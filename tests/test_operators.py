@@ -196,3 +196,39 @@ def test_retention_expires_versions_not_rows(spark, tmp_path):
     assert one(lake.candles("t"), "close") == rows and tuple(lake.retention("t", 9 * day, 3).first()) == (1, 0)
     with pytest.raises(LookupError):
         lake.resolve("t", 1)
+
+
+def test_rules_name_the_first_fault(spark):
+    from tideframe.operators import rules
+
+    df = spark.createDataFrame([("ex", "spot", "s", "1", 1, 1.0, 1.0, "live"), ("ex", "spot", "s", "1", 1, float("nan"), 1.0, "live"), ("ex", "", None, "1", 1, 1.0, 1.0, "live"), ("ex", "spot", "s", "1", 1, 1.0, None, "x")], "exchange string, market_type string, symbol string, trade_id string, timestamp_ms long, price double, amount double, source string")
+    assert [r[0] for r in df.select(rules.trade_problem()).collect()] == [None, None, "no_market_type", "bad_amount"]  # NaN is above every number
+    with pytest.raises(LookupError):
+        rules.sliced(df.withColumn("timestamp", F.timestamp_millis("timestamp_ms")), from_ms=5)
+    with pytest.raises(TypeError):
+        rules.assert_utc(df.withColumn("timestamp", F.lit("2024-01-01")))
+    bad = candles(spark, [1.0, 2.0]).withColumn("high", F.col("low") - 1)
+    with pytest.raises(Exception, match="invalid candle"):
+        rules.chunks(bad, ["symbol"], H).collect()
+
+
+def test_kinds_that_may_be_consumed():
+    from tideframe.sources import events
+
+    events.require_promoted("snapshot", "order_filled")
+    with pytest.raises(ValueError, match="liquidation"):
+        events.require_promoted("snapshot", "liquidation")
+
+
+def test_policies_are_parameters(spark):
+    found = quality.checks(candles(spark, [100.0 + i % 3 for i in range(60)]), 0)
+    lenient = quality.Policy(weights={"future_timestamps": 0.0}, critical_share=2.0)
+    assert quality.decisions(found).first()["decision"] == "reject" and quality.decisions(found, policy=lenient).first()["decision"] == "accept"
+
+
+def test_compounding_with_losses_of_all_and_more(spark):
+    rows = [(1, i, f) for i, f in enumerate([0.5, -1.5, -1.2, 0.1])] + [(2, 9, -1.0), (2, 10, 3.0)]
+    df = spark.createDataFrame(rows, "account int, trade_id int, pnl_pct double").withColumn("exit_at", F.timestamp_seconds("trade_id"))
+    got = {(r["account"], r["step"]): r["equity"] for r in portfolio.compounded(df).collect()}
+    want = {(1, 0): 1.0, (1, 1): 1.5, (1, 2): -0.75, (1, 3): 0.15, (1, 4): 0.165, (2, 0): 1.0, (2, 1): 0.0, (2, 2): 0.0}
+    assert got == pytest.approx(want)
