@@ -177,18 +177,21 @@ def told_languages(docs: DataFrame, model: NaiveBayes, text: str = "text") -> Da
     """The documents whose language is told: not `und`, with a posterior of one half at least, and with n-grams about as
     likely as that language's documents have them. The lower limit is SPREADS robust deviations below the language's
     median, for a mean over so many n-grams, and a margin; it rejects texts of languages that were not learned, which naive Bayes
-    would give to one of its own with certainty."""
-    found, names = predict(docs, model, text)
-    lang, fit = F.col(names["lang_pred"]), F.col(names["fit"])
-    slim = stored(predict(docs.select(text), model, text)[0].drop(text)).where("fit is not null")
-    centres = broadcast_if_small(slim.groupBy(F.col("lang_pred").alias("l")).agg(F.percentile_approx("fit", F.lit(0.5), F.lit(10_000)).alias("centre")))
+    would give to one of its own with certainty. Texts are scored once; the rejected rows' numbers are broadcast where they are
+    few, as a check of their count says, and beyond that texts are shuffled once, by row. So docs must give the same rows in the same
+    order when read again, as files do."""
+    texts = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    found = stored(predict(texts, model, "text")[0].drop("text"))
+    known = found.where("fit IS NOT NULL")
+    centres = broadcast_if_small(known.groupBy(F.col("lang_pred").alias("l")).agg(F.percentile_approx("fit", F.lit(0.5), F.lit(10_000)).alias("centre")))
     z = (F.col("fit") - F.col("centre")) * F.sqrt(F.col("n_grams").cast("double"))
-    cuts = slim.join(centres, F.col("lang_pred") == F.col("l")).groupBy("l", "centre").agg(F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
-    limits = broadcast_if_small(cuts.select(F.col("l").alias(fresh(found, "l")), F.col("centre").alias(fresh(found, "centre")), ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias(fresh(found, "spread"))))
-    label, centre, spread = limits.columns
-    joined = found.join(limits, lang == F.col(label))
-    low = F.col(centre) - SPREADS * F.col(spread) / F.sqrt(F.col(names["n_grams"]).cast("double")) - MARGIN
-    return joined.where((lang != "und") & (F.col(names["score"]) >= 0.5) & (fit >= low)).select(*docs.columns)
+    cuts = known.join(centres, F.col("lang_pred") == F.col("l")).groupBy("l", "centre").agg(F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
+    limits = broadcast_if_small(cuts.select("l", "centre", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("spread")))
+    low = F.col("centre") - SPREADS * F.col("spread") / F.sqrt(F.col("n_grams").cast("double")) - MARGIN
+    told = F.coalesce((F.col("score") >= 0.5) & (F.col("fit") >= low), F.lit(False))
+    row = fresh(docs, "row")
+    rejected = broadcast_if_small(found.join(limits, F.col("lang_pred") == F.col("l"), "left").where(~told).select(F.col("row").alias(row)))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(rejected, row, "left_anti").drop(row)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
