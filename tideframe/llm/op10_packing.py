@@ -12,7 +12,8 @@
 
 Nulls: a null text counts as empty and is one piece that holds the closing id alone. Rows are
 told apart by a number of their own; null and repeated ids keep their rows. An empty table packs
-into nothing. More than one plan is best; ties go to the first pattern enumerated.
+into nothing. More than one plan is best; ties go to the first pattern enumerated. Texts of any length
+are whole. Other columns are not looked at, so their names may be any.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ at most SAMPLE_CHARS characters; everything else covers all rows and whole texts
 
 Nulls: a null or empty text has no unit and scores what the logistic gives a weight of 0. Rows with
 a null label or id teach nothing; a document labelled twice is toxic if one label says so. Without
-labelled rows of both kinds every score is 0. Repeated rows are scored as often as they come.
+labelled rows of both kinds every score is 0. Repeated rows are scored as often as they come. Texts of
+any length are scored whole; of equal decisions any unit is the highest, which changes no score. The score's column
+takes a name that no column of docs has in any case.
 """
 
 from __future__ import annotations

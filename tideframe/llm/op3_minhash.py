@@ -26,8 +26,9 @@ shingles only where it has a candidate.
 Verification is exact: the overlap of both multisets of shingle occurrences over their union.
 
 Nulls: null texts are in no class, link with nothing and are kept; texts without words are one
-class. A group keeps its row with the smallest id (null last; of repeated rows, any one).
-Empty tables give empty results.
+class. A group keeps its row with the smallest id (null last; of rows with one text and id, any one, also
+where their other columns differ). Texts of any length are whole. Columns of docs may have any names; the
+helpers' own take names that are free. Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@
 4. A document's frequencies of its other chunks are joined to the pieces by chunk, and summed.
 
 Nulls: a null text counts as empty: 0 bytes, 0 tokens. Rows are told apart by a number of their
-own, so null and repeated ids keep their rows. Empty tables give empty results.
+own, so null and repeated ids keep their rows. Texts of any length are whole; equal frequencies at the
+head's edge go in or out together, which changes no count. Other columns are not looked at, so their names may
+be any. Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ spanning forest of them: as many rows as members, not as pairs. A bucket of more
 cut into blocks, and each pair of blocks is a task's group of its own.
 
 Nulls: vectors that are null, empty, zero or hold null or non-finite components, and vectors with
-a null label, link with nothing. Repeated rows are links of each other. Empty tables give empty results.
+a null label, link with nothing; vectors of any finite magnitude are scaled before they are squared. Repeated
+rows are links of each other; of rows with one id each gets a row. Equal projections lie in one window. Other columns are
+not looked at, so their names may be any. Empty tables give empty results.
 """
 
 from __future__ import annotations
