@@ -49,6 +49,20 @@ def broadcast_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(table) if table.count() <= most else table
 
 
+def content_key(*columns: str) -> Column:
+    """128 bits of what rows hold in some columns, by which verdicts on equal contents meet their rows however those are read."""
+    held = [x for c in columns for x in (F.isnull(c), F.col(c))]
+    return F.struct(F.xxhash64(*held).alias("a"), F.xxhash64(F.lit(1), *held).alias("b"))
+
+
+def without(df: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """The rows of df whose key is not among those in the one column of gone, which is broadcast if it is small, as a
+    check of its count says; else df is shuffled once by key."""
+    name = fresh(df, "key")
+    rest = broadcast_if_small(gone.toDF(name).distinct())
+    return df.withColumn(name, key).join(rest, name, "left_anti").drop(name)
+
+
 def frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """The rows of a table that are above the smallest frequency n that so many of them reach at most, and the others.
 

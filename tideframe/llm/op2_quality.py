@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tideframe.llm.common import broadcast_if_small, frequent, fresh, sliced, stored, tidied, with_arrow_columns
+from tideframe.llm.common import broadcast_if_small, content_key, frequent, fresh, sliced, stored, tidied, with_arrow_columns, without
 
 ORDER = 5
 MIN_WORDS = 20
@@ -382,12 +382,11 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang") -> tu
 
 
 def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents that the rules keep, whole. The rejected rows' numbers are broadcast where they are few,
-    as a check of their count says; beyond that texts are shuffled once, by row."""
-    verdicts, names = quality_rules(docs.select(text, lang), text, lang)
-    row = fresh(docs, "row")
-    rejected = broadcast_if_small(verdicts.where(~F.col(names["kept"])).select(F.col(names["row"]).alias(row)))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(rejected, row, "left_anti").drop(row)
+    """The documents that the rules keep, whole. A verdict depends on text and language alone, so rejected documents are
+    known by a key of these; texts are shuffled only where too many are rejected to broadcast their keys."""
+    given = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), content_key(text, lang).alias("key"))
+    verdicts, names = quality_rules(given)
+    return without(docs, content_key(text, lang), verdicts.where(~F.col(names["kept"])).select("key"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.llm.char_codes import code_points
-from tideframe.llm.common import broadcast_if_small, byte_values, fresh, held_out, learnable, sliced, stored, tidied, with_arrow_columns
+from tideframe.llm.common import broadcast_if_small, byte_values, content_key, fresh, held_out, learnable, sliced, stored, tidied, with_arrow_columns, without
 
 BUCKETS, MAX_N, MAX_LANGUAGES = 1 << 15, 3, 512
 SMOOTHING = 0.5
@@ -177,10 +177,9 @@ def told_languages(docs: DataFrame, model: NaiveBayes, text: str = "text") -> Da
     """The documents whose language is told: not `und`, with a posterior of one half at least, and with n-grams about as
     likely as that language's documents have them. The lower limit is SPREADS robust deviations below the language's
     median, for a mean over so many n-grams, and a margin; it rejects texts of languages that were not learned, which naive Bayes
-    would give to one of its own with certainty. Texts are scored once; the rejected rows' numbers are broadcast where they are
-    few, as a check of their count says, and beyond that texts are shuffled once, by row. So docs must give the same rows in the same
-    order when read again, as files do."""
-    texts = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    would give to one of its own with certainty. Texts are scored once. A verdict depends on the text
+    alone, so rejected ones are known by a key of it; texts are shuffled only where too many are rejected to broadcast their keys."""
+    texts = docs.select(F.col(text).alias("text"), content_key(text).alias("key"))
     found = stored(predict(texts, model, "text")[0].drop("text"))
     known = found.where("fit IS NOT NULL")
     centres = broadcast_if_small(known.groupBy(F.col("lang_pred").alias("l")).agg(F.percentile_approx("fit", F.lit(0.5), F.lit(10_000)).alias("centre")))
@@ -189,9 +188,7 @@ def told_languages(docs: DataFrame, model: NaiveBayes, text: str = "text") -> Da
     limits = broadcast_if_small(cuts.select("l", "centre", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("spread")))
     low = F.col("centre") - SPREADS * F.col("spread") / F.sqrt(F.col("n_grams").cast("double")) - MARGIN
     told = F.coalesce((F.col("score") >= 0.5) & (F.col("fit") >= low), F.lit(False))
-    row = fresh(docs, "row")
-    rejected = broadcast_if_small(found.join(limits, F.col("lang_pred") == F.col("l"), "left").where(~told).select(F.col("row").alias(row)))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(rejected, row, "left_anti").drop(row)
+    return without(docs, content_key(text), found.join(limits, F.col("lang_pred") == F.col("l"), "left").where(~told).select("key"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
