@@ -79,6 +79,13 @@ def test_toxicity_learns_and_tolerates(spark):
     assert min(score[1], score[2], score[3], score[4]) > 0.5 > max(score[5], score[6], score[7])
 
 
+def test_toxicity_in_other_scripts():
+    clean = [f"今日は 天気が いい です {i}" for i in range(40)]
+    model = op1_toxicity.fit(clean + [f"今日は 大馬鹿野郎だよ {i}" for i in range(20)], [0] * 40 + [1] * 20)
+    cut = -model.offset / model.slope
+    assert model.decision(["大馬鹿野郎だよ".encode()])[0] >= cut > model.decision(["天気が".encode()])[0]
+
+
 def test_toxicity_of_gapped_forms(spark):
     """Heavily gapped forms still match, and the insults of held-out documents are found behind foreign letters."""
     assert op1_toxicity.Landmarks([b"idiot"]).kernel([b"ixdxixoxt"])[0, 0] > 0

@@ -1,4 +1,4 @@
-"""Characters as small integers, and n-grams of them inside words, by numpy."""
+"""Characters as small integers, by numpy."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import numpy as np
 
 #: Symbols of the alphabet; 0 marks a word's start and end.
 SYMBOLS = 64
-_BITS = 6
 _TABLE_SIZE = 0x3000
 
 
@@ -36,7 +35,7 @@ def code_points(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Like code_points, as symbols of the alphabet; other scripts share the last symbol."""
+    """Like code_points, as symbols of the alphabet; letters of East Asian scripts share those of other letters, by their number."""
     points, lengths = code_points(words)
-    codes = np.where(points < _TABLE_SIZE, _TABLE[np.minimum(points, _TABLE_SIZE - 1)], SYMBOLS - 1)
-    return codes, lengths
+    wide = np.where(((points >= 0x3040) & (points < 0xD7A4)) | ((points >= 0x20000) & (points < 0x32000)), 28 + points % 24, 52 + points % 11)
+    return np.where(points < _TABLE_SIZE, _TABLE[np.minimum(points, _TABLE_SIZE - 1)], wide).astype(np.int64), lengths
