@@ -43,6 +43,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system that no plan reads any more."""
+    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm, True)
+
+
 def broadcast_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     """A table to join with: stored, and marked for broadcast if it has so many rows at most; else joined by a shuffle."""
     table = stored(df)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideframe.llm import op5_url_rules, op8_mixing
+from tideframe.llm import op5_url_rules, op8_mixing, op11_vector_codes, op12_neighbours, op13_fill_in_middle
 from tideframe.llm.op1_toxicity import op1_toxicity
 from tideframe.llm.op2_quality import op2_quality_rules
 from tideframe.llm.op3_minhash import op3_minhash_dedup
@@ -23,9 +23,14 @@ QUERIES = {
     "op8_mixing": op8_mixing.op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_vector_codes": op11_vector_codes.op11_vector_codes,
+    "op12_neighbours": op12_neighbours.op12_neighbours,
+    "op13_fill_in_middle": op13_fill_in_middle.op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
     "op5_url_rules": op5_url_rules.ORACLE_SQL,
     "op8_mixing": op8_mixing.ORACLE_SQL,
+    "op11_vector_codes": op11_vector_codes.ORACLE_SQL,
+    "op13_fill_in_middle": op13_fill_in_middle.ORACLE_SQL,
 }
