@@ -221,7 +221,7 @@ def descended(nodes: DataFrame, lists: DataFrame, degree: int = DEGREE) -> DataF
     around = with_reverse(lists).select(F.col("node").alias("at"), F.explode("ids").alias("node"))
     full = F.size("ids") >= degree
     worst = lists.select("node", F.when(full, F.array_min("scores")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-    gathered = around.join(nodes.select("node", "code").join(worst, "node"), "node")
+    gathered = around.join(nodes.select("node", "code").join(worst, "node").hint("shuffle_hash"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, "at"):
@@ -303,17 +303,14 @@ BEAM_KIND = "q long, ids array<long>, scores array<float>, done array<boolean>"
 
 
 def _kept(beams: DataFrame, found: DataFrame, beam: int) -> DataFrame:
-    """Beams with newly scored candidates (q, ids, scores, done) in them, the best few of each query, best first; a node that is in both stays as it was."""
+    """Beams with newly scored candidates (q, id, score) in them, the best few of each query, best first; a node that is in both stays as it was."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_runs(batches, "q"):
-            group = group.combine_chunks()
-            lengths = np.asarray(pc.list_value_length(group.column("ids").combine_chunks()))
-            owner = np.repeat(group.column("q").to_numpy(), lengths)
-            ids, scores, done = (np.asarray(group.column(c).combine_chunks().flatten()) for c in ("ids", "scores", "done"))
+            owner, ids, scores, done = (group.column(c).to_numpy() for c in ("q", "id", "score", "done"))
             order = np.lexsort((~done, ids, owner))
             owner, ids, scores, done = owner[order], ids[order], scores[order], done[order]
-            first = np.append(True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1])) if len(owner) else np.zeros(0, bool)
+            first = np.append(True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1]))
             owner, ids, scores, done = owner[first], ids[first], scores[first], done[first]
             order = np.lexsort((ids, -scores, owner))
             owner, ids, scores, done = owner[order], ids[order], scores[order], done[order]
@@ -321,23 +318,22 @@ def _kept(beams: DataFrame, found: DataFrame, beam: int) -> DataFrame:
             names, columns = _lists(owner[best], ids[best], scores[best], done[best])
             yield pa.RecordBatch.from_arrays([pa.array(names), *columns], names=["q", "ids", "scores", "done"])
 
-    return beams.unionByName(found).repartition("q").sortWithinPartitions("q").mapInArrow(tidied(run), BEAM_KIND)
+    held = beams.select("q", F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("scores").alias("score"), F.col("done").alias("done"))))
+    both = held.unionByName(found.withColumn("done", F.lit(False)))
+    return both.repartition("q").sortWithinPartitions("q").mapInArrow(tidied(run), BEAM_KIND)
 
 
 def _scored(asked: DataFrame, queries: DataFrame, nodes: DataFrame) -> DataFrame:
-    """asked (q, ids) as q, ids, scores, done: each candidate scored where its code is."""
+    """asked (q, ids) as q, id, score: each candidate scored where its code is."""
     pairs = asked.join(queries.select("q", F.col("code").alias("query")), "q").select("q", "query", F.explode("ids").alias("node"))
-    pairs = pairs.join(nodes.select("node", "dim", "code"), "node")
+    pairs = pairs.join(nodes.select("node", "dim", "code").hint("shuffle_hash"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _by_dim(batches):
             scores = np.einsum("ij,ij->i", _decoded(batch.column("query")), _decoded(batch.column("code")))
-            q = batch.column("q").to_numpy()
-            order = np.argsort(q, kind="stable")
-            names, columns = _lists(q[order], batch.column("node").to_numpy()[order], scores[order], np.zeros(len(q), bool))
-            yield pa.RecordBatch.from_arrays([pa.array(names), *columns], names=["q", "ids", "scores", "done"])
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array(scores)], names=["q", "id", "score"])
 
-    return pairs.mapInArrow(tidied(run), BEAM_KIND)
+    return pairs.mapInArrow(tidied(run), "q long, id long, score float")
 
 
 def search(index: Index, queries: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", top: int = TOP, opened: tuple[int, ...] = OPENED, beam: int = BEAM, own: bool = True) -> DataFrame:
