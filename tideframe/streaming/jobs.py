@@ -20,7 +20,7 @@ from tideframe.operators import quality
 from tideframe.operators.resample import KEY
 from tideframe.operators.trade_series import SERIES, SILENCE_MS, series_totals
 from tideframe.sources.landed import SCHEMAS, exact_trades, exploded_bars, parsed
-from tideframe.sources.snapshots import Lake
+from tideframe.sources.snapshots import Lake, wall_clock_ms
 
 #: STR13: where each consumer starts.
 PROFILES = {"bronze": "earliest", "quality": "earliest", "features": "latest", "trading": "latest"}
@@ -37,19 +37,26 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, profile: str, mo
     return spark.readStream.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
-def land_candles(lake: Lake, table: str, dead_letters: str) -> Callable[[DataFrame, int], None]:
-    """STR1, STR2, SNK14: each batch is parsed once; accepted bars are committed under the batch's id,
-    the rest goes to the dead letters with its reason.
+def stream_name(batch: DataFrame) -> str:
+    """STR1: the id that a stream keeps in its checkpoint, by which a restarted stream is known again."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "unnamed"
 
-    A batch that is run again is skipped by the snapshot log, so a crash between write and checkpoint
-    duplicates nothing. Ids repeated within the batch count once; first_seen() before it drops those of earlier batches.
+
+def land_candles(lake: Lake, table: str, dead_letters: str, writer: str | None = None, clock: Callable[[], int] = wall_clock_ms) -> Callable[[DataFrame, int], None]:
+    """STR1, STR2, SNK14: each batch is parsed once; accepted bars are committed as this stream's batch of that number, the
+    rest goes to the dead letters with its reason.
+
+    The table's log knows each stream (by its checkpoint, or the name given) and the last batch that it landed: a batch that is run again is skipped, so a
+    crash between write and checkpoint duplicates nothing, and streams into one table do not stand in each other's way. A stream with a
+    new checkpoint lands all it reads again, as newer rows of the same keys, which reads give once. Commits have the time of the clock, so a stream's
+    corrections are newer than what was there. Ids repeated within the batch count once; first_seen() before it drops those of earlier batches.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = parsed(batch, "ohlcv").persist()
+        name, events = writer or stream_name(batch), parsed(batch, "ohlcv").persist()
         bars = exploded_bars(events.dropDuplicates(["event_id"])).withColumn("market_type", F.lit("spot"))
-        lake.commit(bars, table, batch_id, batch_id, run_id=f"batch-{batch_id}")
-        dead(events, table, batch_id, dead_letters)
+        lake.commit(bars, table, None, clock(), run_id=f"batch-{batch_id}", writer=name, writer_version=batch_id)
+        dead(events, table, batch_id, f"{dead_letters}/stream={name}")
         events.unpersist()
 
     return write
@@ -67,17 +74,17 @@ def first_seen(raw: DataFrame, horizon: str = "7 days", column: str = "value") -
     return seen.drop("_id", "_at")
 
 
-def land_trades(lake: Lake, table: str, dead_letters: str) -> Callable[[DataFrame, int], None]:
-    """SNK6, SNK14: accepted trades are committed under the batch's id; undecodable ones and those without a
+def land_trades(lake: Lake, table: str, dead_letters: str, writer: str | None = None, clock: Callable[[], int] = wall_clock_ms) -> Callable[[DataFrame, int], None]:
+    """SNK6, SNK14: accepted trades are committed as the stream's batch (see land_candles); undecodable ones and those without a
     positive price, amount, time or an id go to the dead letters."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = parsed(batch, "trade")
+        name, events = writer or stream_name(batch), parsed(batch, "trade")
         good = (F.col("price").try_cast("double") > 0) & (F.col("amount").try_cast("double") > 0) & F.col("trade_id").isNotNull() & (F.col("timestamp_ms") > 0)
         reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")).when(~F.coalesce(good, F.lit(False)), "bad_trade")
         events = events.withColumn("reject_reason", reason).persist()
-        lake.commit(exact_trades(events).withColumn("timestamp", F.timestamp_millis("timestamp_ms")).select(*SERIES, "timestamp", "trade_id", "price", "amount", "side", "source").dropDuplicates([*SERIES, "timestamp", "trade_id"]), table, batch_id, batch_id, run_id=f"batch-{batch_id}")
-        dead(events, table, batch_id, dead_letters)
+        lake.commit(exact_trades(events).withColumn("timestamp", F.timestamp_millis("timestamp_ms")).select(*SERIES, "timestamp", "trade_id", "price", "amount", "side", "source").dropDuplicates([*SERIES, "timestamp", "trade_id"]), table, None, clock(), run_id=f"batch-{batch_id}", writer=name, writer_version=batch_id)
+        dead(events, table, batch_id, f"{dead_letters}/stream={name}")
         events.unpersist()
 
     return write
