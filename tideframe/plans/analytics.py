@@ -157,7 +157,7 @@ def _risk(spark, sf) -> DataFrame:
     return p.risk_decisions(*_asked(spark, sf), CAPITAL)
 
 
-@query("str11_risk_gate", f"{RISK_SQL} SELECT account, signal_id, reason = 'ok' AS approved, reason FROM told")
+@query("str11_risk_gate", f"{RISK_SQL} SELECT account, signal_id, reason = 'ok' AS approved, reason, CASE WHEN reason = 'ok' THEN 0.05 END AS size_pct FROM told")
 def str11_gate(spark, sf):
     """Closes and signals on a stream, in three batches of time."""
     signals, closes = _asked(spark, sf)

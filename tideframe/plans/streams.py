@@ -9,12 +9,13 @@ from tideframe.functions.timeframes import MS
 from tideframe.operators import features
 from tideframe.operators import trade_series as t
 from tideframe.operators.resample import KEY
-from tideframe.plans.core import _LATE, ISSUES_SQL, K
+from tideframe.plans.core import _LATE, FEATURES_SQL, ISSUES_SQL, K
 from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.plans.tables import trade_messages
 from tideframe.sources import landed
 from tideframe.sources import mappings as m
-from tideframe.sources.snapshots import Lake, new_folder
+from tideframe.sources.events import gap_messages
+from tideframe.sources.snapshots import Lake, new_folder, wall_clock_ms
 from tideframe.streaming import jobs
 
 _GOOD = "trade_id % 29 <> 0 AND trade_id % 19 <> 0 AND trade_id % 17 <> 0 AND trade_id % 23 <> 0"
@@ -50,16 +51,26 @@ def str8_monotonic(spark, sf):
     return jobs.drain(jobs.monotonic(stream), folder)
 
 
-@query("str9_silence", f"""{_T}, g AS (SELECT * FROM trades WHERE {_GOOD}), e AS (SELECT exchange, symbol, ts_ms, true AS trade FROM g UNION ALL SELECT exchange, symbol, ts_ms + 1, false FROM g WHERE trade_id % 41 = 0),
-  k AS (SELECT *, count(*) FILTER (trade) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms, trade) AS n FROM e), y AS (SELECT exchange, symbol, n, max(ts_ms) FILTER (trade) AS last, bool_or(NOT trade) AS cut FROM k GROUP BY ALL), z AS (SELECT exchange, symbol, last + 1 AS from_ms, lead(last) OVER (PARTITION BY exchange, symbol ORDER BY n) AS to_ms, cut FROM y)
-  SELECT exchange, symbol, from_ms, to_ms, CASE WHEN cut THEN 'disconnect' ELSE 'silence' END AS cause FROM z WHERE to_ms > from_ms AND (cut OR to_ms - from_ms + 1 > 7200000)""")
+#: Trades of which one symbol ends days early and others have disconnects after some of them; the clock goes on to NOW_MS.
+_END = m.NOW_MS - 4 * MS["1d"]
+_E = f"""{_T}, g AS (SELECT * FROM trades WHERE {_GOOD} AND (symbol <> 'click' OR ts_ms < {_END})), e AS (SELECT exchange, symbol, ts_ms, true AS trade FROM g UNION ALL SELECT exchange, symbol, ts_ms + 1, false FROM g WHERE trade_id % 41 = 0),
+  k AS (SELECT *, count(*) FILTER (trade) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms, trade) AS n FROM e), y AS (SELECT exchange, symbol, n, max(ts_ms) FILTER (trade) AS last, bool_or(NOT trade) AS cut FROM k GROUP BY ALL), z AS (SELECT exchange, symbol, last + 1 AS from_ms, lead(last) OVER (PARTITION BY exchange, symbol ORDER BY n) AS to_ms, cut FROM y)"""
+
+
+@query("str9_silence", f"""{_E} SELECT exchange, symbol, from_ms, coalesce(to_ms, {m.NOW_MS}) AS to_ms, CASE WHEN cut THEN 'disconnect' ELSE 'silence' END AS cause, CASE WHEN to_ms IS NULL THEN 'open' ELSE 'closed' END AS status FROM z
+  WHERE coalesce(to_ms, {m.NOW_MS}) > from_ms AND (cut OR coalesce(to_ms, {m.NOW_MS}) - from_ms + 1 > 7200000)""")
 def str9_silence(spark, sf):
-    """Trades, and after some of them a disconnect."""
-    folder, good = new_folder(spark), ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!="))
+    """Trades, disconnects after some of them, and at last only the clock: gaps that a trade ended are closed, those of feeds that ended stay open."""
+    folder, good = new_folder(spark), ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!=")).where(f"symbol != 'click' OR ts_ms < {_END}")
     e = good.select("exchange", "symbol", F.col("ts_ms").alias("timestamp_ms"), F.when(F.col("trade_id") % 2 == 0, "trade").alias("event"))
     e = e.union(good.where("trade_id % 41 = 0").select("exchange", "symbol", F.col("ts_ms") + 1, F.lit("disconnect")))
     e.repartitionByRange(4, "timestamp_ms").sortWithinPartitions("timestamp_ms").write.json(f"{folder}/landed")
-    return jobs.drain(jobs.silence_gaps(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).json(f"{folder}/landed"), 7_200_000), folder)
+    events = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).json(f"{folder}/landed")
+    jobs.drain(jobs.silence_gaps(events, 7_200_000), folder)
+    spark.createDataFrame([("clock", "clock", m.NOW_MS, "tick")], e.schema).write.mode("append").json(f"{folder}/landed")
+    told = jobs.drain(jobs.silence_gaps(events, 7_200_000), folder)  # the same stream, started again
+    now = F.when(F.col("status") == "open", F.lit(m.NOW_MS)).otherwise(F.col("to_ms"))  # an open gap was told at the time known then
+    return jobs.latest_gaps(told).withColumn("to_ms", now)
 
 
 @query("str9_recovered", f"{_T}, y AS (SELECT exchange, symbol, lag(ts_ms) OVER (PARTITION BY exchange, symbol ORDER BY ts_ms) + 1 AS from_ms, ts_ms AS to_ms FROM trades WHERE trade_id % 3 = 0), g AS (SELECT * FROM y WHERE to_ms - from_ms + 1 > 7200000) SELECT exchange, symbol, 'recovery' AS source, count(*) AS n FROM trades t WHERE EXISTS (SELECT 1 FROM g WHERE g.exchange = t.exchange AND g.symbol = t.symbol AND ts_ms >= from_ms AND ts_ms < to_ms) GROUP BY ALL")
@@ -69,7 +80,7 @@ def str9_recovered(spark, sf):
     folder = new_folder(spark)
     t.where("trade_id % 3 = 0").write.json(f"{folder}/landed")
     gaps = jobs.drain(jobs.silence_gaps(spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1000).json(f"{folder}/landed"), 7_200_000), folder)
-    return jobs.recovered(t, gaps).groupBy("exchange", "symbol", "source").agg(F.count("*").alias("n"))
+    return jobs.recovered(t, gaps.where("status = 'closed'")).groupBy("exchange", "symbol", "source").agg(F.count("*").alias("n"))
 
 
 @query("str1_bronze", f"{m.BASE_SQL} SELECT {K}, ts_ms, open, high, low, close, volume FROM candles")
@@ -82,21 +93,53 @@ def str1_bronze(spark, sf):
     return ts_ms(lake.candles("bronze")).select(*KEY, "ts_ms", "open", "high", "low", "close", "volume")
 
 
-@query("str6_features", f"{m.BASE_SQL}, x AS (SELECT *, row_number() OVER w AS i, lag(close) OVER w AS before, avg(volume) OVER (w ROWS 19 PRECEDING) AS mv, stddev_samp(volume) OVER (w ROWS 19 PRECEDING) AS sv, count(*) OVER (w ROWS 19 PRECEDING) AS n FROM candles WINDOW w AS (PARTITION BY {K} ORDER BY ts_ms)) SELECT {K}, ts_ms, round(close / nullif(before, 0) - 1, 6) AS return_1, round((high - low) / nullif(close, 0), 6) AS high_low_spread FROM x WHERE ts_ms >= {m.NOW_MS - 5 * MS['1d']}")
+@query("str1_two_streams", f"{m.BASE_SQL} SELECT {K}, count(*) AS candles, round(sum(close), 3) AS close, CASE WHEN exchange = 'ex0' THEN 2 ELSE 1 END AS commits, count(*) * CASE WHEN exchange = 'ex0' THEN 2 ELSE 1 END AS landed, true AS fresh FROM candles GROUP BY {K}")
+def str1_two_streams(spark, sf):
+    """A stream for each venue into one table, both restarted with nothing new, and one again with a new checkpoint: nothing is lost, nothing is there twice."""
+    folder, c = new_folder(spark), m.candles(spark, sf).persist()
+    lake = Lake(spark, folder)
+    for venue in ("ex0", "ex1"):
+        landed.candle_messages(c.where(F.col("exchange") == venue), "r1").select("value").coalesce(1).write.text(f"{folder}/landed/{venue}")
+    for venue, checkpoint in (("ex0", "a"), ("ex1", "b"), ("ex0", "a"), ("ex1", "b"), ("ex0", "c")):
+        jobs.drain_batches(jobs.source(spark, f"{folder}/landed/{venue}"), jobs.land_candles(lake, "bronze", f"{folder}/dead"), f"{folder}/{checkpoint}")
+    c.unpersist()
+    rows = lake.candles("bronze").groupBy(*KEY).agg(F.count("*").alias("candles"), F.round(F.sum("close"), 3).alias("close"))
+    log = lake.versions("bronze").groupBy(*(F.col(k).alias(f"_{k}") for k in KEY)).agg(F.count("*").alias("commits"), F.sum("added_rows").alias("landed"))
+    known = rows.join(log, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY]).drop(*(f"_{k}" for k in KEY))
+    return known.withColumn("fresh", F.lit(lake.fresh("bronze", wall_clock_ms())))
+
+
+@query("str1_correction", f"{m.BASE_SQL} SELECT {K}, ts_ms, close + CASE WHEN ts_ms // 3600000 % 3 = 0 THEN 1 ELSE 0 END AS close FROM candles")
+def str1_correction(spark, sf):
+    """A batch commit of all candles, then a stream that corrects a third of them: its rows are newer."""
+    folder, c = new_folder(spark), m.candles(spark, sf)
+    lake = Lake(spark, folder)
+    lake.commit(c, "bronze", 1, m.NOW_MS)
+    third = c.where(F.floor(F.unix_millis("timestamp") / F.lit(3_600_000)) % 3 == 0)
+    fixed = third.withColumns({"close": F.col("close") + 1, "high": F.col("high") + 1})
+    landed.candle_messages(fixed, "r2").select("value").coalesce(1).write.text(f"{folder}/landed")
+    jobs.drain_batches(jobs.source(spark, f"{folder}/landed"), jobs.land_candles(lake, "bronze", f"{folder}/dead"), folder)
+    return ts_ms(lake.candles("bronze")).select(*KEY, "ts_ms", "close")
+
+
+@query("str6_features", f"{FEATURES_SQL} SELECT {K}, ts_ms, {', '.join(f'round({f}, 6) AS {f}' for f in features.FEATURES[:-1])}, is_suspect, false AS late FROM f2")
 def str6_features(spark, sf):
-    """Candles of five days on a stream, a batch a day, over a table that each batch is then added to."""
-    folder = new_folder(spark)
-    lake, c = Lake(spark, folder), m.candles(spark, sf)
-    edge = m.NOW_MS - 5 * MS["1d"]
-    lake.commit(c.where(F.unix_millis("timestamp") < edge), "silver", 0, 0)
-    new = c.where(F.unix_millis("timestamp") >= edge)
-    for day in range(6):
-        at = edge + day * MS["1d"]
-        new.where(F.unix_millis("timestamp").between(at, at + MS["1d"] - 1)).coalesce(1).write.mode("append").parquet(f"{folder}/landed")
-    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
-    save = lambda batch, n: lake.commit(batch, "silver", n + 1, n + 1)
-    jobs.drain_batches(stream, jobs.fan_out(jobs.features_of_new(lake, "silver", features.gold_features, f"{folder}/out"), save), folder)
-    return rounded(ts_ms(spark.read.parquet(f"{folder}/out")).select(*KEY, "ts_ms", "return_1", "high_low_spread"), "return_1", "high_low_spread")
+    """All candles on a stream in six batches, the last hours of each batch wrong at first and corrected by the next one, with a gap of days between batches; all nine features."""
+    folder, c = new_folder(spark), m.candles(spark, sf).persist()
+    ms = F.unix_millis("timestamp")
+    first, last = c.agg(F.min(ms), F.max(ms)).first()
+    step, columns = (last - first) // 6 + 1, [*KEY, "timestamp", "open", "high", "low", "close", "volume"]
+    before = None
+    for k in range(6):
+        own = c.where(ms.between(first + k * step, first + (k + 1) * step - 1)).select(*columns)
+        wrong = ms > first + (k + 1) * step - 8 * MS["1h"]
+        batch = own.withColumn("close", F.when(wrong & F.lit(k < 5), F.col("close") + 7).otherwise(F.col("close")))
+        (batch if before is None else batch.unionByName(before)).coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+        before = own.where(wrong)
+    c.unpersist()
+    stream = spark.readStream.schema(before.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    told = jobs.latest_features(jobs.drain(jobs.features_stream(stream), folder))
+    return rounded(ts_ms(told).select(*KEY, "ts_ms", *features.FEATURES, "late"), *features.FEATURES[:-1])
 
 
 @query("str3_dq18_gate", f"{ISSUES_SQL}, t AS (SELECT *, CASE decision WHEN 'reject' THEN 'rejected' WHEN 'accept' THEN 'clean' ELSE 'flagged' END AS tier FROM decided) SELECT {K}, tier, rows AS rows_in, CASE WHEN tier = 'rejected' THEN 0 ELSE rows END AS rows_out, CASE WHEN reasons = '' THEN 'success' ELSE 'partial' END AS status, round(score, 6) AS quality_score FROM t")
@@ -133,18 +176,18 @@ def snk6_stream(spark, sf):
     return kept.union(spark.read.parquet(f"{folder}/dead").groupBy(F.lit("dead").alias("what"), "reject_reason").agg(F.count("*").alias("n")))
 
 
-#: Book events: three levels a side as a snapshot at each 500th event of a book, changes else; one event in 701 is lost.
-_BOOK = f"""{_T}, e AS (SELECT exchange, symbol, CASE side WHEN 'buy' THEN 'bid' ELSE 'ask' END AS side, floor(price / 10) AS price, CASE WHEN trade_id % 6 = 0 THEN 0.0 ELSE amount END AS qty, trade_id, row_number() OVER (PARTITION BY exchange, symbol ORDER BY trade_id) AS seq FROM trades),
+#: Book events: three levels a side as a snapshot at each 500th event of a book, changes else; one event in 701 is lost. Of three batches, every second
+#: snapshot comes one later than its changes; what is left out in between makes books wait.
+_BOOK = f"""{_T}, e AS (SELECT exchange, symbol, CASE side WHEN 'buy' THEN 'bid' ELSE 'ask' END AS side, floor(price / 10) AS price, CASE WHEN trade_id % 6 = 0 THEN 0.0 ELSE amount END AS qty, trade_id, row_number() OVER (PARTITION BY exchange, symbol ORDER BY trade_id) AS seq FROM trades), n3 AS (SELECT max(seq) AS top FROM e),
   r AS (SELECT exchange, symbol, seq, 'delta' AS kind, side, price, qty FROM e WHERE seq % 500 <> 7 AND trade_id % 701 <> 0 UNION ALL SELECT exchange, symbol, seq, 'snapshot', l.side, CAST(l.price AS DOUBLE), 1.0 FROM e, (VALUES ('bid', 1), ('bid', 2), ('ask', 900), ('ask', 901)) AS l(side, price) WHERE seq % 500 = 7),
-  b AS (SELECT exchange, symbol, max(seq) AS seq, max(seq) FILTER (kind = 'snapshot') AS base FROM r GROUP BY ALL),
-  f AS (SELECT r.*, b.base FROM r JOIN b USING (exchange, symbol) WHERE r.seq >= b.base), n AS (SELECT exchange, symbol, seq, seq - lag(seq) OVER (PARTITION BY exchange, symbol ORDER BY seq) AS step FROM (SELECT DISTINCT exchange, symbol, seq FROM f)), g AS (SELECT exchange, symbol, min(seq) AS lost FROM n WHERE step > 1 GROUP BY ALL),
-  live AS (SELECT f.exchange, f.symbol, f.side, f.price, arg_max(f.qty, f.seq) AS qty FROM f LEFT JOIN g USING (exchange, symbol) WHERE lost IS NULL OR f.seq < lost GROUP BY ALL)
-  SELECT b.exchange, b.symbol, b.seq, b.base IS NOT NULL AND lost IS NULL AS ready, max(price) FILTER (side = 'bid' AND qty > 0) AS best_bid, min(price) FILTER (side = 'ask' AND qty > 0) AS best_ask, count(*) FILTER (qty > 0) AS levels FROM b LEFT JOIN g USING (exchange, symbol) LEFT JOIN live USING (exchange, symbol) GROUP BY ALL"""
+  b AS (SELECT exchange, symbol, max(seq) AS seen, max(seq) FILTER (kind = 'snapshot') AS base FROM r GROUP BY ALL),
+  f AS (SELECT r.*, b.base FROM r JOIN b USING (exchange, symbol) WHERE r.seq >= b.base), n AS (SELECT exchange, symbol, seq, lag(seq) OVER (PARTITION BY exchange, symbol ORDER BY seq) AS before FROM (SELECT DISTINCT exchange, symbol, seq FROM f)), g AS (SELECT exchange, symbol, min(before) AS held FROM n WHERE seq - before > 1 GROUP BY ALL),
+  z AS (SELECT b.exchange, b.symbol, seen, base, CASE WHEN base IS NULL THEN -1 ELSE coalesce(held, seen) END AS seq FROM b LEFT JOIN g USING (exchange, symbol)),
+  live AS (SELECT f.exchange, f.symbol, f.side, f.price, arg_max(f.qty, f.seq) AS qty FROM f JOIN z USING (exchange, symbol) WHERE f.seq <= z.seq GROUP BY ALL)"""
 
 
-@query("str10_book", _BOOK)
-def str10_book(spark, sf):
-    """Books as they are after the last batch; a lost event makes a book wait for its next snapshot."""
+def _book_told(spark, sf) -> DataFrame:
+    """Books' rows over three batches; late snapshots find their changes waiting, or others in their place."""
     from pyspark.sql.window import Window
 
     folder, i = new_folder(spark), F.col("trade_id")
@@ -154,13 +197,27 @@ def str10_book(spark, sf):
     levels = F.array(*(F.struct(F.lit(s).alias("side"), F.lit(p).alias("price"), F.lit(1.0).alias("qty")) for s, p in (("bid", 1.0), ("bid", 2.0), ("ask", 900.0), ("ask", 901.0))))
     whole = e.where("seq % 500 = 7").select("exchange", "symbol", "seq", F.lit("snapshot").alias("kind"), F.inline(levels))
     rows = changes.union(whole)
-    last = rows.agg(F.max("seq")).first()[0]
-    for k in range(3):  # three batches, in the order of events
-        rows.where(F.col("seq").between(k * last // 3 + 1, (k + 1) * last // 3)).coalesce(1).write.mode("append").json(f"{folder}/landed")
+    last = e.agg(F.max("seq")).first()[0]
+    due = F.floor((F.col("seq") - 1) * 3 / F.lit(last)) + ((F.col("kind") == "snapshot") & (F.col("seq") % 1000 == 7)).cast("int")
+    for k in range(4):  # four batches, in the order of events but for late snapshots
+        rows.where(due == k).coalesce(1).write.mode("append").json(f"{folder}/landed")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(f"{folder}/landed")
-    told = jobs.drain(jobs.book_stream(stream), folder)
-    best = told.groupBy("exchange", "symbol").agg(F.max_by(F.struct("seq", "ready", "best_bid", "best_ask", "levels"), "seq").alias("r"))
-    return best.select("exchange", "symbol", "r.*")
+    return jobs.drain(jobs.book_stream(stream, 100_000), folder)
+
+
+@query("str10_book", f"{_BOOK} SELECT z.exchange, z.symbol, z.seq, seen, base IS NOT NULL AND z.seq = seen AS ready, max(price) FILTER (side = 'bid' AND qty > 0) AS best_bid, min(price) FILTER (side = 'ask' AND qty > 0) AS best_ask, count(*) FILTER (qty > 0) AS levels FROM z LEFT JOIN live USING (exchange, symbol) GROUP BY ALL")
+def str10_book(spark, sf):
+    """Books as they are after the last batch: each holds what follows on its newest snapshot without a hole, and is ready if that is all."""
+    return jobs.books(_book_told(spark, sf))
+
+
+@query("str10_snk10_gaps", f"""{_BOOK}, d AS (SELECT DISTINCT exchange, symbol, seq, CAST(floor((seq - 1) * 3 / (SELECT top FROM n3)) AS BIGINT) + CASE WHEN kind = 'snapshot' AND seq % 1000 = 7 THEN 1 ELSE 0 END AS due FROM r),
+  w AS (SELECT *, max(seq) OVER (PARTITION BY exchange, symbol ORDER BY due, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen_before FROM d), h AS (SELECT w.exchange, w.symbol, seen_before + 1 AS from_seq, w.seq - 1 AS to_seq, w.seq - 1 <= z.seq AS healed FROM w JOIN z USING (exchange, symbol) WHERE w.seq > seen_before + 1)
+  SELECT exchange || ':' || symbol || ':book' AS key, 'gap_detected' AS event_type, from_seq, to_seq FROM h UNION ALL SELECT exchange || ':' || symbol || ':' || from_seq || ':' || to_seq, 'gap_healed', from_seq, to_seq FROM h WHERE healed""")
+def str10_gaps(spark, sf):
+    """The same state's second output: each hole is one message, and one more when its book has got beyond it."""
+    sent = gap_messages(jobs.book_gaps(_book_told(spark, sf)), m.NOW_MS)
+    return sent.select("key", F.inline(F.array(F.from_json("value", "event_type string, from_seq long, to_seq long"))))
 
 
 @query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_GOOD} GROUP BY exchange")

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tideframe.functions.timeframes import ms_of
+from tideframe.functions.timeframes import YEARLY, YEARLY_DEFAULT
 from tideframe.operators import portfolio as p
 from tideframe.operators import quality
+from tideframe.operators.features import FEATURES, LEAST, ROLLING, without_nan
 from tideframe.operators.resample import KEY
 from tideframe.operators.trade_series import SERIES, SILENCE_MS, series_totals
 from tideframe.sources.landed import SCHEMAS, exact_trades, exploded_bars, parsed
@@ -26,9 +28,14 @@ from tideframe.sources.snapshots import Lake, wall_clock_ms
 PROFILES = {"bronze": "earliest", "quality": "earliest", "features": "latest", "trading": "latest"}
 
 
-def source(spark: SparkSession, folder: str, files_per_batch: int = 8) -> DataFrame:
-    """SRC9-SRC14: landed JSON lines as a stream of texts."""
-    return spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(folder)
+#: What a batch reads at most, unless one file is larger; so no key's part of a batch is larger than that.
+BATCH_BYTES = "256m"
+
+
+def source(spark: SparkSession, folder: str, files_per_batch: int | None = 8, bytes_per_batch: str = BATCH_BYTES) -> DataFrame:
+    """SRC9-SRC14: landed JSON lines as a stream of texts, so many files a batch, or, without that, so many bytes."""
+    limit = ("maxBytesPerTrigger", bytes_per_batch) if files_per_batch is None else ("maxFilesPerTrigger", files_per_batch)
+    return spark.readStream.format("text").option(*limit).load(folder)
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, profile: str, most: int = 500_000) -> DataFrame:
@@ -168,31 +175,51 @@ def monotonic(trades: DataFrame) -> DataFrame:
     return rows.groupBy("exchange", "symbol").applyInPandasWithState(keep, out, "newest long, ids string", "append", GroupStateTimeout.NoTimeout)
 
 
-def silence_gaps(events: DataFrame, threshold_ms: int = SILENCE_MS) -> DataFrame:
-    """STR9: a gap record for each span without a trade that is longer than the threshold, or that a disconnect
-    opened, across batches; from just after the last trade to the next event, and with its cause.
+def silence_gaps(events: DataFrame, threshold_ms: int = SILENCE_MS, late: str = "0 seconds") -> DataFrame:
+    """STR9: a record for each span without a trade that is longer than the threshold, or that a disconnect opened, with its cause.
 
-    events: exchange, symbol, timestamp_ms, and event (trade or disconnect; trade where it is null).
+    events: exchange, symbol, timestamp_ms, and event (trade where it is null, disconnect, or tick: time has passed, whatever the key).
+    A gap is told as soon as time says so, not when the next trade comes: a timer of the series in the state store goes off when the stream's watermark is
+    more than the threshold past its last trade, and a disconnect needs no timer. The record is then open, from just after the last trade to
+    the time known; the next trade tells it again, closed, to that trade. A gap that begins and ends within a batch is told closed only. The
+    watermark is that of all series and ticks, behind by late; events later than that are left out.
     """
 
     def gaps(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, cut = state.get if state.exists else (-1, False)
-        rows = pd.concat(list(frames), ignore_index=True)
-        rows["trade"] = rows["event"].fillna("trade") == "trade"
-        found = []
-        for ms, trade in rows.sort_values(["timestamp_ms", "trade"], kind="stable")[["timestamp_ms", "trade"]].itertuples(index=False):
-            if not trade:
-                cut = True
-                continue
-            if last >= 0 and ms > last + 1 and (cut or ms - last > threshold_ms):
-                found.append((*key, last + 1, ms, "disconnect" if cut else "silence"))
-            last, cut = max(last, ms), False
-        state.update((int(last), bool(cut)))
-        yield pd.DataFrame(found, columns=["exchange", "symbol", "from_ms", "to_ms", "cause"])
-
-    out = "exchange string, symbol string, from_ms long, to_ms long, cause string"
-    rows = events.select("exchange", "symbol", "timestamp_ms", "event" if "event" in events.columns else F.lit("trade").alias("event"))
-    return rows.groupBy("exchange", "symbol").applyInPandasWithState(gaps, out, "last long, cut boolean", "append", GroupStateTimeout.NoTimeout)
+        last, cut, told = state.get if state.exists else (-1, False, False)
+        now, found = state.getCurrentWatermarkMs(), []
+        for pdf in [] if state.hasTimedOut else [pd.concat(list(frames), ignore_index=True)]:
+            pdf = pdf[pdf["event"] != "tick"]
+            pdf = pdf.iloc[np.lexsort((pdf["event"] == "trade", pdf["timestamp_ms"]))]
+            ms, trade = pdf["timestamp_ms"].to_numpy(), (pdf["event"] == "trade").to_numpy()
+            now = max(now, int(ms.max(initial=-1)))
+            cuts = np.cumsum(~trade)[trade] + cut  # disconnects so far, at each trade
+            ms, open_cut = ms[trade], bool(cut or not trade.all())
+            if len(ms):
+                ms = np.maximum(ms, last)
+                before, was_cut = np.append(last, ms[:-1]), np.diff(cuts, prepend=0) > 0
+                for i in np.flatnonzero((before >= 0) & (ms > before + 1) & (was_cut | (ms - before > threshold_ms))):
+                    found.append((*key, int(before[i]) + 1, int(ms[i]), "disconnect" if was_cut[i] else "silence", "closed"))
+                last, told, open_cut = int(ms[-1]), False, bool(len(trade) and np.cumsum(~trade)[-1] + cut > cuts[-1])
+            cut = open_cut
+        if last >= 0 and not told and now > last + 1 and (cut or now - last > threshold_ms):
+            found.append((*key, last + 1, int(now), "disconnect" if cut else "silence", "open"))
+            told = True
+        state.update((int(last), bool(cut), bool(told)))
+        if last >= 0 and not told:
+            state.setTimeoutTimestamp(max(last + threshold_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(found, columns=["exchange", "symbol", "from_ms", "to_ms", "cause", "status"])
+
+    out = "exchange string, symbol string, from_ms long, to_ms long, cause string, status string"
+    event = F.coalesce("event", F.lit("trade")) if "event" in events.columns else F.lit("trade")
+    rows = events.select("exchange", "symbol", "timestamp_ms", event.alias("event"), F.timestamp_millis("timestamp_ms").alias("_at")).withWatermark("_at", late)
+    return rows.groupBy("exchange", "symbol").applyInPandasWithState(gaps, out, "last long, cut boolean, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def latest_gaps(records: DataFrame) -> DataFrame:
+    """STR9: each gap as it is known now: closed, or still open and up to the latest time told."""
+    best = F.max_by(F.struct("to_ms", "cause", "status"), F.struct(F.col("status") == "closed", "to_ms")).alias("r")
+    return records.groupBy("exchange", "symbol", "from_ms").agg(best).select("exchange", "symbol", "from_ms", "r.*")
 
 
 def recovered(trades: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -202,74 +229,114 @@ def recovered(trades: DataFrame, gaps: DataFrame) -> DataFrame:
     return trades.join(g, inside, "left_semi").withColumn("source", F.lit("recovery"))
 
 
-#: STR10: deltas that a book keeps for the snapshot that it waits for.
+#: STR10: rows of deltas that a book keeps while it waits.
 PENDING = 1000
+BOOK = ["seq", "seen", "ready", "best_bid", "best_ask", "levels"]
 
 
 def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
-    """STR10: the best prices of each book after each batch, rebuilt from snapshots and deltas.
+    """STR10/SNK10: books rebuilt from snapshots and deltas, and their sequence gaps, from one state.
+
+    events: exchange, symbol, seq, kind (snapshot or delta), side, price, qty; a snapshot's rows share its seq. A delta is applied only if it
+    follows on what the book holds; one further ahead waits, and all that follow on without a hole are applied when the
+    missing one or a snapshot beyond it comes. A book is ready if it has a snapshot and nothing waits. More than so many waiting rows
+    are let go: the book is then not ready before a snapshot as new as all of them. Events not newer than the book are left out.
 
-    events: exchange, symbol, seq, kind (snapshot or delta), side, price, qty; a snapshot's rows share its seq. A book is
-    not ready before a snapshot, nor after a gap in seq; its deltas wait then, so many of the newest at most, and those
-    after the snapshot's seq are applied when it comes. Levels are kept as arrays in the state store.
+    Rows: kind `book`, each book after each batch (seq: the last applied, seen: the newest known); `gap_detected`, once for each hole between events as they come,
+    and for each range of deltas that were let go, with from_seq and to_seq; `gap_healed`, when a book has got beyond one. Levels, waiting deltas and open
+    gaps are arrays in the state store. A batch is taken in the order of seq; source() bounds its size.
     """
 
     def rebuild(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seq, ready, sides, prices, sizes, w_seq, w_side, w_price, w_qty = state.get if state.exists else (-1, False, [], [], [], [], [], [], [])
+        seq, seen, lost, sides, prices, sizes, w_seq, w_side, w_price, w_qty, g_from, g_to = state.get if state.exists else (-1, -1, -1, *([] for _ in range(9)))
         book = dict(zip(zip(sides, prices, strict=True), sizes, strict=True))
-        waiting = list(zip(w_seq, w_side, w_price, w_qty, strict=True))
-
-        def put(side: str, price: float, qty: float) -> None:
-            if qty > 0:
-                book[side, price] = qty
-            else:
-                book.pop((side, price), None)
+        gaps, told = list(zip(g_from, g_to, strict=True)), []
+        waiting: dict[int, list] = {}
+        for s, *level in zip(w_seq, w_side, w_price, w_qty, strict=True):
+            waiting.setdefault(s, []).append(level)
+
+        def put(levels: list) -> None:
+            for side, price, qty in levels:
+                if qty > 0:
+                    book[side, price] = qty
+                else:
+                    book.pop((side, price), None)
+
+        def gap(first: int, last: int) -> None:
+            gaps.append((first, last))
+            told.append(("gap_detected", first, last))
 
         rows = pd.concat(list(frames)).sort_values(["seq", "price"], kind="stable")
         for s, group in rows.groupby("seq", sort=True):
-            levels = list(zip(group["side"], group["price"].astype(float), group["qty"].astype(float), strict=True))
+            s, levels = int(s), list(zip(group["side"], group["price"].astype(float), group["qty"].astype(float), strict=True))
+            if 0 <= seen < s - 1:
+                gap(seen + 1, s - 1)
+            seen = max(seen, s)
+            if s <= seq:
+                continue
             if (group["kind"] == "snapshot").any():
                 book.clear()
-                for level in levels:
-                    put(*level)
-                for _, *level in sorted(x for x in waiting if x[0] > s):
-                    put(*level)
-                waiting, ready = [], True
-            elif ready and s == seq + 1:
-                for level in levels:
-                    put(*level)
+                put(levels)
+                seq, waiting = s, {k: v for k, v in waiting.items() if k > s}
             else:
-                ready = False
-                waiting = [*waiting, *((int(s), *level) for level in levels)][-pending:]
-            seq = int(max(seq, s))
-        w = list(zip(*waiting, strict=True)) or [[], [], [], []]
-        state.update((seq, bool(ready), [k[0] for k in book], [k[1] for k in book], list(book.values()), *(list(x) for x in w)))
+                waiting.setdefault(s, levels)
+            while seq >= 0 and seq + 1 in waiting:
+                seq += 1
+                put(waiting.pop(seq))
+            if sum(map(len, waiting.values())) > pending:
+                gap(min(waiting), max(waiting))
+                lost = max(lost, *waiting)
+                waiting.clear()
+        told += [("gap_healed", *g) for g in gaps if g[1] <= seq]
+        gaps = [g for g in gaps if g[1] > seq]
+        ready = seq >= 0 and not waiting and lost <= seq
+        w = list(zip(*((s, *level) for s, levels in waiting.items() for level in levels), strict=True)) or [[], [], [], []]
+        g = list(zip(*gaps, strict=True)) or [[], []]
+        state.update((seq, seen, lost, [k[0] for k in book], [k[1] for k in book], list(book.values()), *(list(x) for x in w), *(list(x) for x in g)))
         bids, asks = ([p for side, p in book if side == which] for which in ("bid", "ask"))
-        yield pd.DataFrame([{"exchange": key[0], "symbol": key[1], "seq": seq, "ready": ready, "best_bid": max(bids, default=None), "best_ask": min(asks, default=None), "levels": len(book)}])
+        head = {"exchange": key[0], "symbol": key[1]}
+        now = head | {"kind": "book", "seq": seq, "seen": seen, "ready": ready, "best_bid": max(bids, default=None), "best_ask": min(asks, default=None), "levels": len(book)}
+        out = pd.DataFrame([now, *(head | {"kind": kind, "from_seq": first, "to_seq": last} for kind, first, last in told)], columns=["kind", "exchange", "symbol", *BOOK, "from_seq", "to_seq"])
+        yield out.astype({c: "Int64" for c in ("seq", "seen", "levels", "from_seq", "to_seq")} | {"ready": "boolean", "best_bid": "float64", "best_ask": "float64"})
 
-    out = "exchange string, symbol string, seq long, ready boolean, best_bid double, best_ask double, levels long"
-    kept = "seq long, ready boolean, sides array<string>, prices array<double>, sizes array<double>, w_seq array<long>, w_side array<string>, w_price array<double>, w_qty array<double>"
+    out = "kind string, exchange string, symbol string, seq long, seen long, ready boolean, best_bid double, best_ask double, levels long, from_seq long, to_seq long"
+    kept = "seq long, seen long, lost long, sides array<string>, prices array<double>, sizes array<double>, w_seq array<long>, w_side array<string>, w_price array<double>, w_qty array<double>, g_from array<long>, g_to array<long>"
     rows = events.select("exchange", "symbol", "seq", "kind", "side", "price", "qty")
     return rows.groupBy("exchange", "symbol").applyInPandasWithState(rebuild, out, kept, "append", GroupStateTimeout.NoTimeout)
 
 
+def books(told: DataFrame) -> DataFrame:
+    """STR10: each book as it was last told."""
+    best = told.where("kind = 'book'").groupBy("exchange", "symbol").agg(F.max_by(F.struct(*BOOK), F.struct("seen", "seq")).alias("r"))
+    return best.select("exchange", "symbol", *(F.nanvl(f"r.{c}", F.lit(None).cast("double")).alias(c) if c.startswith("best") else F.col(f"r.{c}") for c in BOOK))
+
+
+def book_gaps(told: DataFrame) -> DataFrame:
+    """SNK10: the gap events of books, in the fields of gap_messages(): a hole's id is its book and range, so that it is one message however often it is told."""
+    hole = F.concat_ws(":", "exchange", "symbol", F.col("from_seq").cast("string"), F.col("to_seq").cast("string"))
+    rows = told.where("kind != 'book'").withColumn("gap_event_id", hole)
+    return rows.select(F.col("kind").alias("event_type"), F.concat_ws(":", "kind", "gap_event_id").alias("event_id"), "gap_event_id", F.col("exchange").alias("exchange_id"), "symbol", F.lit("book").alias("timeframe"), "from_seq", "to_seq").dropDuplicates(["event_id"])
+
+
 def risk_gate(events: DataFrame, capital: float) -> DataFrame:
-    """STR11: ANL9 on a stream, keyed by account: each signal approved, or the first rule that refuses it.
+    """STR11: ANL9 on a stream, keyed by account: each signal approved, with the share of capital that it may take, or the first rule that refuses it.
 
     events: account, at_ms, kind (close or signal), pnl_usd, signal_id, direction, confidence, actionable, open_positions.
     State is the day, its result and the whole one, and whether the account is halted. A batch is taken in order of
-    time, closes first.
+    time, closes first; a close of a day before the state's counts for the whole result alone.
     """
     order_usd = capital * p.POSITION_PCT
+    most_pct = p.MAX_ORDER_USD / capital if order_usd > p.MAX_ORDER_USD else p.POSITION_PCT
 
     def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         day, daily, total, halted = state.get if state.exists else (-1, 0.0, 0.0, False)
         out = []
         for e in pd.concat(list(frames)).sort_values(["at_ms", "kind", "signal_id"]).itertuples(index=False):
-            if e.at_ms // 86_400_000 != day:
-                day, daily = e.at_ms // 86_400_000, 0.0
+            today = e.at_ms // 86_400_000
+            if today > day:
+                day, daily = today, 0.0
             if e.kind == "close":
-                daily, total = daily + e.pnl_usd, total + e.pnl_usd
+                daily, total = daily + (e.pnl_usd if today == day else 0.0), total + e.pnl_usd
                 continue
             buy = e.direction != "sell"
             rules = [
@@ -278,13 +345,13 @@ def risk_gate(events: DataFrame, capital: float) -> DataFrame:
             ]
             reason = next((name for name, hit in rules if hit), "ok")
             halted = halted or reason.endswith("drawdown_breached")
-            out.append((key[0], int(e.signal_id), reason == "ok", reason))
+            out.append((key[0], int(e.signal_id), reason == "ok", reason, (most_pct if buy else p.POSITION_PCT) if reason == "ok" else None))
         state.update((int(day), float(daily), float(total), bool(halted)))
-        yield pd.DataFrame(out, columns=["account", "signal_id", "approved", "reason"])
+        yield pd.DataFrame(out, columns=["account", "signal_id", "approved", "reason", "size_pct"]).astype({"size_pct": "float64"})
 
     kind = events.schema["account"].dataType.simpleString()
     rows = events.select("account", "at_ms", "kind", F.coalesce("pnl_usd", F.lit(0.0)).alias("pnl_usd"), F.coalesce("signal_id", F.lit(-1)).alias("signal_id"), "direction", "confidence", F.coalesce("actionable", F.lit(False)).alias("actionable"), "open_positions")
-    return rows.groupBy("account").applyInPandasWithState(decide, f"account {kind}, signal_id long, approved boolean, reason string", "day long, daily double, total double, halted boolean", "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("account").applyInPandasWithState(decide, f"account {kind}, signal_id long, approved boolean, reason string, size_pct double", "day long, daily double, total double, halted boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def fan_out(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -299,28 +366,86 @@ def fan_out(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
     return write
 
 
-def features_of_new(lake: Lake, table: str, features: Callable[[DataFrame], DataFrame], out: str, rows: int = 20, longest_gap: int = 10) -> Callable[[DataFrame, int], None]:
-    """STR6: features of a batch's candles, with as many earlier candles of each series as the windows need.
-
-    Earlier candles are looked for in the table from longest_gap times that many candles before the batch's oldest one, so
-    that only months and series near it are read; a series with a longer gap starts its windows anew.
+def _moments(x: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample deviation of the last rows that have a value, updated a value at a time so that equal values deviate by nothing; NaN below the least number."""
+    padded = np.concatenate([np.full(width - 1, np.nan), x])
+    n, total, mean, squares = (np.zeros(len(x)) for _ in range(4))
+    for k in range(width):
+        v = padded[k : k + len(x)]
+        held = ~np.isnan(v)
+        n = n + held
+        off = np.where(held, v - mean, 0.0)
+        step = off / np.maximum(n, 1)
+        squares = squares + off * (off - step)
+        mean, total = mean + step, total + np.where(held, v, 0.0)
+    with np.errstate(all="ignore"):
+        return np.where(n >= least, total / n, np.nan), np.where((n >= least) & (n > 1), np.sqrt(squares / (n - 1)), np.nan)
+
+
+def _total(x: np.ndarray, width: int, least: int) -> np.ndarray:
+    mean, _ = _moments(x, width, least)
+    padded = np.concatenate([np.full(width - 1, np.nan), x])
+    total = sum(np.nan_to_num(padded[k : k + len(x)]) for k in range(width))
+    return np.where(np.isnan(mean), np.nan, total)
+
+
+def features_of_rows(timeframe: str, o: np.ndarray, h: np.ndarray, low: np.ndarray, c: np.ndarray, v: np.ndarray) -> dict[str, np.ndarray]:
+    """The eight numeric features of a series' rows in order, NaN for null; the same as gold_features()."""
+    zero = lambda x: np.where(x == 0, np.nan, x)
+    before = np.concatenate([[np.nan], c[:-1]])[: len(c)]
+    with np.errstate(all="ignore"):
+        ratio = zero(c) / zero(before)
+        log_return = np.where(ratio > 0, np.log(np.where(ratio > 0, ratio, 1)), np.nan)
+        typical, volume = (h + low + c) / 3, zero(v)
+        found = {
+            "log_return": log_return, "return_1": c / zero(before) - 1, "volatility_20": _moments(log_return, ROLLING, LEAST)[1] * np.sqrt(float(YEARLY.get(timeframe, YEARLY_DEFAULT))),
+            "vwap": _total(typical * volume, ROLLING, LEAST) / zero(_total(volume, ROLLING, LEAST)), "high_low_spread": (h - low) / zero(c), "price_range_pct": (h - low) / zero(o), "body_pct": np.abs(c - o) / zero(o),
+        }
+        mean, deviation = _moments(v, ROLLING, LEAST)
+        found["volume_z"] = (v - mean) / zero(deviation)
+    return {k: np.where(np.isinf(x), np.nan, x) for k, x in found.items()}
+
+
+def features_stream(candles: DataFrame) -> DataFrame:
+    """STR6: the nine features of candles on a stream, from the last rows of each series in the state store; no table is read.
+
+    A candle of a known time is a correction. After a batch every candle from its oldest one on is told again, with a higher version, as its windows may
+    have changed. State is the 2 * ROLLING newest candles of a series, so gaps of any length are gaps in time only, and corrections among the ROLLING newest are
+    exact; an older one is told with late true and without features, for a rebuild of that series from the table (build_all).
     """
-    from pyspark.sql.window import Window
-
-    columns = [*KEY, "timestamp", "open", "high", "low", "close", "volume"]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*columns).persist()
-        edge = batch.agg(F.min(F.unix_millis("timestamp") - rows * longest_gap * ms_of(F.col("timeframe"))).alias("from_ms"), F.max(F.unix_millis("timestamp")).alias("to_ms")).first()
-        if edge["to_ms"] is not None:
-            first = batch.groupBy(*KEY).agg(F.min("timestamp").alias("first"))
-            newest = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("timestamp")))
-            old = lake.candles(table, start_ms=edge["from_ms"], end_ms=edge["to_ms"]).join(first, KEY).where(F.col("timestamp") < F.col("first")).withColumn("_n", newest).where(F.col("_n") <= rows)
-            both = old.select(*columns).unionByName(batch)
-            features(both).join(first, KEY).where(F.col("timestamp") >= F.col("first")).drop("first").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        batch.unpersist()
-
-    return write
+    values = ["open", "high", "low", "close", "volume"]
+
+    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        times, *held, suspect, version, whole = state.get if state.exists else ([], *([] for _ in values), [], 0, True)
+        old = pd.DataFrame(dict(zip(["ms", *values, "suspect"], [times, *held, suspect], strict=True))).astype({"ms": "int64", "suspect": "bool"} | {c: "float64" for c in values})
+        new = pd.concat(list(frames), ignore_index=True)[["ms", *values, "suspect"]]
+        rows = pd.concat([old, new]).drop_duplicates("ms", keep="last").sort_values("ms", ignore_index=True)
+        first = int(np.searchsorted(rows["ms"], new["ms"].min()))
+        late = rows["ms"].isin(new["ms"]) & (rows.index < ROLLING) & (not whole)  # their windows are no longer there
+        known = features_of_rows(key[3], *(rows[c].to_numpy(np.float64) for c in values))
+        told = rows[["ms", *values]].assign(**known, is_suspect=rows["suspect"], late=late, version=version + 1)
+        told[FEATURES[:-1]] = told[FEATURES[:-1]].mask(late)
+        short = not whole and first < ROLLING  # so are those of some that follow
+        told = told[(told.index >= max(first, ROLLING if short else 0)) | late]
+        for name, value in zip(KEY, key, strict=True):
+            told[name] = value
+        yield told[[*KEY, "ms", *values, *FEATURES, "late", "version"]]
+        kept = rows[~late].tail(2 * ROLLING)
+        state.update(([int(x) for x in kept["ms"]], *([float(x) for x in kept[c]] for c in values), [bool(x) for x in kept["suspect"]], version + 1, bool(whole and len(kept) == len(rows))))
+
+    flag = F.coalesce(F.col("quality_flag") == "suspect", F.lit(False)) if "quality_flag" in candles.columns else F.lit(False)
+    rows = candles.select(*KEY, F.unix_millis("timestamp").alias("ms"), *(F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in values), flag.alias("suspect"))
+    doubles = lambda names: ", ".join(f"{c} double" for c in names)
+    out = f"{', '.join(f'{c} string' for c in KEY)}, ms long, {doubles([*values, *FEATURES[:-1]])}, is_suspect boolean, late boolean, version long"
+    kept = f"ms array<long>, {', '.join(f'{c} array<double>' for c in values)}, suspect array<boolean>, version long, whole boolean"
+    told = rows.groupBy(*KEY).applyInPandasWithState(advance, out, kept, "append", GroupStateTimeout.NoTimeout)
+    return without_nan(told.withColumn("timestamp", F.timestamp_millis("ms")).drop("ms"), [*values, *FEATURES[:-1]])
+
+
+def latest_features(told: DataFrame) -> DataFrame:
+    """STR6: the features of each candle as they were last told."""
+    rest = [c for c in told.columns if c not in (*KEY, "timestamp", "version")]
+    return told.groupBy(*KEY, "timestamp").agg(F.max_by(F.struct(*rest), "version").alias("r")).select(*KEY, "timestamp", "r.*")
 
 
 def drain(stream: DataFrame, folder: str, schema_from: DataFrame | None = None) -> DataFrame:
