@@ -30,11 +30,19 @@ def novel(anomalies: DataFrame, log: DataFrame) -> DataFrame:
     return prefix(anomalies).join(prefix(log).select(*key).distinct(), key, "left_anti").dropDuplicates(key)
 
 
-def manifest_problems(parts: DataFrame) -> DataFrame:
-    """AGG15: of each dataset's parts (min_ms, max_ms, rows) those out of order, overlapping or empty."""
-    w = Window.partitionBy("symbol").orderBy("min_ms", "max_ms")
+# What a dataset's manifest must say, besides its parts.
+MANIFEST_FIELDS = ["symbol", "timeframe", "exchange", "version"]
+
+
+def manifest_problems(datasets: DataFrame, parts: DataFrame, by: str = "symbol") -> DataFrame:
+    """AGG15: what is wrong with each dataset's manifest: fields that are null, no part at all, and of its parts (min_ms, max_ms, rows)
+    those that do not begin before they end, that overlap the next, or have no row."""
+    w = Window.partitionBy(by).orderBy("min_ms", "max_ms")
     df = parts.withColumn("next_ms", F.lead("min_ms").over(w))
-    return df.groupBy("symbol").agg(F.count("*").alias("parts"), F.count_if(F.col("next_ms") < F.col("max_ms")).alias("overlaps"), F.count_if(F.col("min_ms") > F.col("max_ms")).alias("inverted"), F.count_if(F.col("rows") <= 0).alias("empty"))
+    told = df.groupBy(by).agg(F.count("*").alias("parts"), F.count_if(F.col("next_ms") < F.col("max_ms")).alias("overlaps"), F.count_if(F.col("min_ms") >= F.col("max_ms")).alias("inverted"), F.count_if(F.col("rows") < 1).alias("empty"))
+    missing = F.concat_ws(",", *(F.when(F.col(c).isNull(), c) for c in sorted(MANIFEST_FIELDS)))
+    known = datasets.select(by, missing.alias("missing")).join(told, by, "left").fillna(0)
+    return known.withColumn("ok", (F.col("missing") == "") & (F.col("parts") > 0) & (F.col("overlaps") + F.col("inverted") + F.col("empty") == 0))
 
 
 def with_loss(lineage: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from tideframe.plans.core import HOUR, K, r
 from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.sources import landed
 from tideframe.sources import mappings as m
-from tideframe.sources.snapshots import Lake, gold_rows, new_folder
+from tideframe.sources.snapshots import Lake, gold_rows, new_folder, removed
 
 _T = f"WITH {m.TRADES_SQL}"
 _C = m.BASE_SQL
@@ -221,15 +221,19 @@ def dq13_novel(spark, sf):
     return registry.novel(a.withColumn("reason", F.concat("reason", F.lit(" (n=1)"))), seen).select("exchange", "symbol", "timeframe", "reason")
 
 
-@query("agg15_manifest", f"""{_C}, p AS (SELECT symbol, ts_ms // {MS['1d']} AS d, exchange, min(ts_ms) AS lo, max(ts_ms) AS hi, count(*) AS rows FROM candles GROUP BY ALL), q AS (SELECT symbol, CASE WHEN d % 7 = 0 THEN hi + 1 ELSE lo END AS min_ms, CASE WHEN d % 7 = 0 THEN lo ELSE hi END AS max_ms, CASE WHEN d % 5 = 0 THEN 0 ELSE rows END AS rows FROM p),
-  n AS (SELECT *, lead(min_ms) OVER (PARTITION BY symbol ORDER BY min_ms, max_ms) AS next_ms FROM q) SELECT symbol, count(*) AS parts, count(*) FILTER (next_ms < max_ms) AS overlaps, count(*) FILTER (min_ms > max_ms) AS inverted, count(*) FILTER (rows <= 0) AS empty FROM n GROUP BY symbol""")
+@query("agg15_manifest", f"""{_C}, p AS (SELECT symbol, ts_ms // {MS['1d']} AS d, exchange, min(ts_ms) AS lo, max(ts_ms) AS hi, count(*) AS rows FROM candles GROUP BY ALL), q AS (SELECT symbol, CASE WHEN d % 7 = 0 THEN hi + 1 ELSE lo END AS min_ms, CASE WHEN d % 7 = 0 THEN lo WHEN d % 7 = 3 THEN lo ELSE hi END AS max_ms, CASE WHEN d % 5 = 0 THEN 0 ELSE rows END AS rows FROM p WHERE symbol <> 'error'),
+  n AS (SELECT *, lead(min_ms) OVER (PARTITION BY symbol ORDER BY min_ms, max_ms) AS next_ms FROM q), t AS (SELECT symbol, count(*) AS parts, count(*) FILTER (next_ms < max_ms) AS overlaps, count(*) FILTER (min_ms >= max_ms) AS inverted, count(*) FILTER (rows < 1) AS empty FROM n GROUP BY symbol),
+  d AS (SELECT DISTINCT symbol, concat_ws(',', CASE WHEN symbol = 'view' THEN 'exchange' END, CASE WHEN symbol IN ('view', 'click') THEN 'version' END) AS missing FROM candles)
+  SELECT d.symbol, missing, coalesce(parts, 0) AS parts, coalesce(t."overlaps", 0) AS overlaps, coalesce(inverted, 0) AS inverted, coalesce(empty, 0) AS empty, missing = '' AND coalesce(parts, 0) > 0 AND coalesce(t."overlaps", 0) + coalesce(inverted, 0) + coalesce(empty, 0) = 0 AS ok FROM d LEFT JOIN t ON t.symbol = d.symbol""")
 def agg15_manifest(spark, sf):
-    """Parts of which some end before they begin, and some have no row."""
+    """Datasets of which one has no part and some lack fields; parts of which some end as or before they begin, and some have no row."""
     c, d = ts_ms(m.candles(spark, sf)), F.floor(F.col("ts_ms") / MS["1d"])
-    parts = c.groupBy("symbol", d.alias("d"), "exchange").agg(F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi"), F.count("*").alias("rows"))
-    seventh = F.col("d") % 7 == 0
-    parts = parts.select("symbol", F.when(seventh, F.col("hi") + 1).otherwise(F.col("lo")).alias("min_ms"), F.when(seventh, F.col("lo")).otherwise(F.col("hi")).alias("max_ms"), F.when(F.col("d") % 5 == 0, 0).otherwise(F.col("rows")).alias("rows"))
-    return registry.manifest_problems(parts)
+    parts = c.where("symbol != 'error'").groupBy("symbol", d.alias("d"), "exchange").agg(F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi"), F.count("*").alias("rows"))
+    day = F.col("d") % 7
+    parts = parts.select("symbol", F.when(day == 0, F.col("hi") + 1).otherwise(F.col("lo")).alias("min_ms"), F.when(day.isin(0, 3), F.col("lo")).otherwise(F.col("hi")).alias("max_ms"), F.when(F.col("d") % 5 == 0, 0).otherwise(F.col("rows")).alias("rows"))
+    of = F.col("symbol")
+    datasets = c.select("symbol").distinct().select("symbol", F.lit("1h").alias("timeframe"), F.when(of != "view", "ex0").alias("exchange"), F.when(~of.isin("view", "click"), 1).alias("version"))
+    return registry.manifest_problems(datasets, parts)
 
 
 @query("agg16_lag", f"{_C} SELECT {K}, ({m.NOW_MS} - max(ts_ms)) // {HOUR} AS lag_candles, ({m.NOW_MS} - max(ts_ms)) // {HOUR} > 48 AS warning FROM candles GROUP BY {K}")
@@ -372,6 +376,43 @@ def src23_bounds(spark, sf):
     return _lake(spark, sf).bounds("silver").select(*KEY, F.unix_millis("oldest").alias("oldest_ms"), F.unix_millis("newest").alias("newest_ms"))
 
 
+@query("src21_manifest", f"{_C}, u AS (SELECT *, 1 AS c FROM candles UNION ALL SELECT *, 2 FROM candles WHERE ts_ms // {HOUR} % 2 = 0) SELECT {K}, CAST(max(c) AS BIGINT) AS commit_id, count(*) AS rows, count(DISTINCT (c, strftime(make_timestamp(ts_ms * 1000), '%Y-%m'))) AS files, min(ts_ms) AS oldest_ms, max(ts_ms) AS newest_ms, true AS in_order FROM u GROUP BY {K}")
+def src21_manifest(spark, sf):
+    """What the newest version is made of, from the log: the data files are gone when it is asked."""
+    lake = _lake(spark, sf)
+    told = lake.manifest("silver")
+    removed(spark, f"{lake.folder}/silver")
+    order = F.forall(F.sequence(F.lit(1), F.size("parts") - 1), lambda i: F.element_at("parts", i)["min_us"] <= F.element_at("parts", i + 1)["min_us"])
+    return told.select(*KEY, "commit_id", "rows", "files", F.unix_millis("oldest").alias("oldest_ms"), F.unix_millis("newest").alias("newest_ms"), F.when(F.size("parts") < 2, True).otherwise(order).alias("in_order"))
+
+
+@query("src1_src6_files_in_range", f"{_C}, u AS (SELECT *, 1 AS c FROM candles UNION ALL SELECT *, 2 FROM candles WHERE ts_ms // {HOUR} % 2 = 0), f AS (SELECT {K}, c, count(*) AS rows, min(ts_ms) AS lo, max(ts_ms) AS hi FROM u GROUP BY {K}, c, strftime(make_timestamp(ts_ms * 1000), '%Y-%m')) SELECT {K}, count(*) AS files, sum(rows)::BIGINT AS rows FROM f WHERE symbol IN ('click', 'view') AND hi >= {m.NOW_MS - 33 * MS['1d']} AND lo <= {m.NOW_MS - 31 * MS['1d']} GROUP BY {K}")
+def src1_files(spark, sf):
+    """The files that a read of two symbols and a range lists, of all that the log has."""
+    found = _lake(spark, sf).files("silver", symbols=["click", "view"], start_ms=m.NOW_MS - 33 * MS["1d"], end_ms=m.NOW_MS - 31 * MS["1d"])
+    return found.groupBy(*KEY).agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
+
+
+@query("snk17_sweep", f"""{_C}, s AS (SELECT count(DISTINCT ({K}, strftime(make_timestamp(ts_ms * 1000), '%Y-%m'))) AS every, count(DISTINCT ({K}, strftime(make_timestamp(ts_ms * 1000), '%Y-%m'))) FILTER (ts_ms // {HOUR} % 2 = 0) AS even, count(*) AS rows, sum(CASE WHEN ts_ms // {HOUR} % 2 = 0 THEN 1 ELSE 0 END) AS higher FROM candles)
+  SELECT 'reachable' AS state, 0 AS unreached, 2 * every + even AS files, rows AS live_rows FROM s UNION ALL SELECT 'expired', every + even, 2 * every + even, rows FROM s UNION ALL SELECT 'swept', 0, every, rows FROM s""")
+def snk17_sweep(spark, sf):
+    """An append, an upsert and a compaction: once the older versions have expired, a sweep leaves the compacted files alone."""
+    lake = _lake(spark, sf)
+    lake.compact("silver", 3, 3_000)
+
+    def state(name: str) -> tuple:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(f"{lake.folder}/silver").select("path").count()
+        return name, lake.unreached("silver").count(), files, lake.candles("silver").count()
+
+    told = [state("reachable")]
+    lake.retention("silver", 3_500 + 3 * MS["1d"], 3, dry_run=False)
+    told.append(state("expired"))
+    lake.sweep("silver")
+    # what the log lists but the sweep removed is no longer there to be swept
+    told.append(("swept", lake.sweep("silver", dry_run=True)[0], *state("swept")[2:]))
+    return spark.createDataFrame(told, "state string, unreached long, files long, live_rows long")
+
+
 @query("snk17_retention", f"{_C} SELECT 'before' AS state, 2 AS scanned, 1 AS eligible, count(*) AS live_rows FROM candles UNION ALL SELECT 'after', 1, 0, count(*) FROM candles")
 def snk17_retention(spark, sf):
     """The older version expires: it is no version any more, and the newest one reads the same rows."""

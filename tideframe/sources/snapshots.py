@@ -40,6 +40,12 @@ def _same_series() -> Column:
     return reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY))
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def wall_clock_ms() -> int:
     return time.time_ns() // 1_000_000
 

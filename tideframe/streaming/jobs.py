@@ -419,18 +419,18 @@ def features_stream(candles: DataFrame) -> DataFrame:
         times, *held, suspect, version, whole = state.get if state.exists else ([], *([] for _ in values), [], 0, True)
         old = pd.DataFrame(dict(zip(["ms", *values, "suspect"], [times, *held, suspect], strict=True))).astype({"ms": "int64", "suspect": "bool"} | {c: "float64" for c in values})
         new = pd.concat(list(frames), ignore_index=True)[["ms", *values, "suspect"]]
-        rows = pd.concat([old, new]).drop_duplicates("ms", keep="last").sort_values("ms", ignore_index=True)
-        first = int(np.searchsorted(rows["ms"], new["ms"].min()))
-        late = rows["ms"].isin(new["ms"]) & (rows.index < ROLLING) & (not whole)  # their windows are no longer there
+        edge = -(1 << 62) if whole else int(old["ms"].iloc[ROLLING])  # what is before has no whole window any more
+        late, new = new[new["ms"] < edge], new[new["ms"] >= edge]
+        rows = pd.concat([x for x in (old, new) if len(x)]).drop_duplicates("ms", keep="last").sort_values("ms", ignore_index=True)
         known = features_of_rows(key[3], *(rows[c].to_numpy(np.float64) for c in values))
-        told = rows[["ms", *values]].assign(**known, is_suspect=rows["suspect"], late=late, version=version + 1)
-        told[FEATURES[:-1]] = told[FEATURES[:-1]].mask(late)
-        short = not whole and first < ROLLING  # so are those of some that follow
-        told = told[(told.index >= max(first, ROLLING if short else 0)) | late]
+        told = rows[["ms", *values]].assign(**known, is_suspect=rows["suspect"], late=False)
+        told = told[told["ms"] >= new["ms"].min()]
+        unknown = late[["ms", *values]].assign(**dict.fromkeys(known, np.nan), is_suspect=late["suspect"], late=True)
+        told = pd.concat([x for x in (told, unknown) if len(x)]).assign(version=version + 1)
         for name, value in zip(KEY, key, strict=True):
             told[name] = value
         yield told[[*KEY, "ms", *values, *FEATURES, "late", "version"]]
-        kept = rows[~late].tail(2 * ROLLING)
+        kept = rows.tail(2 * ROLLING)
         state.update(([int(x) for x in kept["ms"]], *([float(x) for x in kept[c]] for c in values), [bool(x) for x in kept["suspect"]], version + 1, bool(whole and len(kept) == len(rows))))
 
     flag = F.coalesce(F.col("quality_flag") == "suspect", F.lit(False)) if "quality_flag" in candles.columns else F.lit(False)
