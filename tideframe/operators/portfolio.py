@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideframe.operators.scan import by_day, running
+
 ACCOUNT = ["account", "symbol"]
 # The risk limits.
 MIN_CONFIDENCE, MAX_POSITIONS, DAILY_DRAWDOWN, TOTAL_DRAWDOWN = 0.8, 3, 0.05, 0.15
@@ -129,30 +131,36 @@ def performance(trades: DataFrame, capital: float, by: list[str] = ["account"])
     )
 
 
+#: Steps in a block of a curve.
+STEPS = 4096
+
+
 def equity_curve(trades: DataFrame, capital: float, by: list[str] = ["account"]) -> DataFrame:  # noqa: B006
-    """WIN19: equity after each closed trade; step 0 is the capital."""
-    order = Window.partitionBy(*by).orderBy("exit_at", "trade_id")
-    rows = trades.select(*by, F.row_number().over(order).alias("step"), (capital + F.sum("pnl_usd").over(order.rowsBetween(Window.unboundedPreceding, 0))).alias("equity"))
+    """WIN19/ANL7: equity after each closed trade; step 0 is the capital. An account's trades are told in blocks of a day."""
+    values = {"step": ("sum", F.lit(1)), "_sum": ("sum", F.col("pnl_usd"))}
+    rows = running(trades.select(*by, "exit_at", "trade_id", "pnl_usd"), by, ["exit_at", "trade_id"], values, by_day("exit_at"))
     seed = trades.select(*by).distinct().select(*by, F.lit(0).alias("step"), F.lit(float(capital)).alias("equity"))
-    return seed.union(rows)
+    return seed.union(rows.select(*by, F.col("step").cast("int"), (capital + F.col("_sum")).alias("equity")))
 
 
 def max_drawdown(curve: DataFrame, by: list[str] = ["account"]) -> DataFrame:  # noqa: B006
-    """WIN20: the largest fall from a peak so far, as a share of the peak."""
-    peak = F.max("equity").over(Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
+    """WIN20: the largest fall from a peak so far, as a share of the peak; a curve's steps are told in even blocks."""
+    curve = running(curve, by, ["step"], {"peak": ("max", F.col("equity"))}, F.floor(F.col("step") / STEPS))
     fall = F.when(F.col("peak") > 0, (F.col("peak") - F.col("equity")) / F.col("peak")).otherwise(0.0)
-    return curve.withColumn("peak", peak).groupBy(*by).agg(F.max(fall).alias("max_drawdown"))
+    return curve.groupBy(*by).agg(F.max(fall).alias("max_drawdown"))
 
 
 def compounded(trades: DataFrame, by: list[str] = ["account"]) -> DataFrame:  # noqa: B006
     """WIN20 without capital: equity compounds from 1 by each trade's share. The product so far is a running sum of
     logarithms, with running counts of zeros and of negative factors for its sign; step 0 is the 1."""
-    order = Window.partitionBy(*by).orderBy("exit_at", "trade_id").rowsBetween(Window.unboundedPreceding, 0)
     factor = 1 + F.col("pnl_pct")
-    so_far = lambda c: F.sum(c).over(order)
-    sign = F.when(so_far((factor == 0).cast("int")) > 0, 0.0).when(so_far((factor < 0).cast("int")) % 2 == 1, -1.0).otherwise(1.0)
-    size = F.exp(so_far(F.when(factor != 0, F.log(F.abs(factor))).otherwise(0.0)))
-    rows = trades.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy("exit_at", "trade_id")).alias("step"), (sign * size).alias("equity"))
+    values = {
+        "step": ("sum", F.lit(1)), "_zeros": ("sum", F.when(factor == 0, 1).otherwise(0)), "_negative": ("sum", F.when(factor < 0, 1).otherwise(0)),
+        "_log": ("sum", F.when(factor != 0, F.log(F.abs(factor))).otherwise(0.0)),
+    }
+    rows = running(trades.select(*by, "exit_at", "trade_id", "pnl_pct"), by, ["exit_at", "trade_id"], values, by_day("exit_at"))
+    sign = F.when(F.col("_zeros") > 0, 0.0).when(F.col("_negative") % 2 == 1, -1.0).otherwise(1.0)
+    rows = rows.select(*by, F.col("step").cast("int"), (sign * F.exp("_log")).alias("equity"))
     return trades.select(*by).distinct().select(*by, F.lit(0).alias("step"), F.lit(1.0).alias("equity")).union(rows)
 
 
@@ -191,14 +199,17 @@ def risk_decisions(signals: DataFrame, closes: DataFrame, capital: float, by: st
 
     signals: account, timestamp, signal_id, direction, confidence, actionable, open_positions.
     closes: account, exit_at, pnl_usd. Drawdown is looked at when a signal has passed the rules before it;
-    a breach refuses that signal and halts the account for all later ones. One account is one window partition.
+    a breach refuses that signal and halts the account for all later ones. One account and day is one window partition.
     """
     event = closes.select(by, F.col("exit_at").alias("at"), F.lit(0).alias("kind"), "pnl_usd", F.lit(None).cast("long").alias("signal_id"), F.lit(None).cast("string").alias("direction"), F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("boolean").alias("actionable"), F.lit(None).cast("long").alias("open_positions"))
     ask = signals.select(by, F.col("timestamp").alias("at"), F.lit(1).alias("kind"), F.lit(0.0).alias("pnl_usd"), "signal_id", "direction", "confidence", "actionable", F.col("open_positions").cast("long").alias("open_positions"))
     rows = event.unionByName(ask).withColumn("day", F.to_date("at"))
-    so_far = Window.partitionBy(by).orderBy("at", "kind", "signal_id").rowsBetween(Window.unboundedPreceding, 0)
+    # an account's days are blocks: what a day begins with is the sum of the days before
     today = Window.partitionBy(by, "day").orderBy("at", "kind", "signal_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({"daily": F.sum("pnl_usd").over(today) / capital, "total": F.sum("pnl_usd").over(so_far) / capital})
+    earlier_days = F.sum("_day_pnl").over(Window.partitionBy("_of").orderBy("_on").rowsBetween(Window.unboundedPreceding, -1))
+    days = rows.groupBy(F.col(by).alias("_of"), F.col("day").alias("_on")).agg(F.sum("pnl_usd").alias("_day_pnl")).select("_of", "_on", F.coalesce(earlier_days, F.lit(0.0)).alias("_carried"))
+    rows = rows.withColumn("daily", F.sum("pnl_usd").over(today)).join(days, F.col(by).eqNullSafe(F.col("_of")) & F.col("day").eqNullSafe(F.col("_on")))
+    rows = rows.withColumns({"total": (F.col("_carried") + F.col("daily")) / capital, "daily": F.col("daily") / capital}).drop("_of", "_on", "_carried")
     rows = rows.where("kind = 1")
     buy = F.col("direction") != "sell"
     refused = (
@@ -206,8 +217,9 @@ def risk_decisions(signals: DataFrame, closes: DataFrame, capital: float, by: st
         .when(F.col("daily") <= -DAILY_DRAWDOWN, "daily_drawdown_breached").when(F.col("total") <= -TOTAL_DRAWDOWN, "total_drawdown_breached")
     )
     rows = rows.withColumn("refused", refused)
-    earlier = Window.partitionBy(by).orderBy("at", "kind", "signal_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("halted", F.coalesce(F.max(F.coalesce(F.col("refused").endswith("drawdown_breached"), F.lit(False))).over(earlier), F.lit(False)))
+    place = F.struct("at", "kind", "signal_id")
+    halts = rows.where(F.col("refused").endswith("drawdown_breached")).groupBy(F.col(by).alias("_of")).agg(F.min(place).alias("_halt"))
+    rows = rows.join(halts, F.col(by).eqNullSafe(F.col("_of")), "left").withColumn("halted", F.coalesce(place > F.col("_halt"), F.lit(False))).drop("_of", "_halt")
     order_usd = capital * POSITION_PCT
     reason = F.when(F.col("halted"), "system_halted").when(F.col("refused").isNotNull(), F.col("refused")).when(buy & F.lit(order_usd < MIN_ORDER_USD), "order_too_small").otherwise("ok")
     size = F.when(F.col("reason") == "ok", F.when(buy & F.lit(order_usd > MAX_ORDER_USD), MAX_ORDER_USD / capital).otherwise(POSITION_PCT))

@@ -62,7 +62,8 @@ def with_mad(candles: DataFrame) -> DataFrame:
 
 
 def checks(candles: DataFrame, now_ms: int) -> DataFrame:
-    """DQ1-DQ7: the counts behind every check, one row for each series, in one pass over scored rows."""
+    """DQ1-DQ7: the counts behind every check, one row for each series, in one pass over scored rows: one shuffle by series serves every window and the counts."""
+    candles = candles.repartition(*KEY)
     ms = F.unix_millis("timestamp")
     step = F.when(F.col("timeframe").isin(*GAP_TIMEFRAMES), ms_of(F.col("timeframe")))
     df = with_mad(with_zscore(candles)).withColumn("_delta", ms - F.lag(ms).over(_order())).withColumn("_step", step)
@@ -210,24 +211,28 @@ def judged_expectations(candles: DataFrame, rules: dict[str, tuple[str, str]] |
 PRICE_LIMIT, VOLUME_LIMIT, CRITICAL_ROWS, LEAST_COMMON = 0.005, 0.5, 0.05, 10
 
 
+def _side(df: DataFrame, x: str) -> DataFrame:
+    return df.select("symbol", "timeframe", F.date_trunc("minute", "timestamp").alias("minute"), *(F.col(c).alias(f"{c}_{x}") for c in OHLCV))
+
+
 def aligned(a: DataFrame, b: DataFrame) -> DataFrame:
     """JN1: candles of two venues of the same minute side by side; equal keys, so sort-merge or broadcast as sizes tell."""
-    side = lambda df, x: df.select("symbol", "timeframe", F.date_trunc("minute", "timestamp").alias("minute"), *(F.col(c).alias(f"{c}_{x}") for c in OHLCV))
-    return side(a, "a").join(side(b, "b"), ["symbol", "timeframe", "minute"])
+    return _side(a, "a").join(_side(b, "b"), ["symbol", "timeframe", "minute"])
 
 
 def venue_report(a: DataFrame, b: DataFrame) -> DataFrame:
     """JN2-JN5, DQ17: for each series of both venues the divergences, the minutes of one venue only, and a verdict."""
-    both = aligned(a, b)
     mid = lambda x: (F.col(f"high_{x}") + F.col(f"low_{x}")) / 2
     apart = lambda x, y: F.try_divide(F.abs(x - y), F.nullif((x + y) / 2, F.lit(0.0)))
     price, volume = apart(mid("a"), mid("b")), apart(F.col("volume_a"), F.col("volume_b"))
-    joined = both.groupBy("symbol", "timeframe").agg(
-        F.count("*").alias("common"), F.count_if(price > PRICE_LIMIT).alias("price_diverges"), F.max(price).alias("max_price_gap"), F.count_if(volume > VOLUME_LIMIT).alias("volume_diverges")
-    )
-    minutes = lambda df, x: df.select("symbol", "timeframe", F.date_trunc("minute", "timestamp").alias("minute")).distinct().withColumn(f"in_{x}", F.lit(True))
-    sides = minutes(a, "a").join(minutes(b, "b"), ["symbol", "timeframe", "minute"], "full")
-    single = sides.groupBy("symbol", "timeframe").agg(F.count_if(F.col("in_b").isNull()).alias("only_a"), F.count_if(F.col("in_a").isNull()).alias("only_b"))
-    df = single.join(joined, ["symbol", "timeframe"], "left").fillna(0, ["common", "price_diverges", "volume_diverges"])
+    key, common = ["symbol", "timeframe", "minute"], F.col("in_a") & F.col("in_b")
+    # one full join of both sides by minute tells all: rows of a minute are counted where they meet, then those of a series
+    both = _side(a, "a").withColumn("in_a", F.lit(True)).join(_side(b, "b").withColumn("in_b", F.lit(True)), key, "full")
+    minutes = both.groupBy(*key).agg(
+        F.count_if(common).alias("common"), F.count_if(common & (price > PRICE_LIMIT)).alias("price_diverges"), F.max(F.when(common, price)).alias("max_price_gap"), F.count_if(common & (volume > VOLUME_LIMIT)).alias("volume_diverges"),
+        F.count("in_a").alias("_a"), F.count("in_b").alias("_b"),
+    )
+    total = lambda c: F.sum(c).alias(c)
+    df = minutes.groupBy("symbol", "timeframe").agg(F.count_if(F.col("_b") == 0).alias("only_a"), F.count_if(F.col("_a") == 0).alias("only_b"), total("common"), total("price_diverges"), F.max("max_price_gap").alias("max_price_gap"), total("volume_diverges"))
     verdict = F.when(F.col("common") < LEAST_COMMON, "no_overlap").when(F.try_divide("price_diverges", "common") > CRITICAL_ROWS, "critical").when((F.col("price_diverges") + F.col("volume_diverges") + F.col("only_a") + F.col("only_b")) > 0, "warning").otherwise("clean")
     return df.withColumn("verdict", verdict)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType, TimestampNTZType
 from pyspark.sql.window import Window
@@ -102,11 +102,20 @@ def classified(candles: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumn("label", label).drop("previous_ms")
 
 
-def silver_candles(bronze: DataFrame, seq: str = "seq") -> DataFrame:
-    """FLT7: cast, deduplicate by arrival, align to the grid, classify, drop what is corrupt; the label stays as quality_flag."""
-    df = first_by_arrival(convert_types(require_columns(bronze, REQUIRED)), seq)
-    df = align_to_grid(df, seq).select(*KEY, "timestamp", *OHLCV).withColumn(seq, F.lit(0))
-    return classified(df, seq).where("label != 'corrupt'").dropna(subset=REQUIRED).withColumnRenamed("label", "quality_flag").select(*KEY, "timestamp", *OHLCV, "quality_flag")
+def silver_candles(bronze: DataFrame, seq: str = "seq", told: Observation | None = None) -> DataFrame:
+    """FLT7: cast, deduplicate by arrival, align to the grid, classify, drop what is corrupt; the label stays as quality_flag.
+
+    One shuffle by series serves every step. told is filled by whatever first writes the result, without a pass of its own: rows on the
+    grid, the rows that were moved to it and those that met there (AGG2, UDF4), rows that break each schema rule (FLT8/FLT9), and rows of each label.
+    """
+    df = convert_types(require_columns(bronze, REQUIRED)).repartition(*KEY)
+    df = align_to_grid(first_by_arrival(df, seq), seq).withColumn(seq, F.lit(0))
+    df = classified(df, seq)
+    if told is not None:
+        rules = [F.count_if(F.coalesce(bad, F.lit(True))).alias(name) for name, bad in row_rules().items()]
+        labels = [F.count_if(F.col("label") == name).alias(name) for name in ("clean", "suspect", "corrupt")]
+        df = df.observe(told, F.count("*").alias("rows"), F.sum("drifted").alias("drifted"), F.sum("collided").alias("collided"), *rules, *labels)
+    return df.where("label != 'corrupt'").dropna(subset=REQUIRED).withColumnRenamed("label", "quality_flag").select(*KEY, "timestamp", *OHLCV, "quality_flag")
 
 
 def validation_summary(candles: DataFrame) -> DataFrame:
@@ -122,19 +131,25 @@ def validation_summary(candles: DataFrame) -> DataFrame:
     )
 
 
+def row_rules() -> dict[str, Column]:
+    """FLT9: the schema rules that a row alone can break."""
+    o, h, lo, c, v = (F.col(x) for x in OHLCV)
+    return {
+        "before_genesis": F.col("timestamp") < F.lit(GENESIS).cast("timestamp"),
+        "price_not_positive": (o <= 0) | (h <= 0) | (lo <= 0) | (c <= 0),
+        "volume_negative": v < 0,
+        "low_not_lowest": (lo > o) | (lo > c) | (lo > h),
+        "high_not_highest": (h < o) | (h < c) | (h < lo),
+    }
+
+
 def schema_report(candles: DataFrame) -> DataFrame:
     """FLT8/FLT9: for each series how many rows break each rule. One pass and one shuffle for all rules."""
     stamp = Window.partitionBy(*KEY, "timestamp")
     df = candles.withColumn("_same", F.count("*").over(stamp))
-    bad = lambda c: F.count_if(F.coalesce(c, F.lit(True)))
     ms = ms_of(F.col("timeframe"), strict=False)
-    o, h, lo, c, v = (F.col(x) for x in OHLCV)
     return df.groupBy(*KEY).agg(
-        bad(F.col("timestamp") < F.lit(GENESIS).cast("timestamp")).alias("before_genesis"),
-        bad((o <= 0) | (h <= 0) | (lo <= 0) | (c <= 0)).alias("price_not_positive"),
-        bad(v < 0).alias("volume_negative"),
-        bad((lo > o) | (lo > c) | (lo > h)).alias("low_not_lowest"),
-        bad((h < o) | (h < c) | (h < lo)).alias("high_not_highest"),
+        *(F.count_if(F.coalesce(bad, F.lit(True))).alias(name) for name, bad in row_rules().items()),
         F.count_if(F.col("_same") > 1).alias("timestamp_repeated"),
         F.count_if(F.coalesce(F.unix_millis("timestamp") % ms != 0, F.lit(False))).alias("off_grid"),
     )

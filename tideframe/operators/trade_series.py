@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideframe.operators.scan import previous, running
+from tideframe.operators.sketch import log_histogram, quantiles
+
 SERIES = ["exchange", "market_type", "symbol"]
 SILENCE_MS = 30_000
 EXACT = "decimal(38,18)"
@@ -40,16 +43,16 @@ def series_totals(trades: DataFrame, by: list[Column | str]) -> DataFrame:
     return out.withColumns({"vwap": vwap, "buy_sell_imbalance": imbalance})
 
 
-def in_order(trades: DataFrame, arrival: str = "trade_id") -> DataFrame:
-    """WIN21: the trades not older than any that arrived before them."""
-    newest = F.max("timestamp").over(Window.partitionBy(*SERIES).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
-    return trades.withColumn("_newest", newest).where(F.col("_newest").isNull() | (F.col("timestamp") >= F.col("_newest"))).drop("_newest")
+def in_order(trades: DataFrame, arrival: str = "trade_id", block: Column | None = None) -> DataFrame:
+    """WIN21: the trades not older than any that arrived before them. block, a number that never falls with arrival, spreads a busy series; without one a series is a block."""
+    rows = running(trades, SERIES, [arrival], {"_newest": ("max", F.col("timestamp"), False)}, F.lit(0) if block is None else block)
+    return rows.where(F.col("_newest").isNull() | (F.col("timestamp") >= F.col("_newest"))).drop("_newest")
 
 
-def disorder(trades: DataFrame, arrival: str = "trade_id") -> DataFrame:
-    """WIN22: for each series how many trades are older than the one that arrived before."""
-    before = F.lag("timestamp").over(Window.partitionBy(*SERIES).orderBy(arrival))
-    return trades.withColumn("_before", before).groupBy(*SERIES).agg(F.count("*").alias("trades"), F.count_if(F.col("_before") > F.col("timestamp")).alias("out_of_order"))
+def disorder(trades: DataFrame, arrival: str = "trade_id", block: Column | None = None) -> DataFrame:
+    """WIN22: for each series how many trades are older than the one that arrived before; block as for in_order()."""
+    rows = previous(trades, SERIES, arrival, "timestamp", "_before", F.lit(0) if block is None else block)
+    return rows.groupBy(*SERIES).agg(F.count("*").alias("trades"), F.count_if(F.col("_before") > F.col("timestamp")).alias("out_of_order"))
 
 
 def silences(trades: DataFrame, threshold_ms: int = SILENCE_MS) -> DataFrame:
@@ -75,11 +78,20 @@ def across_sources(trades: DataFrame) -> DataFrame:
 
 def lateness(delays: DataFrame, exact: bool = False) -> DataFrame:
     """AGG10: 95th and 99th percentile of the candles' delay for each venue and timeframe, kept between a minute and an hour."""
-    shares = F.array(F.lit(0.95), F.lit(0.99))
-    found = F.percentile("delay_ms", shares) if exact else F.percentile_approx("delay_ms", shares, F.lit(10_000))
-    clamp = lambda c: F.least(F.greatest(c.cast("double"), F.lit(60_000.0)), F.lit(3_600_000.0))
-    df = delays.groupBy("exchange", "timeframe").agg(found.alias("p"), F.count("*").alias("n"))
-    return df.select("exchange", "timeframe", "n", clamp(F.col("p")[0]).alias("p95_ms"), clamp(F.col("p")[1]).alias("p99_ms"))
+    if not exact:
+        return lateness_of(log_histogram(delays, ["exchange", "timeframe"], "delay_ms"))
+    df = delays.groupBy("exchange", "timeframe").agg(F.percentile("delay_ms", F.array(F.lit(0.95), F.lit(0.99))).alias("p"), F.count("*").alias("n"))
+    return df.select("exchange", "timeframe", "n", _kept(F.col("p")[0]).alias("p95_ms"), _kept(F.col("p")[1]).alias("p99_ms"))
+
+
+def _kept(delay: Column) -> Column:
+    return F.least(F.greatest(delay.cast("double"), F.lit(60_000.0)), F.lit(3_600_000.0))
+
+
+def lateness_of(histogram: DataFrame) -> DataFrame:
+    """AGG10/STR7: the same from a histogram of delays (sketch.log_histogram), which batches and streams add to, so that no delay is read again; within a hundredth."""
+    df = quantiles(histogram, ["exchange", "timeframe"], {"p95_ms": 0.95, "p99_ms": 0.99})
+    return df.withColumns({c: _kept(F.col(c)) for c in ("p95_ms", "p99_ms")})
 
 
 # ---- order books ----------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tideframe.functions.timeframes import FLAT, MS, YEARLY
@@ -167,6 +167,20 @@ def flt7_silver(spark, sf):
     return ts_ms(silver.silver_candles(m.planted(spark, sf)))
 
 
+@query("flt7_udf4_observed", f"""{m.PLANTED_SQL}, clean0 AS (SELECT * REPLACE (CASE WHEN isnan(volume) THEN NULL ELSE volume END AS volume) FROM planted), once AS (SELECT * FROM clean0 QUALIFY row_number() OVER (PARTITION BY {K}, ts_ms ORDER BY seq) = 1),
+  grid AS (SELECT {K}, ts_ms - ts_ms % {HOUR} AS ts_ms, arg_min(open, (ts_ms, seq)) AS open, max(high) AS high, min(low) AS low, arg_max(close, (ts_ms, seq)) AS close, sum(volume) AS volume, count(*) FILTER (ts_ms % {HOUR} <> 0) AS drifted, count(*) AS n FROM once GROUP BY {K}, ts_ms - ts_ms % {HOUR}),
+  coded AS (SELECT *, {_CORRUPT} AS corrupt FROM grid), good AS (SELECT * FROM coded WHERE corrupt IS NULL), q AS (SELECT *, abs(ts_ms - lag(ts_ms) OVER w - {HOUR}) > 1 AS jump FROM good {W})
+  SELECT count(*) AS rows, sum(drifted)::BIGINT AS drifted, sum(CASE WHEN n > 1 THEN n ELSE 0 END)::BIGINT AS collided, count(*) FILTER (coalesce(ts_ms < 1230940800000, true)) AS before_genesis, count(*) FILTER (coalesce(open <= 0 OR high <= 0 OR low <= 0 OR close <= 0, true)) AS price_not_positive,
+  count(*) FILTER (coalesce(volume < 0, true)) AS volume_negative, count(*) FILTER (coalesce(low > open OR low > close OR low > high, true)) AS low_not_lowest, count(*) FILTER (coalesce(high < open OR high < close OR high < low, true)) AS high_not_highest,
+  (SELECT count(*) FROM q WHERE NOT (volume = 0 OR high = low OR coalesce(jump, false))) AS clean, (SELECT count(*) FROM q WHERE volume = 0 OR high = low OR coalesce(jump, false)) AS suspect, count(*) FILTER (corrupt IS NOT NULL) AS corrupt, (SELECT count(*) FROM good) AS added_rows FROM coded""")
+def flt7_observed(spark, sf):
+    """Silver into its table, with what the writing pass itself counted, next to what the log says was added."""
+    lake, told = Lake(spark, new_folder(spark)), Observation("silver")
+    lake.commit(silver.silver_candles(m.planted(spark, sf), told=told), "silver", 1, 1_000)
+    added = lake.versions("silver").agg(F.sum("added_rows").alias("added_rows"))
+    return added.select(*(F.lit(v).cast("long").alias(k) for k, v in told.get.items()), "added_rows")
+
+
 @query("flt8_schema_rules", f"""{m.PLANTED_SQL}, x AS (SELECT * REPLACE (CASE WHEN isnan(volume) THEN NULL ELSE volume END AS volume), count(*) OVER (PARTITION BY {K}, ts_ms) AS same FROM planted)
   SELECT {K}, count(*) FILTER (coalesce(ts_ms < 1230940800000, true)) AS before_genesis, count(*) FILTER (coalesce(open <= 0 OR high <= 0 OR low <= 0 OR close <= 0, true)) AS price_not_positive,
   count(*) FILTER (coalesce(volume < 0, true)) AS volume_negative, count(*) FILTER (coalesce(low > open OR low > close OR low > high, true)) AS low_not_lowest, count(*) FILTER (coalesce(high < open OR high < close OR high < low, true)) AS high_not_highest,

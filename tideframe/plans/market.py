@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.timeframes import MS
-from tideframe.operators import rules
+from tideframe.operators import registry, rules
 from tideframe.operators import trade_series as t
+from tideframe.operators.sketch import LATENCY_BOUNDS, bound_quantiles, log_histogram, merged
 from tideframe.plans.core import HOUR, K, r
 from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.sources import mappings as m
+from tideframe.sources.snapshots import new_folder
 
 S = "exchange, market_type, symbol"
 _T = f"WITH {m.TRADES_SQL}"
@@ -46,13 +48,13 @@ def agg6_windows(spark, sf):
 @query("win21_in_order", f"{_T}, x AS (SELECT *, (trade_id * 7919) % 10007 AS arrival FROM trades), y AS (SELECT *, max(ts_ms) OVER (PARTITION BY {S} ORDER BY arrival, trade_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM x) SELECT {S}, trade_id, ts_ms FROM y WHERE newest IS NULL OR ts_ms >= newest")
 def win21_order(spark, sf):
     rows = m.trades(spark, sf).withColumn("timestamp", F.timestamp_millis(F.unix_millis("timestamp"))).withColumn("arrival", (F.col("trade_id") * 7919) % 10007)
-    return ts_ms(t.in_order(rows.withColumn("a", F.struct("arrival", "trade_id")), "a")).select(*t.SERIES, "trade_id", "ts_ms")
+    return ts_ms(t.in_order(rows.withColumn("a", F.struct("arrival", "trade_id")), "a", F.floor(F.col("arrival") / 64))).select(*t.SERIES, "trade_id", "ts_ms")
 
 
 @query("win22_disorder", f"{_T}, x AS (SELECT *, (trade_id * 7919) % 10007 AS arrival FROM trades), y AS (SELECT *, lag(ts_ms) OVER (PARTITION BY {S} ORDER BY arrival, trade_id) AS before FROM x) SELECT {S}, count(*) AS trades, count(*) FILTER (before > ts_ms) AS out_of_order FROM y GROUP BY {S}")
 def win22_disorder(spark, sf):
-    rows = m.trades(spark, sf).withColumn("timestamp", F.timestamp_millis(F.unix_millis("timestamp"))).withColumn("a", F.struct((F.col("trade_id") * 7919) % 10007, "trade_id"))
-    return t.disorder(rows, "a")
+    rows = m.trades(spark, sf).withColumn("timestamp", F.timestamp_millis(F.unix_millis("timestamp"))).withColumn("a", F.struct(((F.col("trade_id") * 7919) % 10007).alias("arrival"), "trade_id"))
+    return t.disorder(rows, "a", F.floor(F.col("a.arrival") / 64))
 
 
 @query("win23_silences", f"{_T}, y AS (SELECT {S}, lag(ts_ms) OVER (PARTITION BY {S} ORDER BY ts_ms, trade_id) + 1 AS from_ms, ts_ms AS to_ms FROM trades) SELECT *, to_ms - from_ms + 1 AS silence_ms FROM y WHERE to_ms - from_ms + 1 > 7200000")
@@ -72,6 +74,40 @@ def agg10_lateness(spark, sf):
     return rounded(t.lateness(m.candles(spark, sf).select("exchange", "timeframe", (F.col("volume") * 30_000).alias("delay_ms")), exact=True), "p95_ms", "p99_ms")
 
 
+_DELAYS = f"{m.BASE_SQL}, d AS (SELECT exchange, timeframe, volume * 30000 AS delay_ms FROM candles), h AS (SELECT exchange, timeframe, CAST(ceil(ln(delay_ms) / ln(1.01)) AS BIGINT) AS bucket, count(*) AS n FROM d GROUP BY ALL)"
+_RANKS = "x AS (SELECT *, sum(n) OVER (PARTITION BY exchange, timeframe ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY exchange, timeframe) AS every FROM h)"
+
+
+def _at_rank(share: float, name: str) -> str:
+    rank = f"{share} * (every - 1)"
+    return f"max(CASE WHEN upto > {rank} AND upto - n <= {rank} THEN pow(1.01, bucket - 1) * (1 + 0.01 * ({rank} - (upto - n) + 0.5) / n) END) AS {name}"
+
+
+@query("agg10_str7_calibration", f"{_DELAYS}, {_RANKS}, q AS (SELECT exchange, timeframe, CAST(sum(n) AS BIGINT) AS n, {_at_rank(0.95, 'p95')}, {_at_rank(0.99, 'p99')} FROM x GROUP BY ALL) SELECT exchange, timeframe, n, round(least(greatest(p95, 60000), 3600000), 4) AS p95_ms, round(least(greatest(p99, 60000), 3600000), 4) AS p99_ms FROM q")
+def agg10_calibration(spark, sf):
+    """Lateness calibrated from a stream's own state: three batches of delays add to one histogram, and no delay is read twice."""
+    folder = new_folder(spark)
+    delays = m.candles(spark, sf).select("exchange", "timeframe", (F.col("volume") * 30_000).alias("delay_ms"))
+    delays.repartition(3).write.json(f"{folder}/landed")
+    stream = spark.readStream.schema(delays.schema).option("maxFilesPerTrigger", 1).json(f"{folder}/landed")
+    state = log_histogram(stream, ["exchange", "timeframe"], "delay_ms")
+    state.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{folder}/histogram/batch={n}")).option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+    last = spark.read.parquet(f"{folder}/histogram")
+    told = last.join(last.agg(F.max("batch").alias("batch")), "batch").drop("batch")
+    return rounded(t.lateness_of(told), "p95_ms", "p99_ms", places=4)
+
+
+@query("agg20_latency_quantiles", f"""{_T}, v AS (SELECT exchange, trade_id % 3 AS part, price AS ms FROM trades), h AS (SELECT exchange, (ms > 1)::INT + (ms > 5)::INT + (ms > 10)::INT + (ms > 25)::INT + (ms > 50)::INT + (ms > 100)::INT + (ms > 250)::INT + (ms > 500)::INT + (ms > 1000)::INT + (ms > 2500)::INT + (ms > 5000)::INT AS bucket, count(*) AS n FROM v GROUP BY ALL),
+  x AS (SELECT *, [0, 1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 5000][bucket + 1] AS low, [0, 1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 5000][bucket + 2] AS high, sum(n) OVER (PARTITION BY exchange ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY exchange) AS every FROM h)
+  SELECT exchange, CAST(sum(n) AS BIGINT) AS n, {', '.join(f"round(max(CASE WHEN upto >= {q} * every AND upto - n < {q} * every THEN low + (high - low) * ({q} * every - (upto - n)) / n END), 6) AS p{round(q * 100)}_ms" for q in (0.5, 0.95, 0.99))} FROM x GROUP BY exchange""")
+def agg20_quantiles(spark, sf):
+    """Latency quantiles as the live figures have them: histograms of three parts add up, and quantiles are linear within a bucket."""
+    v = m.trades(spark, sf).select(F.lit("trades").alias("topic"), "exchange", F.lit("ok").alias("outcome"), F.col("price").alias("value"), (F.col("trade_id") % 3).alias("part"))
+    parts = [registry.stream_metrics(v.where(F.col("part") == k), LATENCY_BOUNDS).select("exchange", "bucket", "n") for k in range(3)]
+    told = bound_quantiles(merged(["exchange"], *parts), ["exchange"], {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, LATENCY_BOUNDS)
+    return rounded(told, "p50_ms", "p95_ms", "p99_ms")
+
+
 @query("flt18_homogeneous", f"{_T} SELECT ts_ms // {MS['1d']} AS batch, count(DISTINCT (exchange, market_type, symbol)) AS series, count(DISTINCT (exchange, market_type, symbol)) = 1 AS homogeneous FROM trades GROUP BY ALL")
 def flt18_homogeneous(spark, sf):
     n = F.count_distinct("exchange", "market_type", "symbol")
