@@ -14,7 +14,8 @@ from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.plans.tables import trade_messages
 from tideframe.sources import landed
 from tideframe.sources import mappings as m
-from tideframe.sources.events import gap_messages
+from tideframe.sources.events import gap_messages, messages
+from tideframe.sources.log_source import consume, publish
 from tideframe.sources.snapshots import Lake, new_folder, wall_clock_ms
 from tideframe.streaming import jobs
 
@@ -220,6 +221,21 @@ def str10_gaps(spark, sf):
     return sent.select("key", F.inline(F.array(F.from_json("value", "event_type string, from_seq long, to_seq long"))))
 
 
+@query("str13_profiles", f"""{_T}, s AS (SELECT symbol, trade_id, trade_id % 3 AS batch FROM trades) SELECT 'bronze' AS profile, symbol, count(*) AS events, count(DISTINCT trade_id) AS ids, min(batch) AS first_batch FROM s GROUP BY symbol
+  UNION ALL SELECT 'trading', symbol, count(*), count(DISTINCT trade_id), min(batch) FROM s WHERE batch > 0 GROUP BY symbol""")
+def str13_profiles(spark, sf):
+    """One log, two kinds of consumer: both start when it has one batch, one from the earliest and one from the latest; a batch later both go on, and once more from their checkpoints."""
+    folder = new_folder(spark)
+    rows = m.trades(spark, sf).withColumn("batch", F.col("trade_id") % 3)
+    batches = [messages(rows.where(F.col("batch") == k), F.col("symbol"), "symbol", "trade_id") for k in range(3)]
+    for batch in (batches[0], batches[1], batches[2], None):
+        if batch is not None:
+            publish(batch, f"{folder}/log")
+        told = {p: jobs.drain(consume(spark, f"{folder}/log", p), f"{folder}/{p}") for p in ("bronze", "trading")}
+    read = lambda p: told[p].select(F.lit(p).alias("profile"), F.inline(F.array(F.from_json("value", "symbol string, trade_id long"))), "seq")
+    return read("bronze").union(read("trading")).groupBy("profile", "symbol").agg(F.count("*").alias("events"), F.count_distinct("trade_id").alias("ids"), F.min("seq").alias("first_batch"))
+
+
 @query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_GOOD} GROUP BY exchange")
 def str12_fan_out(spark, sf):
     stream, folder = _trades(spark, sf)

@@ -22,11 +22,9 @@ from tideframe.operators.features import FEATURES, LEAST, ROLLING, without_nan
 from tideframe.operators.resample import KEY
 from tideframe.operators.trade_series import SERIES, SILENCE_MS, series_totals
 from tideframe.sources.landed import SCHEMAS, exact_trades, exploded_bars, parsed
+from tideframe.sources.log_source import PROFILES
 from tideframe.sources.snapshots import Lake, wall_clock_ms
 
-#: STR13: where each consumer starts.
-PROFILES = {"bronze": "earliest", "quality": "earliest", "features": "latest", "trading": "latest"}
-
 
 #: What a batch reads at most, unless one file is larger; so no key's part of a batch is larger than that.
 BATCH_BYTES = "256m"
