@@ -18,21 +18,21 @@ GAP_FACTOR, GAP_CRITICAL, MAD_LIMIT, Z_LIMIT, Z_ROWS, Z_LEAST = 1.5, 0.05, 3.5,
 GAP_TIMEFRAMES = ("1m", "5m", "15m", "1h", "4h", "1d")
 
 
-def _order():
-    return Window.partitionBy(*KEY).orderBy("timestamp")
+def _order(by: list[str] = KEY):
+    return Window.partitionBy(*by).orderBy("timestamp")
 
 
-def _known_order():
+def _known_order(by: list[str] = KEY):
     """A series' rows that have a close, in their order; those that have none are apart."""
-    return Window.partitionBy(*KEY, F.isnull("close")).orderBy("timestamp")
+    return Window.partitionBy(*by, F.isnull("close")).orderBy("timestamp")
 
 
-def with_zscore(candles: DataFrame) -> DataFrame:
+def with_zscore(candles: DataFrame, by: list[str] = KEY) -> DataFrame:
     """WIN14: distance of the close from its rolling mean in rolling deviations; 0 where that is not defined.
 
     Rows without a close are in no frame.
     """
-    frame = _known_order().rowsBetween(1 - Z_ROWS, 0)
+    frame = _known_order(by).rowsBetween(1 - Z_ROWS, 0)
     enough = F.count("close").over(frame) >= Z_LEAST
     deviation = F.nullif(F.when(enough, F.stddev_samp("close").over(frame)), F.lit(0.0))
     z = F.abs(F.try_divide(F.col("close") - F.when(enough, F.avg("close").over(frame)), deviation))
@@ -44,15 +44,15 @@ def _median(values: Column) -> Column:
     return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
 
 
-def with_mad(candles: DataFrame) -> DataFrame:
+def with_mad(candles: DataFrame, by: list[str] = KEY) -> DataFrame:
     """WIN15: modified z-score of the close, in a centred frame whose width follows the series' length.
 
     Frames hold 101 rows at most, so arrays stay small; the deviation is around the current row's median.
     Rows without a close are in no frame.
     """
-    df = candles.withColumn("_n", F.count("close").over(Window.partitionBy(*KEY, F.isnull("close")))).withColumn("_i", F.row_number().over(_known_order()))
+    df = candles.withColumn("_n", F.count("close").over(Window.partitionBy(*by, F.isnull("close")))).withColumn("_i", F.row_number().over(_known_order(by)))
     half = F.floor(F.least(F.lit(100), F.greatest(F.lit(10), F.floor(F.col("_n") / 5))) / 2)
-    near = F.collect_list(F.struct("_i", "close")).over(_known_order().rowsBetween(-50, 50))
+    near = F.collect_list(F.struct("_i", "close")).over(_known_order(by).rowsBetween(-50, 50))
     df = df.withColumn("_half", half).withColumn("_near", near)
     values = F.transform(F.filter("_near", lambda x: (F.abs(x["_i"] - F.col("_i")) <= F.col("_half")) & x["close"].isNotNull()), lambda x: x["close"])
     df = df.withColumn("_values", values).withColumn("_median", _median(F.col("_values")))
@@ -61,16 +61,16 @@ def with_mad(candles: DataFrame) -> DataFrame:
     return df.withColumn("mad_score", F.when(F.col("_n") >= 5, F.coalesce(score, F.lit(0.0))).otherwise(0.0)).drop("_n", "_i", "_half", "_near", "_values", "_median", "_mad")
 
 
-def checks(candles: DataFrame, now_ms: int) -> DataFrame:
-    """DQ1-DQ7: the counts behind every check, one row for each series, in one pass over scored rows: one shuffle by series serves every window and the counts."""
-    candles = candles.repartition(*KEY)
+def checks(candles: DataFrame, now_ms: int, by: list[str] = KEY) -> DataFrame:
+    """DQ1-DQ7: the counts behind every check, one row for each series (or what else is judged by itself), in one pass over scored rows: one shuffle by series serves every window and the counts."""
+    candles = candles.repartition(*by)
     ms = F.unix_millis("timestamp")
     step = F.when(F.col("timeframe").isin(*GAP_TIMEFRAMES), ms_of(F.col("timeframe")))
-    df = with_mad(with_zscore(candles)).withColumn("_delta", ms - F.lag(ms).over(_order())).withColumn("_step", step)
+    df = with_mad(with_zscore(candles, by), by).withColumn("_delta", ms - F.lag(ms).over(_order(by))).withColumn("_step", step)
     gap = F.col("_delta") > F.col("_step") * GAP_FACTOR
     h, lo, c, o = (F.col(x) for x in ("high", "low", "close", "open"))
     rows = F.count("*")
-    return df.groupBy(*KEY).agg(
+    return df.groupBy(*by).agg(
         rows.alias("rows"),
         F.count_if(ms > now_ms).alias("future"),
         F.count_if(gap).alias("gaps"),
@@ -124,17 +124,17 @@ class Policy:
     critical_share: float = CRITICAL_SHARE
 
 
-def decisions(found: DataFrame, issue_rows: DataFrame | None = None, policy: Policy | None = None) -> DataFrame:
+def decisions(found: DataFrame, issue_rows: DataFrame | None = None, policy: Policy | None = None, by: list[str] = KEY) -> DataFrame:
     """DQ8-DQ11: score, decision, tier and reasons of every series, those without an issue too.
 
     Issues are those of the checks, told within each row, or given ones, joined by series.
     """
     policy = policy or Policy()
     if issue_rows is None:
-        df = found.select(*KEY, "rows", issue_array(found).alias("_issues"))
+        df = found.select(*by, "rows", issue_array(found).alias("_issues"))
     else:
-        given = issue_rows.groupBy(*KEY).agg(F.collect_list(F.struct("check", "severity", "affected")).alias("_issues"))
-        df = found.select(*KEY, "rows").join(given, KEY, "left").withColumn("_issues", F.coalesce("_issues", F.array().cast("array<struct<check:string,severity:string,affected:bigint>>")))
+        given = issue_rows.groupBy(*by).agg(F.collect_list(F.struct("check", "severity", "affected")).alias("_issues"))
+        df = found.select(*by, "rows").join(given, by, "left").withColumn("_issues", F.coalesce("_issues", F.array().cast("array<struct<check:string,severity:string,affected:bigint>>")))
     costs = lambda i: lookup(policy.weights, i["check"], policy.weight_default) * i["affected"] / F.greatest("rows", F.lit(1)) * F.when(i["severity"] == "critical", 2.0).otherwise(1.0) * 100
     total = lambda values, zero: F.aggregate(values, zero, lambda a, x: a + x)
     penalty = total(F.transform("_issues", costs), F.lit(0.0))
@@ -144,7 +144,7 @@ def decisions(found: DataFrame, issue_rows: DataFrame | None = None, policy: Pol
     reject = (F.col("rows") == 0) | (F.col("score") < policy.reject_below) | (F.coalesce(F.try_divide("_critical", "rows"), F.lit(0.0)) > policy.critical_share)
     df = df.withColumn("decision", F.when(reject, "reject").when(F.col("score") < policy.flag_below, "accept_with_flags").otherwise("accept"))
     tier = F.when(F.col("decision") == "reject", "rejected").when(F.col("decision") == "accept", "clean").otherwise("flagged")
-    return df.select(*KEY, "rows", "score", "decision", tier.alias("tier"), "reasons")
+    return df.select(*by, "rows", "score", "decision", tier.alias("tier"), "reasons")
 
 
 def accepted(candles: DataFrame, decided: DataFrame) -> DataFrame:

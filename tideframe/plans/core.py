@@ -417,6 +417,17 @@ def dq8_decisions(spark, sf):
     return rounded(quality.decisions(_checked(spark, sf)), "score").withColumn("reasons", F.array_join("reasons", "; "))
 
 
+#: The same of candles of every grade.
+GRADED_ISSUES_SQL = ISSUES_SQL.replace(m.BASE_SQL, m.GRADED_SQL).replace(str(_LATE), str(m.NOW_MS))
+
+
+@query("dq8_dq11_grades", f"{GRADED_ISSUES_SQL} SELECT {K}, rows, round(score, 6) AS score, decision, CASE decision WHEN 'reject' THEN 'rejected' WHEN 'accept' THEN 'clean' ELSE 'flagged' END AS tier, reasons FROM decided")
+def dq8_grades(spark, sf):
+    """Series of which some are clean, some flagged and some rejected."""
+    found = quality.checks(m.graded(spark, sf), m.NOW_MS)
+    return rounded(quality.decisions(found), "score").withColumn("reasons", F.array_join("reasons", "; "))
+
+
 _DAILY_SQL = ISSUES_SQL.replace(str(_LATE), str(m.NOW_MS)).replace(str(HOUR), str(MS["1d"])).replace("'1h' AS timeframe", "'1d' AS timeframe")
 
 

@@ -9,7 +9,7 @@ from tideframe.functions.timeframes import MS
 from tideframe.operators import features
 from tideframe.operators import trade_series as t
 from tideframe.operators.resample import KEY
-from tideframe.plans.core import _LATE, FEATURES_SQL, ISSUES_SQL, K
+from tideframe.plans.core import FEATURES_SQL, GRADED_ISSUES_SQL, K
 from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.plans.tables import trade_messages
 from tideframe.sources import landed
@@ -143,15 +143,21 @@ def str6_features(spark, sf):
     return rounded(ts_ms(told).select(*KEY, "ts_ms", *features.FEATURES, "late"), *features.FEATURES[:-1])
 
 
-@query("str3_dq18_gate", f"{ISSUES_SQL}, t AS (SELECT *, CASE decision WHEN 'reject' THEN 'rejected' WHEN 'accept' THEN 'clean' ELSE 'flagged' END AS tier FROM decided) SELECT {K}, tier, rows AS rows_in, CASE WHEN tier = 'rejected' THEN 0 ELSE rows END AS rows_out, CASE WHEN reasons = '' THEN 'success' ELSE 'partial' END AS status, round(score, 6) AS quality_score FROM t")
+#: Candles of every grade, an event for each series and week.
+_EVENTS_SQL = GRADED_ISSUES_SQL.replace(m.GRADED_SQL, m.GRADED_SQL.replace("candles AS (SELECT exchange, market_type, symbol,", f"candles AS (SELECT exchange, market_type, symbol || '#' || CAST(ts_ms // {landed.CHUNK_MS} AS VARCHAR) AS symbol,"))
+
+
+@query("str3_dq18_gate", f"{_EVENTS_SQL}, t AS (SELECT *, CASE decision WHEN 'reject' THEN 'rejected' WHEN 'accept' THEN 'clean' ELSE 'flagged' END AS tier FROM decided) SELECT * REPLACE (split_part(symbol, '#', 1) AS symbol), split_part(symbol, '#', 2) AS chunk FROM (SELECT {K}, tier, rows AS rows_in, CASE WHEN tier = 'rejected' THEN 0 ELSE rows END AS rows_out, CASE WHEN reasons = '' THEN 'success' ELSE 'partial' END AS status, round(score, 6) AS quality_score FROM t)")
 def str3_gate(spark, sf):
-    """Candle events through the quality gate: what each series left in lineage, and the rows in either sink."""
+    """Candle events of every grade through the quality gate, in several batches: what each event left in lineage, and its rows in either sink."""
     folder = new_folder(spark)
-    landed.candle_messages(m.candles(spark, sf), "r1").select("value").coalesce(1).write.text(f"{folder}/landed")
-    jobs.drain_batches(jobs.source(spark, f"{folder}/landed"), jobs.quality_gate(_LATE, folder), folder)
-    sinks = [spark.read.parquet(f"{folder}/{sink}").groupBy(*KEY, "tier").agg(F.count("*").alias("n")) for sink in ("validated", "rejected")]
-    steps = spark.read.parquet(f"{folder}/lineage").select(*KEY, "rows_in", "rows_out", "status", "quality_score")
-    return rounded(steps.join(sinks[0].union(sinks[1]), KEY).where("n = rows_in").select(*KEY, "tier", "rows_in", long("rows_out").alias("rows_out"), "status", "quality_score"), "quality_score")
+    landed.candle_messages(m.graded(spark, sf), "r1", strict=False).select("value").repartition(3).write.text(f"{folder}/landed")
+    jobs.drain_batches(jobs.source(spark, f"{folder}/landed", 1), jobs.quality_gate(m.NOW_MS, folder), folder)
+    by = [*KEY, "event_id"]
+    sinks = [spark.read.parquet(f"{folder}/{sink}").groupBy(*by, "tier").agg(F.count("*").alias("n")) for sink in ("validated", "rejected")]
+    steps = spark.read.parquet(f"{folder}/lineage").select(*by, "rows_in", "rows_out", "status", "quality_score")
+    told = steps.join(sinks[0].union(sinks[1]), by).where("n = rows_in").withColumn("chunk", F.substring_index("event_id", "-", -1))
+    return rounded(told.select(*KEY, "chunk", "tier", "rows_in", long("rows_out").alias("rows_out"), "status", "quality_score"), "quality_score")
 
 
 @query("str4_str7_window_totals", f"{_T}, good AS (SELECT * FROM trades WHERE {_GOOD}), last AS (SELECT max(ts_ms) AS newest FROM good), w AS (SELECT exchange, market_type, symbol, ts_ms - ts_ms % {MS['1d']} AS window_start_ms, count(*) AS trade_count, CAST(sum(amount) AS DOUBLE) AS total_volume, round(sum(price * amount) / sum(amount), 6) AS vwap FROM good GROUP BY ALL) SELECT w.* FROM w, last WHERE window_start_ms + {MS['1d']} <= newest - {MS['1d']}")

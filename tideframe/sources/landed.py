@@ -72,11 +72,11 @@ def external_key() -> Column:
     return routing_key("source_id", "metric", F.coalesce("symbol", F.lit("global")))
 
 
-def candle_messages(candles: DataFrame, run_id: str, source: str = "backfill", chunk_ms: int = CHUNK_MS) -> DataFrame:
+def candle_messages(candles: DataFrame, run_id: str, source: str = "backfill", chunk_ms: int = CHUNK_MS, strict: bool = True) -> DataFrame:
     """SNK8/SNK13: a message for each series and chunk of time, with its bars in order, under the series' key; so no
-    message grows with the length of a series. A candle that is not valid is an error (PRJ10)."""
+    message grows with the length of a series. With strict, a candle that is not valid is an error (PRJ10)."""
     key = ["exchange", "symbol", "timeframe"]
-    df = rules.chunks(candles, key, chunk_ms)
+    df = rules.chunks(candles, key, chunk_ms, strict)
     body = F.struct(F.concat_ws("-", F.lit(run_id), *key, F.col("chunk").cast("string")).alias("event_id"), F.lit(VERSION).alias("event_version"), rules.wire_source(F.lit(source)).alias("source"), F.lit(run_id).alias("run_id"), *key, F.col("first_ms").alias("batch_start_ts"), "bars")
     return df.select(routing_key(*key).alias("key"), F.to_json(body).alias("value"))
 

@@ -86,3 +86,25 @@ PLANTED_SQL = f"""{BASE_SQL}, marked AS (SELECT *, (ts_ms // 3600000) % 23 AS ki
 planted AS (SELECT exchange, market_type, symbol, timeframe, ts_ms, open, high, low, close, volume, 0 AS seq FROM candles UNION ALL
   SELECT exchange, market_type, symbol, timeframe, CASE WHEN kind = 7 THEN ts_ms + 7000 ELSE ts_ms END, CASE WHEN kind = 4 THEN low - 1 ELSE open END, CASE WHEN kind = 2 THEN low - 1 ELSE high END, low,
     CASE WHEN kind = 0 THEN NULL WHEN kind = 3 THEN high + 1 ELSE close END, CASE WHEN kind = 1 THEN 'nan'::DOUBLE WHEN kind = 5 THEN -1 WHEN kind = 6 THEN 0 ELSE volume END, 1 FROM marked WHERE kind < 8)"""
+
+
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles on the whole grid of each series' time, of every grade by symbol: click without a defect, view with flat candles, error with closes
+    above their highs, purchase with hours left out, and whatever else with a few outliers."""
+    c, ms = candles(spark, sf_dir), F.unix_millis("timestamp")
+    span = c.groupBy("exchange", "market_type", "symbol").agg(F.min(ms).alias("lo"), F.max(ms).alias("hi"))
+    rows = span.select("exchange", "market_type", "symbol", F.explode(F.sequence("lo", "hi", F.lit(3_600_000))).alias("ts_ms"))
+    h, of = F.floor(F.col("ts_ms") / F.lit(3_600_000)), F.col("symbol")
+    flat, outlier = (of == "view") & (h % 5 == 0), ~of.isin("click", "view", "error", "purchase") & (h % 97 == 0)
+    price = 100 + h % 24 * 0.1 + F.when(outlier, 50.0).otherwise(0.0)
+    room = F.when(flat, 0.0).otherwise(1.0)
+    rows = rows.where(~((of == "purchase") & (h % 40 == 0)))
+    return rows.select(
+        "exchange", "market_type", "symbol", F.lit("1h").alias("timeframe"), F.timestamp_millis("ts_ms").alias("timestamp"), price.alias("open"), (price + room).alias("high"), (price - room).alias("low"),
+        F.when((of == "error") & (h % 3 == 0), price + 2).otherwise(price).alias("close"), F.lit(1.0).alias("volume"),
+    )
+
+
+GRADED_SQL = f"""WITH {TRADES_SQL}, {candles_sql(name="base")}, span AS (SELECT exchange, market_type, symbol, min(ts_ms) AS lo, max(ts_ms) AS hi FROM base GROUP BY ALL), grid AS (SELECT exchange, market_type, symbol, unnest(range(lo, hi + 1, 3600000)) AS ts_ms FROM span),
+  p AS (SELECT *, ts_ms // 3600000 AS h, 100 + (ts_ms // 3600000) % 24 * 0.1::DOUBLE + CASE WHEN symbol NOT IN ('click', 'view', 'error', 'purchase') AND (ts_ms // 3600000) % 97 = 0 THEN 50.0 ELSE 0.0 END AS price, CASE WHEN symbol = 'view' AND (ts_ms // 3600000) % 5 = 0 THEN 0.0 ELSE 1.0 END AS room FROM grid),
+  candles AS (SELECT exchange, market_type, symbol, '1h' AS timeframe, ts_ms, price AS open, price + room AS high, price - room AS low, CASE WHEN symbol = 'error' AND h % 3 = 0 THEN price + 2 ELSE price END AS close, 1.0::DOUBLE AS volume FROM p WHERE NOT (symbol = 'purchase' AND h % 40 = 0))"""

@@ -96,17 +96,18 @@ def land_trades(lake: Lake, table: str, dead_letters: str, writer: str | None =
 
 
 def quality_gate(now_ms: int, folder: str, policy: quality.Policy | None = None) -> Callable[[DataFrame, int], None]:
-    """STR3/DQ18: each batch of candle events is checked by series; candles of series that are not rejected go to
-    validated, with their tier, the others to rejected, and each series leaves a lineage step: success without an issue, else partial."""
+    """STR3/DQ18: each candle event is judged by itself, however events fall into batches; candles of events that are not rejected go to
+    validated, with their tier, the others to rejected, and each event leaves a lineage step: success without an issue, else partial. An event sent twice in a batch counts once."""
+    by = [*KEY, "event_id"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        bars = exploded_bars(parsed(batch, "ohlcv")).withColumn("market_type", F.lit("spot")).dropDuplicates([*KEY, "timestamp"]).persist()
-        told = quality.decisions(quality.checks(bars, now_ms), policy=policy).persist()
-        both = bars.join(told.select(*KEY, "tier"), KEY).persist()
+        bars = exploded_bars(parsed(batch, "ohlcv")).withColumn("market_type", F.lit("spot")).dropDuplicates([*by, "timestamp"]).persist()
+        told = quality.decisions(quality.checks(bars, now_ms, by), policy=policy, by=by).persist()
+        both = bars.join(told.select(*by, "tier"), by).persist()
         both.where("tier != 'rejected'").write.mode("overwrite").parquet(f"{folder}/validated/batch={batch_id}")
         both.where("tier = 'rejected'").write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
         kept = F.when(F.col("tier") == "rejected", 0).otherwise(F.col("rows"))
-        steps = told.select(F.lit(f"batch-{batch_id}").alias("run_id"), F.lit("silver").alias("layer"), *KEY, F.col("rows").alias("rows_in"), kept.alias("rows_out"), F.when(F.size("reasons") == 0, "success").otherwise("partial").alias("status"), F.col("score").alias("quality_score"), F.lit(now_ms).alias("ts_ms"))
+        steps = told.select(F.lit(f"batch-{batch_id}").alias("run_id"), F.lit("silver").alias("layer"), *by, F.col("rows").alias("rows_in"), kept.alias("rows_out"), F.when(F.size("reasons") == 0, "success").otherwise("partial").alias("status"), F.col("score").alias("quality_score"), F.lit(now_ms).alias("ts_ms"))
         steps.write.mode("overwrite").parquet(f"{folder}/lineage/batch={batch_id}")
         for df in (bars, told, both):
             df.unpersist()
