@@ -15,6 +15,7 @@ from tideframe.plans.tables import trade_messages
 from tideframe.sources import landed
 from tideframe.sources import mappings as m
 from tideframe.sources.events import gap_messages, messages
+from tideframe.sources.ingest import incremental
 from tideframe.sources.log_source import consume, publish
 from tideframe.sources.snapshots import Lake, new_folder, wall_clock_ms
 from tideframe.streaming import jobs
@@ -49,7 +50,20 @@ def ded7_once(spark, sf):
 @query("str8_monotonic", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms, price FROM trades WHERE {_GOOD}")
 def str8_monotonic(spark, sf):
     stream, folder = _trades(spark, sf)
-    return jobs.drain(jobs.monotonic(stream), folder)
+    return jobs.drain(jobs.monotonic(stream), folder).drop("source")
+
+
+@query("str8_sources", f"{_T}, s AS (SELECT *, CASE WHEN exchange = 'ex0' AND trade_id % 5 = 0 THEN 'replay' WHEN trade_id % 2 = 0 OR symbol = 'error' THEN 'rest' ELSE 'ws' END AS source FROM trades) SELECT exchange, symbol, source, count(*) AS n FROM s WHERE source = CASE WHEN exchange = 'ex0' THEN 'replay' WHEN symbol = 'error' THEN 'rest' ELSE 'ws' END GROUP BY ALL")
+def str8_sources(spark, sf):
+    """Trades of up to three sources in two batches: a series keeps to the best one of its first batch."""
+    folder, i = new_folder(spark), F.col("trade_id")
+    source = F.when((F.col("exchange") == "ex0") & (i % 5 == 0), "replay").when((i % 2 == 0) | (F.col("symbol") == "error"), "rest").otherwise("ws")
+    rows = ts_ms(m.trades(spark, sf)).select("exchange", "symbol", i.cast("string").alias("trade_id"), F.col("ts_ms").alias("timestamp_ms"), "price", source.alias("source"))
+    middle = rows.agg(F.percentile_approx("timestamp_ms", 0.5)).first()[0]
+    for late in (False, True):
+        rows.where((F.col("timestamp_ms") > middle) == late).coalesce(1).write.mode("append").json(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(f"{folder}/landed")
+    return jobs.drain(jobs.monotonic(stream), folder).groupBy("exchange", "symbol", "source").agg(F.count("*").alias("n"))
 
 
 #: Trades of which one symbol ends days early and others have disconnects after some of them; the clock goes on to NOW_MS.
@@ -242,6 +256,24 @@ def str13_profiles(spark, sf):
     return read("bronze").union(read("trading")).groupBy("profile", "symbol").agg(F.count("*").alias("events"), F.count_distinct("trade_id").alias("ids"), F.min("seq").alias("first_batch"))
 
 
+_PAST = m.NOW_MS - 12 * MS["1d"]
+_NEW_SQL = GRADED_ISSUES_SQL.replace("h % 40 = 0))", f"h % 40 = 0) AND (exchange <> 'ex0' OR ts_ms > {_PAST}) AND NOT (exchange = 'ex1' AND symbol = 'click'))")
+
+
+@query("gap14_incremental", f"""{_NEW_SQL}, s AS (SELECT DISTINCT exchange, market_type, symbol, '1h' AS timeframe FROM base), one AS (SELECT s.*, CASE WHEN rows IS NULL THEN 'skipped' WHEN decision = 'reject' THEN 'rejected' ELSE 'published' END AS status, coalesce(rows, 0) AS rows FROM s LEFT JOIN decided USING ({K}))
+  SELECT 1 AS run, *, CASE status WHEN 'published' THEN rows ELSE 0 END AS sent FROM one UNION ALL SELECT 2, {K}, CASE status WHEN 'published' THEN 'skipped' ELSE status END, CASE status WHEN 'rejected' THEN rows ELSE 0 END, 0 FROM one""")
+def gap14_incremental(spark, sf):
+    """Two runs of one chain: what is new is judged and published, cursors follow what was published, and the second run finds only what was rejected."""
+    folder, c = new_folder(spark), m.graded(spark, sf)
+    cursor = F.when(F.col("exchange") == "ex0", _PAST).when(F.col("symbol") == "click", m.NOW_MS)
+    cursors = c.select(*KEY).distinct().withColumn("cursor_ms", cursor.cast("long"))
+    told = []
+    for run in (1, 2):
+        report, cursors = incremental(c, cursors, f"{folder}/log", f"r{run}", m.NOW_MS)
+        told.append(report.select(F.lit(run).alias("run"), *KEY, "status", "rows", "sent"))
+    return told[0].union(told[1])
+
+
 @query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_GOOD} GROUP BY exchange")
 def str12_fan_out(spark, sf):
     stream, folder = _trades(spark, sf)

@@ -147,31 +147,37 @@ def window_candles(trades: DataFrame, timeframe: str, width: str, late: str) ->
     return df.select(*SERIES, F.lit(timeframe).alias("timeframe"), F.col("w.start").alias("timestamp"), "open", "high", "low", "close", "volume")
 
 
+# Which source of a series' trades is taken where there are several: a replay before a socket before requests.
+SOURCE_RANK = {"replay": 0, "ws": 1, "live": 1}
+LEAST_RANK = 2
+
+
 def monotonic(trades: DataFrame) -> DataFrame:
-    """STR8: of each series the trades not older than any of an earlier batch, and each id once at its newest time.
+    """STR8: of each series the trades of one source, not older than any of an earlier batch, and each id once at its newest time.
 
+    The source is decided by the first batch that has a trade of the series, the best one there, and stays; trades of others are left out.
     Spark has no order of arrival within a batch, so a batch is taken in the order of time. State is the
-    newest time and the ids at that time.
+    source's rank, the newest time and the ids at that time.
     """
 
     def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        newest, ids = state.get if state.exists else (-1, "")
-        seen = set(ids.split(",")) if ids else set()
-        for pdf in [pd.concat(list(frames), ignore_index=True).sort_values("timestamp_ms", kind="stable")]:
-            good = []
-            for i, ms, trade in zip(pdf.index, pdf["timestamp_ms"], pdf["trade_id"], strict=True):
-                if ms < newest or (ms == newest and trade in seen):
-                    continue
-                if ms > newest:
-                    newest, seen = ms, set()
-                seen.add(trade)
-                good.append(i)
-            yield pdf.loc[good, ["exchange", "symbol", "trade_id", "timestamp_ms", "price"]]
-        state.update((int(newest), ",".join(sorted(seen))))
-
-    rows = trades.select("exchange", "symbol", "trade_id", "timestamp_ms", "price")
-    out = "exchange string, symbol string, trade_id string, timestamp_ms long, price double"
-    return rows.groupBy("exchange", "symbol").applyInPandasWithState(keep, out, "newest long, ids string", "append", GroupStateTimeout.NoTimeout)
+        newest, ids, rank = state.get if state.exists else (-1, [], -1)
+        rows = pd.concat(list(frames), ignore_index=True)
+        ranks = rows["source"].map(SOURCE_RANK).fillna(LEAST_RANK).astype(int)
+        rank = int(ranks.min()) if rank < 0 else rank
+        rows = rows[(ranks == rank) & (rows["timestamp_ms"] >= newest)].sort_values("timestamp_ms", kind="stable").drop_duplicates(["timestamp_ms", "trade_id"])
+        rows = rows[(rows["timestamp_ms"] > newest) | ~rows["trade_id"].isin(ids)]
+        if len(rows):
+            last = int(rows["timestamp_ms"].iloc[-1])
+            ids = [*(ids if last == newest else []), *rows.loc[rows["timestamp_ms"] == last, "trade_id"]]
+            newest = last
+        state.update((int(newest), list(ids), rank))
+        yield rows[["exchange", "symbol", "trade_id", "timestamp_ms", "price", "source"]]
+
+    source = F.coalesce("source", F.lit("")) if "source" in trades.columns else F.lit("")
+    rows = trades.select("exchange", "symbol", "trade_id", "timestamp_ms", "price", source.alias("source"))
+    out = "exchange string, symbol string, trade_id string, timestamp_ms long, price double, source string"
+    return rows.groupBy("exchange", "symbol").applyInPandasWithState(keep, out, "newest long, ids array<string>, rank int", "append", GroupStateTimeout.NoTimeout)
 
 
 def silence_gaps(events: DataFrame, threshold_ms: int = SILENCE_MS, late: str = "0 seconds") -> DataFrame:
