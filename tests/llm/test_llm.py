@@ -341,10 +341,17 @@ def test_chat_round_trip(spark, budget, history):
     assert op4_chat.windows(conv.limit(0)).count() == 0
 
 
+def by_words(text):
+    """A measure of turns that is easy to count by hand."""
+    from tideframe.llm.common import WORD_PATTERN
+
+    return F.regexp_count(text, F.lit(WORD_PATTERN)) + op4_chat.TURN_COST
+
+
 def test_chat_windows(spark):
     rows = [(1, 0, "system", "be kind")] + [(1, k, "user" if k % 2 else "assistant", " ".join(["w"] * 10)) for k in range(1, 13)]
     conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    w = op4_chat.windows(conv, 64, 20).orderBy("window").collect()
+    w = op4_chat.windows(conv, 64, 20, by_words).orderBy("window").collect()
     assert len(w) > 2 and all(x["text"].startswith("<|im_start|>system\nbe kind<|im_end|>") for x in w)
     assert all(x["repeats"] == 2 for x in w[1:])  # the system turn and one turn of history
     assert sum(len(x["spans"]) for x in w) == 6
@@ -358,7 +365,7 @@ def test_chat_windows_keep_the_budget(spark, budget, history, system):
     rows += [(c, k, ["user", "assistant"][k % 2], " ".join(["w"] * int(rng.choice([0, 1, 5, 15, 20, 60, 150])))) for c in (1, 2, 3) for k in range(1, 60)]
     cost = {(c, k): len(t.split()) + op4_chat.TURN_COST for c, k, _, t in rows}
     conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    found = op4_chat.windows(conv, budget, history).collect()
+    found = op4_chat.windows(conv, budget, history, by_words).collect()
     for c in (1, 2, 3):
         turns = sorted(k for i, k in cost if i == c)
         windows = sorted((w for w in found if w["conv_id"] == c), key=lambda w: w["window"])
@@ -373,6 +380,20 @@ def test_chat_windows_keep_the_budget(spark, budget, history, system):
         assert at == len(turns)
 
 
+def test_chat_measure_counts_bytes_of_any_script(spark):
+    """Long words, scripts without spaces and long system turns cost what they take: none is repeated in every window."""
+    rows = [(c, 0, "system", t) for c, t in enumerate(["x" * 200_000, "字" * 3000, "short"])] + [(c, k, ["user", "assistant"][k % 2], "word " * 200) for c in range(3) for k in range(1, 41)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = op4_chat.windows(conv).collect()
+    for c in range(3):
+        own = [w for w in found if w["conv_id"] == c]
+        size = lambda w: sum(len(t.encode()) // 4 for t in w["text"].split("<|im_end|>"))
+        assert all(w["tokens"] <= op4_chat.BUDGET or (w["window"] == 1 and w["repeats"] == 0) for w in own)
+        assert all(size(w) <= op4_chat.BUDGET + 20 for w in own if w["window"] > 1)
+        assert sum(rows[c][3] in w["text"] for w in own) == (len(own) if c == 2 else 1)
+    assert sum(len(w["text"]) for w in found) < 3 * sum(len(r[3]) for r in rows)
+
+
 def test_chat_query(spark, tmp_path):
     """All columns of the registered query, from the rows themselves; formatted_chars from the windows' template."""
     odd = [(7, 0, "system", None), (7, 1, "user", "a & b <|im_end|>"), (7, 1, "user", "a & b <|im_end|>"), (7, 2, "assistant", "x" * 200_000 + " long"), (7, 3, "assistant", ""), (8, None, None, None)]

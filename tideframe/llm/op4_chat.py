@@ -12,8 +12,9 @@ span's own turns. Where the budget does not leave room for all of it, the histor
 and the system turn goes next; only one turn that is longer than the budget itself exceeds it, alone.
 Only a span's own assistant bodies are under the loss mask, so each is a target once.
 
-All steps are window functions over turns, and each window is a row; a conversation's turns are
-in one task for that, and its digest, which needs all of them, is one row.
+All steps are window functions over turns, which carry the system turn's place and length but not its text; the text is
+joined to the windows that repeat it. Each window is a row; a conversation's turns are
+in one task for that, and its digest, which needs all of them, is one row (2 GB at most, as any row).
 
 Nulls: null texts and roles count as empty; a null turn sorts first; a null conv_id is one
 conversation. Rows of one conversation with the same turn are ordered by role and text, and repeated
@@ -27,11 +28,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tideframe.llm.common import WORD_PATTERN
-
 BUDGET, HISTORY = 1024, 256
-#: Tokens that a turn's control strings and role cost.
-TURN_COST = 4
+#: Tokens that a turn's control strings and role cost, and bytes that a token stands for.
+TURN_COST, BYTES = 4, 4
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -52,8 +51,8 @@ def unescape_role(role: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """The default measure of a turn: its words and what its control strings cost."""
-    return F.regexp_count(text, F.lit(WORD_PATTERN)) + TURN_COST
+    """The default measure of a turn: a token for each BYTES of its text, whatever the script or the length of words, and what its control strings cost."""
+    return F.ceil(F.octet_length(text) / BYTES) + TURN_COST
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens=turn_tokens) -> DataFrame:
@@ -68,7 +67,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     placed = Window.partitionBy("conv_id").orderBy("idx")
     rows = rows.withColumn("before", F.coalesce(F.sum("tokens").over(placed.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # the system turn: the first with that role; null where there is none
-    rows = rows.withColumn("system", F.min(F.when(F.col("role") == "system", F.struct("idx", "before", "tokens", "role", "text"))).over(whole))
+    rows = rows.withColumn("system", F.min(F.when(F.col("role") == "system", F.struct("idx", "before", "tokens"))).over(whole))
     repeated = F.coalesce("system.tokens", F.lit(0))
 
     half = F.greatest(F.floor(F.greatest(budget - history - repeated, F.lit(budget // 2)) / 2), F.lit(1))
@@ -89,9 +88,13 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     rows = rows.withColumn("targets", F.concat(F.array("window"), later))
     here = F.struct("idx", "tokens", "role", "text")
     lead = (F.col("idx") == F.col("window")) & F.col("with_system") & (F.col("before") - F.col("system.before") > F.col("room"))
-    first = F.struct(F.col("window"), F.struct("system.idx", "system.tokens", "system.role", "system.text").alias("turn"))
     members = F.transform("targets", lambda w: F.struct(w.alias("window"), here.alias("turn")))
-    pieces = rows.select("conv_id", F.inline(F.when(lead, F.concat(F.array(first), members)).otherwise(members))).select("conv_id", "window", "turn.*")
+    pieces = rows.select("conv_id", F.inline(members)).select("conv_id", "window", "turn.*")
+    # the system turn's text goes only to the windows that begin with it
+    wanted = rows.where(lead).select(F.col("conv_id").alias("_of"), F.col("system.idx").alias("_at"), F.col("window").alias("_window"))
+    systems = rows.where(F.col("idx") == F.col("system.idx")).select("conv_id", *(F.col(c) for c in ("idx", "tokens", "role", "text")))
+    repeats = systems.join(wanted, F.col("conv_id").eqNullSafe(F.col("_of")) & (F.col("idx") == F.col("_at")))
+    pieces = pieces.unionByName(repeats.select("conv_id", F.col("_window").alias("window"), "idx", "tokens", "role", "text"))
 
     head, body = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")), escape(F.col("text"))
     pieces = pieces.withColumns({"head": F.length(head), "body": F.length(body), "piece": F.concat(head, body, F.lit(END))})
