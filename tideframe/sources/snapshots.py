@@ -16,6 +16,8 @@ from pyspark.sql.window import Window
 KEY = ["exchange", "market_type", "symbol", "timeframe"]
 LOG = "commit_id long, committed_ms long, table string, kind string, exchange string, market_type string, symbol string, timeframe string, run_id string, feature_version string, source_commit_id long, added_rows long, files long, writer string, writer_version long, parts array<struct<path:string,rows:bigint,min_us:bigint,max_us:bigint>>"
 GOLD_COLUMNS = ["timestamp", "open", "high", "low", "close", "volume", "log_return", "return_1", "volatility_20", "vwap", "high_low_spread", "volume_z", "price_range_pct", "body_pct", "is_suspect"]
+#: So many files of the log are read beside its last fold at most, and those of one fold again.
+FOLD_FILES = 128
 #: What tells the rows of a series apart, by table; other tables have one row for each time.
 ROW_KEYS = {"trades": ["timestamp", "trade_id"], "derivatives": ["timestamp", "metric"]}
 
@@ -74,13 +76,40 @@ class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def _listed(self, folder: str) -> dict[str, str]:
+        """Names and paths of what lies in a folder of the lake."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{folder}")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(at)} if fs.exists(at) else {}
+
+    def _last_fold(self) -> str | None:
+        done = [path for name, path in sorted(self._listed("_folded").items()) if "_SUCCESS" in self._listed(f"_folded/{name}")]
+        return done[-1] if done else None
+
     def _entries(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG).parquet(f"{self.folder}/_log")
-        except Exception as e:  # the folder is not there yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], LOG)
+        """The last fold of the log and what was logged since. An entry that a reader finds in both counts once."""
+        fold, since = self._last_fold(), [p for n, p in self._listed("_log").items() if n.startswith("part-")]
+        read = self.spark.read.schema(LOG)
+        if fold is None:
+            return read.parquet(*since) if since else self.spark.createDataFrame([], LOG)
+        both = read.parquet(fold)
+        return both.unionByName(read.parquet(*since)).dropDuplicates(["table", "commit_id", "kind", *KEY]) if since else both
+
+    def fold_log(self) -> None:
+        """The whole log as one table, so that reads do not open a file for each commit there ever was. What a fold has taken up is
+        removed by the next one, so that readers that have listed it can still read it; a fold that stopped half-way is not used."""
+        last, files = self._last_fold(), self._listed("_log")
+        names = [n for n in files if n.startswith("part-")]
+        taken = {r["name"] for r in self.spark.read.parquet(last.replace("/_folded/", "/_folded_names/")).collect()} if last else set()  # names of files, FOLD_FILES about
+        number = max((int(n.split("=")[1]) for n in self._listed("_folded")), default=0) + 1
+        self.spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/_folded_names/fold={number:09d}")
+        self._entries().coalesce(1).write.parquet(f"{self.folder}/_folded/fold={number:09d}")
+        for name in taken & set(names):
+            removed(self.spark, files[name])
+        for kind in ("_folded", "_folded_names"):
+            for name, path in self._listed(kind).items():
+                if int(name.split("=")[1]) < number and path.rsplit("=", 1)[1] != (last or "=").rsplit("=", 1)[1]:
+                    removed(self.spark, path)
 
     def log(self) -> DataFrame:
         """The log of commits; empty before the first one."""
@@ -128,6 +157,8 @@ class Lake:
         constants = {"commit_id": commit_id, "committed_ms": now_ms, "table": table, "kind": kind, "run_id": run_id, "feature_version": feature_version, "source_commit_id": source_commit_id, "writer": writer, "writer_version": writer_version}
         types = dict(part.split() for part in LOG.split(", "))
         entry.select(*((F.lit(constants[c]) if c in constants else F.col(c)).cast(t).alias(c) for c, t in types.items())).coalesce(1).write.mode("append").parquet(f"{self.folder}/_log")
+        if sum(n.startswith("part-") for n in self._listed("_log")) > FOLD_FILES:
+            self.fold_log()
         return True
 
     def resolve(self, table: str, version: int | str = "latest", as_of_ms: int | None = None) -> tuple[int, int]:
