@@ -539,3 +539,19 @@ def jn1_align(spark, sf):
 def jn2_venues(spark, sf):
     c = m.candles(spark, sf)
     return rounded(quality.venue_report(c.where("exchange = 'ex0'"), c.where("exchange = 'ex1'")), "max_price_gap")
+
+
+_GRADED_A = "SELECT symbol, timeframe, ts_ms - ts_ms % 60000 AS minute, * EXCLUDE (symbol, timeframe) FROM candles WHERE exchange = 'ex0'"
+_GRADED_B = f"SELECT * REPLACE (high * CASE WHEN symbol = 'error' AND ts_ms // {HOUR} % 3 = 0 THEN 1.02 ELSE 1 END AS high, volume * CASE WHEN symbol = 'signup' AND ts_ms // {HOUR} % 9 = 0 THEN 5 ELSE 1 END AS volume) FROM a WHERE NOT (symbol = 'view' AND ts_ms // {HOUR} % 10 = 0) AND (symbol <> 'purchase' OR ts_ms // {HOUR} % 200 = 1)"
+_VENUE_TAIL = VENUES_SQL[VENUES_SQL.index("j AS (SELECT symbol") :]
+
+
+@query("jn2_dq17_verdicts", f"""{m.GRADED_SQL}, a AS ({_GRADED_A}), b AS ({_GRADED_B}), {_VENUE_TAIL} SELECT symbol, timeframe, only_a, only_b, coalesce(common, 0) AS common, coalesce(price_diverges, 0) AS price_diverges, round(max_price_gap, 6) AS max_price_gap, coalesce(volume_diverges, 0) AS volume_diverges,
+  CASE WHEN coalesce(common, 0) < 10 THEN 'no_overlap' WHEN price_diverges / common > 0.05 THEN 'critical' WHEN price_diverges + volume_diverges + only_a + only_b > 0 THEN 'warning' ELSE 'clean' END AS verdict FROM s LEFT JOIN g USING (symbol, timeframe)""")
+def jn2_verdicts(spark, sf):
+    """Two venues that agree in one symbol, differ in the price of another and the volume of a third, and lack minutes of two more, one nearly all."""
+    a = m.graded(spark, sf).where("exchange = 'ex0'")
+    h, of = F.floor(F.unix_millis("timestamp") / F.lit(HOUR)), F.col("symbol")
+    b = a.where(~((of == "view") & (h % 10 == 0)) & ((of != "purchase") | (h % 200 == 1)))
+    b = b.withColumns({"high": F.col("high") * F.when((of == "error") & (h % 3 == 0), 1.02).otherwise(1.0), "volume": F.col("volume") * F.when((of == "signup") & (h % 9 == 0), 5.0).otherwise(1.0)})
+    return rounded(quality.venue_report(a, b), "max_price_gap")
