@@ -297,6 +297,27 @@ def test_near_duplicates_around_the_threshold(spark):
     assert got == groups({i: shingles(t) for i, t in rows})
 
 
+def test_near_duplicates_that_meet_once(spark):
+    """Pairs at the threshold whose signatures share one bucket, with a third text there that is linked with neither."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for f in range(400):
+        w = [f"f{f}_{k}" for k in range(204)]
+        near, far = list(w), list(w)
+        for at in (40, 90, 140, 190):  # 20 of 200 shingles differ on either side: a similarity of 180 / 220
+            near[at] = f"n{f}_{at}"
+        for at in rng.choice(np.arange(4, 200, 6), 12, replace=False):  # about 0.54 of both
+            far[at] = f"d{f}_{at}"
+        rows += [(3 * f + i, " ".join(t)) for i, t in enumerate((w, near, far))]
+    split = [t.encode().split() for _, t in rows]
+    marks = op3_minhash.signatures(*op3_minhash.Shingler().shingles(split)).reshape(len(rows), op3_minhash.BANDS, op3_minhash.ROWS)
+    shared = [int((marks[3 * f] == marks[3 * f + 1]).all(axis=1).sum()) for f in range(400)]
+    assert min(shared) <= 3  # few buckets in common do occur
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in op3_minhash.near_duplicates(docs).collect()}
+    assert got == groups({i: shingles(t) for i, t in rows[:300]}) | {i: i - i % 3 if i % 3 < 2 else i for i, _ in rows[300:]}
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(0)
     ids = rng.integers(0, 1 << 62, 200).astype(np.uint64)

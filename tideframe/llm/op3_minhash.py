@@ -15,11 +15,10 @@ Candidates. BANDS bands of ROWS registers: a pair at the threshold meets in none
 below 4e-5. A bucket's members are paired with one pivot, not with each other; verified pairs are
 contracted into components, then a second pivot is tried where a bucket still has several. One
 minus the similarity is a metric, so members near the pivot cannot be linked with those beyond its
-ring (similarity below 2 * threshold - 1). What remains of different components and has two open
-buckets is compared pair by pair, in blocks: signatures first, which drop a pair at the threshold
-with a probability below 1e-4, then exactly, for members that have a candidate left. A pair exactly at the
-threshold that no pivot connects meets in fewer than two buckets with a probability of 4.5e-4, which is the main
-source of misses. Pairs never become rows; each group of blocks gives a spanning forest of the links that it
+ring (similarity below 2 * threshold - 1). What remains of different components in an open bucket, be it the
+only one of a member, is compared pair by pair, in blocks: signatures first, which drop a pair at the threshold
+with a probability below 1e-5, then exactly, for members that have a candidate left. So a pair exactly at the
+threshold is missed with a probability below 5e-5 in all. Pairs never become rows; each group of blocks gives a spanning forest of the links that it
 has found. A member of a bucket of n rows goes to n / BLOCK groups with its signature of 260 bytes, with its
 shingles only where it has a candidate.
 
@@ -47,7 +46,7 @@ from tideframe.llm.components import connected
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
 #: Rows of a block of a large bucket, and how far below the threshold an estimate may lie.
-BLOCK, ESTIMATE_SPREADS = 512, 4.0
+BLOCK, ESTIMATE_SPREADS = 512, 5.0
 _REGISTERS = BANDS * ROWS
 _REMEMBER = 200_000
 _U = np.uint64
@@ -278,9 +277,8 @@ def linked_classes(docs: DataFrame, text: str = "text", threshold: float = THRES
     active = placed.join(ringed, "key").where((F.col("similarity") < threshold) | (F.col("in_ring") > 0)).select("band", "key", "class", "component")
     open_ = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
     active = active.join(open_, "key")
-    # what is left must have two open buckets; each pair of different components is then compared where it first meets
-    several = active.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
-    active = stored(active.join(several, "class"))
+    # each pair of different components is compared where it first meets, also if that is the only open bucket of either
+    active = stored(active)
     sizes = active.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = active.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("class", "band"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
