@@ -14,11 +14,11 @@ from tideframe.plans.register import long, query, rounded, ts_ms
 from tideframe.plans.tables import trade_messages
 from tideframe.sources import landed
 from tideframe.sources import mappings as m
-from tideframe.sources.events import gap_messages, messages
+from tideframe.sources.events import events, gap_messages, messages
 from tideframe.sources.ingest import incremental
 from tideframe.sources.log_source import consume, publish
 from tideframe.sources.snapshots import Lake, new_folder, wall_clock_ms
-from tideframe.streaming import jobs
+from tideframe.streaming import jobs, publishers
 
 _GOOD = "trade_id % 29 <> 0 AND trade_id % 19 <> 0 AND trade_id % 17 <> 0 AND trade_id % 23 <> 0"
 _T = f"WITH {m.TRADES_SQL}"
@@ -256,6 +256,40 @@ def str13_profiles(spark, sf):
     return read("bronze").union(read("trading")).groupBy("profile", "symbol").agg(F.count("*").alias("events"), F.count_distinct("trade_id").alias("ids"), F.min("seq").alias("first_batch"))
 
 
+#: Market rows of five kinds, of which some lack a time, have an unknown side, or no value; each is refused for the reason of its kind.
+_MARKET = f"""{_T}, k AS (SELECT exchange, symbol, trade_id, price, CASE trade_id % 5 WHEN 0 THEN 'snapshot' WHEN 1 THEN 'delta' WHEN 2 THEN 'funding' WHEN 3 THEN 'open_interest' ELSE 'liquidation' END AS kind FROM trades),
+  j AS (SELECT *, CASE WHEN trade_id % 13 = 0 OR (trade_id % 17 = 0 AND kind <> 'snapshot') THEN 'missing_field' WHEN trade_id % 11 = 0 AND kind IN ('delta', 'liquidation') THEN 'bad_side' END AS reason FROM k)"""
+
+
+@query("snk15_published", f"""{_MARKET}, t AS (SELECT *, CASE WHEN kind IN ('snapshot', 'delta') THEN 'orderbook.raw' WHEN kind = 'open_interest' THEN 'oi.raw' WHEN kind = 'liquidation' THEN 'liquidations.raw' ELSE 'funding.raw' END AS topic FROM j)
+  SELECT topic, kind, exchange || ':' || symbol AS key, reason AS reject_reason, count(*) AS n, CASE WHEN reason IS NULL AND kind <> 'snapshot' THEN round(sum(round(price, 4)), 2) END AS value FROM t GROUP BY topic, kind, exchange, symbol, reason""")
+def snk15_published(spark, sf):
+    """Streams of market rows through the publishers into four logs, a stream for each; a consumer reads each log from its start, and the failed rows are told beside."""
+    folder, i = new_folder(spark), F.col("trade_id")
+    kind = F.get(F.array(*map(F.lit, publishers.TOPICS)), (i % 5).cast("int"))
+    number = F.when(i % 17 != 0, F.col("price").cast("decimal(18,4)"))
+    level = lambda up: F.array(F.array((F.col("price") + (1 if up else -1)).cast("decimal(18,4)").cast("string"), F.lit("1")))
+    side = F.when(i % 11 == 0, "up").when(i % 5 == 1, F.when(F.col("side") == "buy", "bid").otherwise("ask")).otherwise(F.col("side"))
+    rows = ts_ms(m.trades(spark, sf)).select("exchange", "symbol", kind.alias("kind"), F.when(i % 13 != 0, F.col("ts_ms")).alias("timestamp_ms"), level(False).alias("bids"), level(True).alias("asks"), side.alias("side"), number.alias("price"), *(number.alias(c) for c in ("funding_rate", "open_interest_contracts")), F.lit(1).cast("decimal(18,4)").alias("size"), F.lit(1).cast("decimal(18,4)").alias("quantity"))
+    rows.repartition(2, "symbol").write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    value = {"delta": "price", "funding": "funding_rate", "open_interest": "open_interest_contracts", "liquidation": "price"}
+    told = []
+    for topic in dict.fromkeys(publishers.TOPICS.values()):
+        kinds = [k for k, t_ in publishers.TOPICS.items() if t_ == topic]
+        jobs.drain_batches(stream.where(F.col("kind").isin(kinds)), publishers.publisher(kinds, folder), f"{folder}/{topic}-stream")
+        read = jobs.drain(consume(spark, f"{folder}/{topic}", "bronze"), f"{folder}/{topic}-read")
+        named = F.get_json_object("value", "$.payload_type")
+        for k in kinds:
+            got = events(read.where(named == k) if k in publishers.NAMED else read, k, keep="key")
+            told.append(got.select(F.lit(topic).alias("topic"), F.lit(k).alias("kind"), "key", "reject_reason", F.lit(None).cast("double").alias("value") if k == "snapshot" else F.col(value[k]).cast("double").alias("value")))
+    failed = spark.read.parquet(f"{folder}/failed").select("topic", "kind", "key", "reject_reason", F.lit(None).cast("double").alias("value"))
+    every = told[0]
+    for part in (*told[1:], failed):
+        every = every.unionByName(part)
+    return rounded(every.groupBy("topic", "kind", "key", "reject_reason").agg(F.count("*").alias("n"), F.sum("value").alias("value")), "value", places=2)
+
+
 _PAST = m.NOW_MS - 12 * MS["1d"]
 _NEW_SQL = GRADED_ISSUES_SQL.replace("h % 40 = 0))", f"h % 40 = 0) AND (exchange <> 'ex0' OR ts_ms > {_PAST}) AND NOT (exchange = 'ex1' AND symbol = 'click'))")
 

@@ -72,7 +72,7 @@ def src13_derivatives(spark, sf):
 
 
 @query("src14_trading_events", f"""{_T}, s AS (SELECT *, CASE WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 13 = 0 THEN 'missing_field' WHEN trade_id % 7 = 0 THEN 'bad_direction' WHEN trade_id % 11 = 0 THEN 'bad_confidence' END AS signal, CASE WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 13 = 0 THEN 'missing_field' END AS other,
-  CASE WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 7 = 0 THEN 'bad_direction' END AS refused FROM trades) SELECT kind, reject_reason, count(*) AS n FROM (SELECT unnest(['signal', 'approved_signal', 'rejected_signal', 'order_filled', 'order_rejected', 'position_opened']) AS kind, unnest([signal, signal, refused, other, CASE WHEN trade_id % 19 = 0 THEN 'bad_version' END, other]) AS reject_reason FROM s) GROUP BY ALL""")
+  CASE WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 7 = 0 THEN 'bad_direction' END AS refused FROM trades) SELECT kind, reject_reason, count(*) AS n FROM (SELECT unnest(['signal', 'approved_signal', 'rejected_signal', 'order_filled', 'order_rejected', 'position_opened', 'position_closed']) AS kind, unnest([signal, signal, refused, other, CASE WHEN trade_id % 19 = 0 THEN 'bad_version' END, other, other]) AS reject_reason FROM s) GROUP BY ALL""")
 def src14_trading(spark, sf):
     i, x = F.col("trade_id"), _numbered(spark, sf)
     price, direction, own = F.when(i % 13 != 0, F.col("price")), F.when(i % 7 == 0, "up").otherwise(F.col("side")), F.col("event_id")
@@ -81,6 +81,7 @@ def src14_trading(spark, sf):
     sent = {
         "signal": signal, "approved_signal": signal, "rejected_signal": {"direction": F.when(i % 7 == 0, "up"), "reason": F.lit("system_halted")},
         "order_filled": order | {"fill_price": price}, "order_rejected": order, "position_opened": order | {"side": F.lit("long"), "entry_price": price},
+        "position_closed": order | {"entry_price": F.lit(1.0), "exit_price": price},
     }
     parts = [events.events(_sent(x, **fields), kind).select(F.lit(kind).alias("kind"), "reject_reason") for kind, fields in sent.items()]
     every = parts[0]

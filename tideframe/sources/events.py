@@ -22,11 +22,12 @@ FIELDS = {
     "order_filled": (f"{_HEAD}, order_id string, side string, fill_price double, size_pct double, filled_at string, signal_event_id string, run_id string", "order_id side fill_price size_pct"),
     "order_rejected": (f"{_HEAD}, order_id string, side string, reason string, signal_event_id string, run_id string", "order_id side"),
     "position_opened": (f"{_HEAD}, order_id string, side string, entry_price double, size_pct double, opened_at string, run_id string", "order_id entry_price size_pct"),
+    "position_closed": (f"{_HEAD}, order_id string, side string, entry_price double, exit_price double, size_pct double, pnl_pct double, opened_at string, closed_at string, run_id string", "order_id entry_price exit_price size_pct"),
 }
 # What stands for a field that is absent, by kind.
 DEFAULTS = {
     "delta": {"side": "bid"}, "funding": {"market_type": "linear"}, "open_interest": {"market_type": "linear"}, "liquidation": {"market_type": "linear", "side": "buy", "order_type": "market"},
-    "signal": {"confidence": 1.0}, "approved_signal": {"confidence": 1.0}, "rejected_signal": {"direction": "hold"}, "position_opened": {"side": "long"}, "trade_window": {"source": "live"},
+    "signal": {"confidence": 1.0}, "approved_signal": {"confidence": 1.0}, "rejected_signal": {"direction": "hold"}, "position_opened": {"side": "long"}, "position_closed": {"side": "long", "pnl_pct": 0.0}, "trade_window": {"source": "live"},
 }
 # Further rules, as SQL for a bad row.
 _DIRECTION = ("bad_direction", "direction NOT IN ('buy', 'sell', 'hold')")
@@ -42,10 +43,10 @@ RULES = {
 PROMOTED = ["ohlcv", "snapshot", "delta", "external_metric", "signal", "approved_signal", "rejected_signal", "order_filled", "order_rejected", "position_opened", "position_closed"]
 
 
-def events(raw: DataFrame, kind: str, column: str = "value") -> DataFrame:
-    """SRC11-SRC14: the fields of a kind of payload with its defaults, the raw text, and why it is rejected (null if it is not)."""
+def events(raw: DataFrame, kind: str, column: str = "value", keep: str | None = None) -> DataFrame:
+    """SRC11-SRC14: the fields of a kind of payload with its defaults, the raw text, and why it is rejected (null if it is not), beside one column to keep."""
     schema, needed = FIELDS[kind]
-    df = raw.select(F.from_json(column, schema).alias("p"), F.col(column).alias("raw")).select("p.*", "raw")
+    df = raw.select(F.from_json(column, schema).alias("p"), F.col(column).alias("raw"), *([keep] if keep else [])).select("p.*", "raw", *([keep] if keep else []))
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in (DEFAULTS.get(kind, {}) | {"event_version": VERSION}).items()})
     missing = F.lit(False)
     for c in ("exchange", "symbol", *needed.split()):
