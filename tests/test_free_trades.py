@@ -11,6 +11,7 @@ from tideframe.plans import registry
 QUERIES = [
     "anl3_anl4_settlement",
     "anl5_anl6_performance",
+    "ded7_str_once",
 ]
 
 

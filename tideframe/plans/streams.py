@@ -21,6 +21,8 @@ from tideframe.sources.snapshots import Lake, new_folder, wall_clock_ms
 from tideframe.streaming import jobs, publishers
 
 _GOOD = "trade_id % 29 <> 0 AND trade_id % 19 <> 0 AND trade_id % 17 <> 0 AND trade_id % 23 <> 0"
+#: What trade_rows() and land_trades() accept: a price of nothing is no trade.
+_KEPT = f"{_GOOD} AND coalesce(price > 0, false)"
 _T = f"WITH {m.TRADES_SQL}"
 
 
@@ -38,7 +40,7 @@ def str5_candles(spark, sf):
     return done.crossJoin(newest).where(F.col("ts_ms") + MS["1d"] <= F.col("newest") - MS["1d"]).drop("newest")  # newest is one row
 
 
-@query("ded7_str_once", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms FROM trades WHERE {_GOOD}")
+@query("ded7_str_once", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms FROM trades WHERE {_KEPT}")
 def ded7_once(spark, sf):
     folder = new_folder(spark)
     sent = trade_messages(spark, sf)
