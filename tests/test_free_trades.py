@@ -12,6 +12,7 @@ QUERIES = [
     "anl3_anl4_settlement",
     "anl5_anl6_performance",
     "ded7_str_once",
+    "flt15_deltas",
 ]
 
 

@@ -183,7 +183,7 @@ def srt6_book(spark, sf):
     return b.select("l_orderkey", t.book_problem().alias("problem"), "first_bid")
 
 
-@query("flt15_deltas", f"{_T} SELECT CASE WHEN trade_id % 5 = 0 THEN 'bad_side' WHEN trade_id % 7 = 0 THEN 'bad_price' WHEN trade_id % 11 = 0 THEN 'bad_size' END AS problem, count(*) AS n FROM trades GROUP BY ALL")
+@query("flt15_deltas", f"{_T} SELECT CASE WHEN trade_id % 5 = 0 THEN 'bad_side' WHEN trade_id % 7 = 0 OR NOT coalesce(price > 0, false) THEN 'bad_price' WHEN trade_id % 11 = 0 THEN 'bad_size' END AS problem, count(*) AS n FROM trades GROUP BY ALL")
 def flt15_deltas(spark, sf):
     i = F.col("trade_id")
     d = ts_ms(m.trades(spark, sf)).withColumns({"side": F.when(i % 5 == 0, F.col("side")).otherwise("bid"), "price": F.when(i % 7 == 0, 0.0).otherwise(F.col("price")), "qty": F.when(i % 11 == 0, F.lit(None).cast("double")).when(i % 13 == 0, 0.0).otherwise(F.col("amount"))})
