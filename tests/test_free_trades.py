@@ -13,6 +13,7 @@ QUERIES = [
     "anl5_anl6_performance",
     "ded7_str_once",
     "flt15_deltas",
+    "flt17_trade_rules",
 ]
 
 

@@ -145,7 +145,7 @@ def flt16_positions(spark, sf):
     return p.groupBy(rules.position_problem().alias("problem"), rules.order_problem().alias("order_problem")).agg(F.count("*").alias("n"))
 
 
-@query("flt17_trade_rules", f"{_T} SELECT CASE WHEN trade_id % 29 = 0 THEN 'no_symbol' WHEN trade_id % 23 = 0 THEN 'bad_time' WHEN trade_id % 11 = 0 OR trade_id % 7 = 0 THEN 'bad_price' WHEN trade_id % 13 = 0 THEN 'bad_amount' WHEN trade_id % 5 = 0 THEN 'bad_source' END AS problem, count(*) AS n FROM trades GROUP BY ALL")
+@query("flt17_trade_rules", f"{_T} SELECT CASE WHEN trade_id % 29 = 0 THEN 'no_symbol' WHEN trade_id % 23 = 0 THEN 'bad_time' WHEN trade_id % 11 = 0 OR trade_id % 7 = 0 OR NOT coalesce(price > 0, false) THEN 'bad_price' WHEN trade_id % 13 = 0 THEN 'bad_amount' WHEN trade_id % 5 = 0 THEN 'bad_source' END AS problem, count(*) AS n FROM trades GROUP BY ALL")
 def flt17_rules(spark, sf):
     i = F.col("trade_id")
     x = ts_ms(m.trades(spark, sf)).withColumns({"symbol": F.when(i % 29 != 0, F.col("symbol")), "timestamp_ms": F.when(i % 23 == 0, 0).otherwise(F.col("ts_ms")), "price": F.when(i % 11 == 0, -1.0).when(i % 7 == 0, 0.0).otherwise(F.col("price")), "amount": F.when(i % 13 == 0, 0.0).otherwise(F.col("amount")), "source": F.when(i % 5 == 0, "telegraph").otherwise("live")})
