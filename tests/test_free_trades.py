@@ -14,6 +14,7 @@ QUERIES = [
     "ded7_str_once",
     "flt15_deltas",
     "flt17_trade_rules",
+    "snk6_str_trades",
 ]
 
 

@@ -187,7 +187,7 @@ def str4_totals(spark, sf):
     return rounded(df.select(*t.SERIES, "window_start_ms", "trade_count", F.col("total_volume").cast("double").alias("total_volume"), "vwap"), "vwap")
 
 
-@query("snk6_str_trades", f"{_T} SELECT 'kept' AS what, NULL AS reject_reason, count(*) AS n FROM trades WHERE {_GOOD} UNION ALL SELECT 'dead', CASE WHEN trade_id % 29 = 0 THEN 'undecodable' WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 17 = 0 THEN 'bad_source' ELSE 'bad_trade' END, count(*) FROM trades WHERE NOT ({_GOOD}) GROUP BY ALL")
+@query("snk6_str_trades", f"{_T} SELECT 'kept' AS what, NULL AS reject_reason, count(*) AS n FROM trades WHERE {_KEPT} UNION ALL SELECT 'dead', CASE WHEN trade_id % 29 = 0 THEN 'undecodable' WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 17 = 0 THEN 'bad_source' ELSE 'bad_trade' END, count(*) FROM trades WHERE NOT ({_KEPT}) GROUP BY ALL")
 def snk6_stream(spark, sf):
     """Trade events, each sent twice in different files, land once; what is wrong goes to the dead letters once for each time it was sent and had no id."""
     folder = new_folder(spark)
