@@ -15,6 +15,7 @@ QUERIES = [
     "flt15_deltas",
     "flt17_trade_rules",
     "snk6_str_trades",
+    "src10_src17_trade_events",
 ]
 
 

@@ -34,7 +34,7 @@ def trade_messages(spark, sf) -> DataFrame:
 _REJECT = "CASE WHEN trade_id % 29 = 0 THEN 'undecodable' WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 17 = 0 THEN 'bad_source' END"
 
 
-@query("src10_src17_trade_events", f"{_T} SELECT CAST(trade_id AS VARCHAR) AS trade_id, price, amount, side, ts_ms AS timestamp_ms FROM trades WHERE {_REJECT} IS NULL AND trade_id % 23 <> 0")
+@query("src10_src17_trade_events", f"{_T} SELECT CAST(trade_id AS VARCHAR) AS trade_id, price, amount, side, ts_ms AS timestamp_ms FROM trades WHERE {_REJECT} IS NULL AND trade_id % 23 <> 0 AND price > 0")
 def src10_trades(spark, sf):
     df = landed.exact_trades(landed.parsed(trade_messages(spark, sf), "trade"))
     return df.select("trade_id", F.col("price").cast("double").alias("price"), F.col("amount").cast("double").alias("amount"), "side", "timestamp_ms")
