@@ -16,6 +16,7 @@ QUERIES = [
     "flt17_trade_rules",
     "snk6_str_trades",
     "src10_src17_trade_events",
+    "src12_snk15_book_events",
 ]
 
 

@@ -47,7 +47,7 @@ _REASON = "CASE WHEN trade_id % 19 = 0 THEN 'bad_version' WHEN trade_id % 13 = 0
 
 
 @query("src12_snk15_book_events", f"""{_T}, k AS (SELECT *, CASE WHEN trade_id % 7 = 0 THEN 'other' WHEN trade_id % 4 = 0 THEN 'snapshot' WHEN trade_id % 31 = 0 THEN 'other' ELSE 'delta' END AS kind FROM trades),
-  j AS (SELECT *, CASE WHEN kind <> 'other' THEN {_REASON} WHEN kind = 'delta' AND trade_id % 5 = 0 THEN 'bad_side' WHEN kind = 'snapshot' AND round(price, 4) - 3 <= 0 THEN 'bad_level' WHEN kind = 'snapshot' AND trade_id % 11 = 0 THEN 'bids_not_falling' END END AS problem FROM k)
+  j AS (SELECT *, CASE WHEN kind <> 'other' THEN {_REASON} WHEN kind = 'delta' AND trade_id % 5 = 0 THEN 'bad_side' WHEN kind = 'delta' AND round(price, 4) <= 0 THEN 'bad_price' WHEN kind = 'snapshot' AND round(price, 4) - 3 <= 0 THEN 'bad_level' WHEN kind = 'snapshot' AND trade_id % 11 = 0 THEN 'bids_not_falling' END END AS problem FROM k)
   SELECT kind, problem, count(*) AS n, coalesce(round(sum(CASE WHEN kind = 'delta' AND problem IS NULL THEN round(price, 4) END), 2), 0) AS prices FROM j GROUP BY kind, problem""")
 def src12_books(spark, sf):
     snapshots, deltas, others = events.book_events(_books(spark, sf))
