@@ -17,6 +17,7 @@ QUERIES = [
     "snk6_str_trades",
     "src10_src17_trade_events",
     "src12_snk15_book_events",
+    "str12_fan_out",
 ]
 
 

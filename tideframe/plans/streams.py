@@ -310,7 +310,7 @@ def gap14_incremental(spark, sf):
     return told[0].union(told[1])
 
 
-@query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_GOOD} GROUP BY exchange")
+@query("str12_fan_out", f"{_T} SELECT exchange, count(*) AS kept, count(*) FILTER (side = 'buy') AS buys FROM trades WHERE {_KEPT} GROUP BY exchange")
 def str12_fan_out(spark, sf):
     stream, folder = _trades(spark, sf)
     sink = lambda name, keep: lambda batch, n: batch.where(keep).write.mode("overwrite").parquet(f"{folder}/{name}/batch={n}")
