@@ -18,6 +18,7 @@ QUERIES = [
     "src10_src17_trade_events",
     "src12_snk15_book_events",
     "str12_fan_out",
+    "str4_str7_window_totals",
 ]
 
 

@@ -176,13 +176,13 @@ def str3_gate(spark, sf):
     return rounded(told.select(*KEY, "chunk", "tier", "rows_in", long("rows_out").alias("rows_out"), "status", "quality_score"), "quality_score")
 
 
-@query("str4_str7_window_totals", f"{_T}, good AS (SELECT * FROM trades WHERE {_GOOD}), last AS (SELECT max(ts_ms) AS newest FROM good), w AS (SELECT exchange, market_type, symbol, ts_ms - ts_ms % {MS['1d']} AS window_start_ms, count(*) AS trade_count, CAST(sum(amount) AS DOUBLE) AS total_volume, round(sum(price * amount) / sum(amount), 6) AS vwap FROM good GROUP BY ALL) SELECT w.* FROM w, last WHERE window_start_ms + {MS['1d']} <= newest - {MS['1d']}")
+@query("str4_str7_window_totals", f"{_T}, good AS (SELECT * FROM trades WHERE {_KEPT}), last AS (SELECT max(ts_ms) AS newest FROM good), w AS (SELECT exchange, market_type, symbol, ts_ms - ts_ms % {MS['1d']} AS window_start_ms, count(*) AS trade_count, CAST(sum(amount) AS DOUBLE) AS total_volume, round(sum(price * amount) / sum(amount), 6) AS vwap FROM good GROUP BY ALL) SELECT w.* FROM w, last WHERE window_start_ms + {MS['1d']} <= newest - {MS['1d']}")
 def str4_totals(spark, sf):
     """Window totals on a stream that waits for late trades as long as the calibrated lateness says."""
     stream, folder = _trades(spark, sf)
     late = t.lateness(m.candles(spark, sf).select("exchange", "timeframe", (F.col("volume") * 30_000).alias("delay_ms")))
     done = jobs.drain(jobs.window_totals(stream, "1 day", jobs.calibrated_delay(late)), folder)
-    newest = ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!=")).agg(F.max("ts_ms").alias("newest"))
+    newest = ts_ms(m.trades(spark, sf)).where(_KEPT).agg(F.max("ts_ms").alias("newest"))
     df = done.crossJoin(newest).where(F.col("window_start_ms") + MS["1d"] <= F.col("newest") - MS["1d"])  # newest is one row
     return rounded(df.select(*t.SERIES, "window_start_ms", "trade_count", F.col("total_volume").cast("double").alias("total_volume"), "vwap"), "vwap")
 
