@@ -19,6 +19,7 @@ QUERIES = [
     "src12_snk15_book_events",
     "str12_fan_out",
     "str4_str7_window_totals",
+    "str5_window_candles",
 ]
 
 

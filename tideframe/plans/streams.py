@@ -32,11 +32,11 @@ def _trades(spark, sf) -> tuple[DataFrame, str]:
     return jobs.trade_rows(jobs.source(spark, f"{folder}/landed")), folder
 
 
-@query("str5_window_candles", f"{_T}, good AS (SELECT * FROM trades WHERE {_GOOD}), last AS (SELECT max(ts_ms) AS newest FROM good), {m.candles_sql(MS['1d'], '1d', source='good')} SELECT c.* FROM candles c, last WHERE ts_ms + {MS['1d']} <= newest - {MS['1d']}")
+@query("str5_window_candles", f"{_T}, good AS (SELECT * FROM trades WHERE {_KEPT}), last AS (SELECT max(ts_ms) AS newest FROM good), {m.candles_sql(MS['1d'], '1d', source='good')} SELECT c.* FROM candles c, last WHERE ts_ms + {MS['1d']} <= newest - {MS['1d']}")
 def str5_candles(spark, sf):
     stream, folder = _trades(spark, sf)
     done = ts_ms(jobs.drain(jobs.window_candles(stream, "1d", "1 day", "1 day"), folder))
-    newest = ts_ms(m.trades(spark, sf)).where(_GOOD.replace("<>", "!=")).agg(F.max("ts_ms").alias("newest"))
+    newest = ts_ms(m.trades(spark, sf)).where(_KEPT).agg(F.max("ts_ms").alias("newest"))
     return done.crossJoin(newest).where(F.col("ts_ms") + MS["1d"] <= F.col("newest") - MS["1d"]).drop("newest")  # newest is one row
 
 
