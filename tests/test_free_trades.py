@@ -20,6 +20,7 @@ QUERIES = [
     "str12_fan_out",
     "str4_str7_window_totals",
     "str5_window_candles",
+    "str8_monotonic",
 ]
 
 

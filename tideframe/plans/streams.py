@@ -49,7 +49,7 @@ def ded7_once(spark, sf):
     return jobs.drain(stream, folder).select("exchange", "symbol", "trade_id", "timestamp_ms")
 
 
-@query("str8_monotonic", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms, price FROM trades WHERE {_GOOD}")
+@query("str8_monotonic", f"{_T} SELECT exchange, symbol, CAST(trade_id AS VARCHAR) AS trade_id, ts_ms AS timestamp_ms, price FROM trades WHERE {_KEPT}")
 def str8_monotonic(spark, sf):
     stream, folder = _trades(spark, sf)
     return jobs.drain(jobs.monotonic(stream), folder).drop("source")
