@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -168,6 +169,13 @@ def test_books_that_let_deltas_go_wait_for_a_newer_snapshot(spark, tmp_path):
     assert last["ready"] and last["seq"] == 12 and ("gap_healed", 5, 8) in gaps
 
 
+def test_many_waiting_deltas_cost_what_they_are(spark, tmp_path):
+    n, started = 40_000, time.monotonic()
+    last, gaps = books(spark, tmp_path, [[*snapshot(1, 1.0), *(delta(s, s % 50 + 1.0) for s in range(3, n))], [delta(2), delta(n)]], pending=2 * n)
+    assert (last["seq"], last["ready"]) == (n, True) and gaps == [("gap_detected", 2, 2), ("gap_healed", 2, 2)]
+    assert time.monotonic() - started < 20  # 40,000 times what waits would be minutes
+
+
 def test_gap_events_are_one_message_each(spark, tmp_path):
     told = run(spark, tmp_path, [[*snapshot(1, 1.0), delta(4)], [delta(2), delta(3)]], BOOK, jobs.book_stream)
     rows = jobs.book_gaps(told.union(told)).collect()

@@ -8,6 +8,7 @@ partitioned by Spark and kept in its state store.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -249,7 +250,7 @@ def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
 
     Rows: kind `book`, each book after each batch (seq: the last applied, seen: the newest known); `gap_detected`, once for each hole between events as they come,
     and for each range of deltas that were let go, with from_seq and to_seq; `gap_healed`, when a book has got beyond one. Levels, waiting deltas and open
-    gaps are arrays in the state store. A batch is taken in the order of seq; source() bounds its size.
+    gaps are arrays in the state store. A batch is taken in the order of seq, and costs no more for what waits; source() bounds its size.
     """
 
     def rebuild(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -259,6 +260,7 @@ def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
         waiting: dict[int, list] = {}
         for s, *level in zip(w_seq, w_side, w_price, w_qty, strict=True):
             waiting.setdefault(s, []).append(level)
+        line, held = sorted(waiting), len(w_seq)  # a heap of what waits or has waited, and how many rows wait
 
         def put(levels: list) -> None:
             for side, price, qty in levels:
@@ -271,27 +273,43 @@ def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
             gaps.append((first, last))
             told.append(("gap_detected", first, last))
 
-        rows = pd.concat(list(frames)).sort_values(["seq", "price"], kind="stable")
-        for s, group in rows.groupby("seq", sort=True):
-            s, levels = int(s), list(zip(group["side"], group["price"].astype(float), group["qty"].astype(float), strict=True))
+        rows = pd.concat(list(frames), ignore_index=True).dropna(subset=["seq"])
+        rows = rows.iloc[np.lexsort((rows["price"], rows["seq"]))]
+        found, at = np.unique(rows["seq"].to_numpy(np.int64), return_index=True)
+        whole = np.logical_or.reduceat(rows["whole"].to_numpy(bool), at).tolist()
+        rows = list(zip(rows["side"], rows["price"].tolist(), rows["qty"].tolist(), strict=True))
+        at = [*at.tolist(), len(rows)]
+        for i, s in enumerate(found.tolist()):
             if 0 <= seen < s - 1:
                 gap(seen + 1, s - 1)
             seen = max(seen, s)
             if s <= seq:
                 continue
-            if (group["kind"] == "snapshot").any():
+            levels = rows[at[i] : at[i + 1]]
+            if whole[i]:
                 book.clear()
                 put(levels)
-                seq, waiting = s, {k: v for k, v in waiting.items() if k > s}
-            else:
-                waiting.setdefault(s, levels)
-            while seq >= 0 and seq + 1 in waiting:
+                seq = s
+                while line and line[0] <= s:
+                    held -= len(waiting.pop(heappop(line), ()))
+            elif 0 <= seq == s - 1:
+                put(levels)
+                seq = s
+            elif s not in waiting:
+                waiting[s] = levels
+                heappush(line, s)
+                held += len(levels)
+            while waiting and seq >= 0 and seq + 1 in waiting:
                 seq += 1
-                put(waiting.pop(seq))
-            if sum(map(len, waiting.values())) > pending:
+                levels = waiting.pop(seq)
+                put(levels)
+                held -= len(levels)
+            if held > pending:
                 gap(min(waiting), max(waiting))
                 lost = max(lost, *waiting)
                 waiting.clear()
+                line.clear()
+                held = 0
         told += [("gap_healed", *g) for g in gaps if g[1] <= seq]
         gaps = [g for g in gaps if g[1] > seq]
         ready = seq >= 0 and not waiting and lost <= seq
@@ -306,7 +324,7 @@ def book_stream(events: DataFrame, pending: int = PENDING) -> DataFrame:
 
     out = "kind string, exchange string, symbol string, seq long, seen long, ready boolean, best_bid double, best_ask double, levels long, from_seq long, to_seq long"
     kept = "seq long, seen long, lost long, sides array<string>, prices array<double>, sizes array<double>, w_seq array<long>, w_side array<string>, w_price array<double>, w_qty array<double>, g_from array<long>, g_to array<long>"
-    rows = events.select("exchange", "symbol", "seq", "kind", "side", "price", "qty")
+    rows = events.select("exchange", "symbol", "seq", F.coalesce(F.col("kind") == "snapshot", F.lit(False)).alias("whole"), "side", "price", "qty")
     return rows.groupBy("exchange", "symbol").applyInPandasWithState(rebuild, out, kept, "append", GroupStateTimeout.NoTimeout)
 
 
