@@ -210,22 +210,24 @@ _BOOK = f"""{_T}, e AS (SELECT exchange, symbol, CASE side WHEN 'buy' THEN 'bid'
 
 
 def _book_told(spark, sf) -> DataFrame:
-    """Books' rows over three batches; late snapshots find their changes waiting, or others in their place."""
+    """Books' rows over three batches and late snapshots; these find their changes waiting, or others in their place."""
     from pyspark.sql.window import Window
 
     folder, i = new_folder(spark), F.col("trade_id")
     seq = F.row_number().over(Window.partitionBy("exchange", "symbol").orderBy("trade_id")).cast("long")
-    e = m.trades(spark, sf).select("exchange", "symbol", "trade_id", seq.alias("seq"), F.when(F.col("side") == "buy", "bid").otherwise("ask").alias("side"), F.floor(F.col("price") / 10).cast("double").alias("price"), F.when(i % 6 == 0, 0.0).otherwise(F.col("amount")).alias("qty"))
+    e = m.trades(spark, sf).select("exchange", "symbol", "trade_id", seq.alias("seq"), F.when(F.col("side") == "buy", "bid").otherwise("ask").alias("side"), F.floor(F.col("price") / 10).cast("double").alias("price"), F.when(i % 6 == 0, 0.0).otherwise(F.col("amount")).alias("qty")).persist()
     changes = e.where("seq % 500 != 7 AND trade_id % 701 != 0").select("exchange", "symbol", "seq", F.lit("delta").alias("kind"), "side", "price", "qty")
     levels = F.array(*(F.struct(F.lit(s).alias("side"), F.lit(p).alias("price"), F.lit(1.0).alias("qty")) for s, p in (("bid", 1.0), ("bid", 2.0), ("ask", 900.0), ("ask", 901.0))))
     whole = e.where("seq % 500 = 7").select("exchange", "symbol", "seq", F.lit("snapshot").alias("kind"), F.inline(levels))
     rows = changes.union(whole)
     last = e.agg(F.max("seq")).first()[0]
     due = F.floor((F.col("seq") - 1) * 3 / F.lit(last)) + ((F.col("kind") == "snapshot") & (F.col("seq") % 1000 == 7)).cast("int")
-    for k in range(4):  # four batches, in the order of events but for late snapshots
-        rows.where(due == k).coalesce(1).write.mode("append").json(f"{folder}/landed")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(f"{folder}/landed")
-    return jobs.drain(jobs.book_stream(stream, 100_000), folder)
+    for k in range(4):  # four batches, in the order of events but for late snapshots: all files of one land before the stream goes on
+        rows.where(due == k).write.mode("append").json(f"{folder}/landed")
+        stream = spark.readStream.schema(rows.schema).json(f"{folder}/landed")
+        told = jobs.drain(jobs.book_stream(stream, 100_000), folder)
+    e.unpersist()
+    return told
 
 
 @query("str10_book", f"{_BOOK} SELECT z.exchange, z.symbol, z.seq, seen, base IS NOT NULL AND z.seq = seen AS ready, max(price) FILTER (side = 'bid' AND qty > 0) AS best_bid, min(price) FILTER (side = 'ask' AND qty > 0) AS best_ask, count(*) FILTER (qty > 0) AS levels FROM z LEFT JOIN live USING (exchange, symbol) GROUP BY ALL")
