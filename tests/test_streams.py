@@ -211,3 +211,13 @@ def test_late_closes_do_not_reset_the_day(spark, tmp_path):
     told = run(spark, tmp_path, [[close(2 * day, -490.0), ask(2 * day + 1, 1)], [close(day, -1.0)], [close(2 * day + 2, -20.0), ask(2 * day + 3, 2)]], schema, lambda s: jobs.risk_gate(s, 10_000.0))
     rows = {r["signal_id"]: (r["reason"], r["size_pct"]) for r in told.collect()}
     assert rows[1] == ("ok", 0.05) and rows[2] == ("daily_drawdown_breached", None)
+
+
+def test_accounts_are_told_apart_in_few_states(spark, tmp_path):
+    schema, n = "account long, at_ms long, kind string, pnl_usd double, signal_id long, direction string, confidence double, actionable boolean, open_positions long", 2000
+    ask = lambda at: [(a, at, "signal", None, a, "buy", 0.9, True, 0) for a in [*range(n), None]]
+    lost = [(a, 5, "close", -600.0 if a % 3 == 0 else -1.0, None, None, None, None, None) for a in range(n)]
+    told = run(spark, tmp_path, [[*ask(1), *lost], ask(6)], schema, lambda s: jobs.risk_gate(s, 10_000.0, buckets=8))
+    assert dict(told.groupBy("reason").count().collect()) == {"ok": 2 * n + 2 - 667, "daily_drawdown_breached": 667}
+    assert told.where("reason != 'ok'").agg(F.max(F.col("account") % 3)).first()[0] == 0
+    assert spark.read.format("statestore").load(f"{tmp_path}/ck").count() == 8

@@ -341,40 +341,62 @@ def book_gaps(told: DataFrame) -> DataFrame:
     return rows.select(F.col("kind").alias("event_type"), F.concat_ws(":", "kind", "gap_event_id").alias("event_id"), "gap_event_id", F.col("exchange").alias("exchange_id"), "symbol", F.lit("book").alias("timeframe"), "from_seq", "to_seq").dropDuplicates(["event_id"])
 
 
-def risk_gate(events: DataFrame, capital: float) -> DataFrame:
-    """STR11: ANL9 on a stream, keyed by account: each signal approved, with the share of capital that it may take, or the first rule that refuses it.
+def risk_gate(events: DataFrame, capital: float, buckets: int = 256) -> DataFrame:
+    """STR11: ANL9 on a stream, account by account: each signal approved, with the share of capital that it may take, or the first rule that refuses it.
 
     events: account, at_ms, kind (close or signal), pnl_usd, signal_id, direction, confidence, actionable, open_positions.
-    State is the day, its result and the whole one, and whether the account is halted. A batch is taken in order of
-    time, closes first; a close of a day before the state's counts for the whole result alone.
+    State is the day, its result and the whole one, and whether the account is halted. Accounts share a state by buckets of their hash, as a state for each
+    costs more than its events; a checkpoint keeps to its number of buckets, so give more for many millions of accounts. A batch is taken in order of
+    time, closes first and what has no time before all; a close of a day before the state's counts for the whole result alone.
     """
     order_usd = capital * p.POSITION_PCT
     most_pct = p.MAX_ORDER_USD / capital if order_usd > p.MAX_ORDER_USD else p.POSITION_PCT
 
     def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        day, daily, total, halted = state.get if state.exists else (-1, 0.0, 0.0, False)
-        out = []
-        for e in pd.concat(list(frames)).sort_values(["at_ms", "kind", "signal_id"]).itertuples(index=False):
-            today = e.at_ms // 86_400_000
+        known = {account: of for account, *of in zip(*state.get, strict=True)} if state.exists else {}
+        accounts, ids, reasons, sizes = [], [], [], []
+        pdfs = list(frames)
+        rows = pdfs[0] if len(pdfs) == 1 else pd.concat(pdfs)
+        columns = [rows[c].to_numpy() for c in ("at_ms", "asks", "signal_id", "account", "pnl_usd", "direction", "confidence", "actionable", "open_positions")]
+        order = np.lexsort(columns[2::-1])
+        for at, asks, signal_id, account, pnl, direction, confidence, actionable, held in zip(*(c[order].tolist() for c in columns), strict=True):
+            today, (day, daily, total, halted) = at // 86_400_000, known.get(account, (-1, 0.0, 0.0, False))
             if today > day:
                 day, daily = today, 0.0
-            if e.kind == "close":
-                daily, total = daily + (e.pnl_usd if today == day else 0.0), total + e.pnl_usd
+            if not asks:
+                known[account] = (day, daily + (pnl if today == day else 0.0), total + pnl, halted)
                 continue
-            buy = e.direction != "sell"
-            rules = [
-                ("system_halted", halted), ("signal_not_actionable", not e.actionable), ("confidence_too_low", e.confidence < p.MIN_CONFIDENCE), ("max_positions_reached", buy and e.open_positions >= p.MAX_POSITIONS),
-                ("daily_drawdown_breached", daily / capital <= -p.DAILY_DRAWDOWN), ("total_drawdown_breached", total / capital <= -p.TOTAL_DRAWDOWN), ("order_too_small", buy and order_usd < p.MIN_ORDER_USD),
-            ]
-            reason = next((name for name, hit in rules if hit), "ok")
-            halted = halted or reason.endswith("drawdown_breached")
-            out.append((key[0], int(e.signal_id), reason == "ok", reason, (most_pct if buy else p.POSITION_PCT) if reason == "ok" else None))
-        state.update((int(day), float(daily), float(total), bool(halted)))
-        yield pd.DataFrame(out, columns=["account", "signal_id", "approved", "reason", "size_pct"]).astype({"size_pct": "float64"})
+            buy, reason = direction != "sell", "ok"
+            if halted:
+                reason = "system_halted"
+            elif not actionable:
+                reason = "signal_not_actionable"
+            elif confidence < p.MIN_CONFIDENCE:
+                reason = "confidence_too_low"
+            elif buy and held >= p.MAX_POSITIONS:
+                reason = "max_positions_reached"
+            elif daily / capital <= -p.DAILY_DRAWDOWN:
+                reason, halted = "daily_drawdown_breached", True
+            elif total / capital <= -p.TOTAL_DRAWDOWN:
+                reason, halted = "total_drawdown_breached", True
+            elif buy and order_usd < p.MIN_ORDER_USD:
+                reason = "order_too_small"
+            known[account] = (day, daily, total, halted)
+            accounts.append(account)
+            ids.append(signal_id)
+            reasons.append(reason)
+            sizes.append(np.nan if reason != "ok" else most_pct if buy else p.POSITION_PCT)
+        state.update((list(known), *(list(c) for c in zip(*known.values(), strict=True))))
+        if ids:
+            yield pd.DataFrame({"account": accounts, "signal_id": ids, "approved": [r == "ok" for r in reasons], "reason": reasons, "size_pct": np.array(sizes)})
 
     kind = events.schema["account"].dataType.simpleString()
-    rows = events.select("account", "at_ms", "kind", F.coalesce("pnl_usd", F.lit(0.0)).alias("pnl_usd"), F.coalesce("signal_id", F.lit(-1)).alias("signal_id"), "direction", "confidence", F.coalesce("actionable", F.lit(False)).alias("actionable"), "open_positions")
-    return rows.groupBy("account").applyInPandasWithState(decide, f"account {kind}, signal_id long, approved boolean, reason string, size_pct double", "day long, daily double, total double, halted boolean", "append", GroupStateTimeout.NoTimeout)
+    asks = F.coalesce(F.col("kind") != "close", F.lit(True)).alias("asks")
+    bucket = F.pmod(F.xxhash64("account"), F.lit(buckets)).alias("bucket")
+    rows = events.select(bucket, F.col("account").cast("string").alias("account"), F.coalesce("at_ms", F.lit(0)).alias("at_ms"), asks, F.coalesce("pnl_usd", F.lit(0.0)).alias("pnl_usd"), F.coalesce("signal_id", F.lit(-1)).alias("signal_id"), "direction", "confidence", F.coalesce("actionable", F.lit(False)).alias("actionable"), "open_positions")
+    kept = "account array<string>, day array<long>, daily array<double>, total array<double>, halted array<boolean>"
+    told = rows.groupBy("bucket").applyInPandasWithState(decide, "account string, signal_id long, approved boolean, reason string, size_pct double", kept, "append", GroupStateTimeout.NoTimeout)
+    return told.withColumn("account", F.col("account").cast(kind))
 
 
 def fan_out(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
