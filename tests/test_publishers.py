@@ -53,3 +53,13 @@ def test_defaults_and_ids(spark):
     df = spark.createDataFrame([("x", "a", 1, "0.1"), ("x", "a", 1, "0.1"), ("x", "a", 2, "0.1")], "exchange string, symbol string, timestamp_ms long, funding_rate string")
     told = events(market_messages(df, "funding").select("value"), "funding").collect()
     assert {r["market_type"] for r in told} == {"linear"} and len({r["event_id"] for r in told}) == 2 and {r["reject_reason"] for r in told} == {None}
+
+
+def test_a_log_is_read_in_arrow_batches(spark, tmp_path):
+    from tideframe.sources import log_source
+
+    log_source.publish(spark.range(5000).selectExpr("'k' AS key", "CAST(id AS STRING) AS value").coalesce(1), f"{tmp_path}/log")
+    reader = log_source._Reader({"path": f"{tmp_path}/log"})
+    batches = [b for part in reader.partitions({"next": 0}, {"next": 1}) for b in reader.read(part)]
+    assert [b.num_rows for b in batches] == [4096, 904]
+    assert sorted(int(v) for b in batches for v in b.column("value").to_pylist()) == list(range(5000))

@@ -275,8 +275,9 @@ def snk15_published(spark, sf):
     level = lambda up: F.array(F.array((F.col("price") + (1 if up else -1)).cast("decimal(18,4)").cast("string"), F.lit("1")))
     side = F.when(i % 11 == 0, "up").when(i % 5 == 1, F.when(F.col("side") == "buy", "bid").otherwise("ask")).otherwise(F.col("side"))
     rows = ts_ms(m.trades(spark, sf)).select("exchange", "symbol", kind.alias("kind"), F.when(i % 13 != 0, F.col("ts_ms")).alias("timestamp_ms"), level(False).alias("bids"), level(True).alias("asks"), side.alias("side"), number.alias("price"), *(number.alias(c) for c in ("funding_rate", "open_interest_contracts")), F.lit(1).cast("decimal(18,4)").alias("size"), F.lit(1).cast("decimal(18,4)").alias("quantity"))
-    rows.repartition(2, "symbol").write.parquet(f"{folder}/landed")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    tasks = spark.sparkContext.defaultParallelism
+    rows.repartition(2 * tasks).write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(f"{folder}/landed")  # two batches, each of as many files as tasks
     value = {"delta": "price", "funding": "funding_rate", "open_interest": "open_interest_contracts", "liquidation": "price"}
     told = []
     for topic in dict.fromkeys(publishers.TOPICS.values()):
